@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.llm.ann import nearest_neighbours
+from tarnlake.llm.bpe import decode_documents, encode_documents
 from tarnlake.llm.lines import dedup_lines
+from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
 from tarnlake.llm.simhash import near_duplicate_components
 from tarnlake.llm.substring import dedup_substrings
@@ -16,10 +19,21 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    both = decode_documents(coded)
+    digests = F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return both.select("doc_id", "n_tokens", *digests)
+
+
 def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicate_components(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", "fingerprint", "component_id")
@@ -29,6 +43,10 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality(_read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"))
+
+
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     labels = _read(spark, sf_dir, "labels")
@@ -44,9 +62,12 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_learned_partitions,
         op3_substring_dedup,
+        op4_segment_tree_bpe,
         op5_simhash_covering,
         op7_compression_quality,
+        op8_bin_completion,
         op9_url_reputation,
         op10_line_windows,
     )
