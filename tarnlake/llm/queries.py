@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.ann import nearest_neighbours
 from tarnlake.llm.bpe import decode_documents, encode_documents
+from tarnlake.llm.html import extract_main_text
 from tarnlake.llm.lines import dedup_lines
 from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
@@ -19,6 +20,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -62,6 +67,7 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_wrapper_extraction,
         op2_learned_partitions,
         op3_substring_dedup,
         op4_segment_tree_bpe,
