@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.ann import nearest_neighbours
 from tarnlake.llm.bpe import decode_documents, encode_documents
+from tarnlake.llm.chat import fit_model, format_chats
 from tarnlake.llm.html import extract_main_text
 from tarnlake.llm.lines import dedup_lines
 from tarnlake.llm.packing import pack_documents
@@ -44,6 +45,13 @@ def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_hmm_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = _read(spark, sf_dir, "conversations")
+    turns = format_chats(talks, fit_model(talks))
+    digest = F.sha2("rendered", 256).alias("rendered_sha256")
+    return turns.select("conv_id", "turn", "part", "role", "n_lines", digest)
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality(_read(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -72,6 +80,7 @@ QUERIES = {
         op3_substring_dedup,
         op4_segment_tree_bpe,
         op5_simhash_covering,
+        op6_hmm_chat_format,
         op7_compression_quality,
         op8_bin_completion,
         op9_url_reputation,
