@@ -50,6 +50,11 @@ def _sequence_hash(h: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
+def _check_span(span: int) -> None:
+    if not SEED_WORDS <= span <= SEED_WORDS + 62:
+        raise ValueError(f"span must lie between {SEED_WORDS} and {SEED_WORDS + 62} words")
+
+
 def paths(w: list[bytes], span: int = SPAN, seed: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first edge, number of edges, minimizer hash, hash of all words) by path."""
     n = len(w) - span + 1
@@ -132,9 +137,10 @@ def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: i
 def repeated_edges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """(id, key, spots): edges of a document that start in one of smaller id.
 
-    A spot is struct(first, edges, mask): ``edges`` consecutive starts from
-    word ``first``; bit i of ``mask`` says whether the i-th is repeated.
+    A spot is a run of consecutive edges in one long: the word at which the
+    first starts, times 64, plus their number (at most span - SEED_WORDS + 1).
     """
+    _check_span(span)
     seen = materialize(_occurrences(docs, id_col, text_col, span), "paths")
     shared = seen.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("seed")
     shared = materialize(shared, "seeds")
@@ -148,25 +154,26 @@ def repeated_edges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         opened.groupBy("seed", "edge").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
         "least",
     )
-    # Edges of one path only keep that path's first document as their least.
+    # Repeated source rows open a path twice: a set. Edges of one path only keep that path's first document as their least.
     known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", "id"))
     known = known.groupBy("seed", "whole").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("nth", "least"))), lambda x: x["least"]).alias("leasts")
+        F.transform(F.array_sort(F.collect_set(F.struct("nth", "least"))), lambda x: x["least"]).alias("leasts")
     )
     known = materialize(
         distinct.select("seed", "whole", F.col("id").alias("origin")).join(known, ["seed", "whole"], "left"), "known"
     )
     hit = seen.join(known, ["seed", "whole"])
-    bits = F.aggregate(
-        F.sequence(F.lit(0), F.col("edges") - 1),
-        F.lit(0).cast("long"),
-        lambda acc, j: acc + F.when(F.get("leasts", j) < F.col("id"), F.pow(F.lit(2.0), j).cast("long")).otherwise(F.lit(0)),
-    )
-    mask = F.when(F.col("leasts").isNotNull(), bits).when(
-        F.col("origin") < F.col("id"), F.pow(F.lit(2.0), F.col("edges")).cast("long") - 1
-    )
-    spots = hit.select("id", "key", "first", "edges", mask.alias("mask")).where("mask != 0").distinct()
-    return spots.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "mask")).alias("spots"))
+    # Runs of repeated edges as one long each: first edge * 64 + how many.
+    late = lambda j: F.get("leasts", j) < F.col("id")
+    every = F.sequence(F.lit(0), F.col("edges") - 1)
+    opens = F.filter(every, lambda j: late(j) & ~F.coalesce(late(j - 1), F.lit(False)))
+    ends = F.filter(every, lambda j: late(j) & ~F.coalesce(late(j + 1), F.lit(False)))
+    base = F.col("first").cast("long")
+    some = F.zip_with(opens, ends, lambda a, z: (base + a) * 64 + (z - a + 1))
+    whole = F.when(F.col("origin") < F.col("id"), F.array(base * 64 + F.col("edges")))
+    runs = F.when(F.col("leasts").isNotNull(), some).otherwise(whole)
+    spots = hit.select("id", "key", F.explode(runs).alias("run"))
+    return spots.groupBy("id", "key").agg(F.collect_list("run").alias("spots"))
 
 
 RESULT = T.StructType(
@@ -178,15 +185,15 @@ RESULT = T.StructType(
 )
 
 
-def _cut(text: str | None, spots: list[dict] | None, span: int) -> tuple[str | None, int, int, str]:
+def _cut(text: str | None, spots: list[int] | None, span: int) -> tuple[str | None, int, int, str]:
     w = words(text)
     if not spots:
         return text, len(w), 0, hashlib.sha256(b" ".join(w)).hexdigest()
     cover = np.zeros(len(w) + 1, np.int64)
-    for s in spots:
-        on = s["first"] + np.flatnonzero((s["mask"] >> np.arange(s["edges"])) & 1)
-        np.add.at(cover, on, 1)
-        np.subtract.at(cover, on + span, 1)
+    runs = np.array(spots, np.int64)
+    first, count = runs >> 6, runs & 63
+    np.add.at(cover, first, 1)
+    np.subtract.at(cover, first + count + (span - 1), 1)
     gone = np.cumsum(cover)[:-1] > 0
     data = text.encode()
     turns = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
