@@ -57,8 +57,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+#: Rows in an Arrow batch; Spark's default of 10,000 makes batches of long texts
+#: that fill an executor's memory outside its heap.
+ARROW_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give this package to the executors' Python, once per application."""
+    """Give this package to the executors' Python, once per application, and
+    bound Arrow batches unless the session sets a bound of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
