@@ -243,3 +243,10 @@ def latest(df: DataFrame, key: str, order: str) -> DataFrame:
     """The row of greatest ``order`` per key."""
     w = W.partitionBy(key).orderBy(F.desc(order))
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def drift_log(found: DataFrame, table: str, stage: str, at: str) -> DataFrame:
+    """Drift rows as a log table to append."""
+    return found.select(
+        F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "column_name", "change", "severity", F.lit(at).cast("timestamp").alias("detected_at")
+    )

@@ -254,3 +254,30 @@ def compare_stages(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     kept = F.coalesce(clean.percent(F.col("target_rows"), F.col("source_rows")), F.lit(100.0))
     sound = F.coalesce(clean.percent(F.col("source_keys") - F.col("missing_keys"), F.col("source_keys")), F.lit(100.0))
     return out.withColumns({"row_retention_pct": kept, "key_integrity_pct": sound})
+
+
+def duplicate_rate(df: DataFrame) -> DataFrame:
+    """Rows, repeated rows (all but the first of each) and their share."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    kinds = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    out = kinds.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    return out.withColumn("duplicate_pct", F.coalesce(clean.percent(F.col("duplicate_rows"), F.col("row_count")), F.lit(0.0)))
+
+
+def spot_check(source: DataFrame, target: DataFrame, key: str, n: int = 100) -> DataFrame:
+    """The n least keys of one side and whether the other side has them."""
+    some = source.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(n)
+    there = target.select(F.col(key).alias("_k")).distinct()
+    return some.join(there, F.col(key) == F.col("_k"), "left").select(key, F.col("_k").isNotNull().alias("found"))
+
+
+def save_profile(existing: DataFrame, profile: DataFrame, table: str, day: str) -> DataFrame:
+    """A stored profile table with this table's profile of the day replaced."""
+    new = profile.withColumns({"table_name": F.lit(table), "profile_date": F.lit(day).cast("date")})
+    old = (F.col("table_name") == table) & (F.col("profile_date") == F.lit(day).cast("date"))
+    return existing.where(~F.coalesce(old, F.lit(False))).unionByName(new, allowMissingColumns=True)
+
+
+def latest_profile(stored: DataFrame, table: str) -> DataFrame:
+    mine = stored.where(F.col("table_name") == table)
+    return mine.where(F.col("profile_date") == mine.agg(F.max("profile_date")).scalar())

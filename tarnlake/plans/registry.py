@@ -724,3 +724,143 @@ def registry_versions(t):
 def key_reconciliation(t):
     rich = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
     return t.orders.join(rich, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+
+
+# -- further operators --------------------------------------------------------
+
+
+@query(
+    "SELECT round(sum(nulls) * 100.0 / sum(n), 2)::DOUBLE AS null_cell_pct, count(*) FILTER (nulls > 0) AS columns_with_nulls, "
+    "count(*) FILTER (d < n - nulls) AS columns_with_duplicates FROM ("
+    + _union(f"SELECT count(*) AS n, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS d FROM documents LEFT JOIN labels USING (doc_id)" for c in ("doc_id", "quality", "toxic"))
+    + ")"
+)
+def profile_summary(t):
+    df = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    out = profiling.profile_summary(profiling.completeness_profile(df))
+    return exact_mean(out.select("null_cell_pct", "columns_with_nulls", "columns_with_duplicates"), "null_cell_pct")
+
+
+@query(
+    "SELECT count(*) AS row_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_rows, "
+    "round((count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))) * 100.0 / count(*), 2)::DOUBLE AS duplicate_pct FROM lineitem"
+)
+def duplicate_rate(t):
+    return exact_mean(profiling.duplicate_rate(t.lineitem.select("l_orderkey", "l_linenumber")), "duplicate_pct")
+
+
+@query(
+    "SELECT k AS o_custkey, k IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS found FROM (SELECT DISTINCT o_custkey AS k FROM orders "
+    "WHERE o_custkey IS NOT NULL ORDER BY 1 LIMIT 100)"
+)
+def spot_check(t):
+    return profiling.spot_check(t.orders, t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+
+
+@query(
+    "SELECT 'documents' AS table_name, 'text' AS column_name, CASE WHEN any_value(card) THEN 'financial' WHEN any_value(mail) THEN 'pii' ELSE 'sensitive' END AS classification, "
+    f"max(s) AS sensitivity, max(s) >= 3 AS needs_masking FROM (SELECT bool_or(regexp_matches(text, '{PATTERNS['credit_card'].regex}')) OVER () AS card, "
+    f"bool_or(regexp_matches(text, '{PATTERNS['email'].regex}') OR regexp_matches(text, '{PATTERNS['phone'].regex}')) OVER () AS mail, "
+    + "greatest("
+    + ", ".join(f"CASE WHEN regexp_matches(text, '{PATTERNS[n].regex}') THEN {PATTERNS[n].sensitivity} ELSE 0 END" for n in SIMPLE_PII)
+    + ") AS s FROM documents) HAVING max(s) > 0"
+)
+def pii_classify(t):
+    scan = rejects.scan_pii(t.documents, "documents", ["text"]).where(F.col("pii_type").isin(*SIMPLE_PII))
+    return rejects.classify(scan).select("table_name", "column_name", "classification", "sensitivity", "needs_masking")
+
+
+@query(
+    "SELECT event_type AS name, CAST(count(*) AS DOUBLE) AS value, count(*) AS n, 1.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM events GROUP BY 1"
+)
+def metrics_rollup(t):
+    rows = t.events.select(
+        F.col("event_type").alias("name"), F.lit("counter").alias("kind"), F.lit(1.0).alias("value"), F.create_map(F.lit("t"), F.lit("events")).alias("labels"),
+        F.col("ts").cast("timestamp").alias("recorded_at"),
+    )
+    return alerts.roll_up(rows, ["t"]).select("name", "value", "n", "low", "high")
+
+
+@query(
+    "SELECT source, severity FROM (SELECT event_type AS source, CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'error' ELSE 'warning' END AS severity, "
+    "min(ts) AS seen FROM events GROUP BY 1) ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'error' THEN 1 ELSE 2 END, seen DESC LIMIT 3"
+)
+def alert_severity_rank(t):
+    level = F.when(F.col("event_type") == "error", "critical").when(F.col("event_type") == "purchase", "error").otherwise("warning")
+    rows = t.events.groupBy(F.col("event_type").alias("source")).agg(F.min("ts").cast("timestamp").alias("created_at"), F.min(level).alias("severity"))
+    rows = rows.withColumns({"dedup_key": F.col("source"), "status": F.lit("open")})
+    return alerts.open_alerts(rows, limit=3).select("source", "severity")
+
+
+@query(
+    "SELECT 'segment' AS rule, (SELECT count(*) FROM customer) AS checked, coalesce(sum(n), 0)::BIGINT AS failed FROM (SELECT count(*) AS n FROM customer "
+    "WHERE c_nationkey IS NOT NULL GROUP BY c_nationkey HAVING count(*) > 1)"
+)
+def rule_uniqueness(t):
+    rule = expectations.QualityRule("segment", "uniqueness_check", "c_nationkey")
+    return expectations.execute_rule(t.customer, rule).select("rule", "checked", "failed")
+
+
+@query(f"SELECT 'fresh' AS rule, count(*) AS checked, count(*) FILTER (date_diff('second', ts, TIMESTAMP '{AS_OF}') > 240 * 3600) AS failed FROM events")
+def rule_freshness(t):
+    rule = expectations.QualityRule("fresh", "freshness_check", "ts", {"max_hours": 240})
+    return expectations.execute_rule(t.events, rule, as_of=AS_OF).select("rule", "checked", "failed")
+
+
+@query("SELECT l_orderkey, l_partkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS sk FROM lineitem")
+def surrogate_keys(t):
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    return warehouse.number_rows(t.lineitem.select(order), order, "sk").select("l_orderkey", "l_partkey", "l_linenumber", "sk")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 3 = 0")
+def insert_missing(t):
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    return warehouse.insert_missing(rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("new")), "o_orderkey")
+
+
+@query(
+    "SELECT event_id, CASE WHEN user_id NOT IN (SELECT user_id FROM events WHERE ts <= TIMESTAMP '2024-01-02 00:00:00') AND event_type NOT IN ('signup', 'error') THEN 'I' "
+    "WHEN event_type = 'signup' THEN 'I' WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op FROM events"
+)
+def mark_inserts(t):
+    known = t.events.where("ts <= timestamp_ntz'2024-01-02 00:00:00'")
+    return ingest.mark_inserts(_log(t), known, "user_id").select("event_id", "op")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'closed' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def update_where(t):
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    return warehouse.update_where(rows, F.col("o_orderstatus") == "O", {"o_orderstatus": F.lit("closed")})
+
+
+@query(
+    "WITH RECURSIVE e AS (SELECT DISTINCT n_name AS s, r_name AS t FROM nation JOIN region ON n_regionkey = r_regionkey UNION SELECT DISTINCT s_name, n_name FROM supplier "
+    "JOIN nation ON s_nationkey = n_nationkey), w AS (SELECT s AS asset, 1 AS distance FROM e WHERE t = 'ASIA' UNION SELECT e.s, w.distance + 1 FROM e JOIN w ON e.t = w.asset) "
+    "SELECT asset, min(distance) AS distance FROM w GROUP BY 1"
+)
+def lineage_upstream(t):
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    edges = places.select(F.col("n_name").alias("source"), F.col("r_name").alias("target"))
+    more = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("source"), F.col("n_name").alias("target"))
+    return contracts.upstream(edges.unionByName(more).distinct(), "ASIA")
+
+
+@query("SELECT event_id, user_id, op FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n " f"FROM {LOG}) WHERE n = 1 AND op <> 'D'")
+def stream_apply(t):
+    """The change log applied as a stream, run to the end of the files there."""
+    import uuid
+
+    from tarnlake.session import shared_dir
+    from tarnlake.streaming import cdc
+
+    root = f"{shared_dir(t.spark).rstrip('/')}/tarnlake/stream-{uuid.uuid4().hex}"
+    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    events = stream.parquet(f"{t.sf_dir}/events*")
+    op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
+    q = cdc.apply_changes(events.select("event_id", "user_id", "ts", op.alias("op")), "user_id", ["ts", "event_id"], root, f"{root}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    state = cdc.current_state(t.spark, root, live_only=True)
+    return (t.events.limit(0).select("event_id", "user_id", F.lit("").alias("op")) if state is None else state).select("event_id", "user_id", "op")

@@ -94,3 +94,12 @@ def register_table(spark: SparkSession, name: str, path: str, ddl: str) -> DataF
     """A typed external table over staged Parquet."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet LOCATION '{path}'")
     return spark.table(name)
+
+
+def read_raw(spark: SparkSession, zone: str, table: str, schema: str = "main", prefix: str = "raw_") -> DataFrame:
+    """All batches of a raw table, full loads and changes."""
+    return read_landing(spark, f"{zone}/{schema}/{prefix}{table}")
+
+
+def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{table}")
