@@ -185,19 +185,27 @@ class PieceCache:
         """Ids of each text as packed little-endian unsigned 32-bit integers."""
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        known, findall = self.known, self.pattern.findall
+        known = self.known
         cut = [chunks(t or "") for t in texts]
-        cut = [findall(t) if c is None else c for c, t in zip(cut, texts, strict=True)]
+        cut = [self.pattern.findall(t) if c is None else c for c, t in zip(cut, texts, strict=True)]
         new = {p for c in cut for p in c if p not in known}
-        pieces = {p: findall(p) for p in new}
+        pieces = {p: self._matches(p) for p in new}
         fresh = list({q for found in pieces.values() for q in found if q not in known})
-        made = dict(zip(fresh, self.encode_pieces(fresh), strict=True))
+        known.update(zip(fresh, self.encode_pieces(fresh), strict=True))
         for p, found in pieces.items():
-            if p not in made:
-                made[p] = b"".join([made[q] if q in made else known[q] for q in found])
-        known |= {p: ids for p, ids in made.items() if len(p) <= CACHE_CHARS}
-        made = {p: ids for p, ids in made.items() if len(p) > CACHE_CHARS}
-        return [b"".join([known[p] if p in known else made[p] for p in c]) for c in cut]
+            if p not in known:
+                known[p] = b"".join([known[q] for q in found])
+        out = [b"".join(map(known.__getitem__, c)) for c in cut]
+        for p in {*new, *fresh}:
+            if len(p) > CACHE_CHARS:
+                del known[p]
+        return out
+
+    def _matches(self, chunk: str) -> list[str]:
+        """Matches of the pattern; letters after at most one space are one."""
+        if chunk.isalpha() or (chunk[:1] == " " and chunk[1:].isalpha()):
+            return [chunk]
+        return self.pattern.findall(chunk)
 
 
 class ByteBPE:
