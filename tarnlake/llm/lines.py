@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.session import materialize
+
 BLANKS = " \t\r\x0b\x0c"
 WINDOW = 3
 
@@ -50,14 +52,13 @@ def line_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The global pass keeps one row per distinct window (partial aggregation
     before the shuffle, so a window in a third of all documents is no hot
-    key); the way back is an equi-join whose hot keys adaptive execution
-    splits.
+    key) and is written, so that the way back is an equi-join of two plain
+    shuffles, whose hot keys adaptive execution splits.
     """
     windows = _windows(docs, id_col, text_col)
     place = F.struct("_id", "_key", "pos")
-    repeated = (
-        windows.groupBy("h1", "h2").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    )
+    repeated = windows.groupBy("h1", "h2").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(repeated.where("_n > 1").drop("_n"), "windows")
     later = windows.join(repeated, ["h1", "h2"]).where(place > F.col("_first"))
     starts = later.groupBy("_id", "_key").agg(F.array_sort(F.collect_set("pos")).alias("_starts"))
     return starts.select("_id", "_key", _spans(F.col("_starts")).alias("spans"))
