@@ -17,9 +17,9 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Each round hangs neighbours to the least neighbour (large star: those
     above a node; small star: those below), which halves distances, and ends
-    when a round changes nothing. Minima are partial aggregates and rows go
-    back by equi-joins, so a node with very many links is not gathered in one
-    task. Every round is written to the shared folder: the plan stays short
+    when a round changes nothing. Minima are partial aggregates, written before
+    the rows go back by an equi-join: both of its sides are then plain shuffles,
+    of which adaptive execution splits those of a node with very many links. Every round is written to the shared folder: the plan stays short
     and a lost executor repeats one round at most. Only counts and a sum reach
     the driver. Empty links give no rows.
     """
@@ -27,12 +27,13 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     state = None
     for _ in range(max_rounds):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # large star: neighbours above u hang from u's least neighbour
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
         large = _canonical(large)
         # small star: u and its neighbours below hang from the least of them
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, "large")
+        down = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "down")
         small = large.join(down, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
         small = small.unionByName(down.select(F.col("u").alias("src"), F.col("m").alias("dst")))
         edges = materialize(_canonical(small), "edges")
