@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.lines import dedup_lines
 from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
-from tarnlake.llm.simhash import near_duplicate_components
+from tarnlake.llm.simhash import near_duplicate_groups
 from tarnlake.llm.substring import dedup_substrings
 from tarnlake.session import materialize, ship_package
 
@@ -36,16 +36,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of least id stays.
+    """Of each group of near-duplicates the document of least (id, text hash) stays.
 
-    Repeated rows of that id are one document. Rows without an id stay: no
-    group can name them.
+    A document is an id with a text: different texts under one id are linked,
+    kept and dropped on their own. Rows equal in id and text are one document;
+    the row whose other columns hash least stands for it. Rows without an id
+    stay: no group can name them.
     """
     ship_package(spark)
-    groups = near_duplicate_components(docs, keep=["doc_id"])
-    stay = materialize(groups.where("doc_id = component_id").select("doc_id").distinct(), "stay")
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    key = ["doc_id", "_text", "_rest"]
+    rest = F.struct(F.lit(0), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    marked = docs.where("doc_id is not null").withColumns(
+        {"_text": F.coalesce(F.sha2("text", 256), F.lit("")), "_rest": F.sha2(F.to_json(rest), 256)}
+    )
+    least = near_duplicate_groups(marked, keep=key).groupBy("group").agg(F.min(F.struct(*key)).alias("least"))
+    stay = materialize(least.select("least.*"), "stay")
+    # Equal rows are folded inside the tasks first, so copies of one row never meet in one task.
+    named = marked.dropDuplicates(key).join(stay, key, "left_semi")
+    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -180,4 +180,24 @@ def near_duplicate_components(
     )
 
 
-__all__ = ["covering_masks", "fingerprint", "fingerprints", "near_duplicate_components", "similarity_links"]
+def near_duplicate_groups(
+    docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, radius: int = RADIUS
+) -> DataFrame:
+    """Append fp and group, the least fingerprint reachable over links of at
+    most ``radius`` differing bits, to every row. Ids play no part: rows are
+    linked through their texts only."""
+    cols = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "group")]
+    prints = materialize(fingerprints(docs, text_col, cols), "fingerprints")
+    nodes = materialize(prints.select("fp").distinct().withColumn("id", F.col("fp")), "nodes")
+    labels = connected_components(similarity_links(nodes, radius)).select(F.col("id").alias("fp"), "component")
+    return prints.join(labels, "fp", "left").select(*cols, "fp", F.coalesce("component", "fp").alias("group"))
+
+
+__all__ = [
+    "covering_masks",
+    "fingerprint",
+    "fingerprints",
+    "near_duplicate_components",
+    "near_duplicate_groups",
+    "similarity_links",
+]

@@ -61,6 +61,18 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark):
     assert sorted((r.doc_id or 0) for r in got) == [0, 4, 9]
 
 
+def test_near_dedup_keeps_each_text_of_a_shared_id(spark):
+    one, two = "one two three four five six seven eight nine ten", "red green blue white black brown pink grey gold plum"
+    rows = [(4, one, "a"), (4, one, "b"), (4, two, "a"), (4, "no copies of this text are anywhere else", "a"), (7, one.upper(), "b"), (8, two.upper(), "b"), (9, two, "c")]
+    rows += [(5, f"text number {i} of many under one id {i * i} {i % 7}x", "d") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id != 5) == sorted({(i, t) for i, t, _ in rows if i == 4})
+    fives = [(t, brute.fingerprint(t)) for i, t, _ in rows if i == 5]
+    groups = set(brute.components([(k, fp) for k, (_, fp) in enumerate(fives)]).values())
+    assert sum(r.doc_id == 5 for r in got) == len(groups) > 1
+
+
 def test_empty_documents(spark, tiny):
     df = spark.read.parquet(f"{tiny}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
