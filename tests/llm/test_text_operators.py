@@ -1,11 +1,13 @@
 import random
+import string
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tarnlake.llm.components import connected_components
 from tarnlake.llm.lines import dedup_lines
-from tarnlake.llm.quality import compression_quality
+from tarnlake.llm.quality import LEVEL, compression_quality, measure
 from tarnlake.llm.simhash import covering_masks, fingerprint, near_duplicate_components, signed, similarity_links
 from tarnlake.llm.substring import dedup_substrings
 from tests.llm import brute
@@ -134,6 +136,30 @@ def test_quality_bands(spark):
     assert compression_quality(df.limit(0)).count() == 0
 
 
+def spaced_noise(alphabet, n_bytes, seed=3):
+    rnd, out = random.Random(seed), ""
+    while len(out) < n_bytes:
+        out += "".join(rnd.choices(alphabet, k=rnd.randint(4, 10))) + " "
+    return out[:n_bytes]
+
+
+@pytest.mark.parametrize(
+    "alphabet, lengths",
+    [
+        (string.ascii_letters + string.digits + "+/", (200, 300, 400, 600, 800, 1200, 3000, 6000, 12000, 30000)),
+        ("".join(map(chr, range(33, 127))), (175, 200, 300, 400, 600, 800, 1200, 3000, 6000, 12000, 30000)),
+        (string.ascii_lowercase + string.digits, (800, 1200, 1600, 3000, 6000, 12000, 30000)),
+        (string.ascii_lowercase, (1600, 3000, 6000, 12000, 30000)),
+        ("0123456789abcdef", (4096, 6000, 12000, 30000)),
+    ],
+)
+def test_quality_rejects_noise_of_each_length(alphabet, lengths):
+    zstd = zstandard.ZstdCompressor(level=LEVEL)
+    for n in lengths:
+        base_failed, kept = measure(spaced_noise(alphabet, n), zstd)[-2:]
+        assert not base_failed and not kept, n
+
+
 def test_quality_keeps_labelled_clean(spark):
     sf = "/root/testdata/sf0.01"
     docs = compression_quality(spark.read.parquet(f"{sf}/documents.parquet"), keep=["doc_id"])
