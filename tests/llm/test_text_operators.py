@@ -1,6 +1,7 @@
 import random
 import string
 
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -160,6 +161,23 @@ def test_quality_rejects_noise_of_each_length(alphabet, lengths):
         assert not base_failed and not kept, n
 
 
+def test_quality_rejects_texts_that_are_part_noise():
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    labels = pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist()
+    clean = {r["doc_id"] for r in labels if r["quality"] == 1}
+    zstd = zstandard.ZstdCompressor(level=LEVEL)
+    prose = max((r["text"].encode() for r in docs if r["doc_id"] in clean), key=lambda b: (measure(b.decode(), zstd)[-1], len(b)))
+    cut = lambda n: prose[:n].decode(errors="ignore")
+    alnum = string.ascii_lowercase + string.digits
+    for n_noise, n_prose in ((4000, 4096), (8192, 8192), (24576, 24576), (2000, 12288), (8192, 24576)):
+        noise = spaced_noise(alnum, n_noise)
+        for text in (cut(n_prose) + noise, noise + cut(n_prose)):
+            m = measure(text, zstd)
+            assert not m[-2] and not m[-1], (n_noise, n_prose)
+    m = measure(cut(4096 * 2 + 500), zstd)
+    assert m[-1] and (m[-4], m[-3]) == (0, 3)
+
+
 def test_quality_keeps_labelled_clean(spark):
     sf = "/root/testdata/sf0.01"
     docs = compression_quality(spark.read.parquet(f"{sf}/documents.parquet"), keep=["doc_id"])
