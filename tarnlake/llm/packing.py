@@ -2,18 +2,20 @@
 
 All pieces of one length are alike, so the search runs over the histogram of
 lengths: at most ``capacity`` numbers, however many documents there are. Around
-the largest length left, undominated fillings of the rest are enumerated; a
-filling is applied to as many sequences at once as its lengths allow, branches
-whose waste cannot beat the best packing known are pruned, and best-fit
-decreasing gives the first one. Spark then ranks the pieces of each length and
-looks up the place of each rank.
+the largest length left, all undominated fillings of the rest are enumerated,
+each for as many sequences at once as its lengths allow and then for fewer;
+branches whose waste cannot beat the best packing known are pruned, and
+best-fit decreasing gives the incumbents. Spark then ranks the pieces of each
+length and looks up the place of each rank.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -30,12 +32,24 @@ from tarnlake.session import materialize
 CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
-#: Search steps after the first complete packing.
-EXTRA_STEPS = 4000
+#: Steps of the search (nodes, and lengths tried for fillings); what it leaves
+#: open is reported as the gap.
+SEARCH_STEPS = 200_000
+#: A best-fit packing completes every so many nodes.
+ROLLOUT = 32
+#: Steps that a node counts for.
+NODE = 50
 
 Step = tuple[int, tuple[int, ...]]  # (sequences, lengths in each)
 
 
+@dataclass
+class Work:
+    """Search steps left."""
+
+    left: int
+
+
 class _Tokenizer:
     """Ids by the ``tokenizers`` library, its model called once per piece.
 
@@ -111,154 +125,242 @@ def token_pieces(
     return src.mapInArrow(run, schema)
 
 
-def _dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
-    """Whether the lengths of ``b`` fit, packed, into room the size of ``a``'s."""
-    room = list(a)
-
-    def fit(i: int) -> bool:
-        if i == len(b):
-            return True
-        tried = set()
-        for k, r in enumerate(room):
-            if r >= b[i] and r not in tried:
-                tried.add(r)
-                room[k] = r - b[i]
-                if fit(i + 1):
-                    return True
-                room[k] = r
-        return False
-
-    return len(a) <= len(b) and sum(a) >= sum(b) and fit(0)
+def _smear(bits: int, width: int) -> int:
+    """Bits set wherever one lies 0 to ``width`` places higher."""
+    done = 0
+    while done < width:
+        step = min(done + 1, width - done)
+        bits |= bits >> step
+        done += step
+    return bits
 
 
-def fillings(counts: np.ndarray, room: int, width: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste and fewest lengths first.
+def undominated(fill: tuple[int, ...], room: int, spare: int) -> bool:
+    """Whether no length left over may replace a part of the filling.
 
-    Large lengths are taken while more than three of the largest are needed;
-    the rest is searched exactly for one, two and three lengths.
+    ``spare`` has the bits of the lengths that are left over. A filling is
+    dominated if one of them is at least as large as two or more of its
+    lengths together, or larger than one of them, and still fits in their
+    place; or if one fits beside them.
     """
-    left, head = counts.copy(), []
-    while room > 0:
-        usable = np.flatnonzero(left[: room + 1])
-        if not len(usable) or usable[-1] * 3 >= room:
-            break
-        top = int(usable[-1])
-        take = min(int(left[top]), room // top - 2)
-        head += [top] * take
-        left[top] -= take
-        room -= top * take
-    sizes = np.flatnonzero(left[: room + 1])
-    sizes = sizes[sizes > 0]
-    if not len(sizes):
-        return [tuple(head)]
-    found: dict[tuple[int, ...], int] = {(int(sizes[-1]),): room - int(sizes[-1])}
-    best_two = np.zeros(room + 1, np.int64)  # the largest first length of an exact pair by sum
-    for s in sizes[::-1].tolist():
-        rest = sizes[(sizes <= min(s, room - s))]
-        if left[s] < 2:
-            rest = rest[rest != s]
-        free = rest + s
-        best_two[free[best_two[free] == 0]] = s
-    sums = np.flatnonzero(best_two)[::-1][:width].tolist()
-    for t in sums:
-        found[int(best_two[t]), t - int(best_two[t])] = room - t
-    for s in sizes[::-1][: 8 * width].tolist():
-        reach = np.flatnonzero(best_two[: room - s + 1])
-        for t in reach[::-1][:2].tolist():
-            pick = sorted((s, int(best_two[t]), t - int(best_two[t])), reverse=True)
-            if all(pick.count(x) <= left[x] for x in pick):
-                found.setdefault(tuple(pick), room - s - t)
-    ranked = sorted(found, key=lambda f: (found[f], len(f), [-x for x in f]))[: 3 * width]
-    kept: list[tuple[int, ...]] = []
-    for f in ranked:
-        if not any(_dominates(k, f) for k in kept):
-            kept.append(f)
-    return [tuple(head) + f for f in kept[:width]]
-
-
-def best_fit(counts: np.ndarray, capacity: int) -> list[Step]:
-    """Best-fit decreasing over a histogram, equal sequences at once."""
-    counts, steps = counts.copy(), []
-    while counts.any():
-        top = int(np.flatnonzero(counts)[-1])
-        fill, room, left = [top], capacity - top, counts.copy()
-        left[top] -= 1
-        while room > 0:
-            usable = np.flatnonzero(left[: room + 1])
-            if not len(usable):
-                break
-            s = int(usable[-1])
-            fill.append(s)
-            left[s] -= 1
-            room -= s
-        steps.append((_times(counts, fill), tuple(fill)))
-        _apply(counts, steps[-1], -1)
-    return steps
-
-
-def _times(counts: np.ndarray, fill: list[int] | tuple[int, ...]) -> int:
-    return min(int(counts[s]) // fill.count(s) for s in set(fill))
-
-
-def _apply(counts: np.ndarray, step: Step, sign: int) -> None:
-    for s in step[1]:
-        counts[s] += sign * step[0]
-
-
-def least_bins(counts: np.ndarray, capacity: int) -> int:
+    slack = room - sum(fill)
+    one = several = 0
+    for x in fill:
+        several |= (several | one) << x
+        one |= 1 << x
+    near = _smear(spare, slack)
+    larger = _smear(spare >> 1, slack - 1) if slack else 0
+    return not (near & 1 or several & near or one & larger)
+
+
+def _few(counts: list[int], sizes: list[int], target: int) -> Iterator[tuple[int, ...]]:
+    """Fillings of one or two lengths that add up to ``target``."""
+    if target < len(counts) and counts[target]:
+        yield (target,)
+    for s in sizes:
+        if 2 * s < target:
+            return
+        if s < target and counts[target - s] and (2 * s != target or counts[s] > 1):
+            yield s, target - s
+
+
+def _many(counts: list[int], sizes: list[int], room: int, work: Work) -> Callable[[int], Iterator[tuple[int, ...]]]:
+    """Fillings that add up to a target, largest lengths first.
+
+    Bit sets of the sums that each tail of the lengths can reach keep the walk
+    from dead ends; a walk ends where two or more of its lengths together could
+    be replaced by one that it has passed over.
+    """
+    full = (1 << (room + 1)) - 1
+    reach = [1]
+    for s in reversed(sizes):
+        sums, left, k = reach[-1], min(counts[s], room // s), 1
+        while left:
+            take = min(k, left)
+            sums |= (sums << (take * s)) & full
+            left -= take
+            k *= 2
+        reach.append(sums)
+    reach.reverse()
+
+    def exactly(i: int, target: int, one: int, several: int, passed: int, slack: int) -> Iterator[tuple[int, ...]]:
+        if not target:
+            yield ()
+            return
+        while reach[i] >> target & 1:
+            s = sizes[i]
+            i += 1
+            for n in range(min(counts[s], target // s), 0, -1):
+                if not reach[i] >> (target - n * s) & 1:
+                    continue
+                if not work.left:
+                    return
+                work.left -= 1
+                more, single = several, one
+                for _ in range(n):
+                    more |= (more | single) << s
+                    single |= 1 << s
+                over = passed | (1 << s if n < counts[s] else 0)
+                if not more & _smear(over, slack):
+                    for rest in exactly(i, target - n * s, single, more, over, slack):
+                        yield (s,) * n + rest
+            passed |= 1 << s
+
+    return lambda target: exactly(0, target, 0, 0, 0, room - target)
+
+
+def fillings(counts: list[int], room: int, waste: int, work: Work, few_first: bool = False) -> Iterator[tuple[int, ...]]:
+    """Every undominated filling of ``room`` that leaves at most ``waste`` free.
+
+    Lazily: least waste first, then (``few_first``) one or two lengths before
+    more, then the largest lengths first. Ends early only when ``work`` is
+    used up.
+    """
+    sizes = [s for s in range(min(room, len(counts) - 1), 0, -1) if counts[s]]
+    held, many = sum(1 << s for s in sizes), None
+
+    def spare(fill: tuple[int, ...]) -> int:
+        return held & ~sum(1 << s for s in set(fill) if fill.count(s) == counts[s])
+
+    for free in range(min(waste, room) + 1):
+        if free == room:
+            if not sizes:
+                yield ()
+            return
+        if few_first:
+            yield from (f for f in _few(counts, sizes, room - free) if undominated(f, room, spare(f)))
+        many = many or _many(counts, sizes, room, work)
+        yield from (f for f in many(room - free) if not (few_first and len(f) < 3) and undominated(f, room, spare(f)))
+
+
+def best_fit(counts: list[int], capacity: int) -> list[Step]:
+    """Best-fit decreasing over a histogram, equal sequences at once: each
+    piece goes to the fullest sequence that can take it."""
+    free: list[list[Step]] = [[] for _ in range(capacity + 1)]  # by room left
+    for s in range(len(counts) - 1, 0, -1):
+        left = int(counts[s])
+        while left:
+            room = next((r for r in range(s, capacity + 1) if free[r]), capacity)
+            times, fill = free[room].pop() if free[room] else (left, ())
+            each = min(room // s, left)
+            taken = min(times, left // each)
+            if times > taken and fill:
+                free[room].append((times - taken, fill))
+            free[room - each * s].append((taken, fill + (s,) * each))
+            left -= taken * each
+    return [step for steps in free for step in steps]
+
+
+def _times(counts: list[int], fill: tuple[int, ...]) -> int:
+    return min(counts[s] // fill.count(s) for s in set(fill))
+
+
+def least_bins(counts: list[int] | np.ndarray, capacity: int) -> int:
     """A lower bound: for every k, lengths over capacity-k stand alone, the
     other large ones take a bin each, and lengths from k on share their room."""
-    size = np.arange(len(counts))
-    number, volume = np.cumsum(counts), np.cumsum(counts * size)
-    half, n, v = capacity // 2, number[-1], volume[-1]
-    best = -(-int(v) // capacity)
-    for k in range(1, half + 1):
-        middle = int(number[capacity - k] - number[half])
-        free = middle * capacity - int(volume[capacity - k] - volume[half])
-        small = int(volume[half] - volume[k - 1])
-        best = max(best, int(n - number[half]) + max(0, -(-(small - free) // capacity)))
-    return best
-
-
-def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, extra_steps: int = EXTRA_STEPS) -> list[Step]:
-    """Pack a histogram (index: length) by bin-completion branch and bound."""
-    total = int((counts * np.arange(len(counts))).sum())
-    bound = least_bins(counts, capacity)
-    best = best_fit(counts, capacity)
-    best_n = sum(k for k, _ in best)
-    counts, left = counts.copy(), total
-    stack: list[list] = []  # [choices not yet tried, step taken]
-    used, steps, complete = 0, 0, False
-    while best_n > bound:
-        if complete and steps >= extra_steps:
-            break
-        steps += 1
-        top = int(np.flatnonzero(counts)[-1]) if left else 0
-        if not left and used < best_n:
-            best, best_n, complete = [s for _, s in stack], used, True
-        if not left or used + -(-left // capacity) >= best_n:  # the waste so far is too much
-            complete = True
-            while stack:
-                _apply(counts, stack[-1][1], 1)
-                used -= stack[-1][1][0]
-                left += stack[-1][1][0] * sum(stack[-1][1][1])
-                if stack[-1][0]:
-                    break
-                stack.pop()
-            if not stack:
-                break
-            choices = stack.pop()[0]
-        else:
-            rest = counts.copy()
-            rest[top] -= 1
-            choices = [(top, *f) for f in fillings(rest, capacity - top)]
-        fill = choices[0]
-        step = (_times(counts, fill), fill)
-        _apply(counts, step, -1)
-        used += step[0]
-        left -= step[0] * sum(fill)
-        stack.append([choices[1:], step])
-    return best
+    counts = np.asarray(counts, np.int64)
+    number, volume = np.cumsum(counts), np.cumsum(counts * np.arange(len(counts)))
+    half = capacity // 2
+    k = np.arange(1, half + 1)
+    free = (number[capacity - k] - number[half]) * capacity - (volume[capacity - k] - volume[half])
+    more = -(-(volume[half] - volume[k - 1] - free) // capacity)
+    large = int(number[-1] - number[half])
+    return max(-(-int(volume[-1]) // capacity), large + max(0, int(more.max(initial=0))))
+
+
+@dataclass
+class Packing:
+    steps: list[Step]
+    sequences: int
+    #: No packing has fewer sequences than this.
+    bound: int
+
+
+def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, search_steps: int = SEARCH_STEPS) -> Packing:
+    """Pack a histogram (index: length); half of the steps go to each order of
+    the fillings, the second only where the first has not proved its packing."""
+    left = [int(c) for c in counts]
+    best = best_fit(left, capacity)
+    found = Packing(best, sum(k for k, _ in best), least_bins(left, capacity))
+    for few_first in (True, False):
+        if found.sequences > found.bound:
+            _search(left, capacity, found, Work(search_steps // 2), few_first)
+    return found
+
+
+def _search(counts: list[int], capacity: int, found: Packing, work: Work, few_first: bool) -> None:
+    """Bin-completion branch and bound; improves ``found``.
+
+    Every packing has a sequence that holds the largest length, and some best
+    one fills it without being dominated: so each node tries every undominated
+    filling around the largest length left, as often as it fits, then every
+    smaller number of times. A branch ends when its waste, or the bound on what
+    is left, cannot beat the incumbent, or when the same lengths were left
+    before. Incumbents are best-fit packings of the root and of nodes reached.
+    The search ends when the incumbent meets the bound or no branch is left
+    (then it is proved to be least), or after ``search_steps``: the problem is
+    NP-hard, and the gap to the bound is then reported.
+    """
+    left = list(counts)
+    total = sum(s * c for s, c in enumerate(left))
+    used, trail = 0, []
+    seen: dict[bytes, int] = {}
+
+    def branches() -> Iterator[Step]:
+        top = next(s for s in range(len(left) - 1, 0, -1) if left[s])
+        left[top] -= 1
+        rest = list(left)
+        left[top] += 1
+        for most in (True, False):
+            waste = (found.sequences - 1 - used) * capacity - total
+            for fill in fillings(rest, capacity - top, waste, work, few_first):
+                whole = (top, *fill)
+                n, lost = _times(left, whole), capacity - sum(whole)
+                n = min(n, waste // lost) if lost else n
+                for times in (n,) if most else range(n - 1, 0, -1):
+                    yield times, whole
+
+    def apply(step: Step, sign: int) -> None:
+        nonlocal used, total
+        for s in step[1]:
+            left[s] -= sign * step[0]
+        used += sign * step[0]
+        total -= sign * step[0] * sum(step[1])
+
+    open_nodes = [branches()]
+    nodes = 0
+    while open_nodes and work.left > 0:
+        step = next(open_nodes[-1], None)
+        if step is None:
+            open_nodes.pop()
+            if trail:
+                apply(trail.pop(), -1)
+            continue
+        work.left -= min(work.left, NODE)
+        apply(step, 1)
+        trail.append(step)
+        if not total:
+            if used < found.sequences:
+                found.steps, found.sequences = list(trail), used
+        elif used + least_bins(left, capacity) < found.sequences:
+            key = hashlib.blake2b(np.array(left, np.int64).tobytes(), digest_size=16).digest()
+            if seen.get(key, used + 1) > used:
+                seen[key] = used
+                if nodes % ROLLOUT == 0:
+                    rest = best_fit(left, capacity)
+                    n = used + sum(k for k, _ in rest)
+                    if n < found.sequences:
+                        found.steps, found.sequences = [*trail, *rest], n
+                nodes += 1
+                if found.sequences == found.bound:
+                    return
+                open_nodes.append(branches())
+                continue
+        if found.sequences == found.bound:
+            return
+        apply(trail.pop(), -1)
+    if work.left:
+        found.bound = found.sequences
 
 
 def places(steps: list[Step]) -> list[tuple[int, int, int, int, int]]:
@@ -286,6 +388,9 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces with sequence_id and offset; sequences hold ``capacity`` tokens.
 
+    ``gap`` is by how many sequences the packing may exceed the least possible
+    number: 0 where the search proved it least.
+
     Null text is an empty document: its end token alone. Null ids and repeated
     rows are packed like any other row. Other columns of ``docs`` are left out.
     The driver sees one count per length and sends back the places, both of a
@@ -298,7 +403,8 @@ def pack_documents(
     histogram = np.zeros(capacity + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():
         histogram[length] = n
-    slots = places(complete_bins(histogram, capacity))
+    packing = complete_bins(histogram, capacity)
+    slots = places(packing.steps)
     by_length: dict[int, list] = {}
     for length, *slot in slots:
         by_length.setdefault(length, []).append(tuple(slot))
@@ -326,5 +432,6 @@ def pack_documents(
         "ids_crc32",
         (F.col("slot.base") + F.col("rank") - F.col("slot.rank")).alias("sequence_id"),
         F.col("slot.at").alias("offset"),
+        F.lit(packing.sequences - packing.bound).cast("long").alias("gap"),
         *["ids"] * with_ids,
     )

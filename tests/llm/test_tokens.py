@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tarnlake.llm.bpe import RANKS, codec, decode_documents, encode_documents, merge_piece
-from tarnlake.llm.packing import VOCABULARY, _tokenizer, best_fit, complete_bins, cut, fillings, least_bins, pack_documents, places
+from tarnlake.llm.packing import VOCABULARY, Work, _tokenizer, best_fit, complete_bins, cut, fillings, least_bins, pack_documents, places
 
 
 @pytest.fixture(scope="module")
@@ -91,32 +91,78 @@ def optimum(items, capacity):
     return best[0]
 
 
+def check_packing(items, capacity, packing):
+    counts = np.bincount(items, minlength=capacity + 1)
+    used = np.zeros_like(counts)
+    for k, fill in packing.steps:
+        assert k > 0 and sum(fill) <= capacity
+        np.add.at(used, list(fill), k)
+    assert (used == counts).all()
+    assert packing.sequences == sum(k for k, _ in packing.steps) >= packing.bound
+
+
 def test_bin_completion_reaches_optimum():
     rnd = random.Random(11)
+    for _ in range(200):
+        capacity = rnd.choice([10, 30, 100, 1024])
+        most = max(1, capacity * rnd.choice([2, 5, 10]) // 10)
+        items = sorted((rnd.randint(1, most) for _ in range(rnd.randint(1, 11))), reverse=True)
+        found = complete_bins(np.bincount(items, minlength=capacity + 1), capacity)
+        check_packing(items, capacity, found)
+        assert found.sequences == found.bound == optimum(items, capacity)
+
+
+def test_bin_completion_finds_planted_packings():
+    known = [454, 370, 354, 333, 282, 256, 179, 166, 149, 133, 124, 122, 68, 44, 38]
+    assert complete_bins(np.bincount(known, minlength=1025)).sequences == 3
+    rnd = random.Random(5)
+    for _ in range(300):
+        items, n = [], rnd.choice([3, 4])
+        for _ in range(n):
+            cuts = sorted(rnd.sample(range(1, 1024), rnd.choice([3, 4])))
+            items += [b - a for a, b in zip([0, *cuts], [*cuts, 1024], strict=True)]
+        found = complete_bins(np.bincount(items, minlength=1025))
+        check_packing(items, 1024, found)
+        assert found.sequences == found.bound == n
+
+
+def test_fillings_are_all_undominated_ones():
+    """Against every subset, dominance tried on every part of it."""
+    from itertools import combinations
+
+    rnd = random.Random(2)
     for _ in range(60):
-        capacity = rnd.choice([10, 30, 100])
-        items = sorted((rnd.randint(1, capacity) for _ in range(rnd.randint(1, 11))), reverse=True)
-        counts = np.bincount(items, minlength=capacity + 1)
-        steps = complete_bins(counts, capacity)
-        used = np.zeros_like(counts)
-        for k, fill in steps:
-            assert sum(fill) <= capacity
-            np.add.at(used, list(fill), k)
-        assert (used == counts).all()
-        assert sum(k for k, _ in steps) == optimum(items, capacity)
+        room = rnd.randint(3, 25)
+        items = [rnd.randint(1, room) for _ in range(rnd.randint(1, 8))]
+        counts = np.bincount(items, minlength=room + 1).tolist()
+        subsets = {tuple(sorted(c, reverse=True)) for k in range(1, len(items) + 1) for c in combinations(items, k) if sum(c) <= room}
+
+        def dominated(f, counts=counts, room=room):
+            spare = [s for s in range(1, room + 1) if counts[s] > f.count(s)]
+            parts = [p for k in range(len(f) + 1) for p in combinations(f, k)]
+            return any(sum(p) <= x <= sum(p) + room - sum(f) and p != (x,) for x in spare for p in parts)
+
+        want = {f for f in subsets if not dominated(f)}
+        for few_first in (True, False):
+            got = list(fillings(counts, room, room, Work(10**9), few_first))
+            assert len(got) == len(set(got)) and {tuple(sorted(f, reverse=True)) for f in got} == want
 
 
 def test_large_histogram_near_bound():
     rnd = np.random.default_rng(1)
     counts = np.zeros(1025, np.int64)
     counts[1:] = rnd.poisson(40, 1024)
-    bound = least_bins(counts, 1024)
-    n = sum(k for k, _ in complete_bins(counts))
-    assert bound <= n <= sum(k for k, _ in best_fit(counts, 1024)) and n <= bound * 1.001
-    slots = places(complete_bins(counts))
-    assert sum(s[2] for s in slots) == counts.sum()
-    assert complete_bins(np.zeros(1025, np.int64)) == []
-    assert fillings(counts * 0, 5) == [()]
+    found = complete_bins(counts, search_steps=20_000)
+    check_packing(np.repeat(np.arange(1025), counts), 1024, found)
+    assert found.bound == least_bins(counts, 1024) <= found.sequences <= found.bound * 1.001
+    assert found.sequences <= sum(k for k, _ in best_fit(counts.tolist(), 1024))
+    assert sum(s[2] for s in places(found.steps)) == counts.sum()
+    assert complete_bins(np.zeros(1025, np.int64)).steps == []
+    assert list(fillings([0] * 6, 5, 5, Work(9))) == [()]
+    hot = counts * 0
+    hot[[300, 424, 600]] = 10**9, 10**6, 5
+    found = complete_bins(hot)
+    assert found.sequences == 5 + 999_995 + -(-(10**9 - 2 * 999_995) // 3) and found.sequences >= found.bound
 
 
 def test_cut():
