@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -38,6 +40,14 @@ APART = frozenset(
     "head title script style noscript template svg math iframe object embed canvas audio video nav header footer aside form button select textarea input dialog menu".split()
 )
 MAIN = frozenset(("article", "main"))
+#: Elements that no mark turns into furniture.
+WHOLE = frozenset(("html", "body", "main", "article"))
+#: Elements that hold a part of a text, never all of it.
+PARTS = frozenset("p li td th tr ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote table tbody figure figcaption".split())
+#: Content even where all pages of a host show the same.
+TITLES = frozenset(("h1", "h2"))
+#: Marks that say how a page is laid out around an element, not what it is.
+LAYOUT = re.compile(r"(?:has|with|no|without|is|wp|col|row)[-_]|[a-z]+[-_](?:has|with|no|without)[-_]")
 #: Words of class, id and role values that mark page furniture.
 FURNITURE = re.compile(
     r"(?:^|[\W_])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|masthead|menu|nav\w*|newsletter|notices?|pager|popup|"
@@ -50,17 +60,27 @@ ENDS_P = frozenset(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table select".split())
 
-#: Markup nested deeper than this is read as siblings.
-DEEPEST = 150
+#: Elements nested deeper than this melt into their ancestor in wrappers; texts
+#: are read, and furniture is told, at any depth.
+WRAPPER_DEPTH = 60
 #: Element lists whose lengths multiply to more are aligned greedily.
 LONGEST = 1 << 22
+#: Streams of one host that are aligned in one task at a time.
+FOLD_AT_ONCE = 64
+#: A named element holds the content only with this share of its host's text.
+NAMED_SHARE = 0.2
+#: A page alone shows less than a host: what is left out of it must be small.
+OWN_SHARE = 0.85
+#: An element whose text lies in links by more than this share is a menu.
+LINK_SHARE = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _MARKS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_PLAIN = re.compile(r"[a-z][a-z_-]*")
 _WHITE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     name: str
     key: str
@@ -70,11 +90,28 @@ class Element:
     children: list = field(default_factory=list)  # Element, or str for text
 
 
+def _key(name: str, marks: list[str]) -> str:
+    """Tag and those class, id and role words that have no digits: a number
+    in one names the page, not the template."""
+    plain = sorted({m for m in marks if _PLAIN.fullmatch(m)})
+    return ".".join([name, *plain])
+
+
 def parse(html: str | None) -> Element:
     """Element tree of a page; broken markup is closed where it must end."""
     root = Element("", "", None)
     here, at, html = root, 0, html or ""
-    open_p = 0
+    is_open: Counter[str] = Counter()
+
+    def leave(to: Element) -> Element:
+        """Close all elements up to and including ``to``."""
+        up = here
+        while up is not to:
+            is_open[up.name] -= 1
+            up = up.parent
+        is_open[to.name] -= 1
+        return to.parent
+
     while at < len(html):
         m = _TOKEN.search(html, at)
         if m is None:
@@ -87,43 +124,34 @@ def parse(html: str | None) -> Element:
         if not name:
             continue
         if m[1]:
-            if name == "br" or name in VOID:
-                continue
+            if is_open[name] > 0:
+                up = here
+                while up.name != name:
+                    up = up.parent
+                here = leave(up)
+            continue
+        if is_open["p"] > 0 and name in ENDS_P:
             up = here
-            while up is not root and up.name != name:
+            while up.name != "p":
                 up = up.parent
-            if up is not root:
-                while here is not up:
-                    open_p -= here.name == "p"
-                    here = here.parent
-                open_p -= here.name == "p"
-                here = here.parent
-            continue
-        if open_p and name in ENDS_P:
-            while here.name != "p":
-                here = here.parent
-            here = here.parent
-            open_p -= 1
-        elif name in CLOSES:
+            here = leave(up)
+        elif name in CLOSES and any(is_open[c] > 0 for c in CLOSES[name]):
             up = here
             while up is not root and up.name not in CLOSES[name] and up.name not in SCOPE:
                 up = up.parent
             if up.name in CLOSES[name]:
-                while here is not up:
-                    open_p -= here.name == "p"
-                    here = here.parent
-                here = here.parent
-        marks = " ".join(a or b or c for a, b, c in _MARKS.findall(m[3] or "")).lower()
-        spare = name not in ("html", "body", "main") and bool(marks and FURNITURE.search(marks))
-        node = Element(name, f"{name}.{_WHITE.sub('.', marks)}" if marks else name, here, spare, here.depth + 1)
+                here = leave(up)
+        marks = " ".join(a or b or c for a, b, c in _MARKS.findall(m[3] or "")).lower().split()
+        spare = name not in WHOLE and any(FURNITURE.search(x) and not LAYOUT.match(x) for x in marks)
+        node = Element(name, _key(name, marks), here, spare, here.depth + 1)
         here.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
             node.children.append(html[at : end.start() if end else len(html)])
             at = end.end() if end else len(html)
-        elif name not in VOID and node.depth < DEEPEST and not (m[3] or "").rstrip().endswith("/"):
+        elif name not in VOID and not (m[3] or "").rstrip().endswith("/"):
             here = node
-            open_p += name == "p"
+            is_open[name] += 1
     return root
 
 
@@ -136,8 +164,8 @@ def stream(node: Element) -> list:
 
     def add(n: Element) -> None:
         for c in n.children:
-            if isinstance(c, str):
-                if c.strip() and n.name not in RAW and not (out and out[-1][0] == "#"):
+            if isinstance(c, str) or c.depth > WRAPPER_DEPTH:
+                if not (isinstance(c, str) and not c.strip()) and n.name not in RAW and not (out and out[-1][0] == "#"):
                     out.append(["#", False, False, []])
             elif c.name in INLINE:
                 add(c)
@@ -163,31 +191,52 @@ def fold(items: list) -> list:
     return out
 
 
+def _tag(key: str) -> str:
+    return key.split(".", 1)[0]
+
+
+def _merged(x: list, y: list) -> list:
+    key = x[0] if x[0] == y[0] else _tag(x[0])
+    return [key, x[1] or y[1], x[2] or y[2], align(x[3], y[3])]
+
+
+def _optional(items: list) -> list:
+    return [[x[0], True, *x[2:]] for x in items]
+
+
 def align(a: list, b: list) -> list:
-    """Align two element lists: common ones merge, others become optional."""
+    """Align two element lists: like ones merge, others become optional.
+
+    Elements of one key match best; those of one tag whose marks differ also
+    match, and the marks are dropped. Lists so long that the table of their
+    alignment would not fit are matched in one pass instead; that may mark more
+    elements as optional and loses none.
+    """
     if a == b:
         return a
     n, m = len(a), len(b)
     if n * m > LONGEST:
         return _align_greedily(a, b)
+    tags_a, tags_b = [_tag(x[0]) for x in a], [_tag(x[0]) for x in b]
+    like = [[3 if x[0] == y[0] else int(s == t) for y, t in zip(b, tags_b, strict=True)] for x, s in zip(a, tags_a, strict=True)]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+            skip = max(best[i + 1][j], best[i][j + 1])
+            best[i][j] = max(skip, best[i + 1][j + 1] + like[i][j]) if like[i][j] else skip
     i = j = 0
     out = []
     while i < n and j < m:
-        if a[i][0] == b[j][0]:
-            out.append([a[i][0], a[i][1] or b[j][1], a[i][2] or b[j][2], align(a[i][3], b[j][3])])
+        if like[i][j] and best[i][j] == best[i + 1][j + 1] + like[i][j]:
+            out.append(_merged(a[i], b[j]))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], True, *a[i][2:]])
+            out += _optional(a[i : i + 1])
             i += 1
         else:
-            out.append([b[j][0], True, *b[j][2:]])
+            out += _optional(b[j : j + 1])
             j += 1
-    out += [[x[0], True, *x[2:]] for x in (*a[i:], *b[j:])]
-    return fold(out)
+    return fold(out + _optional(a[i:]) + _optional(b[j:]))
 
 
 def _align_greedily(a: list, b: list) -> list:
@@ -202,17 +251,16 @@ def _align_greedily(a: list, b: list) -> list:
             spots.pop()
         if spots:
             j = spots.pop()
-            out += [[x[0], True, *x[2:]] for x in a[i:j]]
-            out.append([y[0], a[j][1] or y[1], a[j][2] or y[2], align(a[j][3], y[3])])
+            out += [*_optional(a[i:j]), _merged(a[j], y)]
             i = j + 1
         else:
-            out.append([y[0], True, *y[2:]])
-    return fold(out + [[x[0], True, *x[2:]] for x in a[i:]])
+            out += _optional([y])
+    return fold(out + _optional(a[i:]))
 
 
 def render(wrapper: list) -> str:
     """The wrapper as a regular expression text."""
-    body = "".join(render(x) if x[0] != "#" else "#" for x in wrapper[3]) if wrapper[0] else "".join(map(render, wrapper[3]))
+    body = "".join(map(render, wrapper[3]))
     if wrapper[0] == "#":
         body = "#"
     elif wrapper[0]:
@@ -229,156 +277,226 @@ def merge_wrappers(texts: list[str]) -> str:
     return json.dumps(out or [])
 
 
-def regions(root: Element) -> Iterator[tuple[str, str, int, int, bool]]:
-    """(path, text, characters, of them in links, may hold content) by element
-    that has text of its own; the path names elements as the wrapper does."""
+class Node:
+    """An element of a wrapper as pages are matched with it; siblings of one
+    key are one node. ``number`` counts nodes from the root, which is 0."""
+
+    def __init__(self, parent: Node | None, key: str, order: list[Node]):
+        self.number, self.parent, self.key, self.depth = len(order), parent, key, parent.depth + 1 if parent else 0
+        self.by_key: dict[str, Node] = {}
+        self.by_tag: dict[str, Node] = {}
+        self.order = order
+        order.append(self)
+
+    def child(self, key: str) -> Node | None:
+        """The node that an element of this key matches below this one."""
+        return self.by_key.get(key) or self.by_tag.get(_tag(key))
+
+    @classmethod
+    def build(cls, items: list) -> Node:
+        root = cls(None, "", [])
+
+        def add(node: Node, items: list) -> None:
+            for key, _, _, below in items:
+                if key == "#":
+                    continue
+                if key not in node.by_key:
+                    node.by_key[key] = cls(node, key, node.order)
+                    node.by_tag.setdefault(_tag(key), node.by_key[key])
+                add(node.by_key[key], below)
+
+        add(root, items)
+        return root
+
+
+@lru_cache(maxsize=256)
+def _nodes(wrapper: str) -> Node:
+    return Node.build(json.loads(wrapper))
+
+
+def _apart(n: Element) -> bool:
+    return n.name in APART or n.furniture
+
+
+def regions(root: Element) -> list[tuple[str, str, int, int]]:
+    """(path, text, characters, of them in links) by element that has text of
+    its own and may hold content; the path names elements as wrappers do."""
+    out: list[tuple] = []
+    # (children to come, path, block's own text, its linked characters, inside a link)
+    open_nodes: list[tuple] = [(iter(root.children), "", [], [0], False)]
+    while open_nodes:
+        children, path, own, links, linked = open_nodes[-1]
+        c = next(children, None)
+        if c is None:
+            open_nodes.pop()
+            if own and not (open_nodes and open_nodes[-1][2] is own):
+                out.append((path, _WHITE.sub(" ", unescape(" ".join(own))).strip(), sum(map(len, own)), links[0]))
+        elif isinstance(c, str):
+            if c.strip():
+                own.append(c)
+                links[0] += len(c) * linked
+        elif c.name in INLINE:
+            open_nodes.append((iter(c.children), path, own, links, linked or c.name == "a"))
+        elif not _apart(c):
+            deeper = f"{path}/{c.key}" if c.depth <= WRAPPER_DEPTH else path
+            open_nodes.append((iter(c.children), deeper, [], [0], linked))
+    return out
 
-    def walk(n: Element, path: str, apart: bool, linked: bool) -> tuple[list[str], int]:
-        own, links = [], 0
-        for c in n.children:
-            if isinstance(c, str):
-                if c.strip():
-                    own.append(c)
-                    links += len(c) if linked or n.name == "a" else 0
-            elif c.name in INLINE:
-                more, k = walk(c, path, apart, linked or c.name == "a")
-                own += more
-                links += k
-            else:
-                deeper = f"{path}/{c.key}"
-                off = apart or c.name in APART or c.furniture
-                text, k = walk(c, deeper, off, linked)
-                if text:
-                    found.append((deeper, _WHITE.sub(" ", unescape(" ".join(text))).strip(), sum(map(len, text)), k, not off))
-        return own, links
-
-    found: list[tuple] = []
-    top, k = walk(root, "", False, False)
-    if top:
-        found.append(("", " ".join(top), sum(map(len, top)), k, True))
-    yield from found
-
-
-def content_path(wrapper: list, stats: list[tuple[str, int, int, int, bool]]) -> str:
-    """The element that holds the main text of a host's pages.
-
-    An <article> or <main> of the wrapper that may hold content, the largest
-    by text; else the deepest element that holds most of the unlinked text.
+
+def own_region(root: Element) -> Element:
+    """Where a page holds its text, judged from the page alone: its largest
+    named element, else the deepest element with nearly all its unlinked text."""
+    mass: dict[int, float] = {}
+    order: list[Element] = []
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        mass[id(n)] = sum(len(c.strip()) for c in n.children if isinstance(c, str)) * (-1 if n.name == "a" else 1)
+        todo += [c for c in n.children if isinstance(c, Element) and not _apart(c)]
+    for n in reversed(order):
+        if n.parent is not None:
+            mass[id(n.parent)] += max(0, mass[id(n)])
+    total = mass[id(root)]
+    named = [n for n in order if n.name in MAIN and mass[id(n)] > NAMED_SHARE * total]
+    if named:
+        return max(named, key=lambda n: (mass[id(n)], -n.depth))
+    most = [n for n in order if mass[id(n)] > OWN_SHARE * total and n.name not in PARTS and n.name not in INLINE]
+    return max(most, key=lambda n: n.depth, default=root)
+
+
+def main_text(html: str | None, wrapper: str = "[]", region: int = 0, fixed: frozenset[int] = frozenset()) -> str:
+    """Blocks of the page that its host's wrapper reads as content.
+
+    The page is matched with the wrapper from the root down; blocks below the
+    region's node are content, those below a fixed node (the same words on all
+    pages, or a menu) are not, unless that would take half of the text. A page
+    without the region's element is read from its own.
     """
-    mass: dict[str, int] = {}
-    total = 0
-    for path, chars, links, distinct, content in stats:
-        if not content or distinct <= 1:
+    root = parse(html)
+    lines = _blocks(root, _nodes(wrapper), region, fixed, None) if region else []
+    if not any(lines):
+        lines = _blocks(root, _nodes(wrapper), region, fixed, own_region(root))
+    kept = [text for text, spare in lines if not spare]
+    if 2 * sum(map(len, kept)) < sum(len(text) for text, _ in lines):
+        kept = [text for text, _ in lines]
+    return "\n".join(kept)
+
+
+def _blocks(root: Element, nodes: Node, region: int, fixed: frozenset[int], top: Element | None) -> list[tuple[str, bool]]:
+    """(text, whether below a fixed node) of the blocks in the content."""
+    out: list[tuple[str, bool]] = []
+    text: list[str] = []
+
+    def close(spare: bool) -> None:
+        line = _WHITE.sub(" ", unescape("".join(text))).strip()
+        text.clear()
+        if line:
+            out.append((line, spare))
+
+    # (element, children to come, wrapper node, in the content, below a fixed node)
+    open_nodes: list[tuple] = [(root, iter(root.children), nodes, top is root, False)]
+    while open_nodes:
+        el, children, node, inside, spare = open_nodes[-1]
+        c = next(children, None)
+        if c is None:
+            open_nodes.pop()
+            if el.name not in INLINE:
+                close(spare)
+        elif isinstance(c, str):
+            if inside:
+                text.append(c)
+        elif c.name in INLINE:
+            open_nodes.append((c, iter(c.children), node, inside, spare))
+        elif c.name in ("wbr", "img") or _apart(c):
             continue
-        total += max(0, chars - 2 * links)
-        parts = path.split("/")
-        for k in range(1, len(parts) + 1):
-            up = "/".join(parts[:k])
-            mass[up] = mass.get(up, 0) + max(0, chars - 2 * links)
-    paths: list[str] = []
-
-    def walk(items: list, path: str) -> None:
-        for x in items:
-            if x[0] != "#":
-                paths.append(f"{path}/{x[0]}")
-                walk(x[3], paths[-1])
-
-    walk(wrapper, "")
-    named = [p for p in paths if p.rsplit("/", 1)[1].split(".")[0] in MAIN and mass.get(p, 0) > 0]
-    outer = [p for p in named if not any(p.startswith(q + "/") for q in named)]
-    if outer:
-        return max(outer, key=lambda p: (mass[p], p))
-    most = [p for p in paths if mass.get(p, 0) * 2 > total and not p.rsplit("/", 1)[1].split(".")[0] in ("p", "li", "td", "h1")]
-    return max(most, key=lambda p: (p.count("/"), p)) if most else ""
-
-
-def main_text(root: Element, path: str, boilerplate: frozenset[str]) -> str:
-    """Blocks of the content element, or of the body if a page lacks it."""
-    wanted = path.split("/")[1:] if path else []
-
-    def find(n: Element, keys: list[str]) -> list[Element]:
-        if not keys:
-            return [n]
-        return [x for c in n.children if isinstance(c, Element) and c.key == keys[0] for x in find(c, keys[1:])]
-
-    tops = find(root, wanted)
-    if not tops and wanted:
-        tops = [root]
-    blocks: list[list[str]] = [[]]
-
-    def walk(n: Element, at: str) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                blocks[-1].append(c)
-            elif c.name in APART or c.furniture or f"{at}/{c.key}" in boilerplate:
-                continue
-            elif c.name in INLINE:
-                walk(c, at)
-            elif c.name != "wbr" and c.name != "img":
-                blocks.append([])
-                walk(c, f"{at}/{c.key}")
-                blocks.append([])
-
-    for t in tops:
-        walk(t, path if t is not root else "")
-        blocks.append([])
-    lines = (_WHITE.sub(" ", unescape("".join(b))).strip() for b in blocks)
-    return "\n".join(x for x in lines if x)
+        else:
+            close(spare)
+            below = node and node.child(c.key) if c.depth <= WRAPPER_DEPTH else None
+            number = below.number if below else -1
+            within = inside or (c is top if top else number == region)
+            open_nodes.append((c, iter(c.children), below, within, spare or number in fixed))
+    return out
 
 
 def _survey(pages: DataFrame) -> DataFrame:
-    """(host, kind, name, pages, chars, links, text hash range, content) rows:
-    wrappers of page streams and text statistics of elements, summed by batch."""
+    """(host, kind, name, pages, chars, links, hash ranges) rows: streams of
+    pages and text statistics of element paths, summed by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = ["host", "kind", "name", "pages", "chars", "links", "low", "high", "content"]
+        names = ["host", "kind", "name", "pages", "chars", "links", "low", "high", "first", "last"]
+        kinds = [pa.string()] * 3 + [pa.int64()] * 7
         for b in batches:
             sums: dict[tuple, list] = {}
             for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                root = parse(html)
-                key = (host, "w", json.dumps(stream(root)))
-                sums.setdefault(key, [0, 0, 0, 0, 0, True])[0] += 1
-                for path, text, chars, links, content in regions(root):
+                root, page = parse(html), xxhash.xxh3_64_intdigest(html.encode()) >> 1
+                sums.setdefault((host, "w", json.dumps(stream(root))), [0] * 7)[0] += 1
+                for path, text, chars, links in regions(root):
                     h = xxhash.xxh3_64_intdigest(text.encode()) >> 1
-                    s = sums.setdefault((host, "p", path), [0, 0, 0, h, h, content])
-                    s[0] += 1
-                    s[1] += chars
-                    s[2] += links
-                    s[3], s[4] = min(s[3], h), max(s[4], h)
+                    s = sums.setdefault((host, "p", path), [0, 0, 0, h, h, page, page])
+                    s[:3] = s[0] + 1, s[1] + chars, s[2] + links
+                    s[3:] = min(s[3], h), max(s[4], h), min(s[5], page), max(s[6], page)
             if sums:
                 cols = [*zip(*sums, strict=True)] + [*zip(*sums.values(), strict=True)]
-                kinds = [pa.string()] * 3 + [pa.int64()] * 5 + [pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+    return pages.mapInArrow(
+        run, "host string, kind string, name string, pages long, chars long, links long, low long, high long, first long, last long"
+    )
 
-    kinds = "host string, kind string, name string, pages long, chars long, links long, low long, high long, content boolean"
-    return pages.mapInArrow(run, kinds)
 
+def _by_node(stats: DataFrame) -> DataFrame:
+    """Statistics of paths summed by wrapper node: what lies in the node itself
+    (pages, hash ranges) and what lies in and below it (chars, links)."""
 
-WRAPPER = T.StructType(
-    [
-        T.StructField("host", T.StringType()),
-        T.StructField("wrapper", T.StringType()),
-        T.StructField("expression", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("boilerplate", T.ArrayType(T.StringType())),
-    ]
-)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "node", "named", "holds", "title", "depth", "chars", "links", "pages", "low", "high", "first", "last"]
+        kinds = [pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_(), pa.int32()] + [pa.int64()] * 7
+        for b in batches:
+            out = []
+            for host, wrapper, path, pages, chars, links, *ranges in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                node = _nodes(wrapper)
+                for key in path.split("/")[1:]:
+                    node = node.child(key) or node
+                own = [pages, *ranges]
+                while node:
+                    up, tag = node.parent, _tag(node.key)
+                    named = tag in MAIN
+                    while named and up:
+                        named, up = _tag(up.key) not in MAIN, up.parent
+                    out.append((host, node.number, named, tag not in PARTS, tag in TITLES, node.depth, chars, links, *own))
+                    node, own = node.parent, [0, None, None, None, None]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    spread = stats.mapInArrow(
+        run,
+        "host string, node int, named boolean, holds boolean, title boolean, depth int, chars long, links long, pages long, low long, high long, first long, last long",
+    )
+    return spread.groupBy("host", "node", "named", "holds", "title", "depth").agg(
+        F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.sum("pages").alias("pages"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"),
+    )
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fold_at_once: int = 64) -> DataFrame:
-    """One wrapper per host: (host, wrapper, expression, path, boilerplate).
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One wrapper per host: (host, wrapper, expression, region, fixed).
 
     Every page of a host counts. Streams are folded within a page and counted
     by (host, stream) before any shuffle, so a host with a third of all pages
-    sends a few rows. Different streams of a host are aligned in a tree:
-    groups of about ``fold_at_once`` by hash, then the groups' wrappers, so no
-    task sees all streams of a host with very many.
+    sends a few rows. Different streams of a host are aligned in rounds of
+    groups of about ``FOLD_AT_ONCE``, so no task sees all streams of a host
+    with very many. Texts are told apart by aggregates: a node whose text is
+    the same on three different pages and more is template, any other a slot.
+    ``region`` is the node that holds the content: an <article> or <main> with a
+    fair share of the host's unlinked text, else the deepest node with most of
+    it. ``fixed`` are nodes of template text and of menus (text in links).
     """
     host, _ = host_and_path(F.col(url_col))
     survey = _survey(pages.select(host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html")))
     sums = survey.groupBy("host", "kind", "name").agg(
         F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        F.min("low").alias("low"), F.max("high").alias("high"), F.max("content").alias("content"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"),
     )
     sums = materialize(sums, "survey")
 
@@ -386,25 +504,38 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         return pa.table({"host": [key[0].as_py()], "name": [merge_wrappers(t.column("name").to_pylist())]})
 
     streams = sums.where("kind = 'w'").select("host", "name")
-    counts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / fold_at_once).cast("int").alias("groups"))
-    parts = streams.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("name"), F.col("groups")))
-    merged = parts.groupBy("host", "part").applyInArrow(join_streams, "host string, name string")
-    wrappers = merged.groupBy("host").applyInArrow(join_streams, "host string, name string")
-
-    stats = sums.where("kind = 'p'").groupBy("host").agg(
-        F.collect_list(F.struct("name", "pages", "chars", "links", (F.col("low") == F.col("high")).alias("same"), "content")).alias("stats")
+    largest = None
+    while largest is None or largest > 1:
+        counts = streams.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        groups = counts.select("host", F.ceil(F.col("n") / FOLD_AT_ONCE).cast("int").alias("groups"))
+        parts = streams.join(groups, "host").withColumn("part", F.pmod(F.xxhash64("name"), F.col("groups")))
+        streams = materialize(parts.groupBy("host", "part").applyInArrow(join_streams, "host string, name string"), "streams")
+        largest = streams.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    wrappers = streams.withColumnRenamed("name", "wrapper")
+    stats = sums.where("kind = 'p'").join(wrappers, "host")
+    stats = stats.select("host", "wrapper", "name", "pages", "chars", "links", "low", "high", "first", "last")
+    nodes = materialize(_by_node(stats), "nodes")
+    mass = F.greatest(F.col("chars") - 2 * F.col("links"), F.lit(0))
+    whole = nodes.where("node = 0").select("host", mass.alias("whole"))
+    named = F.col("named") & (mass >= NAMED_SHARE * F.col("whole")) & (mass > 0)
+    most = F.col("holds") & (2 * mass > F.col("whole"))
+    score = F.struct(
+        F.when(named, 2).when(most, 1).otherwise(0), F.when(named, mass).when(most, F.col("depth")).otherwise(0), -F.col("node")
+    )
+    template = ~F.col("title") & (F.col("pages") >= 3) & (F.col("low") == F.col("high")) & (F.col("first") != F.col("last"))
+    menu = F.col("holds") & (F.col("links") > LINK_SHARE * F.col("chars"))
+    chosen = nodes.join(whole, "host").groupBy("host").agg(
+        F.max_by("node", score).alias("region"),
+        F.array_sort(F.collect_list(F.when(template | menu, F.col("node")))).alias("fixed"),
     )
 
-    def choose(rows: list[tuple]) -> Iterator[tuple]:
-        for text, stats in rows:
-            w = json.loads(text)
-            seen = [(s["name"], s["chars"], s["links"], 1 if s["same"] and s["pages"] > 2 else 2, s["content"]) for s in stats or []]
-            path = content_path(w, seen)
-            fixed = sorted(p for p, _, _, distinct, _ in seen if distinct == 1 and not p.startswith(path + "/") and p != path)
-            yield render(["", False, False, w]), path, fixed
+    def express(rows: list[tuple]) -> Iterator[tuple]:
+        for (text,) in rows:
+            yield (render(["", False, False, json.loads(text)]),)
 
-    joined = wrappers.withColumnRenamed("name", "wrapper").join(stats, "host", "left")
-    return row_map(joined, choose, ["wrapper", "stats"], T.StructType(WRAPPER.fields[2:]), ["host", "wrapper"])
+    found = wrappers.join(chosen, "host", "left")
+    shown = T.StructType([T.StructField("expression", T.StringType())])
+    return row_map(found, express, ["wrapper"], shown, ["host", "wrapper", "region", "fixed"])
 
 
 def extract_main_text(
@@ -413,21 +544,25 @@ def extract_main_text(
     """Append ``text`` (main text, blocks joined by line feeds) and ``n_chars``.
 
     Null html gives ''. Pages without a host share one wrapper for host ''. A
-    page that lacks its host's content element is read from its body. Repeated
-    rows get equal texts; columns of these names are replaced. The wrappers
-    join by host; Spark copies them to all tasks only when they measure below
-    its broadcast limit, else both sides are shuffled and a hot host is split.
+    page that lacks its host's content element is read from its own largest
+    one. Repeated rows get equal texts and are one page where template text is
+    told from slots; very long pages cost time in their length only. Columns of
+    these names are replaced, all others kept. The wrappers join by host; Spark
+    copies them to all tasks only when they measure below its broadcast limit,
+    else both sides are shuffled and a hot host is split.
     """
     wrappers = materialize(infer_wrappers(pages, url_col, html_col), "wrappers")
     cols = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
     host, _ = host_and_path(F.col(url_col))
-    src = pages.select(*dict.fromkeys([*cols, html_col]), host.alias("_host"))
-    rules = wrappers.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("boilerplate").alias("_fixed"))
     new = T.StructType([T.StructField("text", T.StringType(), False), T.StructField("n_chars", T.LongType(), False)])
+    # All of a page's own columns travel in one, so none can clash with the joined ones.
+    src = pages.select(F.struct(*cols).alias("row"), F.col(html_col).alias("html"), host.alias("host"))
 
     def run(rows: list[tuple]) -> Iterator[tuple]:
-        for html, path, fixed in rows:
-            text = main_text(parse(html), path or "", frozenset(fixed or ())) if html else ""
+        for html, wrapper, region, fixed in rows:
+            text = main_text(html, wrapper or "[]", region or 0, frozenset(fixed or ())) if html else ""
             yield text, len(text)
 
-    return row_map(src.join(rules, "_host", "left"), run, [html_col, "_path", "_fixed"], new, cols, 256)
+    joined = src.join(wrappers.select("host", "wrapper", "region", "fixed"), "host", "left")
+    done = row_map(joined, run, ["html", "wrapper", "region", "fixed"], new, ["row"], 256)
+    return done.select(*[F.col("row").getField(c).alias(c) for c in cols], "text", "n_chars")

@@ -2,7 +2,7 @@ import html as entities
 import json
 import re
 
-from tarnlake.llm.html import align, extract_main_text, fold, infer_wrappers, main_text, merge_wrappers, parse, render, stream
+from tarnlake.llm.html import _nodes, align, extract_main_text, fold, infer_wrappers, main_text, merge_wrappers, parse, render, stream
 
 SCHEMA = "page_id long, url string, html string, text int"
 
@@ -46,14 +46,69 @@ def test_furniture_goes(spark):
 def test_wrapper_by_mass_without_main(spark):
     def make(i):
         text = f"Story {i} goes on and on about something of its own. " * 5
-        return page(f"<div class=top><a href=/>all stories of the site</a></div><div class=body><p>{text}</p><p>{text}</p></div><div class=low>Same words</div>")
+        return page(
+            f"<div class=top><a href=/>all stories of the site</a></div><div class=body><p>{text}</p><p>{text}</p><div>Write to us</div></div>"
+            f"<ul><li><a href=/{i}>next {i}</a></ul><div class=low>Same words</div>"
+        )
 
     df = spark.createDataFrame([(i, "http://x.org/", make(i), 0) for i in range(5)], SCHEMA)
     w = infer_wrappers(df).first()
-    assert w.path == "/html/body/div.body" and "/html/body/div.low" in w.boilerplate
     assert "(<p>#</>)+" in w.expression
+    by_number = {n.number: n.key for n in _nodes(w.wrapper).order}
+    assert by_number[w.region] == "div.body" and {by_number[n] for n in w.fixed} >= {"div.low", "div", "div.top"}
     for r in extract_main_text(df).collect():
-        assert r.text.count("\n") == 1 and "stories" not in r.text and "Same" not in r.text
+        assert r.text.count("\n") == 1 and "stories" not in r.text and "Same" not in r.text and "next" not in r.text
+
+
+def test_equal_rows_are_no_evidence_of_template(spark):
+    body = page("<p>Tagline</p><article><h1>A</h1><p>Some text of it, long enough to be the text.</p></article>")
+    for n in (1, 2, 3, 7):
+        df = spark.createDataFrame([(i, "http://x.org/", body, 0) for i in range(n)], SCHEMA)
+        assert {r.text for r in extract_main_text(df).collect()} == {"A\nSome text of it, long enough to be the text."}
+
+
+def test_ids_of_pages_and_layout_marks(spark):
+    def make(i, lack=False):
+        tag = "section" if lack else "article"
+        text = " ".join(f"word{i}x{j}" for j in range(40))
+        return page(
+            f"<div id=top-{i}>Site {i}</div><{tag} id=post-{i} class='post has-sidebar post-{i}'><h1>T {i}</h1><p>{text}</p></{tag}><div>Low {i}</div>"
+        ), f"T {i}\n{text}"
+
+    made = [(i, *make(i, i % 7 == 6)) for i in range(200)]
+    df = spark.createDataFrame([(i, "http://x.org/", h, 0) for i, h, _ in made], SCHEMA)
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert got == {i: want for i, _, want in made}
+    assert len(infer_wrappers(df).first().wrapper) < 2000
+
+
+def test_depth_and_length(spark):
+    deep = "<div>" * 160 + "<nav>MENU</nav><p>body</p>" + "</div>" * 160
+    rows = [(1, "http://a.org/", page(deep), 0), (2, "http://b.org/", "<b>" * 20000 + "x" + "<div>" * 20000 + "y", 0)]
+    rows += [(3, "http://c.org/", page("<p>para &amp; more</p>" * 30000), 0), (4, "http://d.org/", "<li>" * 5000 + "z", 0)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1] == "body" and got[2] == "x\ny" and got[4] == "z"
+    assert got[3] == "\n".join(["para & more"] * 30000)
+
+
+def test_many_streams_of_one_host(spark):
+    """More streams than one group holds, so that wrappers merge in rounds."""
+
+    def make(i):
+        marks = "".join(f"<div class=k{'abcdefghij'[d]}>s</div>" for d in range(10) if i >> d & 1)
+        return page(f"{marks}<main><p>Text number {i} of the host and more words</p></main>")
+
+    df = spark.createDataFrame([(i, "http://x.org/", make(i), 0) for i in range(300)], SCHEMA)
+    assert infer_wrappers(df).count() == 1
+    assert all(r.text == f"Text number {r.page_id} of the host and more words" for r in extract_main_text(df).collect())
+
+
+def test_clashing_columns(spark):
+    names = ["host", "wrapper", "region", "fixed", "row", "_host", "text", "n_chars"]
+    df = spark.createDataFrame([(1, "http://a.org/", "<p>hi")], "page_id long, url string, html string")
+    df = df.selectExpr("*", *[f"'{n}!' AS {n}" for n in names])
+    r = extract_main_text(df).first()
+    assert r.text == "hi" and r.n_chars == 2 and all(r[n] == f"{n}!" for n in names[:-2])
 
 
 def test_alignment_finds_optional_and_repeated():
@@ -75,4 +130,5 @@ def test_long_lists_align():
 
 
 def test_main_text_blocks():
-    assert main_text(parse("<div> a <span>b</span>\n<p>c</div>d"), "", frozenset()) == "a b\nc\nd"
+    assert main_text("<div> a <span>b</span>\n<p>c</div>d") == "a b\nc\nd"
+    assert main_text(None) == main_text("") == main_text("<p> </p>") == ""
