@@ -95,6 +95,18 @@ def is_json_blob(c: Column) -> Column:
     return F.coalesce(looks_like_json(c) & F.try_parse_json(c).isNotNull() & one, F.lit(False))
 
 
+def json_field(c: Column, path: str) -> Column:
+    """A field of a JSON text by its dotted path, as text; NULL if there is none."""
+    return F.get_json_object(c, f"$.{path}")
+
+
+def json_merge(a: Column, b: Column) -> Column:
+    """Two JSON objects as one; fields of the second win, as texts."""
+    parsed = [F.coalesce(F.from_json(x, "map<string,string>"), F.create_map().cast("map<string,string>")) for x in (a, b)]
+    kept = F.map_filter(parsed[0], lambda k, _: ~F.map_contains_key(parsed[1], k))
+    return F.to_json(F.map_concat(kept, parsed[1]))
+
+
 def not_blank(c: Column) -> Column:
     return c.isNotNull() & (F.trim(c) != "")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -93,12 +94,15 @@ def add_columns(df: DataFrame, table: str, rules: list[dict], at: datetime, op:
         "EXTRACTION_TIMESTAMP": f"'{at.strftime('%Y%m%d%H%M%S')}'",
         "OPERATION_TYPE": f"'{op}'",
     }
+    # Quoted literals are matched first and stay as they are.
+    token = re.compile(r"'(?:[^']|'')*'|\$(\w+)|\b(" + "|".join(words) + r")\b(?!\s*\()")
+
+    def put(m: re.Match) -> str:
+        return f"`{m[1]}`" if m[1] else words[m[2]] if m[2] else m[0]
+
     for r in rules:
         if fnmatch(table, r.get("table", "%").replace("%", "*")):
-            text = r["expression"].replace("$", "")
-            for k, v in words.items():
-                text = text.replace(k, v)
-            df = df.withColumn(r["column"], F.expr(text))
+            df = df.withColumn(r["column"], F.expr(token.sub(put, r["expression"])))
     return df
 
 
@@ -120,28 +124,34 @@ def new_watermark(df: DataFrame, tracking: str, pattern: str = jdbc.TRACKING_PAT
     return df.agg(F.max(at)).first()[0]
 
 
+def _write_batch(df: DataFrame, path: str, fmt: str) -> DataFrame:
+    """Write a batch once and read it back: counts and watermark must be those
+    of the rows written, not of a source that may have changed since."""
+    landing.write_raw(df, path, fmt)
+    return landing.read_batch(df.sparkSession, path, df.schema, fmt)
+
+
 def full_load(df: DataFrame, table: SourceTable, zone: str, at: datetime, fmt: str = "csv") -> dict:
+    """All rows as one batch. A source found empty writes no batch."""
     out = {"table": table.name, "status": "success", "rows": 0, "path": None, "watermark": None}
     if df.isEmpty():
         return out
     path = f"{zone}/{target_path(table, 'full_load', batch_id(at))}"
-    landing.write_raw(audit_columns(df, at, table.id_column, "I"), path, fmt)
-    mark = new_watermark(df, table.tracking, table.pattern) if table.tracking else None
-    return out | {"rows": df.count(), "path": path, "watermark": mark}
+    batch = _write_batch(audit_columns(df, at, table.id_column, "I"), path, fmt)
+    mark = new_watermark(batch, table.tracking, table.pattern) if table.tracking else None
+    return out | {"rows": batch.count(), "path": path, "watermark": mark}
 
 
 def cdc_load(df: DataFrame, table: SourceTable, zone: str, at: datetime, watermark: datetime | None = None, fmt: str = "csv") -> dict:
     """Changed rows since the watermark; an empty batch keeps the watermark."""
     changed = jdbc.incremental(df, table.tracking, watermark, table.pattern)
     out = {"table": table.name, "status": "success", "rows": 0, "inserts": 0, "updates": 0, "deletes": 0, "path": None, "watermark": watermark}
-    audited = audit_columns(changed, at, table.id_column, "U", delete_when=table.delete_when)
-    counts = op_counts(audited).first().asDict()
-    rows = sum(counts.values())
-    if not rows:
+    if changed.isEmpty():
         return out
     path = f"{zone}/{target_path(table, 'cdc', batch_id(at))}"
-    landing.write_raw(audited, path, fmt)
-    return out | counts | {"rows": rows, "path": path, "watermark": new_watermark(changed, table.tracking, table.pattern) or watermark}
+    batch = _write_batch(audit_columns(changed, at, table.id_column, "U", delete_when=table.delete_when), path, fmt)
+    counts = op_counts(batch).first().asDict()
+    return out | counts | {"rows": batch.count(), "path": path, "watermark": new_watermark(batch, table.tracking, table.pattern) or watermark}
 
 
 def run_tables(tables: list[SourceTable], load: Callable[[SourceTable], dict]) -> dict:

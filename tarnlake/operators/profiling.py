@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.functions import clean
+from tarnlake.session import materialize
 
 NUMERIC = (T.NumericType, T.BooleanType)
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -62,16 +63,49 @@ def completeness_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+    """(column_name, quantiles): exact, interpolated between neighbours.
+
+    Values are counted, range-sorted over (column, value) and ranked by running
+    sums with one offset per partition, so no task holds a column. NULLs are
+    left out; a column without values has NULL quantiles.
+    """
+    spread = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])).alias("r"))
+    counts = spread.select("r.*").where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counts.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "values")
+    sums = dealt.groupBy("column_name", "part").agg(F.sum("n").alias("s"))
+    before = W.partitionBy("column_name").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    whole = F.sum("s").over(W.partitionBy("column_name"))
+    shift = sums.select("column_name", "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("shift"), whole.alias("total"))
+    running = F.sum("n").over(W.partitionBy("column_name", "part").orderBy("value").rowsBetween(W.unboundedPreceding, 0))
+    ranked = dealt.withColumn("upto", running).join(shift, ["column_name", "part"]).withColumn("upto", F.col("upto") + F.col("shift"))
+    ends = []
+    for i, p in enumerate(shares):
+        at = (F.col("total") - 1) * F.lit(float(p))
+        for name, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
+            ends.append(F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n")), F.col("value"))).alias(f"{name}{i}"))
+    found = ranked.groupBy("column_name").agg(F.max("total").alias("total"), *ends)
+    parts = []
+    for i, p in enumerate(shares):
+        at = (F.col("total") - 1) * F.lit(float(p))
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        parts.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high))
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return named.join(found.select("column_name", F.array(*parts).alias("quantiles")), "column_name", "left")
+
+
 def numeric_profile(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
     """min, max, mean, std (sample; 0 for one value), median, sum, zero,
     negative and positive counts. Booleans count as 0 and 1."""
-    quantile = F.approx_percentile if approximate else F.percentile
+    middle = {} if approximate else {r.column_name: r.quantiles for r in quantiles(df, columns, [0.5]).collect()}
     aggs = []
     for c in columns:
         x = F.col(f"`{c}`").cast("double")
+        median = F.approx_percentile(x, F.lit(0.5)) if approximate else F.max(F.lit((middle[c] or [None])[0]).cast("double"))
         std = F.when(F.count(x) == 1, 0.0).otherwise(F.stddev_samp(x))
         made = {
-            "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "std": std, "median": quantile(x, F.lit(0.5)), "sum": F.sum(x),
+            "min": F.min(x), "max": F.max(x), "mean": F.avg(x), "std": std, "median": median, "sum": F.sum(x),
             "zeros": F.count_if(x == 0), "negatives": F.count_if(x < 0), "positives": F.count_if(x > 0),
         }
         aggs += [v.alias(f"{k}|{c}") for k, v in made.items()]
@@ -81,11 +115,13 @@ def numeric_profile(df: DataFrame, columns: list[str], approximate: bool = False
 def iqr_outliers(df: DataFrame, columns: list[str], approximate: bool = False, reach: float = 1.5) -> DataFrame:
     """Quartiles, fences and the number of values outside, by column.
 
-    Two passes: the quartiles (one row) are read as a scalar by the second.
+    Two passes: the quartiles (two numbers a column) go into the second.
     """
-    quantile = F.approx_percentile if approximate else F.percentile
     x = {c: F.col(f"`{c}`").cast("double") for c in columns}
-    quarts = df.agg(*[quantile(v, F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c, v in x.items()]).first()
+    if approximate:
+        quarts = df.agg(*[F.approx_percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c, v in x.items()]).first()
+    else:
+        quarts = {r.column_name: r.quantiles for r in quantiles(df, columns, [0.25, 0.75]).collect()}
     aggs, fences = [], {}
     for c, v in x.items():
         q1, q3 = quarts[c] or (None, None)

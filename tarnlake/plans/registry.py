@@ -361,7 +361,7 @@ def schema_map_drop_skip(t):
 
 
 @query(
-    "SELECT event_id, upper(event_type) IN ('TRUE', '1', 'YES', 'Y', 'T') AS flag_or_null, "
+    "SELECT event_id, CASE event_id % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false END AS flag, "
     "TRY_CAST(replace(replace('$' || value::DECIMAL(18,2)::VARCHAR, '$', ''), ',', '') AS DOUBLE) AS amount, "
     "regexp_replace(trim('  ' || event_type || '   x '), '\\s+', ' ', 'g') AS cleaned, date_trunc('minute', ts) AS parsed FROM events"
 )
@@ -369,7 +369,7 @@ def clean_scalars(t):
     text = F.date_format("ts", "M/d/yyyy H:mm")
     return t.events.select(
         "event_id",
-        F.coalesce(clean.parse_boolean(F.col("event_type")), F.lit(False)).alias("flag_or_null"),
+        clean.parse_boolean(F.element_at(F.array(*map(F.lit, (" yes", "T", "0", "false ", "maybe"))), (F.col("event_id") % 5 + 1).cast("int"))).alias("flag"),
         clean.parse_numeric(F.concat(F.lit("$"), money("value").cast("string"))).alias("amount"),
         clean.clean_string(F.concat(F.lit("  "), "event_type", F.lit("   x "))).alias("cleaned"),
         clean.parse_timestamp(text).cast("timestamp_ntz").alias("parsed"),
@@ -571,20 +571,33 @@ def dq_timeliness(t):
     return profiling.timeliness(t.events.withColumnRenamed("ts", "updated_at"), AS_OF)
 
 
-@query("SELECT 'orders' AS table_name, 'raw' AS stage, count(*) AS row_count, 2 AS column_count, 100.0::DOUBLE AS completeness, 100.0::DOUBLE AS validity FROM orders")
+@query(
+    "WITH o AS (SELECT CASE WHEN o_orderkey % 10 > 0 THEN o_orderkey END AS k, CASE WHEN o_orderkey % 4 = 0 THEN '{}' ELSE o_orderstatus END AS s FROM orders), "
+    "d AS (SELECT count(*) AS row_count, round((1 - (count(*) FILTER (k IS NULL) + count(*) FILTER (s IS NULL)) / (count(*) * 2.0)) * 100, 2)::DOUBLE AS completeness, "
+    "round((round(count(DISTINCT k) * 100.0 / count(k), 2) + round(count(DISTINCT s) * 100.0 / count(s), 2)) / 2, 2)::DOUBLE AS uniqueness, "
+    "round(100 - count(*) FILTER (s = '{}') * 50.0 / count(s), 2)::DOUBLE AS validity, 100.0::DOUBLE AS timeliness FROM o) "
+    "SELECT 'orders' AS table_name, 'raw' AS stage, row_count, 2 AS column_count, completeness, uniqueness, validity, timeliness, "
+    "round(completeness * 0.30::DOUBLE + uniqueness * 0.25::DOUBLE + validity * 0.25::DOUBLE + timeliness * 0.20::DOUBLE, 2) AS overall FROM d"
+)
 def dq_overall(t):
-    out = profiling.dimensions(t.orders.select("o_orderkey", "o_orderstatus"), "orders", "raw", AS_OF)
-    return exact_mean(out.select("table_name", "stage", "row_count", "column_count", "completeness", "validity"), "completeness", "validity")
+    rows = t.orders.select(
+        F.when(F.col("o_orderkey") % 10 > 0, F.col("o_orderkey")).alias("k"), F.when(F.col("o_orderkey") % 4 == 0, "{}").otherwise(F.col("o_orderstatus")).alias("s")
+    )
+    out = profiling.dimensions(rows, "orders", "raw", AS_OF)
+    return exact_mean(out, "completeness", "uniqueness", "validity", "timeliness", "overall")
 
 
 @query(
-    "SELECT (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 0) AS target_rows, "
-    "(SELECT count(DISTINCT o_orderkey) FROM orders) AS source_keys, (SELECT count(DISTINCT o_orderkey) FROM orders WHERE o_orderkey % 10 = 0) AS missing_keys, "
-    "0::BIGINT AS new_keys"
+    "WITH s AS (SELECT o_orderkey AS k FROM orders), t AS (SELECT CASE WHEN o_orderkey % 10 = 1 THEN -o_orderkey ELSE o_orderkey END AS k FROM orders WHERE o_orderkey % 10 <> 0) "
+    "SELECT (SELECT count(*) FROM s) AS source_rows, (SELECT count(*) FROM t) AS target_rows, (SELECT count(DISTINCT k) FROM s) AS source_keys, "
+    "(SELECT count(DISTINCT k) FROM s WHERE k NOT IN (SELECT k FROM t)) AS missing_keys, (SELECT count(DISTINCT k) FROM t WHERE k NOT IN (SELECT k FROM s)) AS new_keys, "
+    "round((SELECT count(*) FROM t) * 100.0 / (SELECT count(*) FROM s), 2)::DOUBLE AS row_retention_pct, 100.0::DOUBLE AS column_overlap_pct, "
+    "round((SELECT count(DISTINCT k) FROM s WHERE k IN (SELECT k FROM t)) * 100.0 / (SELECT count(DISTINCT k) FROM s), 2)::DOUBLE AS key_integrity_pct"
 )
 def stage_compare(t):
-    out = profiling.compare_stages(t.orders, t.orders.where("o_orderkey % 10 != 0"), "o_orderkey")
-    return out.select("source_rows", "target_rows", "source_keys", "missing_keys", "new_keys")
+    key = F.when(F.col("o_orderkey") % 10 == 1, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    out = profiling.compare_stages(t.orders, t.orders.where("o_orderkey % 10 != 0").withColumn("o_orderkey", key), "o_orderkey")
+    return exact_mean(out, "row_retention_pct", "column_overlap_pct", "key_integrity_pct")
 
 
 @query(

@@ -28,6 +28,15 @@ class JdbcSource:
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         return spark.read.format("jdbc").option("url", self.url).options(**self.properties).option("query", sql).load()
 
+    def changed(self, spark: SparkSession, table: str, condition: str) -> DataFrame:
+        """Rows that meet a condition in the database's own SQL, so that text
+        times are compared there and only changed rows travel."""
+        return self.query(spark, f"SELECT * FROM {table} WHERE {condition}")
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        """Rows of a table, counted by the database."""
+        return int(self.query(spark, f"SELECT count(*) AS n FROM {table}").first()[0])
+
     def tables(self, spark: SparkSession, schema: str) -> DataFrame:
         return self.query(spark, f"SELECT table_name FROM information_schema.tables WHERE table_schema = '{schema}' AND table_type = 'BASE TABLE'")
 
@@ -40,7 +49,7 @@ class JdbcSource:
 
 
 def incremental(df: DataFrame, tracking: str, watermark: str | datetime | None, pattern: str = TRACKING_PATTERN, inclusive: bool = False) -> DataFrame:
-    """Rows changed after the watermark, compared as times, in time order.
+    """Rows changed after the watermark, compared as times.
 
     Text is parsed on both sides; a text comparison would put September after
     December. ``inclusive`` reads rows of the watermark's own minute again, for
@@ -49,9 +58,9 @@ def incremental(df: DataFrame, tracking: str, watermark: str | datetime | None,
     text = dict(df.dtypes)[tracking] == "string"
     at = F.try_to_timestamp(F.col(tracking), F.lit(pattern)) if text else F.col(tracking)
     if watermark is None:
-        return df.orderBy(tracking)
+        return df
     mark = F.try_to_timestamp(F.lit(watermark), F.lit(pattern)) if isinstance(watermark, str) else F.lit(watermark)
-    return df.where(at >= mark if inclusive else at > mark).orderBy(at, tracking)
+    return df.where(at >= mark if inclusive else at > mark)
 
 
 def describe(df: DataFrame) -> DataFrame:

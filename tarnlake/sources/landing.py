@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarnlake.functions import clean
 
@@ -15,30 +16,48 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+#: Quotes are doubled inside quoted fields, which may hold line breaks.
+CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
+
 def read_landing(spark: SparkSession, path: str, null_words: bool = True) -> DataFrame:
     """All CSV files below ``path``, strings, united by column name.
 
-    Files are grouped by their header line first: one read over files with
-    different headers would map columns by position. The headers are found by
-    a distributed read of the files' first lines. No files: a frame without
-    columns.
+    One read over files with different headers would map columns by position,
+    so files are grouped by their header line first: the first line of each
+    file's first block, found inside the tasks. Where all files have one
+    header, which is the rule, their paths never reach the driver. Quoted
+    fields may hold line breaks; such files are read whole by one task, so
+    batches should consist of files of moderate size. No files: a frame
+    without columns.
     """
-    first = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    found = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
     try:
-        files = first.load(path).where("length > 0").select("path", F.decode(F.substring("content", 1, 65536), "UTF-8").alias("text"))
-        header = F.regexp_replace(F.regexp_extract("text", r"^\x{FEFF}?([^\r\n]*)", 1), r"\r$", "")
-        groups = files.groupBy(header.alias("header")).agg(F.collect_list("path").alias("paths")).collect()
+        lines = spark.read.options(**found).text(path)
+        lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+        lines = lines.where("block = 0").withColumn("nth", F.monotonically_increasing_id())
+        headers = lines.groupBy("path").agg(F.min_by("value", "nth").alias("line"))
+        headers = headers.withColumn("line", F.regexp_replace("line", r"^\x{FEFF}", ""))
+        kinds = [r.line for r in headers.select("line").distinct().collect()]
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], "struct<>")
         raise
-    frames = [spark.read.option("header", True).option("multiLine", False).csv(sorted(g.paths)) for g in sorted(groups)]
-    if not frames:
+    if not kinds:
         return spark.createDataFrame([], "struct<>")
-    df = _union(frames)
+    if len(kinds) == 1:
+        df = spark.read.options(**CSV, **found).csv(path)
+    else:
+        groups = headers.groupBy("line").agg(F.collect_list("path").alias("paths")).collect()
+        df = _union([spark.read.options(**CSV).csv(sorted(g.paths)) for g in sorted(groups)])
     return df.select(*[clean.null_words(F.col(f"`{c}`")).alias(c) for c in df.columns]) if null_words else df
 
 
+def read_batch(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv") -> DataFrame:
+    """A batch as ``write_raw`` wrote it, with the types it had."""
+    return spark.read.schema(schema).options(**CSV).csv(path) if fmt == "csv" else spark.read.parquet(path)
+
+
 def read_mixed(spark: SparkSession, path: str) -> DataFrame:
     """CSV (types inferred) and Parquet below one prefix; unreadable files are skipped."""
     kinds = {"csv": {"header": True, "inferSchema": True}, "parquet": {"mergeSchema": True}}
@@ -60,7 +79,7 @@ def read_one(spark: SparkSession, path: str) -> DataFrame:
     """A single CSV or Parquet object by its suffix."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return spark.read.option("header", True).csv(path)
+    return spark.read.options(**CSV).csv(path)
 
 
 def write_raw(df: DataFrame, path: str, fmt: str = "csv", compression: str = "snappy") -> None:
@@ -68,7 +87,7 @@ def write_raw(df: DataFrame, path: str, fmt: str = "csv", compression: str = "sn
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported format {fmt}")
     w = df.write.mode("errorifexists")
-    (w.option("header", True).csv(path) if fmt == "csv" else w.option("compression", compression).parquet(path))
+    (w.options(header=True, quote='"', escape='"').csv(path) if fmt == "csv" else w.option("compression", compression).parquet(path))
 
 
 def write_partitioned(df: DataFrame, path: str, parts: list[str], dynamic: bool = False) -> None:
@@ -86,7 +105,7 @@ def write_partitioned(df: DataFrame, path: str, parts: list[str], dynamic: bool
 
 def initial_load(spark: SparkSession, csv: str, target: str) -> int:
     """CSV as strings, NULL as '', replacing the target; returns the rows."""
-    spark.read.option("header", True).csv(csv).na.fill("").write.mode("overwrite").parquet(target)
+    spark.read.options(**CSV).csv(csv).na.fill("").write.mode("overwrite").parquet(target)
     return spark.read.parquet(target).count()
 
 

@@ -168,3 +168,53 @@ def test_json_blobs(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.b for r in df.select("t", clean.is_json_blob(F.col("t")).alias("b")).collect()}
     assert got == texts
+
+
+def test_batch_is_what_was_written(spark, tmp_path):
+    """A source that gains a row between reads: nothing is skipped later."""
+    src = f"{tmp_path}/src"
+    shape = "id long, updated_at timestamp, text string"
+    spark.createDataFrame([(1, datetime(2024, 1, 1), 'a "quoted"\nline, x'), (2, datetime(2024, 1, 2), "")], shape).write.parquet(src)
+    reads = []
+
+    def late(batches):
+        yield from batches
+
+    df = spark.read.schema(shape).parquet(src).mapInArrow(late, shape)
+    table = ingest.SourceTable("shop", "t", "id", "updated_at")
+    written = landing.write_raw
+
+    def write_then_grow(*args):
+        written(*args)
+        spark.createDataFrame([(3, datetime(2024, 1, 9), "late")], shape).write.mode("append").parquet(src)
+        reads.append(1)
+
+    landing.write_raw = write_then_grow
+    try:
+        done = ingest.full_load(df, table, f"{tmp_path}/zone", AT)
+    finally:
+        landing.write_raw = written
+    assert reads and done["rows"] == 2 and done["watermark"] == datetime(2024, 1, 2)
+    again = ingest.cdc_load(spark.read.schema(shape).parquet(src), table, f"{tmp_path}/zone", AT, done["watermark"])
+    assert again["rows"] == 1 and again["watermark"] == datetime(2024, 1, 9)
+    raw = landing.read_raw(spark, f"{tmp_path}/zone", "t", "shop")
+    assert {r.id: r.text for r in raw.collect()}["1"] == 'a "quoted"\nline, x' and raw.count() == 3
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'\xef\xbb\xbfid,note\r\n1,"two\r\nlines, ""q"""\r\n2,x\r\n')
+    (tmp_path / "b.csv").write_text("note,id\n" + "y" * 70000 + ",3\n")
+    got = {r.id: r.note for r in landing.read_landing(spark, str(tmp_path)).collect()}
+    assert got["2"] == "x" and got["3"] == "y" * 70000 and got["1"].replace("\r", "") == 'two\nlines, "q"'
+
+
+def test_column_rules_leave_literals(spark):
+    df = spark.createDataFrame([("v",)], "name string")
+    rules = [{"column": "a", "expression": "concat($name, '$5 OPERATION_TYPE', OPERATION_TYPE)"}]
+    assert ingest.add_columns(df, "t", rules, AT, "U").first().a == "v$5 OPERATION_TYPEU"
+
+
+def test_missing_columns_warn(spark):
+    config = staging.TableConfig("t", [staging.Mapped("a", "b"), staging.Mapped("x", "y")], missing="warn")
+    with pytest.warns(UserWarning, match="t lacks x"):
+        assert staging.apply_mapping(spark.createDataFrame([("1",)], "a string"), config).columns == ["b"]
