@@ -4,13 +4,16 @@ A window of 50 consecutive words is an edge of the graph whose nodes are the
 49-word sequences. Consecutive edges of a document that share a minimizer (the
 least hash of the 16-word sequences inside) form one path, and that choice
 depends on the words alone, so equal text is cut into equal paths wherever it
-stands. Spark joins then compact: paths are grouped by minimizer, then by the
-hash of all their words. A minimizer seen in one document only is dropped. A
-path that repeats whole is one record for all its edges and occurrences; only
-where paths of one minimizer differ (a branching: the rim of a shared passage)
-are distinct paths opened into single edges, read again from the source
-coordinates of their first occurrence. Every occurrence finally gets, by its
-own coordinates, the edges that start in a document with a smaller id.
+stands. A minimizer seen in one document only is dropped. Where the paths of a
+minimizer differ (the graph branches inside them: the rim of a shared passage)
+the distinct paths are opened into single edges, read from the source
+coordinates of their first occurrence. All other paths are joined over the
+nodes between them: where a node has one way in and one way out the two paths
+become one, and pointer doubling compacts whole chains, so that a passage
+repeated in many documents is one record. Every occurrence then gets the source
+coordinates of its windows in the document of least id, windows that go on
+there are one span, and a span is removed only if its words are those at the
+source, by SHA-256.
 """
 
 from __future__ import annotations
@@ -18,11 +21,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +37,10 @@ from tarnlake.session import materialize
 SPAN = 50
 #: Words of a minimizer: long enough to be rare, short enough for long paths.
 SEED_WORDS = 16
+#: Pointer doubling reaches the head of a chain of 2 ** MAX_ROUNDS paths.
+MAX_ROUNDS = 40
+#: Spans of one source document that are read together.
+SPANS_AT_ONCE = 1024
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -75,12 +84,13 @@ def paths(w: list[bytes], span: int = SPAN, seed: int = SEED_WORDS) -> tuple[np.
     return first, count, h[low[first]], whole
 
 
-def _occurrences(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, span: int, bits: int) -> DataFrame:
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), _key(text_col), F.col(text_col).alias("text"))
+    names = ["id", "key", "first", "edges", "seed", "whole", "before", "after"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()] + [pa.int64()] * 4
+    mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "key", "first", "edges", "seed", "whole"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
@@ -88,31 +98,40 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, span: int) -> Data
                     w = words(text)
                     if len(w) >= span:
                         f, c, s, x = paths(w, span)
-                        out.append((np.full(len(f), i), np.full(len(f), key), f, c, s.view(np.int64), x.view(np.int64)))
+                        s, x = (s & mask).view(np.int64), (x & mask).view(np.int64)
+                        rim = np.zeros(1, np.int64)
+                        before, after = np.concatenate([rim, x[:-1]]), np.concatenate([x[1:], rim])
+                        out.append((np.full(len(f), i), np.full(len(f), key), f, c, s, x, before, after))
                 if out:
                     cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    return src.mapInArrow(run, "id long, key int, first int, edges int, seed long, whole long")
+    return src.mapInArrow(run, "id long, key long, first int, edges int, seed long, whole long, before long, after long")
 
 
-def _key(text_col: str):
+def _key(text_col: str) -> Column:
     """Tells apart rows of one id; the coordinates of a row hold for its text."""
-    return F.xxhash64(F.col(text_col)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("key")
+    return F.xxhash64(F.col(text_col)).alias("key")
 
 
-def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    src = docs.select(F.col(id_col).cast("long").alias("id"), _key(text_col), F.col(text_col).alias("text"))
+    return src.where("id is not null")
+
+
+def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int, bits: int) -> DataFrame:
     """Open each distinct path at a branching into its edges, from the source."""
     wanted = rims.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "seed", "whole")).alias("at"))
-    src = docs.select(F.col(id_col).cast("long").alias("id"), _key(text_col), F.col(text_col).alias("text"))
-    both = wanted.join(src.where("id is not null"), ["id", "key"])
+    both = wanted.join(_texts(docs, id_col, text_col), ["id", "key"])
+    names = ["seed", "whole", "nth", "edge", "id", "key", "first"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
         for batch in batches:
             for row in range(batch.num_rows):
                 part = batch.slice(row, 1)
-                i, at, text = (part.column(c)[0].as_py() for c in range(3))
+                i, key, at, text = (part.column(c)[0].as_py() for c in range(4))
                 w = words(text)
                 flat = b" ".join(w)
                 size = np.fromiter(map(len, w), np.int64, len(w)) + 1
@@ -120,60 +139,155 @@ def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: i
                 starts = (ends - size).tolist()
                 ends = ends.tolist()
                 out = [
-                    (p["seed"], p["whole"], j, xxhash.xxh3_64_intdigest(flat[starts[e] : ends[e + span - 1] - 1], 2), i)
+                    (p["seed"], p["whole"], j, xxhash.xxh3_64_intdigest(flat[starts[e] : ends[e + span - 1] - 1], 2), i, key, e)
                     for p in at
                     for j in range(p["edges"])
                     for e in (p["first"] + j,)
                 ]
                 cols = list(zip(*out, strict=True))
-                cols[3] = np.array(cols[3], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["seed", "whole", "nth", "edge", "id"]
-                )
+                cols[3] = (np.array(cols[3], np.uint64) & mask).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    return both.select("id", "at", "text").mapInArrow(run, "seed long, whole long, nth int, edge long, id long")
+    return both.select("id", "key", "at", "text").mapInArrow(
+        run, "seed long, whole long, nth int, edge long, id long, key long, first int"
+    )
 
 
-def repeated_edges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """(id, key, spots): edges of a document that start in one of smaller id.
+def _chains(solid: DataFrame) -> DataFrame:
+    """Compact nonbranching paths: (seed, whole, id, key, first, edges) by chain.
 
-    A spot is a run of consecutive edges in one long: the word at which the
-    first starts, times 64, plus their number (at most span - SEED_WORDS + 1).
+    ``solid`` has one row per distinct path that no other path overlaps in
+    part. The node between two paths has one edge in and one out if the path
+    before it is always followed by the one path, and that one always preceded
+    by it; a join over such nodes links the two. Pointer doubling then finds the
+    head of every chain, in a number of rounds that is the logarithm of the
+    longest chain, and the chain's edges are summed there.
+    """
+    only = lambda a: F.when((F.col(f"{a}_low") == F.col(f"{a}_high")) & (F.col(f"{a}_low") != 0), F.col(f"{a}_low"))
+    left = solid.select(
+        F.col("seed").alias("s"), F.col("whole").alias("before"), only("after").alias("whole"), F.col("id").alias("i"), F.col("key").alias("k"),
+        (F.col("first") + F.col("edges")).alias("next"),
+    ).where("whole is not null")
+    right = solid.select("seed", "whole", only("before").alias("before"), "id", "key", "first").where("before is not null")
+    joined = right.join(left, ["before", "whole"]).where("id = i and key = k and first = next")
+    links = joined.groupBy("seed", "whole").agg(F.min(F.struct(F.col("s").alias("hs"), F.col("before").alias("hw"))).alias("h"))
+    at = solid.select("seed", "whole", "edges").join(links.select("seed", "whole", "h.*"), ["seed", "whole"], "left")
+    at = at.select("seed", "whole", "edges", F.coalesce("hs", "seed").alias("hs"), F.coalesce("hw", "whole").alias("hw"))
+    at = materialize(at, "chains")
+    for _ in range(MAX_ROUNDS):
+        onward = at.select(F.col("seed").alias("hs"), F.col("whole").alias("hw"), F.col("hs").alias("ns"), F.col("hw").alias("nw"))
+        moved = (F.col("hs") != F.col("ns")) | (F.col("hw") != F.col("nw"))
+        step = at.join(onward, ["hs", "hw"]).select("seed", "whole", "edges", F.col("ns").alias("hs"), F.col("nw").alias("hw"), moved.alias("moved"))
+        at = materialize(step, "chains")
+        if not at.where("moved").limit(1).count():
+            break
+    else:
+        raise RuntimeError("a chain of paths has no head")
+    heads = at.groupBy(F.col("hs").alias("seed"), F.col("hw").alias("whole")).agg(F.sum("edges").cast("int").alias("edges"))
+    return solid.select("seed", "whole", "id", "key", "first").join(heads, ["seed", "whole"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows that begin in a document of smaller id, by where they do."""
+    names = ["id", "key", "first", "edges", "oid", "okey", "ofirst"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    for b in batches:
+        i, key, first, edges, oid, okey, ofirst = (b.column(n).to_numpy(zero_copy_only=False) for n in names)
+        leasts = b.column("leasts")
+        size = leasts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        solid = (size == 0) & (oid < i)
+        out = [[c[solid] for c in (i, key, first, edges, oid, okey, ofirst)]]
+        flat = leasts.flatten()
+        row = np.repeat(np.arange(b.num_rows), size)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        eid, ekey, efirst = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("id", "key", "first"))
+        late = eid < i[row]
+        same = np.zeros(len(row), bool)
+        if len(row):
+            same[1:] = late[:-1] & (row[1:] == row[:-1]) & (eid[1:] == eid[:-1]) & (ekey[1:] == ekey[:-1]) & (efirst[1:] - nth[1:] == efirst[:-1] - nth[:-1])
+        start = np.flatnonzero(late & ~same)
+        length = np.bincount(np.cumsum(late & ~same)[late] - 1, minlength=len(start)) if len(start) else np.zeros(0, np.int64)
+        r = row[start]
+        out.append([i[r], key[r], first[r] + nth[start], length, eid[start], ekey[start], efirst[start]])
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+
+def _digests(claims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
+    """SHA-256 of the words at each claim's source: (oid, okey, ofirst, edges, words)."""
+    place = ["oid", "okey", "ofirst", "edges"]
+    nth = F.row_number().over(W.partitionBy("oid", "okey").orderBy("ofirst", "edges"))
+    asked = claims.select(*place).distinct().withColumn("part", F.floor(nth / SPANS_AT_ONCE))
+    asked = asked.groupBy("oid", "okey", "part").agg(F.collect_list(F.struct("ofirst", "edges")).alias("at"))
+    src = _texts(docs, id_col, text_col)
+    both = asked.join(src, (asked["oid"] == src["id"]) & (asked["okey"] == src["key"]))
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for i, key, at, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                w = words(text)
+                for p in at:
+                    a, n = p["ofirst"], p["edges"]
+                    out.append((i, key, a, n, hashlib.sha256(b" ".join(w[a : a + n + span - 1])).digest()))
+            if out:
+                cols = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[*place, "words"])
+
+    found = both.select("oid", "okey", "at", "text").mapInArrow(run, "oid long, okey long, ofirst int, edges int, words binary")
+    return found.groupBy(*place).agg(F.min("words").alias("words"))
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, bits: int = 64) -> DataFrame:
+    """(id, key, spots): windows of a document that start in one of smaller id.
+
+    A spot is (first, edges, words): so many consecutive windows from word
+    ``first`` on, and the SHA-256 of the words they cover where they start
+    first. ``bits`` narrows the hashes by which paths and windows are found;
+    whoever applies the spots must compare the words.
     """
     _check_span(span)
-    seen = materialize(_occurrences(docs, id_col, text_col, span), "paths")
+    seen = materialize(_occurrences(docs, id_col, text_col, span, bits), "paths")
     shared = seen.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("seed")
     shared = materialize(shared, "seeds")
     seen = materialize(seen.join(shared, "seed", "left_semi"), "repeats")
     place = F.struct("id", "key", "first", "edges")
-    distinct = materialize(seen.groupBy("seed", "whole").agg(F.min(place).alias("o")).select("seed", "whole", "o.*"), "distinct")
+    ends = [f(c).alias(f"{c}_{n}") for c in ("before", "after") for f, n in ((F.min, "low"), (F.max, "high"))]
+    distinct = seen.groupBy("seed", "whole").agg(F.min(place).alias("o"), *ends).select("seed", "whole", "o.*", *[f"{c}_{n}" for c in ("before", "after") for n in ("low", "high")])
+    distinct = materialize(distinct, "distinct")
     forks = materialize(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "forks")
-    rims = distinct.join(forks, "seed", "left_semi")
-    opened = materialize(_edges(rims, docs, id_col, text_col, span), "edges")
-    least = materialize(
-        opened.groupBy("seed", "edge").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
-        "least",
-    )
-    # Repeated source rows open a path twice: a set. Edges of one path only keep that path's first document as their least.
-    known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", "id"))
+    rims = distinct.join(forks, "seed", "left_semi").select("seed", "whole", "id", "key", "first", "edges")
+    chains = _chains(materialize(distinct.join(forks, "seed", "left_anti"), "solid"))
+    opened = materialize(_edges(rims, docs, id_col, text_col, span, bits), "edges")
+    least = opened.groupBy("seed", "edge").agg(F.min(F.struct("id", "key", "first")).alias("least"), F.count(F.lit(1)).alias("n"))
+    least = materialize(least.where("n > 1").drop("n"), "least")
+    # Repeated source rows open a path twice: a set. Edges of one path only start where that path does.
+    known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", F.struct("id", "key", "first")))
     known = known.groupBy("seed", "whole").agg(
         F.transform(F.array_sort(F.collect_set(F.struct("nth", "least"))), lambda x: x["least"]).alias("leasts")
     )
-    known = materialize(
-        distinct.select("seed", "whole", F.col("id").alias("origin")).join(known, ["seed", "whole"], "left"), "known"
-    )
-    hit = seen.join(known, ["seed", "whole"])
-    # Runs of repeated edges as one long each: first edge * 64 + how many.
-    late = lambda j: F.get("leasts", j) < F.col("id")
-    every = F.sequence(F.lit(0), F.col("edges") - 1)
-    opens = F.filter(every, lambda j: late(j) & ~F.coalesce(late(j - 1), F.lit(False)))
-    ends = F.filter(every, lambda j: late(j) & ~F.coalesce(late(j + 1), F.lit(False)))
-    base = F.col("first").cast("long")
-    some = F.zip_with(opens, ends, lambda a, z: (base + a) * 64 + (z - a + 1))
-    whole = F.when(F.col("origin") < F.col("id"), F.array(base * 64 + F.col("edges")))
-    runs = F.when(F.col("leasts").isNotNull(), some).otherwise(whole)
-    spots = hit.select("id", "key", F.explode(runs).alias("run"))
-    return spots.groupBy("id", "key").agg(F.collect_list("run").alias("spots"))
+    known = rims.join(known, ["seed", "whole"]).unionByName(chains, allowMissingColumns=True)
+    known = known.select("seed", "whole", F.col("id").alias("oid"), F.col("key").alias("okey"), F.col("first").alias("ofirst"), "edges", "leasts")
+    known = materialize(known, "known")
+    # The head of a chain stands for it: the occurrences of its other paths find no partner here.
+    hit = seen.select("seed", "whole", "id", "key", "first").join(known, ["seed", "whole"])
+    hit = hit.where("leasts is not null or oid < id").select("id", "key", "first", "edges", "oid", "okey", "ofirst", "leasts")
+    runs = hit.mapInArrow(_runs, "id long, key long, first int, edges int, oid long, okey long, ofirst int")
+    # Runs that go on at the same source are one span.
+    w = W.partitionBy("id", "key").orderBy("first", "oid", "okey", "ofirst")
+    runs = runs.withColumn("again", F.coalesce(F.lag("first").over(w) == F.col("first"), F.lit(False))).where("not again").drop("again")
+    goes_on = [F.lag(F.col("first") + F.col("edges")).over(w) == F.col("first"), F.lag(F.col("ofirst") - F.col("first")).over(w) == F.col("ofirst") - F.col("first")]
+    goes_on += [F.lag(c).over(w) == F.col(c) for c in ("oid", "okey")]
+    fresh = F.when(reduce(lambda a, b: a & b, goes_on), 0).otherwise(1)
+    spans = runs.withColumn("fresh", fresh).withColumn("nth", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    spans = spans.groupBy("id", "key", "nth").agg(
+        F.min("first").alias("first"), F.sum("edges").cast("int").alias("edges"), F.min("oid").alias("oid"), F.min("okey").alias("okey"),
+        F.min("ofirst").alias("ofirst"),
+    )
+    claims = materialize(spans.drop("nth"), "claims")
+    checked = claims.join(_digests(claims, docs, id_col, text_col, span), ["oid", "okey", "ofirst", "edges"])
+    return checked.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "words")).alias("spots"))
 
 
 RESULT = T.StructType(
@@ -185,16 +299,18 @@ RESULT = T.StructType(
 )
 
 
-def _cut(text: str | None, spots: list[int] | None, span: int) -> tuple[str | None, int, int, str]:
+def _cut(text: str | None, spots: list | None, span: int) -> tuple[str | None, int, int, str]:
     w = words(text)
-    if not spots:
-        return text, len(w), 0, hashlib.sha256(b" ".join(w)).hexdigest()
     cover = np.zeros(len(w) + 1, np.int64)
-    runs = np.array(spots, np.int64)
-    first, count = runs >> 6, runs & 63
-    np.add.at(cover, first, 1)
-    np.subtract.at(cover, first + count + (span - 1), 1)
+    for s in spots or ():
+        a, b = s["first"], s["first"] + s["edges"] + span - 1
+        # The words themselves decide: a span that only its hashes claim stays.
+        if b <= len(w) and hashlib.sha256(b" ".join(w[a:b])).digest() == s["words"]:
+            cover[a] += 1
+            cover[b] -= 1
     gone = np.cumsum(cover)[:-1] > 0
+    if not gone.any():
+        return text, len(w), 0, hashlib.sha256(b" ".join(w)).hexdigest()
     data = text.encode()
     turns = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
     where = [m.start() for m in _WORD.finditer(data)] + [len(data)]
@@ -213,23 +329,26 @@ def dedup_substrings(
     text_col: str = "text",
     keep: list[str] | None = None,
     span: int = SPAN,
+    bits: int = 64,
 ) -> DataFrame:
     """Cut repeated passages of ``span`` words or more out of the texts.
 
     A word goes if a ``span``-word window over it also starts in a document
     with a smaller id. Adds n_words, n_removed and kept_sha256 (of the kept
     words joined by one space); ``text_col``, if kept, holds the cleaned text
-    with its own white space. Null text stays null with no words; a row with a
-    null id keeps all its words and removes none elsewhere; rows with one id
-    never cut each other. Columns of these names are replaced.
+    with its own white space. Null and empty texts have no words and stay as
+    they are; a row with a null id keeps all its words and removes none
+    elsewhere; rows with one id never cut each other; equal rows are cut
+    alike. Very long texts are cut into paths like any other. Columns of the
+    new names are replaced, all others kept whatever their names.
     """
     cols = [c for c in (docs.columns if keep is None else keep) if c not in RESULT.names]
-    spots = repeated_edges(docs, id_col, text_col, span).select(F.col("id").alias("_sid"), F.col("key").alias("_skey"), "spots")
-    picked = docs.select(*dict.fromkeys([*cols, id_col, text_col])).withColumn("_key", _key(text_col))
-    joined = picked.join(spots, (picked[id_col] == spots["_sid"]) & (picked["_key"] == spots["_skey"]), "left")
-    joined = joined.select(*picked.columns[:-1], F.col("spots").alias("_spots"))
-    if text_col not in cols:
-        return row_map(joined, lambda rows: (_cut(t, s, span)[1:] for t, s in rows), [text_col, "_spots"], RESULT, cols)
-    new = T.StructType([T.StructField(text_col, T.StringType()), *RESULT.fields])
-    out = row_map(joined, lambda rows: (_cut(t, s, span) for t, s in rows), [text_col, "_spots"], new, cols)
-    return out.select(*cols, *RESULT.names)
+    spots = repeated_spans(docs, id_col, text_col, span, bits)
+    # A row's own columns travel in one, so none can clash with the joined ones.
+    own = [F.col(f"`{c}`") for c in cols if c != text_col] or [F.lit(0)]
+    src = docs.select(F.struct(*own).alias("row"), F.col(id_col).cast("long").alias("id"), _key(text_col), F.col(text_col).alias("text"))
+    joined = src.join(spots, ["id", "key"], "left").select("row", "text", "spots")
+    fields = [T.StructField("text", T.StringType())] if text_col in cols else []
+    new = T.StructType([*fields, *RESULT.fields])
+    done = row_map(joined, lambda rows: (_cut(t, s, span)[1 - len(fields) :] for t, s in rows), ["text", "spots"], new, ["row"])
+    return done.select(*[F.col("text" if c == text_col else f"row.`{c}`").alias(c) for c in cols], *RESULT.names)

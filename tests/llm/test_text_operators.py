@@ -48,6 +48,34 @@ def test_substring_matches_brute_force(spark, passages):
     assert dedup_substrings(df).columns == ["doc_id", "text", "lang", "n_words", "n_removed", "kept_sha256"]
 
 
+def test_substring_removes_nothing_by_colliding_hashes(spark, passages):
+    """With hashes of a few bits most paths and windows collide; words decide."""
+    df = spark.createDataFrame(passages, "doc_id long, text string")
+    want = {r[0]: r for r in brute.substring(passages)}
+    true = {(i, n): gone for i, n, gone, _ in brute.substring(passages)}
+    for bits in (3, 10):
+        for r in dedup_substrings(df, bits=bits).collect():
+            assert r.n_removed <= true[r.doc_id, r.n_words]
+            assert r.n_removed < true[r.doc_id, r.n_words] or r.kept_sha256 == want[r.doc_id][3] or r.doc_id is None
+
+
+def test_substring_long_chain_of_copies(spark):
+    """Long equal texts, whole and in part, at many places."""
+    rnd = random.Random(8)
+    long = [f"w{rnd.randint(0, 5000)}" for _ in range(12000)]
+    rows = [(i, " ".join(long)) for i in (1, 2, 3)] + [(4, " ".join(long[3000:9000])), (5, " ".join(["x"] * 300)), (6, " ".join(["x"] * 400))]
+    rows += [(7, " ".join(long[100:170] + ["y"] + long[170:260])), (8, " ".join(long[::-1]))]
+    got = rows_of(dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(brute.substring(rows), key=repr)
+
+
+def test_substring_clashing_columns(spark):
+    names = ["id", "key", "row", "spots", "_key", "_sid", "n_words"]
+    df = spark.createDataFrame([(1, " ".join(["a"] * 60)), (2, " ".join(["a"] * 60))], "doc_id long, text string").selectExpr("*", *[f"'{n}!' AS {n}" for n in names])
+    for r in dedup_substrings(df).collect():
+        assert all(r[n] == f"{n}!" for n in names[:-1]) and r.n_words == 60 and r.n_removed == (0 if r.doc_id == 1 else 60)
+
+
 def test_substring_on_table(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     want = brute.substring([(r.doc_id, r.text) for r in docs.collect()])
