@@ -51,7 +51,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tarnlake/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_to = path
+    return written
+
+
+def release(*written: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for these frames.
+
+    Only for frames whose readers have all been written themselves: a lost
+    executor must find everything that its tasks read.
+    """
+    for df in written:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
