@@ -9,8 +9,8 @@ minimizer differ (the graph branches inside them: the rim of a shared passage)
 the distinct paths are opened into single edges, read from the source
 coordinates of their first occurrence. All other paths are joined over the
 nodes between them: where a node has one way in and one way out the two paths
-become one, and pointer doubling compacts whole chains, so that a passage
-repeated in many documents is one record. Every occurrence then gets the source
+become one, so that a passage repeated in many documents is one record however
+long. Every occurrence then gets the source
 coordinates of its windows in the document of least id, windows that go on
 there are one span, and a span is removed only if its words are those at the
 source, by SHA-256.
@@ -32,13 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.llm.text import row_map, words
-from tarnlake.session import materialize
+from tarnlake.session import materialize, release
 
 SPAN = 50
 #: Words of a minimizer: long enough to be rare, short enough for long paths.
 SEED_WORDS = 16
-#: Pointer doubling reaches the head of a chain of 2 ** MAX_ROUNDS paths.
-MAX_ROUNDS = 40
 #: Spans of one source document that are read together.
 SPANS_AT_ONCE = 1024
 
@@ -85,9 +83,14 @@ def paths(w: list[bytes], span: int = SPAN, seed: int = SEED_WORDS) -> tuple[np.
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, span: int, bits: int) -> DataFrame:
+    """(id, key, spot, seed, whole, before) of every path of every text.
+
+    ``spot`` is the word at which the path starts, times 64, plus its number of
+    edges (at most span - SEED_WORDS + 1); ``before`` is the hash of the path
+    that comes before it in the text, 0 at its start.
+    """
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), _key(text_col), F.col(text_col).alias("text"))
-    names = ["id", "key", "first", "edges", "seed", "whole", "before", "after"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()] + [pa.int64()] * 4
+    names = ["id", "key", "spot", "seed", "whole", "before"]
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,14 +102,13 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, span: int, bits: i
                     if len(w) >= span:
                         f, c, s, x = paths(w, span)
                         s, x = (s & mask).view(np.int64), (x & mask).view(np.int64)
-                        rim = np.zeros(1, np.int64)
-                        before, after = np.concatenate([rim, x[:-1]]), np.concatenate([x[1:], rim])
-                        out.append((np.full(len(f), i), np.full(len(f), key), f, c, s, x, before, after))
+                        before = np.concatenate([np.zeros(1, np.int64), x[:-1]])
+                        out.append((np.full(len(f), i), np.full(len(f), key), f * 64 + c, s, x, before))
                 if out:
                     cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
-    return src.mapInArrow(run, "id long, key long, first int, edges int, seed long, whole long, before long, after long")
+    return src.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _key(text_col: str) -> Column:
@@ -123,8 +125,7 @@ def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: i
     """Open each distinct path at a branching into its edges, from the source."""
     wanted = rims.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "seed", "whole")).alias("at"))
     both = wanted.join(_texts(docs, id_col, text_col), ["id", "key"])
-    names = ["seed", "whole", "nth", "edge", "id", "key", "first"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    names = ["seed", "whole", "edge", "id", "key", "first"]
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,78 +140,65 @@ def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: i
                 starts = (ends - size).tolist()
                 ends = ends.tolist()
                 out = [
-                    (p["seed"], p["whole"], j, xxhash.xxh3_64_intdigest(flat[starts[e] : ends[e + span - 1] - 1], 2), i, key, e)
+                    (p["seed"], p["whole"], xxhash.xxh3_64_intdigest(flat[starts[e] : ends[e + span - 1] - 1], 2), i, key, e)
                     for p in at
                     for j in range(p["edges"])
                     for e in (p["first"] + j,)
                 ]
                 cols = list(zip(*out, strict=True))
-                cols[3] = (np.array(cols[3], np.uint64) & mask).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                cols[2] = (np.array(cols[2], np.uint64) & mask).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
-    return both.select("id", "key", "at", "text").mapInArrow(
-        run, "seed long, whole long, nth int, edge long, id long, key long, first int"
-    )
+    return both.select("id", "key", "at", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _chains(solid: DataFrame) -> DataFrame:
     """Compact nonbranching paths: (seed, whole, id, key, first, edges) by chain.
 
     ``solid`` has one row per distinct path that no other path overlaps in
-    part. The node between two paths has one edge in and one out if the path
-    before it is always followed by the one path, and that one always preceded
-    by it; a join over such nodes links the two. Pointer doubling then finds the
-    head of every chain, in a number of rounds that is the logarithm of the
-    longest chain, and the chain's edges are summed there.
+    part. The node between two paths has one edge in and one out if every
+    occurrence of the later path comes after the earlier one, and that has no
+    more occurrences than these. A join over the nodes finds such pairs; a chain
+    of them lies in one piece in its source document, so the chains are the
+    islands of linked paths along the source coordinates.
     """
-    only = lambda a: F.when((F.col(f"{a}_low") == F.col(f"{a}_high")) & (F.col(f"{a}_low") != 0), F.col(f"{a}_low"))
     left = solid.select(
-        F.col("seed").alias("s"), F.col("whole").alias("before"), only("after").alias("whole"), F.col("id").alias("i"), F.col("key").alias("k"),
-        (F.col("first") + F.col("edges")).alias("next"),
-    ).where("whole is not null")
-    right = solid.select("seed", "whole", only("before").alias("before"), "id", "key", "first").where("before is not null")
-    joined = right.join(left, ["before", "whole"]).where("id = i and key = k and first = next")
-    links = joined.groupBy("seed", "whole").agg(F.min(F.struct(F.col("s").alias("hs"), F.col("before").alias("hw"))).alias("h"))
-    at = solid.select("seed", "whole", "edges").join(links.select("seed", "whole", "h.*"), ["seed", "whole"], "left")
-    at = at.select("seed", "whole", "edges", F.coalesce("hs", "seed").alias("hs"), F.coalesce("hw", "whole").alias("hw"))
-    at = materialize(at, "chains")
-    for _ in range(MAX_ROUNDS):
-        onward = at.select(F.col("seed").alias("hs"), F.col("whole").alias("hw"), F.col("hs").alias("ns"), F.col("hw").alias("nw"))
-        moved = (F.col("hs") != F.col("ns")) | (F.col("hw") != F.col("nw"))
-        step = at.join(onward, ["hs", "hw"]).select("seed", "whole", "edges", F.col("ns").alias("hs"), F.col("nw").alias("hw"), moved.alias("moved"))
-        at = materialize(step, "chains")
-        if not at.where("moved").limit(1).count():
-            break
-    else:
-        raise RuntimeError("a chain of paths has no head")
-    heads = at.groupBy(F.col("hs").alias("seed"), F.col("hw").alias("whole")).agg(F.sum("edges").cast("int").alias("edges"))
-    return solid.select("seed", "whole", "id", "key", "first").join(heads, ["seed", "whole"])
+        F.col("whole").alias("before"), "n", "id", "key", (F.col("first") + F.col("edges")).alias("first"), F.lit(True).alias("linked")
+    )
+    only = F.when((F.col("low") == F.col("high")) & (F.col("low") != 0), F.col("low"))
+    nodes = ["before", "n", "id", "key", "first"]
+    linked = solid.withColumn("before", only).join(left, nodes, "left")
+    w = W.partitionBy("id", "key").orderBy("first")
+    head = F.when(F.col("linked") & (F.lag(F.col("first") + F.col("edges")).over(w) == F.col("first")), 0).otherwise(1)
+    island = F.sum("head").over(w.rowsBetween(W.unboundedPreceding, 0))
+    chains = linked.withColumn("head", head).withColumn("island", island).groupBy("id", "key", "island")
+    least = F.min(F.struct("first", "seed", "whole")).alias("h")
+    return chains.agg(least, F.sum("edges").alias("edges")).select("h.seed", "h.whole", "id", "key", "h.first", "edges")
+
+
+RUN = "struct<nth: long, edges: long, oid: long, okey: long, ofirst: long>"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows that begin in a document of smaller id, by where they do."""
-    names = ["id", "key", "first", "edges", "oid", "okey", "ofirst"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    """Windows of a path that go on at one source, as runs."""
+    fields = ["nth", "edges", "oid", "okey", "ofirst"]
     for b in batches:
-        i, key, first, edges, oid, okey, ofirst = (b.column(n).to_numpy(zero_copy_only=False) for n in names)
-        leasts = b.column("leasts")
-        size = leasts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        solid = (size == 0) & (oid < i)
-        out = [[c[solid] for c in (i, key, first, edges, oid, okey, ofirst)]]
-        flat = leasts.flatten()
+        at = b.column("at")
+        size = at.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = at.flatten()
         row = np.repeat(np.arange(b.num_rows), size)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        eid, ekey, efirst = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("id", "key", "first"))
-        late = eid < i[row]
-        same = np.zeros(len(row), bool)
+        first, oid, okey, ofirst = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("first", "id", "key", "start"))
+        nth = first - np.repeat(first[np.cumsum(size) - size], size) if len(row) else first
+        new = np.ones(len(row), bool)
         if len(row):
-            same[1:] = late[:-1] & (row[1:] == row[:-1]) & (eid[1:] == eid[:-1]) & (ekey[1:] == ekey[:-1]) & (efirst[1:] - nth[1:] == efirst[:-1] - nth[:-1])
-        start = np.flatnonzero(late & ~same)
-        length = np.bincount(np.cumsum(late & ~same)[late] - 1, minlength=len(start)) if len(start) else np.zeros(0, np.int64)
-        r = row[start]
-        out.append([i[r], key[r], first[r] + nth[start], length, eid[start], ekey[start], efirst[start]])
-        cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            new[1:] = (np.diff(row) != 0) | (np.diff(oid) != 0) | (np.diff(okey) != 0) | (np.diff(ofirst - nth) != 0) | (np.diff(nth) != 1)
+        start = np.flatnonzero(new)
+        length = np.diff(start, append=len(row))
+        values = [nth[start], length, oid[start], okey[start], ofirst[start]]
+        runs = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], fields)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row[start], minlength=b.num_rows))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)
+        yield pa.RecordBatch.from_arrays([b.column("seed"), b.column("whole"), lists], names=["seed", "whole", "runs"])
 
 
 def _digests(claims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
@@ -221,7 +209,7 @@ def _digests(claims: DataFrame, docs: DataFrame, id_col: str, text_col: str, spa
     asked = asked.groupBy("oid", "okey", "part").agg(F.collect_list(F.struct("ofirst", "edges")).alias("at"))
     src = _texts(docs, id_col, text_col)
     both = asked.join(src, (asked["oid"] == src["id"]) & (asked["okey"] == src["key"]))
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64()] * 4 + [pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +223,7 @@ def _digests(claims: DataFrame, docs: DataFrame, id_col: str, text_col: str, spa
                 cols = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[*place, "words"])
 
-    found = both.select("oid", "okey", "at", "text").mapInArrow(run, "oid long, okey long, ofirst int, edges int, words binary")
+    found = both.select("oid", "okey", "at", "text").mapInArrow(run, "oid long, okey long, ofirst long, edges long, words binary")
     return found.groupBy(*place).agg(F.min("words").alias("words"))
 
 
@@ -248,32 +236,34 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whoever applies the spots must compare the words.
     """
     _check_span(span)
-    seen = materialize(_occurrences(docs, id_col, text_col, span, bits), "paths")
-    shared = seen.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("seed")
+    every = materialize(_occurrences(docs, id_col, text_col, span, bits), "paths")
+    shared = every.groupBy("seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("seed")
     shared = materialize(shared, "seeds")
-    seen = materialize(seen.join(shared, "seed", "left_semi"), "repeats")
-    place = F.struct("id", "key", "first", "edges")
-    ends = [f(c).alias(f"{c}_{n}") for c in ("before", "after") for f, n in ((F.min, "low"), (F.max, "high"))]
-    distinct = seen.groupBy("seed", "whole").agg(F.min(place).alias("o"), *ends).select("seed", "whole", "o.*", *[f"{c}_{n}" for c in ("before", "after") for n in ("low", "high")])
-    distinct = materialize(distinct, "distinct")
-    forks = materialize(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "forks")
-    rims = distinct.join(forks, "seed", "left_semi").select("seed", "whole", "id", "key", "first", "edges")
-    chains = _chains(materialize(distinct.join(forks, "seed", "left_anti"), "solid"))
+    seen = materialize(every.join(shared, "seed", "left_semi"), "repeats")
+    release(every, shared)
+    place = F.min(F.struct("id", "key", "spot")).alias("o")
+    distinct = seen.groupBy("seed", "whole").agg(place, F.min("before").alias("low"), F.max("before").alias("high"), F.count(F.lit(1)).alias("n"))
+    spot = [F.shiftright("o.spot", 6).alias("first"), F.col("o.spot").bitwiseAND(F.lit(63)).alias("edges")]
+    distinct = materialize(distinct.select("seed", "whole", "o.id", "o.key", *spot, "low", "high", "n"), "distinct")
+    forks = materialize(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("seed"), "forks")
+    chains = materialize(_chains(distinct.join(forks, "seed", "left_anti")), "chains")
+    rims = materialize(distinct.join(forks, "seed", "left_semi").select("seed", "whole", "id", "key", "first", "edges"), "rims")
+    release(distinct, forks)
     opened = materialize(_edges(rims, docs, id_col, text_col, span, bits), "edges")
-    least = opened.groupBy("seed", "edge").agg(F.min(F.struct("id", "key", "first")).alias("least"), F.count(F.lit(1)).alias("n"))
-    least = materialize(least.where("n > 1").drop("n"), "least")
+    release(rims)
+    least = opened.groupBy("seed", "edge").agg(F.min(F.struct("id", "key", F.col("first").alias("start"))).alias("least"), F.count(F.lit(1)).alias("c"))
+    least = materialize(least.where("c > 1").drop("c"), "least")
     # Repeated source rows open a path twice: a set. Edges of one path only start where that path does.
-    known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", F.struct("id", "key", "first")))
-    known = known.groupBy("seed", "whole").agg(
-        F.transform(F.array_sort(F.collect_set(F.struct("nth", "least"))), lambda x: x["least"]).alias("leasts")
-    )
-    known = rims.join(known, ["seed", "whole"]).unionByName(chains, allowMissingColumns=True)
-    known = known.select("seed", "whole", F.col("id").alias("oid"), F.col("key").alias("okey"), F.col("first").alias("ofirst"), "edges", "leasts")
-    known = materialize(known, "known")
+    known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", F.struct("id", "key", F.col("first").alias("start"))))
+    known = known.groupBy("seed", "whole").agg(F.array_sort(F.collect_set(F.struct("first", "least.*"))).alias("at"))
+    known = known.mapInArrow(_runs, f"seed long, whole long, runs array<{RUN}>")
+    alone = F.struct(F.lit(0).cast("long"), "edges", "id", "key", "first").cast(RUN)
+    known = materialize(known.unionByName(chains.select("seed", "whole", F.array(alone).alias("runs"))), "known")
+    release(opened, least, chains)
     # The head of a chain stands for it: the occurrences of its other paths find no partner here.
-    hit = seen.select("seed", "whole", "id", "key", "first").join(known, ["seed", "whole"])
-    hit = hit.where("leasts is not null or oid < id").select("id", "key", "first", "edges", "oid", "okey", "ofirst", "leasts")
-    runs = hit.mapInArrow(_runs, "id long, key long, first int, edges int, oid long, okey long, ofirst int")
+    hit = seen.select("seed", "whole", "id", "key", F.shiftright("spot", 6).alias("at")).join(known, ["seed", "whole"])
+    hit = hit.select("id", "key", "at", F.explode(F.filter("runs", lambda r: r["oid"] < F.col("id"))).alias("r"))
+    runs = hit.select("id", "key", (F.col("at") + F.col("r.nth")).alias("first"), "r.edges", "r.oid", "r.okey", "r.ofirst")
     # Runs that go on at the same source are one span.
     w = W.partitionBy("id", "key").orderBy("first", "oid", "okey", "ofirst")
     runs = runs.withColumn("again", F.coalesce(F.lag("first").over(w) == F.col("first"), F.lit(False))).where("not again").drop("again")
@@ -282,10 +272,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fresh = F.when(reduce(lambda a, b: a & b, goes_on), 0).otherwise(1)
     spans = runs.withColumn("fresh", fresh).withColumn("nth", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
     spans = spans.groupBy("id", "key", "nth").agg(
-        F.min("first").alias("first"), F.sum("edges").cast("int").alias("edges"), F.min("oid").alias("oid"), F.min("okey").alias("okey"),
+        F.min("first").alias("first"), F.sum("edges").alias("edges"), F.min("oid").alias("oid"), F.min("okey").alias("okey"),
         F.min("ofirst").alias("ofirst"),
     )
     claims = materialize(spans.drop("nth"), "claims")
+    release(seen, known)
     checked = claims.join(_digests(claims, docs, id_col, text_col, span), ["oid", "okey", "ofirst", "edges"])
     return checked.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "words")).alias("spots"))
 
