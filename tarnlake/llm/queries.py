@@ -15,7 +15,7 @@ from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
 from tarnlake.llm.simhash import near_duplicate_components
 from tarnlake.llm.substring import dedup_substrings
-from tarnlake.llm.urls import filter_urls
+from tarnlake.llm.urls import filter_urls, page_outcomes
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,8 +47,11 @@ def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_hmm_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each half of the conversations is read by a model fitted on the other."""
     talks = _read(spark, sf_dir, "conversations")
-    turns = format_chats(talks, fit_model(talks))
+    half = F.pmod(F.xxhash64("conv_id"), F.lit(2))
+    halves = [format_chats(talks.where(half == i), fit_model(talks.where(half != i))) for i in (0, 1)]
+    turns = halves[0].unionByName(halves[1])
     digest = F.sha2("rendered", 256).alias("rendered_sha256")
     return turns.select("conv_id", "turn", "part", "role", "n_lines", digest)
 
@@ -62,10 +65,9 @@ def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
-    labels = _read(spark, sf_dir, "labels")
-    outcomes = labels.select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
-    return filter_urls(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    pages = _read(spark, sf_dir, "pages")
+    found = filter_urls(pages.select("page_id", "url"), page_outcomes(pages))
+    return found.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tarnlake.llm.lines import WINDOW
 from tarnlake.llm.substring import SPAN
-from tarnlake.llm.urls import BAD_LIMIT, BOUND_Z, LOWER, RULES, STRENGTH, TWO_LABEL_SUFFIXES, UPPER
+from tarnlake.llm.urls import ADDRESS, AROUND, BAD_LIMIT, BAD_WORD, BOUND_Z, LOWER, RULES, STRENGTH, SYMBOL_RUN, TWO_LABEL_SUFFIXES, UPPER
 
 SUBSTRING = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -55,21 +55,23 @@ def _level(name: str, source: str, n: str, bad: str, prior: str, out: str) -> st
     )
 
 
-_LONG = f"regexp_extract(host, '([^.]*\\.[^.]*)$', 1) IN ({', '.join(repr(s) for s in TWO_LABEL_SUFFIXES)})"
+_LONG = f"regexp_extract(name, '([^.]*\\.[^.]*)$', 1) IN ({', '.join(repr(s) for s in TWO_LABEL_SUFFIXES)})"
+_IP = f"regexp_matches(name, '{ADDRESS}')"
 URLS = f"""
-WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+WITH u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
              regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
-y AS (SELECT doc_id AS page_id, bool_or(quality = 0) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-h0 AS (SELECT host, count(bad) AS n, count(*) FILTER (bad) AS bad FROM p LEFT JOIN y USING (page_id) GROUP BY host),
-h AS (SELECT *, CASE WHEN {_LONG} THEN regexp_extract(host, '([^.]*\\.)?([^.]*\\.[^.]*)$', 0) ELSE regexp_extract(host, '([^.]*\\.)?[^.]*$', 0) END AS domain,
-             CASE WHEN {_LONG} THEN regexp_extract(host, '([^.]*\\.[^.]*)$', 1) ELSE regexp_extract(host, '[^.]*$', 0) END AS suffix FROM h0),
+y AS (SELECT page_id, bool_or(regexp_matches(host, '{BAD_WORD}') OR coalesce(len(regexp_extract_all(html, '{SYMBOL_RUN}')) * 100 > length(html), false)) AS bad
+      FROM p WHERE page_id IS NOT NULL GROUP BY 1),
+h0 AS (SELECT host, regexp_replace(host, '{AROUND}', '', 'g') AS name, count(bad) AS n, count(*) FILTER (bad) AS bad FROM p LEFT JOIN y USING (page_id) GROUP BY host),
+h AS (SELECT *, CASE WHEN {_IP} THEN name WHEN {_LONG} THEN regexp_extract(name, '([^.]*\\.)?([^.]*\\.[^.]*)$', 0) ELSE regexp_extract(name, '([^.]*\\.)?[^.]*$', 0) END AS domain,
+             CASE WHEN {_IP} THEN '' WHEN {_LONG} THEN regexp_extract(name, '([^.]*\\.[^.]*)$', 1) ELSE regexp_extract(name, '[^.]*$', 0) END AS suffix FROM h0),
 t AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1.0::DOUBLE) AS m0 FROM h),
 s0 AS (SELECT suffix, sum(n) AS sn, sum(bad) AS sbad, any_value(m0) AS m0 FROM h CROSS JOIN t GROUP BY suffix),
 {_level("s", "s0", "sn", "sbad", "m0", "sm")},
 d0 AS (SELECT domain, suffix, sum(n) AS dn, sum(bad) AS dbad, any_value(sm) AS sm FROM h JOIN s USING (suffix) GROUP BY domain, suffix),
 {_level("d", "d0", "dn", "dbad", "sm", "dm")},
-e0 AS (SELECT host, h.n, h.bad, dm FROM h JOIN d USING (domain)),
+e0 AS (SELECT host, h.n, h.bad, dm FROM h JOIN d USING (domain, suffix)),
 {_level("e", "e0", "n", "bad", "dm", "rate")},
 b AS (SELECT host, rate - {BOUND_Z} * sqrt(rate * (1 - rate) / (rate_n + 1)) AS bound FROM e)
 SELECT page_id, host, path, {_rule("rule")} AS rule,

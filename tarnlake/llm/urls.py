@@ -1,6 +1,6 @@
 """URL filter by empirical-Bayes host reputation, in DataFrame operations only.
 
-Labelled page outcomes (bad or not) are counted by host. A beta-binomial
+Page outcomes (bad or not), labelled or judged from the pages, are counted by host. A beta-binomial
 model shrinks each suffix's rate to the corpus rate, each registered domain's
 to its suffix's and each host's to its domain's; the prior strength of a level
 is estimated from the spread of its groups. A host is blocked when a lower
@@ -24,6 +24,11 @@ RULES = (
 )
 #: Suffixes of two labels under which domains are registered.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.nz", "co.in", "co.za")
+#: Words of a host name that mark its pages as bad, and how many runs of three
+#: symbols a hundred characters of a page may hold. Both are weak labels.
+BAD_WORDS = ("ads", "adult", "bet", "bets", "casino", "pills", "porn", "spam", "track", "viagra", "xxx")
+BAD_WORD = rf"(^|[^a-z])({'|'.join(BAD_WORDS)})([^a-z]|$)"
+SYMBOL_RUN = r"[#*$%]{3}|(&amp;){3}"
 BAD_LIMIT = 0.5
 BOUND_Z = 1.645
 STRENGTH = (1.0, 1000.0)
@@ -50,33 +55,47 @@ def matched_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return out
 
 
+#: User part and port of a host, and hosts that are addresses.
+AROUND = r"^[^@]*@|:[0-9]*$"
+ADDRESS = r"^([0-9]+\.){3}[0-9]+$|^\["
+
+
 def registered_domain(host: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host."""
-    two = F.substring_index(host, ".", -2)
+    """Registered domain and suffix of a host, without user part and port. An
+    address is its own domain below the suffix ''."""
+    name = F.regexp_replace(host, AROUND, "")
+    two = F.substring_index(name, ".", -2)
     long_suffix = two.isin(*TWO_LABEL_SUFFIXES)
-    suffix = F.when(long_suffix, two).otherwise(F.substring_index(host, ".", -1))
-    return F.when(long_suffix, F.substring_index(host, ".", -3)).otherwise(two), suffix
+    address = name.rlike(ADDRESS)
+    suffix = F.when(address, "").when(long_suffix, two).otherwise(F.substring_index(name, ".", -1))
+    return F.when(address, name).when(long_suffix, F.substring_index(name, ".", -3)).otherwise(two), suffix
+
+
+def page_outcomes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, bad) of every page, judged from the page itself: a word of its
+    host's name, or too many runs of symbols in its text. Null html has none."""
+    host, _ = host_and_path(F.col(url_col))
+    noisy = F.regexp_count(F.col(html_col), F.lit(SYMBOL_RUN)) * 100 > F.length(html_col)
+    return pages.select(F.col(id_col), (host.rlike(BAD_WORD) | F.coalesce(noisy, F.lit(False))).alias("bad"))
 
 
 def _shrink(groups: DataFrame, n: str, bad: str, prior: str, out: str) -> DataFrame:
     """Add ``out`` (posterior mean) and ``out``_n (posterior weight) to groups.
 
     ``prior`` is the parent's mean. One prior strength for the level, from the
-    intra-group correlation that the groups' spread around it shows.
+    intra-group correlation that the groups' spread around it shows: one
+    number, read from one aggregate over the level.
     """
     v = F.col(prior) * (1 - F.col(prior))
     rate = F.col(bad) / F.col(n)
-    seen = groups.where((F.col(n) > 0) & (v > 0)).agg(
-        F.sum(F.col(n) * (rate - F.col(prior)) * (rate - F.col(prior)) - v).alias("_num"),
-        F.sum((F.col(n) - 1) * v).alias("_den"),
-    )
+    num, den = groups.where((F.col(n) > 0) & (v > 0)).agg(
+        F.sum(F.col(n) * (rate - F.col(prior)) * (rate - F.col(prior)) - v), F.sum((F.col(n) - 1) * v)
+    ).first()
     low, high = STRENGTH
-    rho = F.coalesce(F.col("_num") / F.nullif(F.col("_den"), F.lit(0.0)), F.lit(0.0))
-    rho = F.greatest(F.lit(1 / (1 + high)), F.least(F.lit(1 / (1 + low)), rho))
-    strength = seen.select((1 / rho - 1).alias("_k"))
-    mean = (F.col(bad) + F.col(prior) * F.col("_k")) / (F.col(n) + F.col("_k"))
-    groups = groups.withColumn("_k", strength.scalar())
-    return groups.withColumns({out: mean, f"{out}_n": F.col(n) + F.col("_k")}).drop("_k")
+    rho = min(1 / (1 + low), max(1 / (1 + high), num / den if den else 0.0))
+    weight = F.col(n) + F.lit(1 / rho - 1)
+    mean = (F.col(bad) + F.col(prior) * F.lit(1 / rho - 1)) / weight
+    return groups.withColumns({out: mean, f"{out}_n": weight})
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -85,6 +104,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_i
     ``outcomes`` has ``id_col`` and ``bad`` (boolean); several outcomes of one
     page count once (bad if any is). Hosts without labelled pages get their
     domain's rate. Empty outcomes give every host the prior mean of one half.
+    The table of a level is written once and read by the next.
     """
     host, _ = host_and_path(F.col(url_col))
     seen = outcomes.where(F.col(id_col).isNotNull() & F.col("bad").isNotNull()).groupBy(id_col).agg(F.max("bad").alias("_bad"))
@@ -96,13 +116,12 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_i
     )
     domain, suffix = registered_domain(F.col("host"))
     hosts = materialize(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("bad").alias("dbad"))
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("bad").alias("sbad"))
-    total = hosts.agg(F.sum("n").alias("_n"), F.sum("bad").alias("_b"))
-    top = total.select(((F.coalesce("_b", F.lit(0)) + 0.5) / (F.coalesce("_n", F.lit(0)) + 1.0)).alias("m0"))
-    suffixes = _shrink(suffixes.withColumn("m0", top.scalar()), "sn", "sbad", "m0", "sm")
-    domains = _shrink(domains.join(suffixes.select("suffix", "sm"), "suffix"), "dn", "dbad", "sm", "dm")
-    out = _shrink(hosts.join(domains.select("domain", "dm"), "domain"), "n", "bad", "dm", "bad_rate")
+    domains = materialize(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("bad").alias("dbad")), "domains")
+    suffixes = materialize(domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dbad").alias("sbad")), "suffixes")
+    n, bad = suffixes.agg(F.sum("sn"), F.sum("sbad")).first()
+    suffixes = _shrink(suffixes.withColumn("m0", F.lit(((bad or 0) + 0.5) / ((n or 0) + 1.0))), "sn", "sbad", "m0", "sm")
+    domains = materialize(_shrink(domains.join(suffixes.select("suffix", "sm"), "suffix"), "dn", "dbad", "sm", "dm"), "domains")
+    out = _shrink(hosts.join(domains.select("domain", "suffix", "dm"), ["domain", "suffix"]), "n", "bad", "dm", "bad_rate")
     spread = F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (F.col("bad_rate_n") + 1))
     return out.select("host", "n", "bad", "bad_rate", (F.col("bad_rate") - BOUND_Z * spread).alias("bound"))
 
@@ -119,7 +138,8 @@ def filter_urls(
 
     A rule decides if one fits; else a page is blocked when the lower bound
     of its host's bad rate is over ``bad_limit``. Null urls have host '' and
-    are judged as a host of that name; repeated rows stay. Columns of these
+    are judged as a host of that name; repeated rows stay and count once by
+    their id; very long urls are cut like others. Columns of these
     names in ``pages`` are replaced. The join on the host is an equi-join of
     two plain shuffles, so a hot host is split by adaptive execution.
     """

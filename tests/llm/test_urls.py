@@ -1,6 +1,10 @@
 import re
 
-from tarnlake.llm.urls import RULES, filter_urls, host_reputation
+import duckdb
+from pyspark.sql import functions as F
+
+from tarnlake.llm import queries
+from tarnlake.llm.urls import RULES, filter_urls, host_reputation, page_outcomes, registered_domain
 
 
 def expected(url):
@@ -41,3 +45,24 @@ def test_reputation_shrinks_and_blocks(spark):
     assert got[3] == "block" and got[101] == "allow"
     assert filter_urls(pages.limit(0), outcomes).count() == 0
     assert filter_urls(pages, outcomes.limit(0)).where("verdict = 'block'").count() == 0
+
+
+def test_query_blocks_hosts_as_its_sql_does(spark, tmp_path):
+    rows = [(i, f"http://www.casino-{i % 3}.example.net/p{i}", "<p>words") for i in range(300)]
+    rows += [(1000 + i, f"http://h{i % 40}.example.{('net', 'com')[i % 2]}:80/p{i}", "<p>words of a page") for i in range(800)]
+    rows += [(2000 + i, "http://noisy.site.co.uk/", "<p>" + "### $$$ " * 40) for i in range(50)] + [(2100 + i, "http://u@10.0.0.1:8080/", None) for i in range(9)]
+    rows += [(3000, None, None), (3000, None, "***"), (None, "http://x.example.com/", "x"), (3001, "http://" + "a" * 100_000 + ".com/" + "b" * 100_000, "x")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((tuple(r) for r in queries.op9_url_reputation(spark, str(tmp_path)).collect()), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted((tuple(r) for r in con.execute(queries.ORACLE_SQL["op9_url_reputation"]).fetchall()), key=repr)
+    blocked = {r[1] for r in got if r[4] == "block"}
+    assert blocked == {"www.casino-0.example.net", "www.casino-1.example.net", "www.casino-2.example.net", "noisy.site.co.uk"}
+
+
+def test_registered_domains(spark):
+    hosts = {"a.b.example.org": ("example.org", "org"), "u:p@x.co.uk:80": ("x.co.uk", "co.uk"), "10.0.0.1:80": ("10.0.0.1", ""), "[::1]:80": ("[::1]", ""), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    assert {r.host: (r[1], r[2]) for r in df.select("host", *registered_domain(F.col("host"))).collect()} == hosts
+    assert page_outcomes(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
