@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tarnlake.session import materialize
@@ -126,9 +127,25 @@ class Model:
             out = (out[:, :, None] + self.step[None, :, :]).max(axis=1) + row[None, :]
         return out
 
+    def borders(self, blocks: list[np.ndarray]) -> list[tuple[int, int]]:
+        """States of the first and the last line of each block on one best
+        path, from the blocks' transfer scores."""
+        best, back = self.start[:, None] + blocks[0], []
+        for m in blocks[1:]:
+            hop = best.max(axis=0)[:, None] + self.step
+            back.append((best.argmax(axis=0), hop.argmax(axis=0)))
+            best = hop.max(axis=0)[:, None] + m
+        first, last = divmod(int(best.argmax()), best.shape[1])
+        out = [(first, last)]
+        for firsts, lasts in reversed(back):
+            last = int(lasts[first])
+            first = int(firsts[last])
+            out.append((first, last))
+        return out[::-1]
+
     def decode(self, values: np.ndarray, entry: np.ndarray, leave: np.ndarray | None = None) -> np.ndarray:
         """Viterbi states; ``entry``: scores before the first line's evidence;
-        ``leave``: scores of what follows the last line, by its state."""
+        ``leave``: scores of the last line's states beside its evidence."""
         seen = self.seen(values)
         best, back = entry + seen[0], []
         for row in seen[1:]:
@@ -195,6 +212,24 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tup
         yield key, rows
 
 
+def _numbered(records: DataFrame) -> DataFrame:
+    """Add ``nth``, from 0, by conversation in order of (turn, tie).
+
+    Range-partitioned, so a conversation of any length spreads over tasks; a
+    random last key splits even equal records, which are interchangeable. The
+    rows are written before they are numbered: that key must not change.
+    """
+    order = ["conv_id", "turn", "tie", "salt"]
+    dealt = records.withColumn("salt", F.rand(7)).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "dealt")
+    counts = dealt.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("conv_id").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    shift = counts.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    nth = F.row_number().over(W.partitionBy("conv_id", "part").orderBy("turn", "tie", "salt"))
+    both = dealt.withColumn("nth", nth).join(shift, dealt["conv_id"].eqNullSafe(F.col("_c")) & (dealt["part"] == F.col("_p")))
+    return both.withColumn("nth", F.col("nth") + F.col("shift") - 1)
+
+
 def _dealt(df: DataFrame) -> DataFrame:
     return df.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "tie")
 
@@ -217,24 +252,27 @@ def format_chats(
     A record may hold several turns (parts from 0) if markers inside it start
     new ones. Roles depend on texts and order only. Null text is one empty
     line; null conversations form one conversation; null turns come first;
-    equal turn numbers are ordered by text. Records of a conversation are cut
-    into blocks by turn number: where it has several, each block's transfer
-    scores (states x states) are combined along the conversation, and blocks
-    are decoded knowing what comes before and after, so the path is that of
-    the whole conversation and no task holds it all.
+    equal turn numbers are ordered by text; repeated rows are repeated records.
+    Conversations of more than ``block`` records are cut into blocks of that
+    many, whatever their turn numbers: each block's transfer scores (states x
+    states) are combined along the conversation, which gives the states at the
+    blocks' borders, and each block is decoded between them: the path is a best
+    one of the whole conversation and no task holds it all. Other columns are left out.
     """
     model = model or Model.from_counts([])
     src = records.select(
         F.col(conv).cast("long").alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn) / block), F.lit(-1)).cast("long").alias("block"),
         F.col(turn).cast("long").alias("turn"),
         F.xxhash64(text).alias("tie"),
         F.col(text).alias("text"),
         F.coalesce(F.col(turn) <= 0, F.lit(False)).alias("opens"),
     )
-    spans = src.groupBy("conv_id").agg(F.min("block").alias("low"), F.max("block").alias("high")).where("low < high")
-    long = materialize(spans.select(F.col("conv_id").alias("_c")), "long")
-    many = src.join(long, src["conv_id"].eqNullSafe(long["_c"]), "left_semi")
+    sizes = src.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    long = materialize(sizes.select(F.col("conv_id").alias("_c")), "long")
+    same = src["conv_id"].eqNullSafe(long["_c"])
+    columns = ["conv_id", "block", "turn", "tie", "text", "opens"]
+    many = _numbered(src.join(long, same, "left_semi")).withColumn("block", F.floor(F.col("nth") / block).cast("long")).select(columns)
+    src = many.unionByName(src.join(long, same, "left_anti").withColumn("block", F.lit(0).cast("long")).select(columns))
     edges = materialize(_block_edges(_dealt(many), model), "edges")
     src = src.join(
         edges.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b"), "entry", "leave"),
@@ -284,13 +322,8 @@ def _block_edges(blocks: DataFrame, model: Model) -> DataFrame:
     def chain(key: tuple, t: pa.Table) -> pa.Table:
         order = np.argsort(t.column("block").to_numpy())
         ms = [np.array(t.column("m")[int(i)].as_py()).reshape(n, n) for i in order]
-        entry, leave = [model.start], [np.zeros(n)]
-        for m in ms[:-1]:
-            before = (entry[-1][:, None] + m).max(axis=0)
-            entry.append((before[:, None] + model.step).max(axis=0))
-        for m in ms[:0:-1]:
-            after = (m + leave[0][None, :]).max(axis=1)
-            leave.insert(0, (model.step + after[None, :]).max(axis=1))
+        only = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
+        entry, leave = zip(*[(only[first], only[last]) for first, last in model.borders(ms)], strict=True)
         return pa.table(
             {
                 "conv_id": pa.array([key[0].as_py()] * len(ms), pa.int64()),
