@@ -9,6 +9,7 @@ ranked by exact distance.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +20,14 @@ from pyspark.sql import functions as F
 
 from tarnlake.session import materialize
 
-#: Bounds of the fitted index: rows in the sample, parts, neighbours, hidden units.
+#: Bounds of the fitted index: rows in a sample, parts that one router tells
+#: apart, neighbours, hidden units. The number of parts grows with the rows, up
+#: to MAX_PARTS * MAX_PARTS: parts of the first level that hold many rows are
+#: cut again by routers of their own.
 MAX_SAMPLE = 8192
 MAX_PARTS = 128
 ROWS_PER_PART = 1000
+FINE_SAMPLE = 2048
 GRAPH_DEGREE = 10
 HIDDEN = 64
 #: Share of sample neighbours that the visited parts must hold.
@@ -114,13 +119,14 @@ class Router:
 
 def fit_router(sample: np.ndarray, parts: int) -> tuple[Router | None, int]:
     """Router and number of parts to visit; None: one part holds everything."""
-    if parts < 2 or len(sample) < 4 * GRAPH_DEGREE:
+    if parts < 2 or len(sample) < 2 * parts:
         return None, 1
-    graph = knn_graph(sample, GRAPH_DEGREE)
+    degree = min(GRAPH_DEGREE, len(sample) - 1)
+    graph = knn_graph(sample, degree)
     part = balanced_parts(graph, parts)
     soft = np.zeros((len(sample), parts))
-    np.add.at(soft, (np.arange(len(sample)), part), GRAPH_DEGREE / 2)
-    np.add.at(soft, (np.repeat(np.arange(len(sample)), GRAPH_DEGREE), part[graph].ravel()), 1.0)
+    np.add.at(soft, (np.arange(len(sample)), part), degree / 2)
+    np.add.at(soft, (np.repeat(np.arange(len(sample)), degree), part[graph].ravel()), 1.0)
     # Fitted on four fifths; how many parts to visit is read from the rest.
     held = np.arange(len(sample)) % 5 == 0
     router = Router(sample[~held], (soft / soft.sum(axis=1, keepdims=True))[~held])
@@ -143,23 +149,74 @@ def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1)
 
 
-def _routed(df: DataFrame, router: Router | None, visits: int) -> DataFrame:
-    """Add ``part``, one row for each of the ``visits`` most probable parts."""
+class Index:
+    """A router over parts, and routers of their own for the large ones."""
+
+    def __init__(self, router: Router | None, visits: int, width: int):
+        self.router, self.visits, self.width = router, visits, width
+        self.fine: dict[int, tuple[Router, int]] = {}
+
+    def route(self, x: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part): the part a row is filed in, or those a query visits."""
+        n = len(x)
+        order = self.router.order(x)[:, : self.visits if query else 1] if self.router else np.zeros((n, 1), np.int64)
+        rows, parts = [], []
+        for coarse in np.unique(order):
+            hit = np.flatnonzero((order == coarse).any(axis=1))
+            below = np.zeros((len(hit), 1), np.int64)
+            if coarse in self.fine:
+                router, visits = self.fine[coarse]
+                below = router.order(x[hit])[:, : visits if query else 1]
+            rows.append(np.repeat(hit, below.shape[1]))
+            parts.append((coarse * self.width + below).ravel())
+        return (np.concatenate(rows), np.concatenate(parts)) if rows else (np.zeros(0, np.int64),) * 2
+
+
+def _routed(df: DataFrame, index: Index, query: bool) -> DataFrame:
+    """Add ``part``: one row for the part a row is filed in or each it visits."""
     names = [*df.columns, "part"]
     at = df.columns.index("vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            order = router.order(_matrix(b.column(at)))[:, :visits] if router else np.zeros((b.num_rows, 1), np.int64)
-            b = b.take(pa.array(np.repeat(np.arange(b.num_rows), order.shape[1])))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(order.ravel().astype(np.int32))], names=names)
+            if b.num_rows:
+                row, part = index.route(_matrix(b.column(at)), query)
+                yield pa.RecordBatch.from_arrays([*b.take(pa.array(row)).columns, pa.array(part.astype(np.int32))], names=names)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{fields}, part int")
 
 
+def build_index(folded: DataFrame, n: int, rows_per_part: int = ROWS_PER_PART, max_parts: int = MAX_PARTS) -> Index:
+    """Fit the index of ``n`` vectors on samples of bounded size.
+
+    Two parts at least where the vectors allow a graph. First-level parts with
+    more than twice ``rows_per_part`` rows get a router of their own, fitted in
+    one task each on ``FINE_SAMPLE`` of their rows; the driver sees at most
+    ``max_parts`` such routers.
+    """
+    parts = int(min(max_parts, max(2, n // rows_per_part)))
+    by_hash = F.xxhash64(F.lit(3), "h1", "h2")
+    sample = folded.orderBy(by_hash, "h1").limit(min(MAX_SAMPLE, max(2048, 64 * parts))).select("vec").collect()
+    index = Index(*fit_router(np.array([r.vec for r in sample], np.float64), parts), max_parts)
+    if n <= 2 * rows_per_part * parts:
+        return index
+    filed = materialize(_routed(folded.select("h1", "h2", "vec"), index, False), "coarse")
+    wide = filed.groupBy(F.floor(F.col("part") / max_parts).cast("int").alias("coarse")).count()
+    wide = wide.select("coarse", F.least(F.lit(max_parts), F.floor(F.col("count") / rows_per_part)).cast("int").alias("cut")).where("cut > 2")
+    nth = F.row_number().over(W.partitionBy("part").orderBy(by_hash, "h1"))
+    picked = filed.withColumn("nth", nth).where(F.col("nth") <= FINE_SAMPLE).withColumn("coarse", F.floor(F.col("part") / max_parts).cast("int"))
+
+    def fit(key: tuple, t: pa.Table) -> pa.Table:
+        router, visits = fit_router(_matrix(t.column("vec")), t.column("cut")[0].as_py())
+        return pa.table({"coarse": pa.array([key[0].as_py()], pa.int32()), "model": pa.array([pickle.dumps((router, visits))], pa.binary())})
+
+    models = picked.join(wide, "coarse").groupBy("coarse").applyInArrow(fit, "coarse int, model binary").collect()
+    found = {r.coarse: pickle.loads(r.model) for r in models}
+    index.fine = {c: m for c, m in found.items() if m[0] is not None}
+    return index
+
+
 def _nearest(q: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query row the k least distances and all ties with the last."""
     sq = (x * x).sum(axis=1)
@@ -184,6 +241,7 @@ def nearest_neighbours(
     k: int = 10,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
+    rows_per_part: int = ROWS_PER_PART,
     max_parts: int = MAX_PARTS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found, own id left out.
@@ -212,15 +270,11 @@ def nearest_neighbours(
     )
     asked = src.where(F.coalesce("q", F.lit(False))).select(F.col("id").alias("query_id"), "h1", "h2")
     n = folded.count()
-    parts = int(min(max_parts, n // ROWS_PER_PART))
-    size = min(MAX_SAMPLE, max(2048, 64 * parts))
-    # A sample of bounded size, chosen by hash; the index itself files every row.
-    sample = [r.vec for r in folded.orderBy(F.xxhash64(F.lit(3), "h1", "h2"), "h1").limit(size).select("vec").collect()] if parts > 1 else []
-    router, visits = fit_router(np.array(sample, np.float64), parts)
-    filed = materialize(_routed(folded, router, 1), "filed")
+    index = build_index(folded, n, rows_per_part, max_parts)
+    filed = materialize(_routed(folded, index, False), "filed")
     queries = folded.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "vec")
-    routed = materialize(_routed(queries, router, visits), "routed")
-    # At most ``max_parts`` rows each: blocks of a part, by its number of rows.
+    routed = materialize(_routed(queries, index, True), "routed")
+    # One row a part, at most ``max_parts`` squared: blocks of a part, by its number of rows.
     blocks = (
         filed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("vb"))
         .join(routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("qb")), "part")

@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from tarnlake.llm.ann import balanced_parts, fit_router, knn_graph, nearest_neighbours
+from tarnlake.llm.ann import balanced_parts, build_index, fit_router, knn_graph, nearest_neighbours
 
 
 def brute(rows, k=10):
@@ -23,7 +23,8 @@ def test_exact_in_one_part_with_odd_vectors(spark):
     rows += [(500, None), (520, [0.0] * 8), (540, [float("nan")] * 8), (560, [1.0] * 7 + [float("inf")]), (580, [1.0, None] + [0.0] * 6), (601, [1.0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, score string")
     got = {}
-    for r in nearest_neighbours(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+    whole = {"rows_per_part": 1000, "max_parts": 1}
+    for r in nearest_neighbours(df, F.col("vec_id") % 20 == 0, **whole).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.score, r.vec_id))
     want = brute([x for x in rows if x[0] != 601])
     assert set(got) == set(want)
@@ -35,21 +36,49 @@ def test_exact_in_one_part_with_odd_vectors(spark):
     assert nearest_neighbours(few, F.col("vec_id") % 20 == 0).count() == 2
 
 
+def recall(df, is_query, **how):
+    """Share of true neighbours found; and every query has all its ranks."""
+    rows = df.select("vec_id", "embedding", is_query.alias("q")).collect()
+    x, ids = np.array([r.embedding for r in rows], np.float64), np.array([r.vec_id for r in rows])
+    got = {}
+    for r in nearest_neighbours(df, is_query, **how).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = [i for i, r in enumerate(rows) if r.q]
+    hit = 0
+    for i in asked:
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        hit += len(got[int(ids[i])] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
+    return hit / (10 * len(asked))
+
+
 def test_recall_over_learned_parts(spark):
     rnd = np.random.default_rng(4)
     centres = rnd.normal(size=(12, 16))
     x = np.float32(centres[rnd.integers(0, 12, 9000)] + 0.6 * rnd.normal(size=(9000, 16)))
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
-    found = nearest_neighbours(df, F.col("vec_id") % 100 == 0)
-    got = {}
-    for r in found.collect():
-        got.setdefault(r.query_id, set()).add(r.vec_id)
-    x, hit = x.astype(np.float64), 0
-    for q in range(0, 9000, 100):
-        d = ((x - x[q]) ** 2).sum(axis=1)
-        d[q] = np.inf
-        hit += len(got[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
-    assert hit >= 0.9 * 10 * 90
+    assert recall(df, F.col("vec_id") % 100 == 0) >= 0.9
+    # Two levels: eight parts, each cut again.
+    assert recall(df, F.col("vec_id") % 100 == 0, rows_per_part=150, max_parts=8) >= 0.9
+    folded = df.select(F.xxhash64("embedding").alias("h1"), F.col("vec_id").alias("h2"), F.col("embedding").alias("vec"))
+    index = build_index(folded, 9000, 150, 8)
+    assert len(index.fine) >= 6 and index.visits < 8
+    rows, parts = index.route(x.astype(np.float64), False)
+    assert sorted(rows.tolist()) == list(range(9000)) and len(set(parts.tolist())) > 30
+
+
+def test_recall_on_the_small_table(spark):
+    """500 vectors are routed over learned parts too."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    assert recall(df.where("embedding is not null"), F.col("vec_id") % 10 == 0) >= 0.9
+    folded = df.select(F.xxhash64("embedding").alias("h1"), F.col("vec_id").alias("h2"), F.col("embedding").alias("vec"))
+    assert build_index(folded, 500).router is not None
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, [1.0, 2.0]), (0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 3.0]), (1, [1.0, 3.0]), (2, [5.0, 5.0])]
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == [(1, 1), (2, 2)]
 
 
 def test_parts_are_balanced():
@@ -59,4 +88,4 @@ def test_parts_are_balanced():
     assert size.max() <= 1.2 * 100 and size.min() > 40
     router, visits = fit_router(x, 12)
     assert router is not None and 1 <= visits <= 12
-    assert fit_router(x, 1) == (None, 1)
+    assert fit_router(x, 1) == (None, 1) and fit_router(x[:3], 2) == (None, 1)
