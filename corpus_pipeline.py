@@ -15,7 +15,7 @@ from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
 from tarnlake.llm.simhash import near_duplicate_groups
 from tarnlake.llm.substring import dedup_substrings
-from tarnlake.session import materialize, ship_package
+from tarnlake.session import materialize, release, ship_package
 
 
 def _like(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -82,7 +82,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        release(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
