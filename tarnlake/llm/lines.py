@@ -71,13 +71,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts of fewer than three lines never change. Order is (id, text key,
     position), null ids first; rows with equal id and text count as one
     document, so exact repeats of a row keep the same lines. If every line
-    goes, the text becomes ''. Columns named like the two counts are replaced.
+    goes, the text becomes ''. Very long texts are one row of many windows. Columns
+    named like the two counts are replaced, all others kept.
     """
     docs = docs.drop("n_lines", "n_removed_lines")
     spans = line_spans(docs, id_col, text_col)
-    keyed = docs.withColumn("_tk", F.xxhash64(text_col))
-    both = keyed.join(spans, keyed[id_col].eqNullSafe(spans["_id"]) & (keyed["_tk"] == spans["_key"]), "left")
-    lines, n = F.split(text_col, "\n"), F.size(F.split(text_col, "\n"))
+    # A row's own columns travel in one, so none can clash with the joined ones.
+    own = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0)]
+    src = docs.select(F.struct(*own).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    both = src.join(spans, src["id"].eqNullSafe(spans["_id"]) & (src["key"] == spans["_key"]), "left")
+    lines, n = F.split("text", "\n"), F.size(F.split("text", "\n"))
     gaps = F.transform(
         F.sequence(F.lit(0), F.size("spans")),
         lambda j: F.struct(
@@ -88,11 +91,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = F.flatten(F.transform(gaps, lambda g: F.slice(lines, g["a"] + 1, F.greatest(g["b"] - g["a"], F.lit(0)))))
     removed = F.aggregate("spans", F.lit(0), lambda acc, s: acc + s["hi"] - s["lo"] + 1)
     hit = F.col("spans").isNotNull()
+    cleaned = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text"))
     return both.select(
-        *[
-            F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(text_col)).alias(c) if c == text_col else keyed[c]
-            for c in docs.columns
-        ],
+        *[(cleaned if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns],
         F.coalesce(n, F.lit(0)).cast("long").alias("n_lines"),
         F.when(hit, removed).otherwise(0).cast("long").alias("n_removed_lines"),
     )

@@ -189,8 +189,8 @@ def near_duplicate_groups(
     cols = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "group")]
     prints = materialize(fingerprints(docs, text_col, cols), "fingerprints")
     nodes = materialize(prints.select("fp").distinct().withColumn("id", F.col("fp")), "nodes")
-    labels = connected_components(similarity_links(nodes, radius)).select(F.col("id").alias("fp"), "component")
-    return prints.join(labels, "fp", "left").select(*cols, "fp", F.coalesce("component", "fp").alias("group"))
+    labels = connected_components(similarity_links(nodes, radius)).select(F.col("id").alias("fp"), F.col("component").alias("group"))
+    return prints.join(labels, "fp", "left").select(*cols, "fp", F.coalesce("group", "fp").alias("group"))
 
 
 __all__ = [
