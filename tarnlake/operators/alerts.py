@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,27 @@ def pii_alerts(scan: DataFrame, at: str, critical_from: int = 5) -> DataFrame:
     return _alert(scan, "pii_detected", level, F.col("table_name"), title, F.col("matches").cast("string"), at)
 
 
+def run_checks(
+    at: str,
+    table: str,
+    drift: tuple[DataFrame, DataFrame] | None = None,
+    dimensions: DataFrame | None = None,
+    rejections: tuple[DataFrame, DataFrame] | None = None,
+    pii: DataFrame | None = None,
+) -> DataFrame | None:
+    """The alerts of every check whose input is given, as one frame."""
+    found = []
+    if drift is not None:
+        found.append(drift_alerts(*drift, table, at))
+    if dimensions is not None:
+        found.append(score_alerts(dimensions, at))
+    if rejections is not None:
+        found.append(rejection_alerts(*rejections, table, at))
+    if pii is not None:
+        found.append(pii_alerts(pii, at))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
 def built_alert(spark: SparkSession, kind: str, severity: str, source: str, title: str, message: str, at: str) -> DataFrame:
     """One alert; an unknown severity becomes a warning."""
     level = severity if severity in SEVERITIES else "warning"
@@ -164,6 +187,35 @@ def metric_rows(df: DataFrame, names: list[str], labels: dict, at: str) -> DataF
     return long.select("name", F.lit("gauge").alias("kind"), "value", tags.alias("labels"), F.lit(at).cast("timestamp").alias("recorded_at"))
 
 
+def run_metrics(spark: SparkSession, pipeline: str, seconds: float, status: str, at: str, rows: int = 0, rejected: int = 0, table: str = "all") -> DataFrame:
+    """Duration of a run, and the rows it processed and rejected if any."""
+    out = metric(spark, "pipeline_run_duration_seconds", "histogram", seconds, {"pipeline_name": pipeline, "status": status}, at)
+    where = {"pipeline_name": pipeline, "table_name": table}
+    for name, n, tag in (("pipeline_rows_processed", rows, {"stage": "complete"}), ("pipeline_rows_rejected", rejected, {"reason": "quality_check"})):
+        if n > 0:
+            out = out.unionByName(metric(spark, name, "counter", n, where | tag, at))
+    return out
+
+
+def check_metrics(results: DataFrame, at: str) -> DataFrame:
+    """Results (table_name, check_name, success, severity) as counters of
+    passed and failed checks."""
+    name = F.when(F.col("success"), "dq_check_passed").otherwise("dq_check_failed")
+    tags = F.create_map(F.lit("table_name"), "table_name", F.lit("check_name"), "check_name")
+    worse = F.map_concat(tags, F.create_map(F.lit("severity"), F.col("severity")))
+    labels = F.when(F.col("success"), tags).otherwise(worse)
+    return results.select(name.alias("name"), F.lit("counter").alias("kind"), F.lit(1.0).alias("value"), labels.alias("labels"), F.lit(at).cast("timestamp").alias("recorded_at"))
+
+
+def table_metrics(tables: DataFrame, stage: str, at: str) -> DataFrame:
+    """Tables (table_name, row_count, last_update) as gauges of size and age."""
+    age = F.timestamp_diff("SECOND", F.col("last_update").cast("timestamp_ntz"), F.lit(at).cast("timestamp_ntz")) / 3600
+    long = tables.select("table_name", F.col("row_count").cast("double").alias("data_row_count"), age.alias("data_freshness_hours"))
+    long = long.unpivot(["table_name"], ["data_row_count", "data_freshness_hours"], "name", "value").where("value is not null")
+    tags = F.create_map(F.lit("table_name"), "table_name", F.lit("stage"), F.lit(stage))
+    return long.select("name", F.lit("gauge").alias("kind"), "value", tags.alias("labels"), F.lit(at).cast("timestamp").alias("recorded_at"))
+
+
 def roll_up(metrics: DataFrame, by: list[str]) -> DataFrame:
     """Counters add up, gauges show their last value, histograms summarise."""
     tags = [F.col("labels")[b].alias(b) for b in by]

@@ -51,6 +51,41 @@ def select_tables(tables: list[SourceTable], rules: list[dict]) -> list[SourceTa
     return out
 
 
+@dataclass
+class Mappings:
+    """What a mapping document says: tables, their prefix, renamed schemas."""
+
+    tables: list[SourceTable]
+    prefix: str
+    schemas: dict[str, str]
+
+
+def read_mappings(document: dict, settings: dict | None = None) -> Mappings:
+    """A document of selection and transformation rules.
+
+    Explicit selections name the tables, with id column, tracking column and
+    delete mark in their change-capture block; the first prefix rule for tables
+    counts, else the settings' own; rename rules map schemas.
+    """
+    by_kind: dict[tuple, list[dict]] = {}
+    for r in document.get("rules", []):
+        by_kind.setdefault((r.get("rule-type"), r.get("rule-action"), r.get("rule-target")), []).append(r)
+    place = lambda r: r.get("object-locator", {})
+    prefixes = by_kind.get(("transformation", "add-prefix", "table"), [])
+    prefix = prefixes[0].get("value", "") if prefixes else (settings or {}).get("task_settings", {}).get("table_prefix", "")
+    schemas: dict[str, str] = {}
+    for r in by_kind.get(("transformation", "rename", "schema"), []):
+        schemas.setdefault(place(r).get("schema-name"), r.get("value"))
+    tables = []
+    for kind, rules in by_kind.items():
+        for r in rules if kind[:2] == ("selection", "explicit") else ():
+            cdc = r.get("cdc-config", {})
+            gone = cdc.get("delete-column"), cdc.get("delete-value")
+            more = {"delete_when": gone} if all(gone) else {}
+            tables.append(SourceTable(place(r)["schema-name"], place(r)["table-name"], cdc.get("id-column", "id"), cdc.get("tracking-column"), prefix=prefix, **more))
+    return Mappings(tables, prefix, schemas)
+
+
 def target_path(t: SourceTable, kind: str, batch: str, schemas: dict[str, str] | None = None, default: str | None = None) -> str:
     """<schema>/<prefix><table>/<kind>/<batch> below the landing zone."""
     schema = (schemas or {}).get(t.schema, default or t.schema)

@@ -193,6 +193,22 @@ def profile_table(df: DataFrame, name: str, approximate: bool = False) -> dict[s
     return out
 
 
+def profile_all(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, the column profile): every table in name order. A table
+    that cannot be read has one row with its error and no columns."""
+    rows, failed = [], []
+    for name, df in sorted(tables.items()):
+        try:
+            rows.append(materialize(completeness_profile(df).withColumn("table_name", F.lit(name)), "profile"))
+        except Exception as e:  # reported in the row of this table
+            failed.append((name, str(e).splitlines()[0]))
+    out = [r.withColumn("error", F.lit(None).cast("string")) for r in rows]
+    if failed:
+        spark = next(iter(tables.values())).sparkSession
+        out.append(spark.createDataFrame(failed, "table_name string, error string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+
+
 def profile_summary(columns: DataFrame, outliers: DataFrame | None = None) -> DataFrame:
     """Null share, columns with nulls, duplicates and outliers, completeness."""
     cells, nulls = F.sum("row_count"), F.sum("null_count")

@@ -69,8 +69,9 @@ def violations(df: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES) -> Column
 
 def split(df: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected). Quarantine rules reject the row with its reasons;
-    mask rules hide the matches and keep it; drop rules remove it silently."""
-    judged = df.withColumn("_v", violations(df, rules))
+    mask rules hide the matches and keep it; drop rules remove it silently.
+    ``_original_index`` numbers the input rows (unique, rising by partition)."""
+    judged = df.withColumns({"_v": violations(df, rules), "_original_index": F.monotonically_increasing_id()})
     has = lambda action: F.exists("_v", lambda v: v["action"] == action)
     masked = {}
     for r in rules:
@@ -78,7 +79,7 @@ def split(df: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, at: Column | N
             for c in _columns(df, r):
                 if dict(df.dtypes)[c] == "string":
                     masked[c] = F.regexp_replace(masked.get(c, F.col(f"`{c}`")), r.pattern, r.mask)
-    kept = judged.where(~has("quarantine") & ~has("drop")).drop("_v").withColumns(masked)
+    kept = judged.where(~has("quarantine") & ~has("drop")).drop("_v", "_original_index").withColumns(masked)
     bad = judged.where(has("quarantine")).withColumns(
         {"_rejection_reason": F.col("_v"), "_rejection_time": F.current_timestamp() if at is None else at}
     )

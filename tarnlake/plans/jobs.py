@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions import clean
-from tarnlake.operators import alerts, ingest, profiling, staging, warehouse
+from tarnlake.operators import alerts, ingest, profiling, rejects, staging, warehouse
 from tarnlake.plans.registry import AS_OF, LOG, _log, query
 from tarnlake.session import shared_dir
 from tarnlake.sources import landing
@@ -245,3 +245,41 @@ def exact_quantiles(t):
     q = profiling.quantiles(t.orders, ["o_totalprice", "o_custkey"], [0.5, 0.95])
     exact = lambda i: F.get("quantiles", i).cast("decimal(18,3)").cast("double")
     return q.select("column_name", exact(0).alias("median"), exact(1).alias("p95"))
+
+
+@query(
+    "WITH m AS (SELECT event_type, count(*) AS n, max(date_trunc('second', ts)) AS last FROM events GROUP BY 1) "
+    "SELECT 'data_row_count' AS name, event_type AS table_name, n::DOUBLE AS value FROM m UNION ALL "
+    f"SELECT 'data_freshness_hours', event_type, round(date_diff('second', last, TIMESTAMP '{AS_OF}') / 3600.0, 3)::DOUBLE FROM m"
+)
+def table_metrics(t):
+    sizes = t.events.groupBy(F.col("event_type").alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"), F.max(F.date_trunc("second", "ts")).alias("last_update"))
+    found = alerts.table_metrics(sizes, "raw", AS_OF)
+    return found.select("name", F.col("labels")["table_name"].alias("table_name"), F.round("value", 3).alias("value"))
+
+
+@query(
+    "WITH r AS (SELECT count(*) AS total, count(*) FILTER (event_type = 'purchase') AS bad FROM events), d AS (SELECT round(bad * 100.0 / total, 2) AS rate FROM r) "
+    "SELECT 'rejection_rate' AS alert_type, CASE WHEN rate > 10 THEN 'critical' ELSE 'warning' END AS severity, 'events' AS source FROM d WHERE rate > 5 "
+    "UNION ALL SELECT 'critical_rule', 'critical', 'events' FROM r WHERE bad > 0 "
+    "UNION ALL SELECT 'quality_score', CASE WHEN s < 40 THEN 'critical' ELSE 'warning' END, 'events' FROM "
+    "(SELECT round(count(*) FILTER (value > 50) * 100.0 / count(*), 2) AS s FROM events) WHERE s < 80"
+)
+def alert_all_checks(t):
+    """Every check over one table in one call."""
+    rules = (rejects.Rule("purchase", "regex", ("event_type",), severity="critical", action="quarantine", pattern="^purchase$"),)
+    score = F.round(F.count_if(F.col("value") > 50) * 100.0 / F.count(F.lit(1)), 2)
+    scores = t.events.agg(score.alias("completeness")).select(F.lit("events").alias("table_name"), "completeness", *[F.lit(100.0).alias(c) for c in ("uniqueness", "validity", "timeliness", "overall")])
+    found = alerts.run_checks(AS_OF, "events", dimensions=scores, rejections=(rejects.totals(t.events, rules), rejects.summary(t.events, rules)))
+    return found.select("alert_type", "severity", "source")
+
+
+@query(
+    "SELECT table_name, column_name, row_count, null_count, distinct_count FROM ("
+    "SELECT 'nation' AS table_name, 'n_name' AS column_name, count(*) AS row_count, count(*) - count(n_name) AS null_count, count(DISTINCT n_name) AS distinct_count FROM nation "
+    "UNION ALL SELECT 'nation', 'n_regionkey', count(*), count(*) - count(n_regionkey), count(DISTINCT n_regionkey) FROM nation "
+    "UNION ALL SELECT 'orders', 'o_custkey', count(*), count(*) - count(o_custkey), count(DISTINCT o_custkey) FROM orders)"
+)
+def profile_every_table(t):
+    found = profiling.profile_all({"orders": t.orders.select("o_custkey"), "nation": t.nation.select("n_name", "n_regionkey")})
+    return found.select("table_name", "column_name", "row_count", "null_count", "distinct_count")
