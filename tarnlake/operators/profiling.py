@@ -308,6 +308,11 @@ def compare_stages(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return out.withColumns({"row_retention_pct": kept, "key_integrity_pct": sound})
 
 
+def missing_keys(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows of ``source`` whose key the target lacks; null keys are missing."""
+    return source.join(target.select(key), key, "left_anti")
+
+
 def duplicate_rate(df: DataFrame) -> DataFrame:
     """Rows, repeated rows (all but the first of each) and their share."""
     cols = [F.col(f"`{c}`") for c in df.columns]

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from tarnlake.functions import clean
 
 
-def by_group(df: DataFrame, key: str, value: str, count: str = "lead_count", mean: str = "avg_budget") -> DataFrame:
+def mean(value: str) -> Column:
+    """Mean of the values there are, to two digits; sums of decimals are exact."""
+    return F.round(F.sum(value).cast("double") / F.count(value), 2)
+
+
+def by_group(df: DataFrame, key: str, value: str, count: str = "lead_count", average: str = "avg_budget") -> DataFrame:
     """Rows and mean value per group, most rows first."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count), F.round(F.avg(value), 2).alias(mean)).orderBy(F.desc(count), key)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count), mean(value).alias(average)).orderBy(F.desc(count), key)
 
 
 def flags_by_group(df: DataFrame, key: str, flags: dict[str, Column], count: str = "lead_count") -> DataFrame:
@@ -61,9 +66,10 @@ def conversion(leads: DataFrame, sales: DataFrame, lead_key: str, sale_key: str,
     return out.withColumn("conversion_rate_pct", rate).orderBy(F.desc("conversion_rate_pct"), source)
 
 
-def agents(df: DataFrame, agent: str, won: Column, value: str, n: int = 20) -> DataFrame:
+def agents(df: DataFrame, agent: str, won: Column, value: str, n: int = 20, average: str = "avg_budget") -> DataFrame:
+    """Leads, conversions, mean value and rate of the busiest agents."""
     out = df.where(F.col(agent).isNotNull()).groupBy(F.col(agent).alias("agent_id"))
-    out = out.agg(F.count(F.lit(1)).alias("leads_handled"), F.count_if(won).alias("converted"), F.round(F.avg(value), 2).alias("avg_budget"))
+    out = out.agg(F.count(F.lit(1)).alias("leads_handled"), F.count_if(won).alias("converted"), mean(value).alias(average))
     out = out.withColumn("conversion_rate", clean.percent(F.col("converted"), F.col("leads_handled")))
     return out.orderBy(F.desc("leads_handled"), "agent_id").limit(n)
 

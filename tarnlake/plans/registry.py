@@ -98,8 +98,7 @@ def exact_mean(df: DataFrame, *names: str) -> DataFrame:
 
 @query(f"SELECT sale_status, count(*) AS lead_count, round(CAST(sum(actual_value) AS DOUBLE) / count(*), 2) AS avg_value FROM {SALES} GROUP BY 1")
 def q01_status_avg(t):
-    out = _sales(t).groupBy("sale_status").agg(F.count(F.lit(1)).alias("lead_count"), F.sum("actual_value").cast("double").alias("s"))
-    return out.select("sale_status", "lead_count", F.round(F.col("s") / F.col("lead_count"), 2).alias("avg_value")).orderBy(F.desc("lead_count"))
+    return business.by_group(_sales(t), "sale_status", "actual_value", average="avg_value")
 
 
 @query(f"SELECT lead_source, count(*) AS lead_count, count(*) FILTER (is_buyer) AS buyers, count(*) FILTER (is_seller) AS sellers FROM {LEADS} GROUP BY 1")
@@ -153,12 +152,7 @@ def q07_conversion(t):
 )
 def q08_agent_perf(t):
     won = F.col("sale_status").like("%F%") | F.col("sale_category").like("%URGENT%")
-    s = _sales(t).withColumn("won", won).where("lead_id is not null").groupBy(F.col("lead_id").alias("agent_id"))
-    out = s.agg(F.count(F.lit(1)).alias("leads_handled"), F.count_if("won").alias("converted"), F.sum("actual_value").cast("double").alias("v"))
-    out = out.orderBy(F.desc("leads_handled"), "agent_id").limit(20)
-    rate = clean.percent(F.col("converted"), F.col("leads_handled")).cast("double")
-    mean = F.round(F.col("v") / F.col("leads_handled"), 2)
-    return out.select("agent_id", "leads_handled", "converted", mean.alias("avg_value"), rate.alias("conversion_rate"))
+    return exact_mean(business.agents(_sales(t), "lead_id", won, "actual_value", average="avg_value"), "conversion_rate")
 
 
 @query(
@@ -754,7 +748,7 @@ def registry_versions(t):
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def key_reconciliation(t):
     rich = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    return t.orders.join(rich, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+    return profiling.missing_keys(t.orders, rich, "o_custkey").select("o_orderkey", "o_custkey")
 
 
 # -- further operators --------------------------------------------------------
