@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions import clean
-from tarnlake.operators import alerts, ingest, profiling, rejects, staging, warehouse
+from tarnlake.operators import alerts, expectations, ingest, profiling, rejects, staging, warehouse
 from tarnlake.plans.registry import AS_OF, LOG, _log, query
 from tarnlake.session import shared_dir
 from tarnlake.sources import landing
@@ -283,3 +283,82 @@ def alert_all_checks(t):
 def profile_every_table(t):
     found = profiling.profile_all({"orders": t.orders.select("o_custkey"), "nation": t.nation.select("n_name", "n_regionkey")})
     return found.select("table_name", "column_name", "row_count", "null_count", "distinct_count")
+
+
+E_ = expectations.Expectation
+FULL_SUITE = [
+    E_("expect_table_columns_to_match_set", {"column_set": ["event_id", "ts", "user_id", "event_type", "value", "props"]}),
+    E_("expect_table_columns_to_match_set", {"column_set": ["event_id", "campaign"], "exact_match": False}, True),
+    E_("expect_column_values_to_not_match_regex", {"column": "event_type", "regex": "pur"}, True),
+    E_("expect_column_values_to_not_match_regex", {"column": "event_type", "regex": "pur", "mostly": 0.5}),
+    E_("expect_column_values_to_be_between", {"column": "value", "min_value": 10, "mostly": 0.99}),
+    E_("expect_column_values_to_be_in_set", {"column": "campaign", "value_set": ["a"]}),
+]
+FULL_SQL = (
+    "WITH s AS (SELECT count(*) AS n, count(*) FILTER (event_type LIKE 'pur%') AS p, count(*) FILTER (value < 10) AS v FROM events), "
+    "e AS (SELECT 1 AS i, 'expect_table_columns_to_match_set' AS expectation, NULL AS column_name, true AS success, false AS blocking, 6::BIGINT AS checked, 0::BIGINT AS failed FROM s "
+    "UNION ALL SELECT 2, 'expect_table_columns_to_match_set', NULL, false, true, 2, 1 FROM s "
+    "UNION ALL SELECT 3, 'expect_column_values_to_not_match_regex', 'event_type', p = 0, true, n, p FROM s "
+    "UNION ALL SELECT 4, 'expect_column_values_to_not_match_regex', 'event_type', (n - p) / n >= 0.5, false, n, p FROM s "
+    "UNION ALL SELECT 5, 'expect_column_values_to_be_between', 'value', (n - v) / n >= 0.99, false, n, v FROM s "
+    "UNION ALL SELECT 6, 'expect_column_values_to_be_in_set', 'campaign', false, false, 0, 0 FROM s) "
+)
+
+
+@query(FULL_SQL + "SELECT expectation, column_name, success, blocking, checked, failed, CASE WHEN checked = 0 THEN 1.0::DOUBLE ELSE round((checked - failed)::DOUBLE / checked, 6) END AS fraction FROM e")
+def expectation_results(t):
+    found = expectations.run_suite(t.events, FULL_SUITE)
+    return found.select("expectation", "column_name", "success", "blocking", "checked", "failed", F.round("fraction", 6).alias("fraction"))
+
+
+@query(
+    FULL_SQL + "SELECT count(*) AS evaluated, count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS unsuccessful, "
+    "round(count(*) FILTER (success) * 100.0 / count(*), 2)::DOUBLE AS success_pct, count(*) FILTER (blocking AND NOT success) AS blocking_failures FROM e"
+)
+def expectation_statistics(t):
+    """A checkpoint that reports its blocking failures instead of raising."""
+    found = expectations.statistics(expectations.checkpoint(t.events, FULL_SUITE, raise_on_failure=False))
+    return found.withColumn("success_pct", F.col("success_pct").cast("double"))
+
+
+@query(
+    FULL_SQL + "SELECT 'events' AS table_name, 'raw' AS stage, count(*) AS evaluated, count(*) FILTER (success) AS successful, "
+    "round(count(*) FILTER (success) * 100.0 / count(*), 2)::DOUBLE AS success_pct, count(*) FILTER (blocking AND NOT success) AS blocking_failures FROM e"
+)
+def quality_report(t):
+    results = expectations.run_suite(t.events, FULL_SUITE).withColumns({"table_name": F.lit("events"), "stage": F.lit("raw")})
+    return alerts.quality_report(results).withColumn("success_pct", F.col("success_pct").cast("double"))
+
+
+@query(
+    "WITH a AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT o_custkey)::DOUBLE AS d FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'), "
+    "b AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT o_custkey)::DOUBLE AS d FROM orders) "
+    "SELECT 'o_custkey' AS column_name, 'row_count' AS metric, a.n AS old, b.n AS new, b.n - a.n AS change FROM a, b "
+    "UNION ALL SELECT 'o_custkey', 'distinct_count', a.d, b.d, b.d - a.d FROM a, b"
+)
+def profile_change(t):
+    profiles = [profiling.completeness_profile(df.select("o_custkey")) for df in (t.orders.where("o_orderdate < TIMESTAMP_NTZ'1997-01-01'"), t.orders)]
+    return profiling.profile_drift(*profiles, ["row_count", "distinct_count"])
+
+
+@query(
+    "SELECT name, 'gauge' AS kind, value FROM (SELECT count(*)::DOUBLE AS row_count, round(count(DISTINCT o_orderkey) * 100.0 / count(*), 2)::DOUBLE AS uniqueness, "
+    "sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS revenue FROM orders) UNPIVOT (value FOR name IN (row_count, uniqueness, revenue))"
+)
+def metric_gauges(t):
+    n = F.count(F.lit(1))
+    row = t.orders.agg(n.alias("row_count"), F.round(F.countDistinct("o_orderkey") * 100.0 / n, 2).alias("uniqueness"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"))
+    return alerts.metric_rows(row, ["row_count", "uniqueness", "revenue"], {"stage": "raw"}, AS_OF).select("name", "kind", "value")
+
+
+@query(
+    "SELECT severity, title, count(*) AS n FROM (SELECT CASE WHEN bad * 100.0 / n < 80 THEN 'error' ELSE 'warning' END AS severity, 'schema integrity is low' AS title "
+    "FROM (SELECT user_id, count(*) AS n, count(*) FILTER (event_type <> 'view') AS bad FROM events GROUP BY 1) WHERE round(bad * 100.0 / n, 2) < 95) GROUP BY 1, 2"
+)
+def alert_integrity(t):
+    """Integrity scores of many tables (here: of users) as alerts."""
+    n = F.count(F.lit(1))
+    scores = t.events.groupBy("user_id").agg(F.round(F.count_if(F.col("event_type") != "view") * 100.0 / n, 2).alias("integrity"))
+    none = t.spark.createDataFrame([], "column_name string, change string, severity string")
+    found = alerts.drift_alerts(none, scores, "events", AS_OF)
+    return found.groupBy("severity", "title").agg(F.count(F.lit(1)).alias("n"))
