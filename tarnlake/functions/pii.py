@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 
 class Pattern(NamedTuple):
     regex: str
@@ -27,3 +30,28 @@ PATTERNS = {
 }
 #: Columns with a type this sensitive are masked, and encrypted from the next.
 MASK_FROM, ENCRYPT_FROM = 3, 4
+
+
+def may_hold(c: Column, name: str) -> Column:
+    """Cheap condition that every match of the pattern meets: an e-mail address
+    has an @, all others have a digit."""
+    return F.contains(c, F.lit("@")) if name == "email" else c.rlike("[0-9]")
+
+
+def holds(c: Column, name: str) -> Column:
+    return may_hold(c, name) & c.rlike(PATTERNS[name].regex)
+
+
+def masked(c: Column, names: list[str]) -> Column:
+    """Matches of the named patterns replaced, in pattern order; NULL stays.
+
+    Addresses come first and their mask has no digit, so texts without digits
+    skip the patterns that need one.
+    """
+    if "email" in names:
+        c = F.when(may_hold(c, "email"), F.regexp_replace(c, PATTERNS["email"].regex, PATTERNS["email"].mask)).otherwise(c)
+    rest = c
+    for name, p in PATTERNS.items():
+        if name in names and name != "email":
+            rest = F.regexp_replace(rest, p.regex, p.mask)
+    return F.when(may_hold(c, "digits"), rest).otherwise(c)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.functions import clean
+from tarnlake.functions import clean, pii
 from tarnlake.functions.pii import ENCRYPT_FROM, MASK_FROM, PATTERNS
 
 
@@ -115,7 +115,7 @@ def scan_pii(df: DataFrame, table: str, columns: list[str] | None = None) -> Dat
     """
     cols = columns or [f.name for f in df.schema if f.dataType.simpleString() == "string"]
     pairs = [(c, p) for c in cols for p in PATTERNS]
-    row = df.agg(*[F.count_if(F.col(f"`{c}`").rlike(PATTERNS[p].regex)).alias(f"{p}|{c}") for c, p in pairs])
+    row = df.agg(*[F.count_if(pii.holds(F.col(f"`{c}`"), p)).alias(f"{p}|{c}") for c, p in pairs])
     parts = [
         F.struct(
             F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(p).alias("pii_type"), F.col(f"`{p}|{c}`").alias("matches"),
@@ -139,14 +139,7 @@ def classify(scan: DataFrame) -> DataFrame:
 
 def mask_columns(df: DataFrame, types: dict[str, list[str]]) -> DataFrame:
     """Replace each listed type in each column, in pattern order; NULL stays."""
-    made = {}
-    for c, names in types.items():
-        x = F.col(f"`{c}`")
-        for p in PATTERNS:
-            if p in names:
-                x = F.regexp_replace(x, PATTERNS[p].regex, PATTERNS[p].mask)
-        made[c] = x
-    return df.withColumns(made)
+    return df.withColumns({c: pii.masked(F.col(f"`{c}`"), names) for c, names in types.items()})
 
 
 def mask_pii(df: DataFrame, classification: DataFrame | None = None) -> DataFrame:
