@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,46 +48,88 @@ def capture(events: DataFrame, tables: list[str], out: str, checkpoint: str, id_
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
 
 
-def apply_changes(events: DataFrame, key: str, order_by: list[str], root: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+BUCKETS = 64
+
+
+def apply_changes(
+    events: DataFrame, key: str, order_by: list[str], root: str, checkpoint: str, once: bool = True, buckets: int = BUCKETS
+) -> StreamingQuery:
     """Keep the current state of a table under change events.
 
-    Every micro-batch is compacted with the last state into a new version
-    folder; a pointer table names the newest, so readers never see a half
-    written one.
+    The state lies in ``buckets`` by the key's hash. A micro-batch is compacted
+    with the buckets it touches into new bucket folders; a pointer table names
+    the newest folder of each bucket, so untouched ones are not rewritten and
+    readers never see a half written one. ``expire_state`` removes old folders.
     """
 
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        before = current_state(spark, root)
+        come = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        touched = {r.bucket for r in come.select("bucket").distinct().collect()}  # at most one number a bucket
+        paths = [path for bucket, path in _pointers(spark, root).items() if bucket in touched]
         # Deletes are kept as tombstones: a late older event must not revive a row.
-        both = batch if before is None else before.unionByName(batch, allowMissingColumns=True)
+        both = come
+        if paths:
+            old = spark.read.parquet(*paths)
+            both = old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).unionByName(come, allowMissingColumns=True)
         path = f"{root}/state/{n:012d}-{uuid.uuid4().hex[:8]}"
-        staging.keep_latest(both, key, order_by).write.parquet(path)
-        spark.createDataFrame([(n, path)], "batch long, path string").coalesce(1).write.mode("append").parquet(f"{root}/versions")
+        latest = staging.keep_latest(both, key, order_by)
+        latest.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        come.unpersist()
+        rows = [(n, b, f"{path}/bucket={b}") for b in sorted(touched)]
+        if rows:
+            spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
     w = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
 
 
-def current_state(spark: SparkSession, root: str, live_only: bool = False) -> DataFrame | None:
-    """The newest version, with tombstones unless ``live_only``."""
+POINTERS = "batch long, bucket int, path string"
+
+
+def _pointers(spark: SparkSession, root: str) -> dict[int, str]:
+    """The newest folder of each bucket."""
     try:
-        last = spark.read.parquet(f"{root}/versions").agg(F.max_by("path", F.struct("batch", "path"))).first()[0]
+        rows = spark.read.schema(POINTERS).parquet(f"{root}/versions")
+        return {r.bucket: r.path for r in rows.groupBy("bucket").agg(F.max_by("path", F.struct("batch", "path")).alias("path")).collect()}
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
-            return None
+            return {}
         raise
-    df = spark.read.parquet(last)
+
+
+def current_state(spark: SparkSession, root: str, live_only: bool = False) -> DataFrame | None:
+    """The newest version of every bucket, with tombstones unless ``live_only``."""
+    paths = sorted(_pointers(spark, root).values())
+    if not paths:
+        return None
+    df = spark.read.parquet(*paths)
     return df.where("op IS NULL OR op != 'D'") if live_only else df
 
 
+def expire_state(spark: SparkSession, root: str) -> int:
+    """Remove bucket folders that newer ones replace; for times when no query
+    reads or writes the state. Returns how many were removed."""
+    every = {r.path for r in spark.read.schema(POINTERS).parquet(f"{root}/versions").select("path").distinct().collect()}
+    old = every - set(_pointers(spark, root).values())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(p), True) for p in old)
+
+
 def suppressed_alerts(alerts: DataFrame, root: str, checkpoint: str, minutes: int = 60) -> StreamingQuery:
-    """Alert stream to table, repeats suppressed across micro-batches too."""
+    """Alert stream to table, repeats suppressed across micro-batches too.
+
+    Of the alerts kept before, only those of the last ``minutes`` before the
+    batch's first can suppress one: older row groups are skipped by the scan.
+    """
 
     def emit(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         try:
+            first = batch.agg(F.min("created_at")).first()[0]
             seen = spark.read.parquet(f"{root}/alerts").where(F.col("batch") < n)
+            if first is not None:
+                seen = seen.where(F.col("created_at") > F.lit(first - timedelta(minutes=minutes)))
             last = seen.groupBy("dedup_key").agg(F.max("created_at").alias("emitted_at"))
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):

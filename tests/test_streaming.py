@@ -68,3 +68,21 @@ def test_lag_and_poll(spark, tmp_path):
     t = ingest.SourceTable("s", "t", tracking="updated_at")
     got = cdc.poll(spark, lambda _: df, [t], str(tmp_path), {"t": datetime(2023, 1, 1)}, datetime(2024, 1, 2))
     assert got["rows"] == 1 and got["results"][0]["watermark"] == datetime(2024, 1, 1, 0, 30)
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    shape = "id long, at int, op string"
+    src, root = f"{tmp_path}/src", f"{tmp_path}/root"
+
+    def run(rows):
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(src)
+        q = cdc.apply_changes(spark.readStream.schema(shape).parquet(src), "id", ["at"], root, f"{tmp_path}/checkpoint", buckets=8)
+        q.awaitTermination()
+        return cdc._pointers(spark, root)
+
+    first = run([(i, 1, "I") for i in range(40)])
+    second = run([(3, 2, "D"), (4, 2, "U"), (4, 1, "U")])
+    assert len(first) == 8 and 1 <= sum(first[b] != second[b] for b in first) <= 2
+    live = {r.id: r.at for r in cdc.current_state(spark, root, live_only=True).collect()}
+    assert live == {i: 2 if i == 4 else 1 for i in range(40) if i != 3}
+    assert cdc.expire_state(spark, root) >= 1 and cdc.current_state(spark, root).count() == 40
