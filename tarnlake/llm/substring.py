@@ -10,10 +10,10 @@ the distinct paths are opened into single edges, read from the source
 coordinates of their first occurrence. All other paths are joined over the
 nodes between them: where a node has one way in and one way out the two paths
 become one, so that a passage repeated in many documents is one record however
-long. Every occurrence then gets the source
-coordinates of its windows in the document of least id, windows that go on
-there are one span, and a span is removed only if its words are those at the
-source, by SHA-256.
+long. Edges that are opened are compared by 128 bits of the SHA-256 of their
+words. Every occurrence of a path or chain then gets the windows that start in
+a smaller document, and they are removed only if its words are those at the
+source coordinates, by SHA-256.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +36,6 @@ from tarnlake.session import materialize, release
 SPAN = 50
 #: Words of a minimizer: long enough to be rare, short enough for long paths.
 SEED_WORDS = 16
-#: Spans of one source document that are read together.
-SPANS_AT_ONCE = 1024
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -121,14 +118,19 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.where("id is not null")
 
 
-def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int, bits: int) -> DataFrame:
-    """Open each distinct path at a branching into its edges, from the source."""
-    wanted = rims.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "seed", "whole")).alias("at"))
+def _sources(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
+    """Read paths and chains at their source coordinates.
+
+    One row by path or chain: the SHA-256 of its ``words``, and of those to open
+    (where the graph branches inside) the first 128 bits of each edge's.
+    """
+    wanted = classes.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "seed", "whole", "fork")).alias("at"))
     both = wanted.join(_texts(docs, id_col, text_col), ["id", "key"])
-    names = ["seed", "whole", "edge", "id", "key", "first"]
-    mask = np.uint64((1 << bits) - 1)
+    names = ["seed", "whole", "id", "key", "first", "edges", "words", "parts"]
+    kinds = [pa.int64()] * 6 + [pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha = hashlib.sha256
         for batch in batches:
             for row in range(batch.num_rows):
                 part = batch.slice(row, 1)
@@ -139,17 +141,16 @@ def _edges(rims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: i
                 ends = np.cumsum(size)
                 starts = (ends - size).tolist()
                 ends = ends.tolist()
-                out = [
-                    (p["seed"], p["whole"], xxhash.xxh3_64_intdigest(flat[starts[e] : ends[e + span - 1] - 1], 2), i, key, e)
-                    for p in at
-                    for j in range(p["edges"])
-                    for e in (p["first"] + j,)
-                ]
-                cols = list(zip(*out, strict=True))
-                cols[2] = (np.array(cols[2], np.uint64) & mask).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+                out = []
+                for p in at:
+                    a, n = p["first"], p["edges"]
+                    whole = sha(flat[starts[a] : ends[a + n + span - 2] - 1]).digest()
+                    opened = b"".join([sha(flat[starts[e] : ends[e + span - 1] - 1]).digest()[:16] for e in range(a, a + n)]) if p["fork"] else None
+                    out.append((p["seed"], p["whole"], i, key, a, n, whole, opened))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    return both.select("id", "key", "at", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    shape = ", ".join(f"{n} long" for n in names[:6]) + ", words binary, parts binary"
+    return both.select("id", "key", "at", "text").mapInArrow(run, shape)
 
 
 def _chains(solid: DataFrame) -> DataFrame:
@@ -176,64 +177,36 @@ def _chains(solid: DataFrame) -> DataFrame:
     return chains.agg(least, F.sum("edges").alias("edges")).select("h.seed", "h.whole", "id", "key", "h.first", "edges")
 
 
-RUN = "struct<nth: long, edges: long, oid: long, okey: long, ofirst: long>"
+RUN = "struct<nth: long, edges: long, oid: long>"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of a path that go on at one source, as runs."""
-    fields = ["nth", "edges", "oid", "okey", "ofirst"]
+    """Consecutive windows of a path that start first in one document, as runs."""
     for b in batches:
         at = b.column("at")
         size = at.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         flat = at.flatten()
         row = np.repeat(np.arange(b.num_rows), size)
-        first, oid, okey, ofirst = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("first", "id", "key", "start"))
-        nth = first - np.repeat(first[np.cumsum(size) - size], size) if len(row) else first
+        nth, oid = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("nth", "least"))
         new = np.ones(len(row), bool)
         if len(row):
-            new[1:] = (np.diff(row) != 0) | (np.diff(oid) != 0) | (np.diff(okey) != 0) | (np.diff(ofirst - nth) != 0) | (np.diff(nth) != 1)
+            new[1:] = (np.diff(row) != 0) | (np.diff(oid) != 0) | (np.diff(nth) != 1)
         start = np.flatnonzero(new)
-        length = np.diff(start, append=len(row))
-        values = [nth[start], length, oid[start], okey[start], ofirst[start]]
-        runs = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], fields)
+        values = [nth[start], np.diff(start, append=len(row)), oid[start]]
+        runs = pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], ["nth", "edges", "oid"])
         ends = np.concatenate([[0], np.cumsum(np.bincount(row[start], minlength=b.num_rows))])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)
         yield pa.RecordBatch.from_arrays([b.column("seed"), b.column("whole"), lists], names=["seed", "whole", "runs"])
 
 
-def _digests(claims: DataFrame, docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
-    """SHA-256 of the words at each claim's source: (oid, okey, ofirst, edges, words)."""
-    place = ["oid", "okey", "ofirst", "edges"]
-    nth = F.row_number().over(W.partitionBy("oid", "okey").orderBy("ofirst", "edges"))
-    asked = claims.select(*place).distinct().withColumn("part", F.floor(nth / SPANS_AT_ONCE))
-    asked = asked.groupBy("oid", "okey", "part").agg(F.collect_list(F.struct("ofirst", "edges")).alias("at"))
-    src = _texts(docs, id_col, text_col)
-    both = asked.join(src, (asked["oid"] == src["id"]) & (asked["okey"] == src["key"]))
-    kinds = [pa.int64()] * 4 + [pa.binary()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for i, key, at, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                w = words(text)
-                for p in at:
-                    a, n = p["ofirst"], p["edges"]
-                    out.append((i, key, a, n, hashlib.sha256(b" ".join(w[a : a + n + span - 1])).digest()))
-            if out:
-                cols = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[*place, "words"])
-
-    found = both.select("oid", "okey", "at", "text").mapInArrow(run, "oid long, okey long, ofirst long, edges long, words binary")
-    return found.groupBy(*place).agg(F.min("words").alias("words"))
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, bits: int = 64) -> DataFrame:
     """(id, key, spots): windows of a document that start in one of smaller id.
 
-    A spot is (first, edges, words): so many consecutive windows from word
-    ``first`` on, and the SHA-256 of the words they cover where they start
-    first. ``bits`` narrows the hashes by which paths and windows are found;
-    whoever applies the spots must compare the words.
+    A spot is (first, edges, words, runs): a path or chain that begins at word
+    ``first`` with so many windows, the SHA-256 of its words where it occurs
+    first, and the runs of its windows that start in smaller documents. ``bits``
+    narrows the hashes by which paths are found; whoever applies the spots must
+    compare the words.
     """
     _check_span(span)
     every = materialize(_occurrences(docs, id_col, text_col, span, bits), "paths")
@@ -246,39 +219,38 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = [F.shiftright("o.spot", 6).alias("first"), F.col("o.spot").bitwiseAND(F.lit(63)).alias("edges")]
     distinct = materialize(distinct.select("seed", "whole", "o.id", "o.key", *spot, "low", "high", "n"), "distinct")
     forks = materialize(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("seed"), "forks")
-    chains = materialize(_chains(distinct.join(forks, "seed", "left_anti")), "chains")
-    rims = materialize(distinct.join(forks, "seed", "left_semi").select("seed", "whole", "id", "key", "first", "edges"), "rims")
+    chains = _chains(distinct.join(forks, "seed", "left_anti")).withColumn("fork", F.lit(False))
+    rims = distinct.join(forks, "seed", "left_semi").select("seed", "whole", "id", "key", "first", "edges", F.lit(True).alias("fork"))
+    classes = materialize(chains.unionByName(rims), "classes")
     release(distinct, forks)
-    opened = materialize(_edges(rims, docs, id_col, text_col, span, bits), "edges")
-    release(rims)
-    least = opened.groupBy("seed", "edge").agg(F.min(F.struct("id", "key", F.col("first").alias("start"))).alias("least"), F.count(F.lit(1)).alias("c"))
+    sources = _sources(classes, docs, id_col, text_col, span)
+    # Repeated source rows are read twice: one row by path.
+    sources = materialize(sources.groupBy("seed", "whole").agg(F.first(F.struct("id", "edges", "words", "parts")).alias("s")).select("seed", "whole", "s.*"), "sources")
+    release(classes)
+    cut = lambda j: F.substring("parts", j * 16 + 1, F.lit(16))
+    edges = sources.where("parts is not null").select(
+        "seed", "whole", "id", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("edges").cast("int") - 1), cut)).alias("nth", "edge")
+    )
+    least = edges.groupBy("seed", "edge").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("c"))
     least = materialize(least.where("c > 1").drop("c"), "least")
-    # Repeated source rows open a path twice: a set. Edges of one path only start where that path does.
-    known = opened.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", F.struct("id", "key", F.col("first").alias("start"))))
-    known = known.groupBy("seed", "whole").agg(F.array_sort(F.collect_set(F.struct("first", "least.*"))).alias("at"))
-    known = known.mapInArrow(_runs, f"seed long, whole long, runs array<{RUN}>")
-    alone = F.struct(F.lit(0).cast("long"), "edges", "id", "key", "first").cast(RUN)
-    known = materialize(known.unionByName(chains.select("seed", "whole", F.array(alone).alias("runs"))), "known")
-    release(opened, least, chains)
+    # Edges of one path only start where that path does.
+    opened = edges.join(least, ["seed", "edge"], "left").withColumn("least", F.coalesce("least", "id"))
+    opened = opened.groupBy("seed", "whole").agg(F.array_sort(F.collect_list(F.struct(F.col("nth").cast("long").alias("nth"), "least"))).alias("at"))
+    opened = opened.mapInArrow(_runs, f"seed long, whole long, runs array<{RUN}>")
+    alone = F.array(F.struct(F.lit(0).cast("long"), "edges", "id").cast(RUN))
+    known = sources.select("seed", "whole", "edges", "words", "id", "parts").join(opened, ["seed", "whole"], "left")
+    known = known.select("seed", "whole", "edges", "words", F.when(F.col("parts").isNull(), alone).otherwise(F.col("runs")).alias("runs"))
+    known = materialize(known, "known")
+    release(sources, least)
     # The head of a chain stands for it: the occurrences of its other paths find no partner here.
-    hit = seen.select("seed", "whole", "id", "key", F.shiftright("spot", 6).alias("at")).join(known, ["seed", "whole"])
-    hit = hit.select("id", "key", "at", F.explode(F.filter("runs", lambda r: r["oid"] < F.col("id"))).alias("r"))
-    runs = hit.select("id", "key", (F.col("at") + F.col("r.nth")).alias("first"), "r.edges", "r.oid", "r.okey", "r.ofirst")
-    # Runs that go on at the same source are one span.
-    w = W.partitionBy("id", "key").orderBy("first", "oid", "okey", "ofirst")
-    runs = runs.withColumn("again", F.coalesce(F.lag("first").over(w) == F.col("first"), F.lit(False))).where("not again").drop("again")
-    goes_on = [F.lag(F.col("first") + F.col("edges")).over(w) == F.col("first"), F.lag(F.col("ofirst") - F.col("first")).over(w) == F.col("ofirst") - F.col("first")]
-    goes_on += [F.lag(c).over(w) == F.col(c) for c in ("oid", "okey")]
-    fresh = F.when(reduce(lambda a, b: a & b, goes_on), 0).otherwise(1)
-    spans = runs.withColumn("fresh", fresh).withColumn("nth", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    spans = spans.groupBy("id", "key", "nth").agg(
-        F.min("first").alias("first"), F.sum("edges").alias("edges"), F.min("oid").alias("oid"), F.min("okey").alias("okey"),
-        F.min("ofirst").alias("ofirst"),
-    )
-    claims = materialize(spans.drop("nth"), "claims")
+    hit = seen.select("seed", "whole", "id", "key", F.shiftright("spot", 6).alias("first")).join(known, ["seed", "whole"])
+    hit = hit.withColumn("runs", F.filter("runs", lambda r: r["oid"] < F.col("id"))).where(F.size("runs") > 0)
+    runs = F.transform("runs", lambda r: F.struct(r["nth"].alias("nth"), r["edges"].alias("edges")))
+    # A set: equal rows of the table fold in the tasks.
+    spots = F.collect_set(F.struct("first", "edges", "words", runs.alias("runs"))).alias("spots")
+    spots = materialize(hit.groupBy("id", "key").agg(spots), "spots")
     release(seen, known)
-    checked = claims.join(_digests(claims, docs, id_col, text_col, span), ["oid", "okey", "ofirst", "edges"])
-    return checked.groupBy("id", "key").agg(F.collect_list(F.struct("first", "edges", "words")).alias("spots"))
+    return spots
 
 
 RESULT = T.StructType(
@@ -297,8 +269,9 @@ def _cut(text: str | None, spots: list | None, span: int) -> tuple[str | None, i
         a, b = s["first"], s["first"] + s["edges"] + span - 1
         # The words themselves decide: a span that only its hashes claim stays.
         if b <= len(w) and hashlib.sha256(b" ".join(w[a:b])).digest() == s["words"]:
-            cover[a] += 1
-            cover[b] -= 1
+            for r in s["runs"]:
+                cover[a + r["nth"]] += 1
+                cover[a + r["nth"] + r["edges"] + span - 1] -= 1
     gone = np.cumsum(cover)[:-1] > 0
     if not gone.any():
         return text, len(w), 0, hashlib.sha256(b" ".join(w)).hexdigest()
