@@ -240,10 +240,11 @@ def codec(path: str) -> ByteBPE:
 def encode_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Append ``ids`` (packed little-endian uint32) and ``n_tokens``.
 
-    Null text counts as empty: no ids. Special tokens are ordinary text. A
-    column of these names is replaced. One scan, one Arrow map, no shuffle;
-    texts of any length are cut into pieces by the pattern and each piece costs
-    its length times a logarithm.
+    Null text counts as empty: no ids. Special tokens are ordinary text. Equal
+    rows get equal ids. A column of these names is replaced. One scan, one
+    Arrow map, no shuffle; texts of any length are cut into pieces by the
+    pattern and each piece costs its length times a logarithm. Pieces of up to
+    WIDE bytes are merged side by side, longer ones alone: by the same merges.
     """
     path = path or public_tokenizers.path(RANKS)
     new = T.StructType([T.StructField("ids", T.BinaryType(), False), T.StructField("n_tokens", T.LongType(), False)])

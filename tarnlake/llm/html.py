@@ -76,6 +76,8 @@ LINK_SHARE = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _MARKS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A tag closed by a slash that is not the end of an unquoted value.
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*\Z")
 _PLAIN = re.compile(r"[a-z][a-z_-]*")
 _WHITE = re.compile(r"\s+")
 
@@ -149,7 +151,7 @@ def parse(html: str | None) -> Element:
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
             node.children.append(html[at : end.start() if end else len(html)])
             at = end.end() if end else len(html)
-        elif name not in VOID and not (m[3] or "").rstrip().endswith("/"):
+        elif name not in VOID and not _CLOSED.search(m[3] or ""):
             here = node
             is_open[name] += 1
     return root
@@ -365,36 +367,40 @@ def own_region(root: Element) -> Element:
     return max(most, key=lambda n: n.depth, default=root)
 
 
-def main_text(html: str | None, wrapper: str = "[]", region: int = 0, fixed: frozenset[int] = frozenset()) -> str:
+def main_text(
+    html: str | None, wrapper: str = "[]", region: int = 0, fixed: frozenset[int] = frozenset(), menus: frozenset[int] = frozenset()
+) -> str:
     """Blocks of the page that its host's wrapper reads as content.
 
     The page is matched with the wrapper from the root down; blocks below the
-    region's node are content, those below a fixed node (the same words on all
-    pages, or a menu) are not, unless that would take half of the text. A page
-    without the region's element is read from its own.
+    region's node are content, but for those of a fixed node (the same words on
+    all pages) and those below a menu, unless that would take half of the text.
+    A page without the region's element is read from its own.
     """
     root = parse(html)
-    lines = _blocks(root, _nodes(wrapper), region, fixed, None) if region else []
+    lines = _blocks(root, _nodes(wrapper), region, fixed, menus, None) if region else []
     if not any(lines):
-        lines = _blocks(root, _nodes(wrapper), region, fixed, own_region(root))
+        lines = _blocks(root, _nodes(wrapper), region, fixed, menus, own_region(root))
     kept = [text for text, spare in lines if not spare]
     if 2 * sum(map(len, kept)) < sum(len(text) for text, _ in lines):
         kept = [text for text, _ in lines]
     return "\n".join(kept)
 
 
-def _blocks(root: Element, nodes: Node, region: int, fixed: frozenset[int], top: Element | None) -> list[tuple[str, bool]]:
-    """(text, whether below a fixed node) of the blocks in the content."""
+def _blocks(
+    root: Element, nodes: Node, region: int, fixed: frozenset[int], menus: frozenset[int], top: Element | None
+) -> list[tuple[str, bool]]:
+    """(text, whether of a fixed node or below a menu) of the blocks in the content."""
     out: list[tuple[str, bool]] = []
     text: list[str] = []
 
-    def close(spare: bool) -> None:
+    def close(node: Node | None, spare: bool) -> None:
         line = _WHITE.sub(" ", unescape("".join(text))).strip()
         text.clear()
         if line:
-            out.append((line, spare))
+            out.append((line, spare or (node is not None and node.number in fixed)))
 
-    # (element, children to come, wrapper node, in the content, below a fixed node)
+    # (element, children to come, wrapper node, in the content, below a menu)
     open_nodes: list[tuple] = [(root, iter(root.children), nodes, top is root, False)]
     while open_nodes:
         el, children, node, inside, spare = open_nodes[-1]
@@ -402,7 +408,7 @@ def _blocks(root: Element, nodes: Node, region: int, fixed: frozenset[int], top:
         if c is None:
             open_nodes.pop()
             if el.name not in INLINE:
-                close(spare)
+                close(node, spare)
         elif isinstance(c, str):
             if inside:
                 text.append(c)
@@ -411,11 +417,11 @@ def _blocks(root: Element, nodes: Node, region: int, fixed: frozenset[int], top:
         elif c.name in ("wbr", "img") or _apart(c):
             continue
         else:
-            close(spare)
+            close(node, spare)
             below = node and node.child(c.key) if c.depth <= WRAPPER_DEPTH else None
             number = below.number if below else -1
             within = inside or (c is top if top else number == region)
-            open_nodes.append((c, iter(c.children), below, within, spare or number in fixed))
+            open_nodes.append((c, iter(c.children), below, within, spare or number in menus))
     return out
 
 
@@ -480,7 +486,7 @@ def _by_node(stats: DataFrame) -> DataFrame:
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One wrapper per host: (host, wrapper, expression, region, fixed).
+    """One wrapper per host: (host, wrapper, region, fixed, menus, expression).
 
     Every page of a host counts. Streams are folded within a page and counted
     by (host, stream) before any shuffle, so a host with a third of all pages
@@ -490,7 +496,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     the same on three different pages and more is template, any other a slot.
     ``region`` is the node that holds the content: an <article> or <main> with a
     fair share of the host's unlinked text, else the deepest node with most of
-    it. ``fixed`` are nodes of template text and of menus (text in links).
+    it. ``fixed`` are nodes of template text, ``menus`` those with text in links.
     """
     host, _ = host_and_path(F.col(url_col))
     survey = _survey(pages.select(host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html")))
@@ -526,7 +532,8 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     menu = F.col("holds") & (F.col("links") > LINK_SHARE * F.col("chars"))
     chosen = nodes.join(whole, "host").groupBy("host").agg(
         F.max_by("node", score).alias("region"),
-        F.array_sort(F.collect_list(F.when(template | menu, F.col("node")))).alias("fixed"),
+        F.array_sort(F.collect_list(F.when(template, F.col("node")))).alias("fixed"),
+        F.array_sort(F.collect_list(F.when(menu, F.col("node")))).alias("menus"),
     )
 
     def express(rows: list[tuple]) -> Iterator[tuple]:
@@ -535,7 +542,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
     found = wrappers.join(chosen, "host", "left")
     shown = T.StructType([T.StructField("expression", T.StringType())])
-    return row_map(found, express, ["wrapper"], shown, ["host", "wrapper", "region", "fixed"])
+    return row_map(found, express, ["wrapper"], shown, ["host", "wrapper", "region", "fixed", "menus"])
 
 
 def extract_main_text(
@@ -559,10 +566,10 @@ def extract_main_text(
     src = pages.select(F.struct(*cols).alias("row"), F.col(html_col).alias("html"), host.alias("host"))
 
     def run(rows: list[tuple]) -> Iterator[tuple]:
-        for html, wrapper, region, fixed in rows:
-            text = main_text(html, wrapper or "[]", region or 0, frozenset(fixed or ())) if html else ""
+        for html, wrapper, region, fixed, menus in rows:
+            text = main_text(html, wrapper or "[]", region or 0, frozenset(fixed or ()), frozenset(menus or ())) if html else ""
             yield text, len(text)
 
-    joined = src.join(wrappers.select("host", "wrapper", "region", "fixed"), "host", "left")
-    done = row_map(joined, run, ["html", "wrapper", "region", "fixed"], new, ["row"], 256)
+    joined = src.join(wrappers.select("host", "wrapper", "region", "fixed", "menus"), "host", "left")
+    done = row_map(joined, run, ["html", "wrapper", "region", "fixed", "menus"], new, ["row"], 256)
     return done.select(*[F.col("row").getField(c).alias(c) for c in cols], "text", "n_chars")
