@@ -144,10 +144,13 @@ def _sources(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, sp
                 out = []
                 for p in at:
                     a, n = p["first"], p["edges"]
+                    if a + n + span - 1 > len(w):  # another text under this id and hash
+                        continue
                     whole = sha(flat[starts[a] : ends[a + n + span - 2] - 1]).digest()
                     opened = b"".join([sha(flat[starts[e] : ends[e + span - 1] - 1]).digest()[:16] for e in range(a, a + n)]) if p["fork"] else None
                     out.append((p["seed"], p["whole"], i, key, a, n, whole, opened))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     shape = ", ".join(f"{n} long" for n in names[:6]) + ", words binary, parts binary"
     return both.select("id", "key", "at", "text").mapInArrow(run, shape)
