@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from tarnlake.llm import sql
 from tarnlake.llm.ann import nearest_neighbours
 from tarnlake.llm.bpe import decode_documents, encode_documents
+from tarnlake.llm.centroids import cluster_vectors
 from tarnlake.llm.chat import fit_model, format_chats
+from tarnlake.llm.codes import compress_vectors
 from tarnlake.llm.html import extract_main_text
 from tarnlake.llm.lines import dedup_lines
+from tarnlake.llm.multiindex import near_duplicate_vectors
 from tarnlake.llm.packing import pack_documents
 from tarnlake.llm.quality import compression_quality
 from tarnlake.llm.simhash import near_duplicate_components
@@ -75,6 +78,18 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_vantage_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_multi_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +103,9 @@ QUERIES = {
         op8_bin_completion,
         op9_url_reputation,
         op10_line_windows,
+        op11_vantage_clustering,
+        op12_multi_index_dedup,
+        op13_gnat_codes,
     )
 }
 #: The other queries have no SQL form (compression ratios, XXH64 votes, token
@@ -97,4 +115,7 @@ ORACLE_SQL = {
     "op3_substring_dedup": sql.SUBSTRING,
     "op9_url_reputation": sql.URLS,
     "op10_line_windows": sql.LINES,
+    "op11_vantage_clustering": sql.CLUSTERS,
+    "op12_multi_index_dedup": sql.NEAR_VECTORS,
+    "op13_gnat_codes": sql.CODES,
 }

@@ -78,3 +78,74 @@ SELECT page_id, host, path, {_rule("rule")} AS rule,
        coalesce({_rule("verdict")}, CASE WHEN bound > {BAD_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN b USING (host)
 """
+
+
+def _finite(v: str) -> str:
+    return f"{v} IS NOT NULL AND len([x FOR x IN {v} IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+
+#: Floor of s / n for any sign of s.
+_MEAN = "(s - ((s % n) + n) % n) // n"
+
+
+def _cluster_rounds(rounds: int) -> str:
+    found = []
+    for i in range(rounds + 1):
+        found.append(
+            f"a{i} AS MATERIALIZED (SELECT vec_id, min({{'d': d, 'c': c}}) AS m FROM (SELECT x.vec_id, c.c, sum((x.x - c.x) * (x.x - c.x))::BIGINT AS d "
+            f"FROM x JOIN c{i} AS c USING (p) GROUP BY x.vec_id, c.c) GROUP BY vec_id)"
+        )
+        if i < rounds:
+            found.append(
+                f"c{i + 1} AS MATERIALIZED (SELECT c.c, c.p, coalesce({_MEAN}, c.x)::BIGINT AS x FROM c{i} AS c LEFT JOIN (SELECT m.c AS c, p, sum(x)::BIGINT AS s, count(*) AS n "
+                f"FROM a{i} JOIN x USING (vec_id) GROUP BY m.c, p) AS g ON c.c = g.c AND c.p = g.p)"
+            )
+    return ", ".join(found)
+
+
+CLUSTERS = f"""
+WITH k AS MATERIALIZED (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings WHERE len(embedding) = 64 AND {_finite("embedding")}),
+x AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS p FROM k),
+f AS (SELECT v, (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INT AS c FROM k),
+c0 AS MATERIALIZED (SELECT c, unnest(v) AS x, unnest(range(64)) AS p FROM f WHERE c < 40),
+{_cluster_rounds(5)}
+SELECT vec_id, m.c AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a5 JOIN (SELECT c, sha256(string_agg(x, ',' ORDER BY p)) AS centroid_sha256 FROM c5 GROUP BY c) AS h ON m.c = h.c
+"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND {_finite("embedding")} AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+r AS (SELECT vec_id, vec_id AS near FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.near = l.a),
+m AS (SELECT vec_id, min(near) AS component_id FROM r GROUP BY vec_id)
+SELECT m.vec_id, coalesce(n, 0) AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) AS c ON m.vec_id = c.a
+"""
+
+
+def _code_rounds(rounds: int) -> str:
+    found = []
+    for i in range(rounds + 1):
+        found.append(
+            f"a{i} AS MATERIALIZED (SELECT vec_id, q, min({{'d': d, 'e': e}}) AS m FROM (SELECT x.vec_id, x.q, b.e, sum((x.x - b.x) * (x.x - b.x))::BIGINT AS d "
+            f"FROM x JOIN b{i} AS b USING (q, p) GROUP BY x.vec_id, x.q, b.e) GROUP BY vec_id, q)"
+        )
+        if i < rounds:
+            found.append(
+                f"b{i + 1} AS MATERIALIZED (SELECT b.q, b.e, b.p, coalesce({_MEAN}, b.x)::BIGINT AS x FROM b{i} AS b LEFT JOIN (SELECT q, m.e AS e, p, sum(x)::BIGINT AS s, count(*) AS n "
+                f"FROM a{i} JOIN x USING (vec_id, q) GROUP BY q, m.e, p) AS g ON b.q = g.q AND b.e = g.e AND b.p = g.p)"
+            )
+    return ", ".join(found)
+
+
+CODES = f"""
+WITH k AS MATERIALIZED (SELECT vec_id, label, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings WHERE {_finite("embedding")} AND len(embedding) = 64),
+x AS MATERIALIZED (SELECT vec_id, x, i // 16 AS q, i % 16 AS p FROM (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS i FROM k)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k),
+b0 AS MATERIALIZED (SELECT q, e, p, x FROM f JOIN x USING (vec_id) WHERE e < 256),
+{_code_rounds(4)},
+v AS (SELECT vec_id, any_value(label) AS label, string_agg(lpad(lower(to_hex(m.e)), 2, '0'), '' ORDER BY q) AS code, sum(m.d)::BIGINT AS error FROM a4 JOIN k USING (vec_id) GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(x, ',' ORDER BY q, e, p)) FROM b4) AS codebooks_sha256 FROM v
+"""

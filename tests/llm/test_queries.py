@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__
 from tarnlake.llm import queries
 
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -22,4 +22,4 @@ def test_query_agrees_with_sql(spark, tiny, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
