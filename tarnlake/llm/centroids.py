@@ -138,7 +138,10 @@ def cluster_vectors(
     src = src.where((F.size("vec") == dim) & finite(F.col("vec")))
     kept = materialize(src.select("vec_id", scaled(F.col("vec"), scale).alias("ints")).where("ints is not null"), "kept")
     by_hash = F.sha2(F.concat(F.lit(salt), F.col("vec_id").cast("string")), 256)
-    first = kept.where("vec_id is not null").orderBy(by_hash, "ints").limit(k).select("ints").collect()
+    # The k-th hash first, so that no more than the rows up to it are sorted whole.
+    hashes = kept.where("vec_id is not null").select(by_hash.alias("h"), "ints")
+    last = hashes.select("h").orderBy("h").limit(k).agg(F.max("h")).first()[0]
+    first = hashes.where(F.col("h") <= F.lit(last)).orderBy("h", "ints").limit(k).select("ints").collect()
     centroids = np.array([r.ints for r in first], np.int64).reshape(-1, dim)
     sc = kept.sparkSession.sparkContext
     if not len(centroids):

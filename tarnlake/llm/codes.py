@@ -133,7 +133,9 @@ def compress_vectors(
     lengths = kept.groupBy(F.size("ints").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = lengths["d"] if lengths else 0
     kept = kept.where(F.size("ints") == dim)
-    first = kept.where("vec_id is not null").orderBy("vec_id", "ints").limit(size).select("ints").collect()
+    # The last of the least ids first, so that no more than the rows up to it are sorted whole.
+    last = kept.where("vec_id is not null").select("vec_id").orderBy("vec_id").limit(size).agg(F.max("vec_id")).first()[0]
+    first = kept.where(F.col("vec_id") <= F.lit(last)).orderBy("vec_id", "ints").limit(size).select("ints").collect()
     if not first:
         return kept.where("false").selectExpr("vec_id", "'' code", "0L error", "0L label_error", "'' codebooks_sha256")
     wide = dim // parts

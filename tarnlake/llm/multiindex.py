@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.components import connected_components
-from tarnlake.llm.vectors import matrix, usable
+from tarnlake.llm.vectors import bounded_sample, matrix, usable
 from tarnlake.session import materialize, release
 
 #: Bounds of the fitted index: sampled vectors, entries of a half's codebook.
@@ -238,7 +238,7 @@ def near_duplicate_vectors(
     if not n:
         return alone
     dim = folded.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()["d"]
-    sample = folded.where(F.size("vec") == dim).orderBy(F.xxhash64(F.lit(3), "key"), "key").limit(MAX_SAMPLE).select("vec").collect()
+    sample = bounded_sample(folded.where(F.size("vec") == dim), F.xxhash64(F.lit(3), "key"), n, MAX_SAMPLE).select("vec").collect()
     entries = int(min(MAX_ENTRIES, max(2, math.sqrt(n / rows_per_cell))))
     index = MultiIndex(unit(np.array([r.vec for r in sample], np.float64)), entries, cosine, target_recall)
     names = ["key", "label", "vec", "copies"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Scaled components beyond this have squared distances that leave 64 bits.
@@ -29,6 +29,14 @@ def scaled(v: Column, factor: int) -> Column:
     return F.when(fits, F.transform(v, lambda x: F.floor(x.cast("double") * factor).cast("int")))
 
 
+def bounded_sample(rows: DataFrame, by_hash: Column, n: int, most: int) -> DataFrame:
+    """At most ``most`` of about ``n`` rows, those of least hash within a share
+    that holds about twice as many: what tasks send on does not grow with their
+    number."""
+    share = F.pmod(by_hash, F.lit(max(1, n // (2 * most)))) == 0
+    return rows.where(share).orderBy(by_hash).limit(most)
+
+
 def matrix(col: pa.ChunkedArray | pa.Array, kind: type = np.float64) -> np.ndarray:
     """A list column of equal lengths as a matrix."""
     if isinstance(col, pa.ChunkedArray):
