@@ -100,11 +100,31 @@ def json_field(c: Column, path: str) -> Column:
     return F.get_json_object(c, f"$.{path}")
 
 
+def json_value(c: Column, path: str, kind: str) -> Column:
+    """A value of a JSON text by its path (``a.b[0]``) as the SQL type ``kind``;
+    NULL if there is none, it does not fit the type, or the text is not JSON.
+    ``variant`` keeps numbers, objects and arrays as they are."""
+    return F.try_variant_get(F.try_parse_json(c), f"${path}" if path.startswith("[") else f"$.{path}", kind)
+
+
+def json_length(c: Column, path: str | None = None) -> Column:
+    """Elements of a JSON array, or of the array at ``path``; NULL if it is none."""
+    parsed = F.try_parse_json(c)
+    place = "$" if path is None else f"${path}" if path.startswith("[") else f"$.{path}"
+    return F.nullif(F.size(F.try_variant_get(parsed, place, "array<variant>")), F.lit(-1))
+
+
 def json_merge(a: Column, b: Column) -> Column:
-    """Two JSON objects as one; fields of the second win, as texts."""
-    parsed = [F.coalesce(F.from_json(x, "map<string,string>"), F.create_map().cast("map<string,string>")) for x in (a, b)]
-    kept = F.map_filter(parsed[0], lambda k, _: ~F.map_contains_key(parsed[1], k))
-    return F.to_json(F.map_concat(kept, parsed[1]))
+    """Two JSON documents as one, values as they are: of objects the fields of
+    the second win, arrays are joined, anything else joins as an element. A side
+    that is NULL or not JSON leaves the other; both: NULL. Fields come sorted."""
+    left, right = F.try_parse_json(a), F.try_parse_json(b)
+    fields = [F.try_variant_get(x, "$", "map<string,variant>") for x in (left, right)]
+    items = [F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)) for x in (left, right)]
+    kept = F.map_filter(fields[0], lambda k, _: ~F.map_contains_key(fields[1], k))
+    objects = F.to_variant_object(F.map_concat(kept, fields[1]))
+    joined = F.when(fields[0].isNotNull() & fields[1].isNotNull(), objects).otherwise(F.to_variant_object(F.concat(*items)))
+    return F.to_json(F.when(left.isNull(), right).when(right.isNull(), left).otherwise(joined))
 
 
 def not_blank(c: Column) -> Column:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tarnlake.functions import clean
+from tarnlake.session import materialize, release
 
 ALERT = "alert_type string, severity string, source string, title string, message string, created_at timestamp"
 # Severities from worst to least, score limits, lookback.
@@ -101,30 +103,68 @@ def freshness_alerts(tables: DataFrame, as_of: str, hours: float = 24.0) -> Data
     return _alert(late, "freshness", F.lit("warning"), F.col("table_name"), F.lit("table is stale"), F.round("age", 2).cast("string"), as_of)
 
 
+def _links(times: DataFrame, step: int) -> DataFrame:
+    """(dedup_key, t, next): the first time of the key ``step`` or more after each.
+
+    Times lie in slots of one step. What follows t is in the slot of t + step or
+    is the first time of a later slot, so no task sorts more than a slot of a
+    key, or one row for each of the key's slots.
+    """
+    slot = lambda t: F.expr(f"({t} - pmod({t}, {step})) div {step}")
+    probes = times.select("dedup_key", F.col("t").alias("source"), (F.col("t") + step).alias("at"))
+    both = times.select("dedup_key", F.lit(None).cast("long").alias("source"), F.col("t").alias("at")).unionByName(probes).withColumn("slot", slot("at"))
+    found = F.when(F.col("source").isNull(), F.col("at"))
+    near = W.partitionBy("dedup_key", "slot").orderBy(F.desc("at"), F.col("source").isNotNull())
+    asked = both.withColumn("here", F.last(found, ignorenulls=True).over(near.rowsBetween(W.unboundedPreceding, 0))).where("source is not null")
+    slots = both.groupBy("dedup_key", "slot").agg(F.min(found).alias("first"))
+    later = W.partitionBy("dedup_key").orderBy(F.desc("slot")).rowsBetween(W.unboundedPreceding, -1)
+    after = slots.select("dedup_key", "slot", F.last("first", ignorenulls=True).over(later).alias("after"))
+    linked = asked.join(after, ["dedup_key", "slot"]).select("dedup_key", F.col("source").alias("t"), F.coalesce("here", "after").alias("next"))
+    return linked.where("next is not null")
+
+
+def _reached(first: DataFrame, links: DataFrame) -> DataFrame:
+    """Times on the chains of links that begin at ``first``.
+
+    Each round goes four times as far as all rounds before it; it ends when it
+    adds nothing. Every round is written, so the plan stays short.
+    """
+    hop = lambda a, b: a.join(b.select("dedup_key", F.col("t").alias("next"), F.col("next").alias("_far")), ["dedup_key", "next"]).select("dedup_key", "t", F.col("_far").alias("next"))
+    step = lambda seen, j: seen.unionByName(j.join(seen, ["dedup_key", "t"], "left_semi").select("dedup_key", F.col("next").alias("t")))
+    seen, jump, n = materialize(first, "reached"), materialize(links, "links"), -1
+    while (now := seen.count()) != n:
+        n, old = now, (seen, jump)
+        twice = hop(jump, jump.toDF(*jump.columns))
+        seen = materialize(step(step(seen, jump), twice).distinct(), "reached")
+        twice = materialize(twice, "links")
+        jump = materialize(hop(twice, twice.toDF(*twice.columns)), "links")
+        release(*old, twice)
+    release(jump)
+    return seen
+
+
 def suppress(alerts: DataFrame, minutes: int = SUPPRESS_MINUTES, last_emitted: DataFrame | None = None) -> DataFrame:
     """Drop repeats within ``minutes`` of the last alert *kept* for their key.
 
     Suppressed alerts do not extend the window. ``last_emitted`` (dedup_key,
-    emitted_at) seeds the fold, so micro-batches continue one another. What is
-    gathered per key are its distinct times, not its alerts.
+    emitted_at) seeds the chain, so batches continue one another. Every distinct
+    time of a key is linked to the first time that it does not suppress; the
+    kept ones are those that links reach from the key's first, found by doubling
+    the links. No task holds the times of a key, however many there are. Of
+    alerts at one time the one of least severity name and message stays; alerts
+    without a time or with a null in their key's parts take the same rules
+    (a null is left out of the key), those without a time are dropped.
     """
-    keyed = alerts.withColumn("dedup_key", clean.alert_key(F.col("alert_type"), F.col("source"), F.col("title")))
-    step = F.expr(f"INTERVAL {minutes} MINUTES")
-    times = keyed.groupBy("dedup_key").agg(F.array_sort(F.collect_set("created_at")).alias("ts"))
+    keyed = alerts.withColumn("dedup_key", clean.alert_key(F.col("alert_type"), F.col("source"), F.col("title"))).where("created_at is not null")
+    step = minutes * 60_000_000
+    times = keyed.select("dedup_key", F.unix_micros("created_at").alias("t")).distinct()
     if last_emitted is not None:
-        times = times.join(last_emitted.groupBy("dedup_key").agg(F.max("emitted_at").alias("last")), "dedup_key", "left")
-    else:
-        times = times.withColumn("last", F.lit(None).cast("timestamp"))
-    start = F.struct(F.col("last").alias("last"), F.array().cast("array<timestamp>").alias("kept"))
-    fold = F.aggregate(
-        "ts",
-        start,
-        lambda acc, t: F.when(
-            acc["last"].isNull() | (t >= acc["last"] + step),
-            F.struct(t.alias("last"), F.array_append(acc["kept"], t).alias("kept")),
-        ).otherwise(acc),
-    )
-    kept = times.select("dedup_key", F.explode(fold["kept"]).alias("created_at"))
+        seeds = last_emitted.groupBy("dedup_key").agg(F.max(F.unix_micros("emitted_at")).alias("_last"))
+        times = times.join(seeds, "dedup_key", "left").where(F.col("_last").isNull() | (F.col("t") >= F.col("_last") + step)).drop("_last")
+    times = materialize(times, "times")
+    kept = _reached(times.groupBy("dedup_key").agg(F.min("t").alias("t")), _links(times, step))
+    release(times)
+    kept = kept.select("dedup_key", F.timestamp_micros("t").alias("created_at"))
     first = keyed.groupBy("dedup_key", "created_at").agg(F.min(F.struct("severity", "message")).alias("_m"), *[F.min(c).alias(c) for c in ("alert_type", "source", "title")])
     out = first.join(kept, ["dedup_key", "created_at"], "left_semi")
     return out.select("dedup_key", "alert_type", "_m.severity", "source", "title", "_m.message", "created_at")

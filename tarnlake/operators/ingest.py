@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from fnmatch import fnmatch
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.sources import jdbc, landing
@@ -159,43 +161,93 @@ def new_watermark(df: DataFrame, tracking: str, pattern: str = jdbc.TRACKING_PAT
     return df.agg(F.max(at)).first()[0]
 
 
-def _write_batch(df: DataFrame, path: str, fmt: str) -> DataFrame:
-    """Write a batch once and read it back: counts and watermark must be those
-    of the rows written, not of a source that may have changed since."""
-    landing.write_raw(df, path, fmt)
-    return landing.read_batch(df.sparkSession, path, df.schema, fmt)
+def _write_observed(df: DataFrame, table: SourceTable, path: str, fmt: str) -> dict:
+    """Write a batch and take its counts and watermark from the rows as they
+    pass by: the source is read once, and what is reported is what was written,
+    even where the source changes meanwhile. A batch without rows leaves no
+    folder. (A stage that Spark runs again may be observed twice: there is none
+    between reading and writing.)"""
+    seen, measures = Observation(), [F.count(F.lit(1)).alias("rows")]
+    measures += [F.count_if(F.col("op") == c).alias(name) for c, name in (("I", "inserts"), ("U", "updates"), ("D", "deletes"))]
+    if table.tracking in df.columns:
+        text = df.schema[table.tracking].dataType.simpleString() == "string"
+        measures.append(F.max(F.try_to_timestamp(F.col(table.tracking), F.lit(table.pattern)) if text else F.col(table.tracking)).alias("watermark"))
+    landing.write_raw(df.observe(seen, *measures), path, fmt)
+    found = {"watermark": None} | seen.get
+    if not found["rows"]:
+        landing.remove(df.sparkSession, path)
+    return found
 
 
 def full_load(df: DataFrame, table: SourceTable, zone: str, at: datetime, fmt: str = "csv") -> dict:
     """All rows as one batch. A source found empty writes no batch."""
-    out = {"table": table.name, "status": "success", "rows": 0, "path": None, "watermark": None}
-    if df.isEmpty():
-        return out
     path = f"{zone}/{target_path(table, 'full_load', batch_id(at))}"
-    batch = _write_batch(audit_columns(df, at, table.id_column, "I"), path, fmt)
-    mark = new_watermark(batch, table.tracking, table.pattern) if table.tracking else None
-    return out | {"rows": batch.count(), "path": path, "watermark": mark}
+    done = _write_observed(audit_columns(df, at, table.id_column, "I"), table, path, fmt)
+    return {"table": table.name, "status": "success", "rows": done["rows"], "path": path if done["rows"] else None, "watermark": done["watermark"]}
 
 
 def cdc_load(df: DataFrame, table: SourceTable, zone: str, at: datetime, watermark: datetime | None = None, fmt: str = "csv") -> dict:
     """Changed rows since the watermark; an empty batch keeps the watermark."""
     changed = jdbc.incremental(df, table.tracking, watermark, table.pattern)
-    out = {"table": table.name, "status": "success", "rows": 0, "inserts": 0, "updates": 0, "deletes": 0, "path": None, "watermark": watermark}
-    if changed.isEmpty():
-        return out
     path = f"{zone}/{target_path(table, 'cdc', batch_id(at))}"
-    batch = _write_batch(audit_columns(changed, at, table.id_column, "U", delete_when=table.delete_when), path, fmt)
-    counts = op_counts(batch).first().asDict()
-    return out | counts | {"rows": batch.count(), "path": path, "watermark": new_watermark(batch, table.tracking, table.pattern) or watermark}
+    done = _write_observed(audit_columns(changed, at, table.id_column, "U", delete_when=table.delete_when), table, path, fmt)
+    counts = {c: done[c] for c in ("rows", "inserts", "updates", "deletes")}
+    return {"table": table.name, "status": "success"} | counts | {"path": path if done["rows"] else None, "watermark": done["watermark"] or watermark}
 
 
-def run_tables(tables: list[SourceTable], load: Callable[[SourceTable], dict]) -> dict:
-    """Run every table; a failure is recorded and the rest go on."""
-    results = []
-    for t in tables:
+def snapshot_changes(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
+    """Changes between two snapshots of a table without a log: op, the row, and
+    the columns that changed.
+
+    I and U carry the row after the change, D the row that went. Rows are
+    compared null-safely over the new snapshot's columns (a column only one side
+    has counts as null on the other). Snapshots hold one row a key; of several
+    the one of least hash counts, and rows with a null in the key take no part.
+    One full join of two plain shuffles on the key.
+    """
+    keys = [key] if isinstance(key, str) else key
+    columns = new.columns
+    sides = []
+    for df, name in ((old, "_old"), (new, "_new")):
+        have = df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(new.schema[c].dataType).alias(c) for c in columns])
+        row = F.struct(*[F.col(f"`{c}`") for c in columns])
+        clean_rows = have.where(F.forall(F.array(*[F.col(f"`{k}`").isNotNull() for k in keys]), lambda x: x))
+        sides.append(clean_rows.groupBy(*keys).agg(F.min_by(row, F.xxhash64(row)).alias(name)))
+    both = sides[0].join(sides[1], keys, "full")
+    before, after = F.col("_old"), F.col("_new")
+    changed = F.filter(F.array(*[F.when(~before[c].eqNullSafe(after[c]), F.lit(c)) for c in columns if c not in keys]), lambda c: c.isNotNull())
+    op = F.when(before.isNull(), "I").when(after.isNull(), "D").when(F.size(changed) > 0, "U")
+    out = both.select(op.alias("op"), F.coalesce(after, before).alias("_row"), F.when(op == "U", changed).alias("changed_columns")).where("op is not null")
+    return out.select("op", *[F.col("_row")[c].alias(c) for c in columns], "changed_columns")
+
+
+def apply_snapshot(old: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFrame:
+    """The snapshot that ``snapshot_changes`` came from, out of the one before."""
+    keys = [key] if isinstance(key, str) else key
+    come = changes.where("op != 'D'").drop("op", "changed_columns")
+    return old.join(changes.select(*keys), keys, "left_anti").unionByName(come, allowMissingColumns=True)
+
+
+def run_tables(tables: list[SourceTable], load: Callable[[SourceTable], dict], spark: SparkSession | None = None, at_once: int = 1) -> dict:
+    """Run every table; a failure is recorded and the rest go on.
+
+    With a session up to ``at_once`` tables run side by side, each in a
+    scheduler pool of its own name, so that short loads are not held up behind
+    long ones; results come in the order of the tables.
+    """
+
+    def one(t: SourceTable) -> dict:
+        if spark is not None:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{t.schema}.{t.name}")
         try:
-            results.append(load(t))
+            return load(t)
         except Exception as e:  # reported in the result of this table
-            results.append({"table": t.name, "status": "failed", "rows": 0, "error": str(e)})
+            return {"table": t.name, "status": "failed", "rows": 0, "error": str(e)}
+
+    if spark is None or at_once < 2:
+        results = [one(t) for t in tables]
+    else:
+        with ThreadPoolExecutor(at_once) as pool:
+            results = list(pool.map(inheritable_thread_target(spark)(one), tables))
     ok = [r for r in results if r["status"] == "success"]
     return {"results": results, "succeeded": len(ok), "failed": len(results) - len(ok), "rows": sum(r["rows"] for r in ok)}

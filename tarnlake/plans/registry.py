@@ -883,7 +883,7 @@ def stream_apply(t):
     stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
     events = stream.parquet(f"{t.sf_dir}/events*")
     op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
-    q = cdc.apply_changes(events.select("event_id", "user_id", "ts", op.alias("op")), "user_id", ["ts", "event_id"], root, f"{root}/checkpoint")
+    q = cdc.apply_changes(events.select("event_id", "user_id", "ts", op.alias("op")), "user_id", ["ts", "event_id"], root)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -90,6 +90,13 @@ def write_raw(df: DataFrame, path: str, fmt: str = "csv", compression: str = "sn
     (w.options(header=True, quote='"', escape='"').csv(path) if fmt == "csv" else w.option("compression", compression).parquet(path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
+
+
 def write_partitioned(df: DataFrame, path: str, parts: list[str], dynamic: bool = False) -> None:
     """Overwrite a staged table, one folder per partition value.
 

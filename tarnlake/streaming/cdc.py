@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime, timedelta
+from collections.abc import Iterator
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo
+from pyspark.sql.types import StructField, StructType, TimestampType
 
-from tarnlake.operators import ingest, staging
-from tarnlake.operators.alerts import suppress
+from tarnlake.functions import clean
+from tarnlake.operators import ingest
+from tarnlake.operators.alerts import SUPPRESS_MINUTES
 
 #: A flush every ten seconds or so many files.
 FLUSH, FILES_PER_FLUSH = "10 seconds", 100
@@ -48,96 +51,139 @@ def capture(events: DataFrame, tables: list[str], out: str, checkpoint: str, id_
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
 
 
-BUCKETS = 64
+#: Columns of the state that order the rows of a key.
+RANK = "_rank_"
 
 
-def apply_changes(
-    events: DataFrame, key: str, order_by: list[str], root: str, checkpoint: str, once: bool = True, buckets: int = BUCKETS
-) -> StreamingQuery:
-    """Keep the current state of a table under change events.
+def _ready(spark: SparkSession, root: str) -> bool:
+    """Whether a query with its checkpoint below ``root`` has finished a batch."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = jvm.org.apache.hadoop.fs.Path(f"{root}/checkpoint/commits/[0-9]*")
+    return len(found.getFileSystem(conf).globStatus(found) or []) > 0
 
-    The state lies in ``buckets`` by the key's hash. A micro-batch is compacted
-    with the buckets it touches into new bucket folders; a pointer table names
-    the newest folder of each bucket, so untouched ones are not rewritten and
-    readers never see a half written one. ``expire_state`` removes old folders.
-    """
 
-    def merge(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        come = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
-        touched = {r.bucket for r in come.select("bucket").distinct().collect()}  # at most one number a bucket
-        paths = [path for bucket, path in _pointers(spark, root).items() if bucket in touched]
-        # Deletes are kept as tombstones: a late older event must not revive a row.
-        both = come
-        if paths:
-            old = spark.read.parquet(*paths)
-            both = old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).unionByName(come, allowMissingColumns=True)
-        path = f"{root}/state/{n:012d}-{uuid.uuid4().hex[:8]}"
-        latest = staging.keep_latest(both, key, order_by)
-        latest.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-        come.unpersist()
-        rows = [(n, b, f"{path}/bucket={b}") for b in sorted(touched)]
-        if rows:
-            spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append").parquet(f"{root}/versions")
-
-    w = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
+def _started(out: DataFrame, root: str, name: str, once: bool) -> StreamingQuery:
+    """Start a query whose state lies in Spark's RocksDB store; the session's
+    own choice of store is as before afterwards."""
+    conf, key = out.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        w = out.writeStream.format("parquet").option("path", f"{root}/{name}").option("checkpointLocation", f"{root}/checkpoint")
+        return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
+    finally:
+        conf.set(key, before)
 
 
-POINTERS = "batch long, bucket int, path string"
+class _Newest(StatefulProcessor):
+    """Keeps the newest row of a key: order columns descending, nulls last."""
 
+    def __init__(self, shape: StructType, order_by: list[str]):
+        self.shape, self.at = shape, [shape.names.index(c) for c in order_by]
 
-def _pointers(spark: SparkSession, root: str) -> dict[int, str]:
-    """The newest folder of each bucket."""
-    try:
-        rows = spark.read.schema(POINTERS).parquet(f"{root}/versions")
-        return {r.bucket: r.path for r in rows.groupBy("bucket").agg(F.max_by("path", F.struct("batch", "path")).alias("path")).collect()}
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return {}
-        raise
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = handle.getValueState("row", self.shape)
 
+    def _place(self, row: tuple) -> list[tuple]:
+        values = [row[i] for i in self.at]
+        return [(v is not None, v != v, v) if v is not None and v == v else (v is not None, v is not None, 0) for v in values]
 
-def current_state(spark: SparkSession, root: str, live_only: bool = False) -> DataFrame | None:
-    """The newest version of every bucket, with tombstones unless ``live_only``."""
-    paths = sorted(_pointers(spark, root).values())
-    if not paths:
-        return None
-    df = spark.read.parquet(*paths)
-    return df.where("op IS NULL OR op != 'D'") if live_only else df
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        old = tuple(self.row.get()) if self.row.exists() else None
+        best, place = old, old and self._place(old)
+        for r in rows:
+            here = self._place(r)
+            if best is None or here > place:
+                best, place = tuple(r), here
+        if best is not old:
+            self.row.update(best)
+            yield Row(*self.shape.names)(*best)
 
+    def close(self) -> None:
+        pass
 
-def expire_state(spark: SparkSession, root: str) -> int:
-    """Remove bucket folders that newer ones replace; for times when no query
-    reads or writes the state. Returns how many were removed."""
-    every = {r.path for r in spark.read.schema(POINTERS).parquet(f"{root}/versions").select("path").distinct().collect()}
-    old = every - set(_pointers(spark, root).values())
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    return sum(jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(p), True) for p in old)
 
+def apply_changes(events: DataFrame, key: str, order_by: list[str], root: str, once: bool = True) -> StreamingQuery:
+    """Keep the current state of a table under change events.
 
-def suppressed_alerts(alerts: DataFrame, root: str, checkpoint: str, minutes: int = 60) -> StreamingQuery:
-    """Alert stream to table, repeats suppressed across micro-batches too.
-
-    Of the alerts kept before, only those of the last ``minutes`` before the
-    batch's first can suppress one: older row groups are skipped by the scan.
+    The newest row of each key is kept in Spark's state store (its checkpoint
+    lies below ``root``); ties fall to a hash of the whole row, as in the batch
+    compaction. Deletes are kept as tombstones: a late older event must not
+    revive a row. A micro-batch touches the state of its own keys only, holds
+    one row of a key at a time, and appends the rows that are now current to
+    ``root/changes``. A restarted query goes on where the last batch ended.
     """
+    # Times are compared as numbers: rows and state give them with and without a zone.
+    order = [f"unix_micros(`{c}`)" if events.schema[c].dataType == TimestampType() else f"`{c}`" for c in order_by if c in events.columns]
+    ranks = {f"{RANK}{i}": F.expr(c) for i, c in enumerate(order)} | {f"{RANK}{len(order)}": F.bitwise_not(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]))}
+    tied = events.withColumns(ranks)
+    newest = _Newest(tied.schema, list(ranks))
+    return _started(tied.groupBy(key).transformWithState(newest, tied.schema, "Append", "None"), root, "changes", once)
+
 
-    def emit(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        try:
-            first = batch.agg(F.min("created_at")).first()[0]
-            seen = spark.read.parquet(f"{root}/alerts").where(F.col("batch") < n)
-            if first is not None:
-                seen = seen.where(F.col("created_at") > F.lit(first - timedelta(minutes=minutes)))
-            last = seen.groupBy("dedup_key").agg(F.max("created_at").alias("emitted_at"))
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            last = None
-        suppress(batch, minutes, last).write.mode("overwrite").parquet(f"{root}/alerts/batch={n}")
-
-    return alerts.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def current_state(spark: SparkSession, root: str, live_only: bool = False) -> DataFrame | None:
+    """The state after the last finished batch, read from the state store, with
+    tombstones unless ``live_only``. None before the first batch."""
+    if not _ready(spark, root):
+        return None
+    df = spark.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", "row").load()
+    df = df.select("value.*")
+    df = df.drop(*[c for c in df.columns if c.startswith(RANK)])
+    return df.where("op IS NULL OR op != 'D'") if live_only else df
+
+
+class _Quiet(StatefulProcessor):
+    """Keeps the time of the last alert emitted for a key, in microseconds."""
+
+    def __init__(self, names: list[str], step: int, expire: bool):
+        self.names, self.step, self.expire = names, step, expire
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.last = handle, handle.getValueState("last", "at bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        come: dict[int, tuple] = {}
+        for r in rows:
+            row = tuple(r)
+            come[r.at] = min(come.get(r.at, row), row, key=lambda x: [(v is not None, v) for v in x[:2]])
+        old = last = self.last.get()[0] if self.last.exists() else None
+        for at in sorted(come):
+            if last is None or at >= last + self.step:
+                last = at
+                yield Row(*self.names)(*come[at])
+        if last != old:
+            self.last.update((last,))
+            if self.expire:
+                self.handle.registerTimer((last + self.step) // 1000 + 1)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        if self.last.exists() and (self.last.get()[0] + self.step) // 1000 < expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def suppressed_alerts(alerts: DataFrame, root: str, minutes: int = SUPPRESS_MINUTES, late: str | None = None, once: bool = True) -> StreamingQuery:
+    """Alert stream to ``root/alerts``, repeats suppressed across micro-batches.
+
+    The state of a key is the time of its last emitted alert, kept in Spark's
+    state store; a micro-batch holds the distinct times of a key that it brings,
+    which the stream's own rate limit bounds. With ``late`` (an interval) that
+    state is cleared by an event-time timer once it can suppress nothing more;
+    alerts later than that are then dropped by Spark's watermark. Without it
+    the state stays, one time a key, and no alert is dropped for its lateness.
+    An alert older than the last emitted one counts as a repeat.
+    """
+    keyed = alerts.where("created_at is not null").withColumn("dedup_key", clean.alert_key(F.col("alert_type"), F.col("source"), F.col("title")))
+    keyed = keyed.select("severity", "message", "alert_type", "source", "title", "dedup_key", F.unix_micros("created_at").alias("at"), "created_at")
+    if late:
+        keyed = keyed.withWatermark("created_at", late)
+    quiet = _Quiet(keyed.columns, minutes * 60_000_000, late is not None)
+    shape = StructType([StructField(f.name, f.dataType) for f in keyed.schema])
+    out = keyed.groupBy("dedup_key").transformWithState(quiet, shape, "Append", "EventTime" if late else "None")
+    return _started(out.select("dedup_key", "alert_type", "severity", "source", "title", "message", "created_at"), root, "alerts", once)
 
 
 def lag_seconds(batch: DataFrame, event_time: str, as_of: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarnlake.functions import clean
 from tarnlake.operators import alerts, contracts, ingest, profiling, rejects
@@ -70,9 +71,31 @@ def test_rejected_rows_have_an_index(spark):
 
 
 def test_json_helpers(spark):
-    df = spark.createDataFrame([('{"a":{"b":1},"c":"x"}', '{"c":"y","d":2}'), (None, '{"d":2}'), ("bad", None)], "l string, r string")
-    rows = df.select(clean.json_field(df.l, "a.b").alias("f"), clean.json_merge(df.l, df.r).alias("m")).collect()
-    assert rows[0].f == "1" and rows[0].m == '{"a":"{\\"b\\":1}","c":"y","d":"2"}' and rows[1].f is None and rows[1].m == '{"d":"2"}'
+    pairs = [
+        ('{"a":{"b":1},"n":1}', '{"n":2}', '{"a":{"b":1},"n":2}'),
+        ('{"a":{"b":1},"c":"x"}', '{"c":[1,"y",null],"d":null}', '{"a":{"b":1},"c":[1,"y",null],"d":null}'),
+        (None, '{"d":2}', '{"d":2}'),
+        ("bad", '{"d":2.25}', '{"d":2.25}'),
+        ('{"d":true}', "{bad", '{"d":true}'),
+        ("[1,{}]", '["x"]', '[1,{},"x"]'),
+        ('{"a":1}', "[2]", '[{"a":1},2]'),
+        ("1", '"x"', '[1,"x"]'),
+        ("", None, None),
+        ("{}", "{}", "{}"),
+    ]
+    df = spark.createDataFrame([(i, *p[:2]) for i, p in enumerate(pairs)], "i int, l string, r string")
+    merged = df.select("i", clean.json_merge(df.l, df.r).alias("m")).collect()
+    assert [r.m for r in sorted(merged)] == [p[2] for p in pairs]
+    text = spark.createDataFrame([('{"a":{"b":[1,"2",{"c":3.5}]},"n":"7","t":true}',), ("[1,[2,3]]",), ("bad",), (None,), ("[]",)], "c string")
+    c = text.c
+    rows = text.select(
+        clean.json_field(c, "a.b[1]").alias("field"), clean.json_value(c, "a.b[2].c", "double").alias("deep"), clean.json_value(c, "n", "int").alias("n"),
+        clean.json_value(c, "t", "boolean").alias("t"), clean.json_value(c, "[1][0]", "int").alias("at"), clean.json_value(c, "a.b", "int").alias("misfit"),
+        clean.json_length(c).alias("len"), clean.json_length(c, "a.b").alias("inner"), F.to_json(clean.json_value(c, "a", "variant")).alias("kept"),
+    ).collect()
+    assert tuple(rows[0]) == ("2", 3.5, 7, True, None, None, None, 3, '{"b":[1,"2",{"c":3.5}]}')
+    assert tuple(rows[1]) == (None, None, None, None, 2, None, 2, None, None)
+    assert [r.len for r in rows] == [None, 2, None, None, 0] and rows[2].field is None
 
 
 def test_release_removes_what_was_written(spark):

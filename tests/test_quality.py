@@ -1,3 +1,6 @@
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +217,22 @@ def test_thresholds(spark):
         "table_name string, column_name string, metric string, kind string, low double, high double, severity string, blocking boolean",
     )
     assert sorted((r.metric, r.holds) for r in x.check_thresholds(m, t).collect()) == [("n", True), ("p", False)]
+
+
+def test_suppression_of_a_key_of_very_many_times(spark):
+    """Chains of links equal the fold over sorted times, dense and sparse, and
+    no time of the hot key is gathered."""
+    at = F.timestamp_micros((F.lit(1_700_000_000_000_000) + F.col("id") * 7_000_000).cast("long"))
+    hot = spark.range(60_000).select(F.lit("k").alias("alert_type"), F.lit("warning").alias("severity"), F.lit("hot").alias("source"), F.lit("t").alias("title"), F.lit("m").alias("message"), at.alias("created_at"))
+    rnd = random.Random(1)
+    few = [("k", "error", "few", "t", "m", datetime(2020, 1, 1) + timedelta(minutes=rnd.choice([1, 20, 59, 60, 61]) * i + rnd.randrange(3000) * (i % 7 == 0))) for i in range(80)]
+    rows = hot.unionByName(spark.createDataFrame(few, hot.schema))
+    got = sorted((r.source, r.created_at) for r in alerts.suppress(rows).select("source", "created_at").collect())
+    want = []
+    for source in ("few", "hot"):
+        last = None
+        for (t,) in rows.where(F.col("source") == source).select("created_at").distinct().orderBy("created_at").collect():
+            if last is None or t >= last + timedelta(minutes=60):
+                last = t
+                want.append((source, t))
+    assert got == want and 100 < len(want)

@@ -1,10 +1,11 @@
 import json
+import random
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tarnlake.operators import ingest
+from tarnlake.operators import alerts, ingest, staging
 from tarnlake.streaming import cdc
 
 SCHEMA = "table_name string, op string, seq long, after struct<id: string, v: string>"
@@ -35,16 +36,16 @@ def test_capture_fans_out_and_resumes(spark, tmp_path):
 
 
 def test_apply_keeps_current_state(spark, tmp_path):
-    src, root, cp = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "cp")
+    src, root = tmp_path / "in", str(tmp_path / "state")
     assert cdc.current_state(spark, root) is None
     src.mkdir()
     events = cdc.captured(cdc.change_stream(spark, str(src), SCHEMA, files=1), ["leads"])
     put(src, "1.json", [("leads", "I", 1, "a", "x"), ("leads", "I", 2, "b", "x")])
     put(src, "2.json", [("leads", "U", 4, "a", "z"), ("leads", "D", 3, "b", None)])
-    run(cdc.apply_changes(events, "id", ["seq"], root, cp))
+    run(cdc.apply_changes(events, "id", ["seq"], root))
     assert [(r.id, r.v) for r in cdc.current_state(spark, root, live_only=True).collect()] == [("a", "z")]
     put(src, "3.json", [("leads", "U", 2, "b", "late"), ("leads", "I", 9, "c", "n")])
-    run(cdc.apply_changes(events, "id", ["seq"], root, cp))
+    run(cdc.apply_changes(events, "id", ["seq"], root))
     assert sorted(r.id for r in cdc.current_state(spark, root, live_only=True).collect()) == ["a", "c"]
 
 
@@ -56,7 +57,7 @@ def test_suppression_across_batches(spark, tmp_path):
     for k, ms in enumerate(([0, 30], [59, 61], [90, 125])):
         (src / f"{k}.json").write_text("\n".join(map(row, ms)))
         df = spark.readStream.schema(schema).json(str(src))
-        run(cdc.suppressed_alerts(df, str(tmp_path / "out"), str(tmp_path / "cp")))
+        run(cdc.suppressed_alerts(df, str(tmp_path / "out")))
     got = spark.read.parquet(str(tmp_path / "out/alerts"))
     assert sorted(r.created_at.hour * 60 + r.created_at.minute for r in got.collect()) == [0, 61, 125]
 
@@ -70,19 +71,46 @@ def test_lag_and_poll(spark, tmp_path):
     assert got["rows"] == 1 and got["results"][0]["watermark"] == datetime(2024, 1, 1, 0, 30)
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    shape = "id long, at int, op string"
+def test_restarted_stream_gives_the_same_state(spark, tmp_path):
+    """Batches one by one, with restarts, against one batch compaction of all rows."""
+    rnd, shape = random.Random(3), "id long, at timestamp, v double, op string"
     src, root = f"{tmp_path}/src", f"{tmp_path}/root"
-
-    def run(rows):
-        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(src)
-        q = cdc.apply_changes(spark.readStream.schema(shape).parquet(src), "id", ["at"], root, f"{tmp_path}/checkpoint", buckets=8)
-        q.awaitTermination()
-        return cdc._pointers(spark, root)
-
-    first = run([(i, 1, "I") for i in range(40)])
-    second = run([(3, 2, "D"), (4, 2, "U"), (4, 1, "U")])
-    assert len(first) == 8 and 1 <= sum(first[b] != second[b] for b in first) <= 2
-    live = {r.id: r.at for r in cdc.current_state(spark, root, live_only=True).collect()}
-    assert live == {i: 2 if i == 4 else 1 for i in range(40) if i != 3}
-    assert cdc.expire_state(spark, root) >= 1 and cdc.current_state(spark, root).count() == 40
+    when = lambda n: datetime(2024, 1, 1) + timedelta(hours=n)
+    rows = [(rnd.choice([None, *range(12)]), when(rnd.randrange(6)) if rnd.random() < 0.9 else None, rnd.choice([None, 0.5, float("nan")]), rnd.choice("IUD")) for _ in range(120)]
+    for at in range(0, 120, 40):
+        spark.createDataFrame(rows[at : at + 40], shape).coalesce(1).write.mode("append").parquet(src)
+        run(cdc.apply_changes(spark.readStream.schema(shape).parquet(src), "id", ["at", "v"], root))
+    want = staging.keep_latest(spark.createDataFrame(rows, shape), "id", ["at", "v"])
+    assert sorted(map(repr, cdc.current_state(spark, root).collect())) == sorted(map(repr, want.select("id", "at", "v", "op").collect()))
+    live = cdc.current_state(spark, root, live_only=True)
+    assert 0 < live.count() < want.count() and live.where("op = 'D'").count() == 0
+    # Nothing new: the state stays, and nothing is written to the change log.
+    before = spark.read.parquet(f"{root}/changes").count()
+    run(cdc.apply_changes(spark.readStream.schema(shape).parquet(src), "id", ["at", "v"], root))
+    assert spark.read.parquet(f"{root}/changes").count() == before and cdc.current_state(spark, root).count() == want.count()
+
+
+ALERT = "alert_type string, severity string, source string, title string, message string, created_at timestamp"
+
+
+def test_stream_suppresses_as_the_batch_does(spark, tmp_path):
+    rnd, src = random.Random(5), f"{tmp_path}/src"
+    rows = sorted((("k", rnd.choice(["warning", "error", None]), rnd.choice(["a", "b", None]), "t", rnd.choice("mn"), datetime(2024, 1, 1) + timedelta(minutes=rnd.randrange(900))) for _ in range(150)), key=lambda r: r[5])
+    for at in range(0, 150, 50):
+        spark.createDataFrame(rows[at : at + 50], ALERT).coalesce(1).write.mode("append").parquet(src)
+        run(cdc.suppressed_alerts(spark.readStream.schema(ALERT).parquet(src), f"{tmp_path}/out"))
+    got = spark.read.parquet(f"{tmp_path}/out/alerts")
+    want = alerts.suppress(spark.createDataFrame(rows, ALERT)).select(got.columns)
+    assert 20 < want.count() < 60
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_timers_clear_what_can_suppress_no_more(spark, tmp_path):
+    src, root = f"{tmp_path}/src", f"{tmp_path}/out"
+    put_at = lambda source, day: spark.createDataFrame([("k", "error", source, "t", "m", datetime(2024, 1, day))], ALERT).coalesce(1).write.mode("append").parquet(src)
+    for source, day in (("a", 1), ("b", 10), ("b", 20), ("b", 30)):
+        put_at(source, day)
+        run(cdc.suppressed_alerts(spark.readStream.schema(ALERT).parquet(src), root, late="1 day"))
+    state = spark.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", "last").load()
+    assert 1 <= state.count() < 2  # of two keys; a's time has passed
+    assert spark.read.parquet(f"{root}/alerts").count() == 4
