@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnlake.operators.alerts import metric_rows
 from tarnlake.operators.staging import TableConfig
+from tarnlake.session import materialize, release
 
 # What a new and a missing column cost.
 NEW_COST, MISSING_COST = 5, 10
@@ -40,38 +42,35 @@ def canonical(t: T.DataType) -> str:
 
 # Names of database types and what they become.
 DATABASE_TYPES = {
+    "integer": "integer",
+    "bigint": "bigint",
+    "smallint": "smallint",
+    "numeric": "decimal",
+    "real": "float",
+    "double precision": "double",
     "character varying": "string",
     "varchar": "string",
     "character": "string",
     "char": "string",
     "text": "string",
-    "uuid": "string",
-    "integer": "int",
-    "bigint": "bigint",
-    "smallint": "smallint",
-    "serial": "int",
-    "bigserial": "bigint",
-    "real": "float",
-    "double precision": "double",
-    "numeric": "decimal",
-    "decimal": "decimal",
     "boolean": "boolean",
     "date": "date",
-    "time": "time",
-    "timestamp": "timestamp",
     "timestamp without time zone": "timestamp",
     "timestamp with time zone": "timestamp",
-    "interval": "interval",
+    "time without time zone": "time",
+    "time with time zone": "time",
+    "bytea": "binary",
     "json": "json",
     "jsonb": "json",
-    "bytea": "binary",
+    "uuid": "string",
     "array": "array",
 }
 
 
 def database_type(name: str) -> str:
-    base = re.sub(r"\(.*\)", "", name.lower()).strip()
-    return DATABASE_TYPES.get(base, base)
+    """Engine-neutral name of a database type; lengths are left out, and a type
+    that the table does not list is a string."""
+    return DATABASE_TYPES.get(re.sub(r"\s*\(.*?\)", "", name.lower()).strip(), "string")
 
 
 def schema_rows(df: DataFrame, table: str) -> DataFrame:
@@ -223,20 +222,81 @@ def crawl_catalog(spark: SparkSession, patterns: tuple[str, ...] = ("dim_*", "fa
     return spark.createDataFrame(rows, "table_name string, asset_type string, row_count long")
 
 
-def upstream(edges: DataFrame, asset: str, depth: int = 32) -> DataFrame:
-    """(asset, distance) of everything that ``asset`` is made from; ``edges``
-    has source and target. Each round is one join with the last round's rows."""
-    from tarnlake.session import materialize
+def _shorter(*links: DataFrame) -> DataFrame:
+    out = links[0]
+    for x in links[1:]:
+        out = out.unionByName(x)
+    return out.groupBy("source", "target").agg(F.min("distance").alias("distance"))
+
 
-    seen = edges.sparkSession.createDataFrame([(asset, 0)], "asset string, distance int")
-    last = seen
-    for d in range(1, depth + 1):
-        step = edges.join(last.select(F.col("asset").alias("target")), "target", "left_semi").select(F.col("source").alias("asset")).distinct()
-        last = materialize(step.join(seen, "asset", "left_anti").withColumn("distance", F.lit(d)), "lineage")
-        if last.isEmpty():
-            break
-        seen = materialize(seen.unionByName(last), "lineage")
-    return seen.where("distance > 0")
+def lineage_closure(edges: DataFrame) -> DataFrame:
+    """(source, target, distance) of every pair of assets joined by a path.
+
+    Paths are doubled: each round joins the paths found with one another, so a
+    chain of n steps takes about log2(n) rounds; it ends when a round finds
+    neither a new pair nor a shorter path. Cycles end too, and give the pair of
+    an asset with itself. The result is as large as the closure, which lineage
+    graphs (assets, not rows) keep small beside the data.
+    """
+    paths = edges.where("source is not null and target is not null").select("source", "target", F.lit(1).cast("long").alias("distance"))
+    paths, state = materialize(_shorter(paths), "lineage"), None
+    while (now := paths.agg(F.count(F.lit(1)), F.sum("distance")).first()) != state:
+        state, old = now, paths
+        onward = paths.select(F.col("source").alias("target"), F.col("target").alias("_far"), F.col("distance").alias("_more"))
+        joined = paths.join(onward, "target").select("source", F.col("_far").alias("target"), (F.col("distance") + F.col("_more")).alias("distance"))
+        paths = materialize(_shorter(paths, joined), "lineage")
+        release(old)
+    return paths
+
+
+def upstream(edges: DataFrame, asset: str) -> DataFrame:
+    """(asset, distance) of everything that ``asset`` is made from, however far;
+    ``edges`` has source and target.
+
+    Steps double: what lies within d steps of the asset and paths of up to d
+    steps give what lies within 2d. Paths are only followed from assets reached
+    by some path, so a round costs one join of the paths with themselves and one
+    with the assets found. An asset on a cycle is not its own source.
+    """
+    step = edges.where("source is not null and target is not null").select("source", "target", F.lit(1).cast("long").alias("distance"))
+    jumps = materialize(_shorter(step), "lineage")
+    seen = materialize(jumps.where(F.col("target") == asset).select(F.col("source").alias("asset"), "distance"), "lineage")
+    state = None
+    while (now := seen.agg(F.count(F.lit(1)), F.sum("distance")).first()) != state:
+        state, old = now, (seen, jumps)
+        further = seen.join(jumps.withColumnRenamed("distance", "_more"), F.col("asset") == F.col("target")).select(F.col("source").alias("asset"), (F.col("distance") + F.col("_more")).alias("distance"))
+        seen = materialize(seen.unionByName(further).groupBy("asset").agg(F.min("distance").alias("distance")), "lineage")
+        onward = jumps.select(F.col("source").alias("target"), F.col("target").alias("_far"), F.col("distance").alias("_more"))
+        joined = jumps.join(onward, "target").select("source", F.col("_far").alias("target"), (F.col("distance") + F.col("_more")).alias("distance"))
+        jumps = materialize(_shorter(jumps, joined), "lineage")
+        release(*old)
+    release(jumps)
+    return seen.where(F.col("asset") != asset)
+
+
+RUNS = (
+    "run_id string, pipeline_name string, status string, start_time timestamp, end_time timestamp, "
+    "records_read long, records_written long, records_rejected long, error_message string, run_metadata string"
+)
+TASK_RUNS = "run_id string, task_name string, task_type string, status string, start_time timestamp, end_time timestamp, records_processed long, error_message string"
+
+
+def record_run(spark: SparkSession, root: str, run: dict, tasks: list[dict]) -> None:
+    """Append a pipeline run and its task runs to the run tables below ``root``;
+    fields that are not given are NULL."""
+    for name, shape, rows in (("pipeline_runs", RUNS, [run]), ("task_runs", TASK_RUNS, [{"run_id": run["run_id"]} | t for t in tasks])):
+        fields = [c.split()[0] for c in shape.split(", ")]
+        if rows:
+            spark.createDataFrame([tuple(r.get(f) for f in fields) for r in rows], shape).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+
+
+def run_history(spark: SparkSession, root: str) -> DataFrame:
+    """Runs with their duration, tasks and failed tasks, newest first."""
+    runs, tasks = (spark.read.schema(s).parquet(f"{root}/{n}") for n, s in (("pipeline_runs", RUNS), ("task_runs", TASK_RUNS)))
+    counted = tasks.groupBy("run_id").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(F.col("status") == "failed").alias("failed_tasks"), F.sum("records_processed").alias("records_processed"))
+    seconds = F.timestamp_diff("SECOND", "start_time", "end_time").alias("seconds")
+    out = runs.join(counted, "run_id", "left").select("run_id", "pipeline_name", "status", seconds, "records_read", "records_written", "records_rejected", F.coalesce("tasks", F.lit(0)).alias("tasks"), F.coalesce("failed_tasks", F.lit(0)).alias("failed_tasks"), "records_processed", "error_message", "start_time")
+    return out.orderBy(F.desc("start_time"), "run_id")
 
 
 def latest(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -250,3 +310,60 @@ def drift_log(found: DataFrame, table: str, stage: str, at: str) -> DataFrame:
     return found.select(
         F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "column_name", "change", "severity", F.lit(at).cast("timestamp").alias("detected_at")
     )
+
+
+def drift_metrics(score: DataFrame, table: str, at: str) -> DataFrame:
+    """The integrity score of a table and how many columns are new and missing,
+    as gauges; ``score`` is what ``integrity`` gives."""
+    names = {"schema_integrity_score": "integrity", "schema_new_columns_count": "new", "schema_missing_columns_count": "missing"}
+    named = score.select(*[F.col(c).cast("double").alias(n) for n, c in names.items()])
+    return metric_rows(named, list(names), {"table_name": table}, at)
+
+
+def compare_stages(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
+    """Schema and rows of two stages of a table in one frame: a row a column with
+    where it is and its types, and the rows of both stages beside it."""
+    sides = [schema_rows(df, table).select("column_name", F.col("position").alias(f"{n}_position"), F.col("data_type").alias(f"{n}_type")) for df, n in ((source, "source"), (target, "target"))]
+    place = F.when(F.col("target_type").isNull(), "source_only").when(F.col("source_type").isNull(), "target_only").otherwise("both")
+    rows = [df.agg(F.count(F.lit(1)).alias(f"{n}_rows")) for df, n in ((source, "source"), (target, "target"))]
+    out = sides[0].join(sides[1], "column_name", "full").withColumn("place", place)
+    out = out.crossJoin(F.broadcast(rows[0])).crossJoin(F.broadcast(rows[1]))  # one row each
+    return out.select(F.lit(table).alias("table_name"), "column_name", "place", "source_type", "target_type", "source_rows", "target_rows", (F.col("target_rows") - F.col("source_rows")).alias("row_change"))
+
+
+def crawl_footers(spark: SparkSession, root: str, tables: list[str], parts: dict[str, list[str]] | None = None) -> DataFrame:
+    """(table_name, partition, row_count) of Parquet tables below ``root``, from
+    the files' footers alone: Spark answers counts by partition columns from
+    row-group metadata, and no data page is read."""
+    conf = spark.conf
+    before = {k: conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    conf.set("spark.sql.sources.useV1SourceList", "")
+    conf.set("spark.sql.parquet.aggregatePushdown", True)
+    try:
+        found = []
+        for t in tables:
+            keys = (parts or {}).get(t, [])
+            df = spark.read.parquet(f"{root}/{t}").groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+            part = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]) if keys else F.lit("")
+            # Written while the footers answer: the settings are the session's.
+            found.append(materialize(df.select(F.lit(t).alias("table_name"), part.alias("partition"), F.coalesce("row_count", F.lit(0)).alias("row_count")), "footers"))
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def crawl_warehouse(spark: SparkSession, patterns: tuple[str, ...] = ("dim_*", "fact_*", "etl_*")) -> DataFrame:
+    """(table_name, asset_type, position, column_name, data_type, nullable, is_key)
+    of catalog tables by name pattern. Keys are the columns that the catalog
+    marks as bucketing or partitioning the table, and the surrogate key of a
+    dimension (the column named after it with ``_sk``)."""
+    rows = []
+    for name in sorted({t.name for p in patterns for t in spark.catalog.listTables(pattern=p)}):
+        marked = {c.name: c.isBucket or c.isPartition for c in spark.catalog.listColumns(name)}
+        own = f"{name.removeprefix('dim_').removeprefix('fact_')}_sk"
+        rows += [(name, asset_type(name), i + 1, f.name, canonical(f.dataType), f.nullable, bool(marked.get(f.name)) or f.name == own) for i, f in enumerate(spark.table(name).schema)]
+    return spark.createDataFrame(rows, "table_name string, asset_type string, position int, column_name string, data_type string, nullable boolean, is_key boolean")

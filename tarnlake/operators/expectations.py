@@ -9,8 +9,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tarnlake.functions import clean
+
 RESULT = "expectation string, column_name string, success boolean, blocking boolean, checked long, failed long, fraction double, detail string"
 
 
@@ -132,44 +135,109 @@ class QualityRule:
     params: dict = field(default_factory=dict)
 
 
-def failing(df: DataFrame, rule: QualityRule, parents: dict[str, DataFrame] | None = None, as_of: str | None = None) -> DataFrame:
-    """Rows that break the rule."""
+#: Kinds judged by a condition on the row alone.
+BY_ROW = ("null_check", "range_check", "regex_check", "type_check", "freshness_check", "custom_sql")
+
+
+def broken(rule: QualityRule, as_of: str | None = None) -> Column:
+    """Condition of a row that breaks a rule of a kind in ``BY_ROW``; never NULL."""
     c, p = F.col(f"`{rule.column}`") if rule.column else None, rule.params
     if rule.kind == "null_check":
-        return df.where(c.isNull())
-    if rule.kind == "range_check":
+        bad = c.isNull()
+    elif rule.kind == "range_check":
         low, high = p.get("min"), p.get("max")
         bad = F.lit(False) if low is None else c < low
-        return df.where(bad | (F.lit(False) if high is None else c > high))
-    if rule.kind == "regex_check":
-        return df.where(c.isNotNull() & ~c.cast("string").rlike(p["pattern"]))
-    if rule.kind == "type_check":
-        return df.where(c.isNotNull() & c.cast("string").try_cast(p["type"]).isNull())
+        bad = bad | (F.lit(False) if high is None else c > high)
+        if p.get("allow_null") is False:
+            bad = c.isNull() | bad
+    elif rule.kind == "regex_check":
+        bad = ~c.cast("string").rlike(p["pattern"])
+    elif rule.kind == "type_check":
+        bad = c.isNotNull() & c.cast("string").try_cast(p["type"]).isNull()
+        if p.get("disallow_json"):
+            bad = bad | clean.is_json_blob(c.cast("string"))
+    elif rule.kind == "freshness_check":
+        age = F.timestamp_diff("SECOND", c.cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
+        bad = age > p["max_hours"] * 3600
+    elif rule.kind == "custom_sql":
+        bad = ~F.coalesce(F.expr(f"({p['condition']})"), F.lit(False))
+    else:
+        raise ValueError(f"unknown rule kind {rule.kind}")
+    return F.coalesce(bad, F.lit(False))
+
+
+def failing(df: DataFrame, rule: QualityRule, parents: dict[str, DataFrame] | None = None, as_of: str | None = None) -> DataFrame:
+    """Rows that break the rule."""
+    c = F.col(f"`{rule.column}`") if rule.column else None
     if rule.kind == "uniqueness_check":
         more = df.where(c.isNotNull()).groupBy(c.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k")
         return df.join(more, c == F.col("_k"), "left_semi")
-    if rule.kind == "freshness_check":
-        age = F.timestamp_diff("SECOND", c.cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
-        return df.where(age > p["max_hours"] * 3600)
     if rule.kind == "referential":
-        parent = (parents or {})[p["table"]].select(F.col(p["key"]).alias("_k"))
+        parent = (parents or {})[rule.params["table"]].select(F.col(rule.params["key"]).alias("_k"))
         return df.where(c.isNotNull()).join(parent, c == F.col("_k"), "left_anti")
-    if rule.kind == "custom_sql":
-        return df.where(f"NOT coalesce(({p['condition']}), false)")
-    raise ValueError(f"unknown rule kind {rule.kind}")
+    return df.where(broken(rule, as_of))
 
 
-def execute_rule(df: DataFrame, rule: QualityRule, parents: dict[str, DataFrame] | None = None, as_of: str | None = None, samples: int = 5) -> DataFrame:
-    """(rule, checked, passed, failed, pass_rate, samples) of one rule."""
-    bad = failing(df, rule, parents, as_of)
-    shown = bad.orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(samples).agg(F.collect_list(F.to_json(F.struct(*df.columns))).alias("s"))
-    out = df.agg(F.count(F.lit(1)).alias("checked")).withColumns(
-        {"rule": F.lit(rule.name), "failed": bad.agg(F.count(F.lit(1))).scalar(), "samples": shown.scalar()}
-    )
+RULE_RESULT = "rule string, checked long, passed long, failed long, pass_rate double, samples array<string>"
+
+
+def run_rules(df: DataFrame, rules: list[QualityRule], parents: dict[str, DataFrame] | None = None, as_of: str | None = None, samples: int = 5) -> DataFrame:
+    """(rule, checked, passed, failed, pass_rate, samples) of all rules of a table.
+
+    The rules are compiled together: one aggregate counts for all that a row
+    alone decides, each unique key is one group-by, each reference one count by
+    value and one anti-join with its parent. ``samples`` failing rows a rule, as
+    JSON, the least in text order, come from one more pass in which every task
+    keeps no more than that many a rule; 0 leaves the pass out. A rule over a
+    column that the table lacks fails for all rows, with no samples; no rows:
+    nothing fails. Rules are not judged on the driver; the plan is lazy.
+    """
+    spark = df.sparkSession
+    if not rules:
+        return spark.createDataFrame([], RULE_RESULT)
+    lacking = {i for i, r in enumerate(rules) if r.column and r.column not in df.columns}
+    by_row = {i: broken(r, as_of) for i, r in enumerate(rules) if i not in lacking and r.kind in BY_ROW}
+    unknown = [r.kind for i, r in enumerate(rules) if i not in lacking and r.kind not in (*BY_ROW, "uniqueness_check", "referential")]
+    if unknown:
+        raise ValueError(f"unknown rule kinds {sorted(set(unknown))}")
+    n = F.count(F.lit(1))
+    row = df.agg(n.alias("n"), *[F.count_if(bad).alias(f"r{i}") for i, bad in by_row.items()])
+    pairs = [F.struct(F.lit(i).alias("i"), F.col(f"r{i}").alias("failed")) for i in by_row]
+    pairs += [F.struct(F.lit(i).alias("i"), F.col("n").alias("failed")) for i in lacking]
+    counts = row.select(F.explode(F.array(*pairs)).alias("p")).select("p.*") if pairs else spark.createDataFrame([], "i int, failed long")
+    for i, r in enumerate(rules):
+        if i in by_row or i in lacking:
+            continue
+        values = df.where(F.col(f"`{r.column}`").isNotNull()).groupBy(F.col(f"`{r.column}`").alias("_v")).agg(n.alias("_n"))
+        if r.kind == "uniqueness_check":
+            bad = values.where("_n > 1")
+        else:
+            parent = (parents or {})[r.params["table"]].select(F.col(r.params["key"]).alias("_k"))
+            bad = values.join(parent, F.col("_v") == F.col("_k"), "left_anti")
+        counts = counts.unionByName(bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failed")).select(F.lit(i).alias("i"), "failed"))
+    names = spark.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "i int, rule string")
+    out = names.join(counts, "i").crossJoin(F.broadcast(row.select(F.col("n").alias("checked"))))  # one row
+    if samples:
+        text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row")
+        hits = F.filter(F.array(*[F.when(bad, F.lit(i)) for i, bad in by_row.items()]), lambda x: x.isNotNull()) if by_row else F.array().cast("array<int>")
+        shown = df.select(F.explode(hits).alias("i"), text)
+        for i, r in enumerate(rules):
+            if i not in by_row and i not in lacking:
+                shown = shown.unionByName(failing(df, r, parents, as_of).select(F.lit(i).alias("i"), text))
+        nth = F.row_number().over(W.partitionBy("i").orderBy("row"))
+        few = shown.withColumn("nth", nth).where(F.col("nth") <= samples).groupBy("i").agg(F.array_sort(F.collect_list("row")).alias("samples"))
+        out = out.join(few, "i", "left").withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
+    else:
+        out = out.withColumn("samples", F.array().cast("array<string>"))
     rate = F.coalesce(F.round((F.col("checked") - F.col("failed")) * 100.0 / F.nullif(F.col("checked"), F.lit(0)), 2), F.lit(100.0))
     return out.select("rule", "checked", (F.col("checked") - F.col("failed")).alias("passed"), "failed", rate.alias("pass_rate"), "samples")
 
 
+def execute_rule(df: DataFrame, rule: QualityRule, parents: dict[str, DataFrame] | None = None, as_of: str | None = None, samples: int = 5) -> DataFrame:
+    """(rule, checked, passed, failed, pass_rate, samples) of one rule."""
+    return run_rules(df, [rule], parents, as_of, samples)
+
+
 def check_thresholds(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Join metrics (table_name, column_name, metric, value) with thresholds
     (table_name or NULL for any, column_name or NULL, metric, kind, low, high,

@@ -248,6 +248,7 @@ def run_tables(tables: list[SourceTable], load: Callable[[SourceTable], dict], s
         results = [one(t) for t in tables]
     else:
         with ThreadPoolExecutor(at_once) as pool:
-            results = list(pool.map(inheritable_thread_target(spark)(one), tables))
+            # Wrapped one by one: each thread needs properties of its own.
+            results = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(one), t) for t in tables]]
     ok = [r for r in results if r["status"] == "success"]
     return {"results": results, "succeeded": len(ok), "failed": len(results) - len(ok), "rows": sum(r["rows"] for r in ok)}

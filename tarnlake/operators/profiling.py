@@ -338,3 +338,59 @@ def save_profile(existing: DataFrame, profile: DataFrame, table: str, day: str)
 def latest_profile(stored: DataFrame, table: str) -> DataFrame:
     mine = stored.where(F.col("table_name") == table)
     return mine.where(F.col("profile_date") == mine.agg(F.max("profile_date")).scalar())
+
+
+#: Size of the sketches: an HLL of 2**12 registers errs by 1.6 % (one standard
+#: deviation), a KLL of this k by about 1.7 % of the rank.
+HLL_LOG, KLL_K = 12, 200
+SKETCH = "part string, column_name string, row_count long, null_count long, low double, high double, distinct_sketch binary, value_sketch binary"
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def sketch_columns(df: DataFrame, part: Column | None = None) -> DataFrame:
+    """One row for each part of a table and column: counts, the least and
+    greatest number, a sketch of its distinct values and one of its ranks.
+
+    ``part`` names what is profiled apart and merged later (a day, a batch);
+    without it the table is one part. Numbers that are NaN count as filled and
+    stay out of the rank sketch; columns of other types have no ranks. Nested
+    columns are left out. Rows are read once; tasks hold sketches, not values.
+    """
+    flat = [f for f in df.schema if not hasattr(f.dataType, "elementType") and f.dataType.typeName() not in ("struct", "map", "variant", "binary")]
+    aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    for i, f in enumerate(flat):
+        c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        aggs += [F.count(c).alias(f"f{i}"), F.hll_sketch_agg(c.cast("string"), F.lit(HLL_LOG)).alias(f"h{i}")]
+        number = kind in NUMBERS or kind.startswith("decimal")
+        if number:
+            v = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+            aggs += [F.min(v).alias(f"l{i}"), F.max(v).alias(f"u{i}"), F.kll_sketch_agg_double(v, F.lit(KLL_K)).alias(f"k{i}")]
+        pick = lambda name, t, i=i, number=number: (F.col(f"{name}{i}") if number else F.lit(None)).cast(t)
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.col("n").alias("row_count"), (F.col("n") - F.col(f"f{i}")).alias("null_count"),
+                pick("l", "double").alias("low"), pick("u", "double").alias("high"), F.col(f"h{i}").alias("distinct_sketch"), pick("k", "binary").alias("value_sketch"),
+            )
+        )
+    found = df.groupBy((F.lit("") if part is None else part.cast("string")).alias("part")).agg(*aggs)
+    return found.select("part", F.explode(F.array(*rows)).alias("r")).select("part", "r.*")
+
+
+def merge_sketches(parts: DataFrame) -> DataFrame:
+    """The profile of all parts together, as if they had been one: sketches are
+    merged, no row of the table is read again."""
+    return parts.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"), F.kll_merge_agg_double("value_sketch").alias("value_sketch"),
+    )
+
+
+def sketched_profile(merged: DataFrame, ranks: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(column_name, row_count, null_count, null_pct, low, high, distinct_estimate,
+    quantiles) out of merged sketches; no numbers: NULL quantiles."""
+    quantile = lambda r: F.when(F.col("low").isNotNull(), F.kll_sketch_get_quantile_double("value_sketch", F.lit(r)))
+    return merged.select(
+        "column_name", "row_count", "null_count",
+        F.coalesce(F.round(F.col("null_count") * 100.0 / F.nullif(F.col("row_count"), F.lit(0)), 2), F.lit(0.0)).alias("null_pct"),
+        "low", "high", F.hll_sketch_estimate("distinct_sketch").alias("distinct_estimate"), F.array(*[quantile(r) for r in ranks]).alias("quantiles"),
+    )

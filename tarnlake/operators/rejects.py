@@ -99,6 +99,19 @@ def totals(df: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES) -> DataFrame:
     return out.withColumn("rejection_rate", F.coalesce(clean.percent(F.col("rejected"), F.col("total")), F.lit(0.0)))
 
 
+def rejection_log(totals: DataFrame, summary: DataFrame, table: str, at: str) -> DataFrame:
+    """A log row of a table's rejections, as they are appended to the log table:
+    level, logger, source, message and the summary as JSON. No rejections: no row."""
+    rules = summary.agg(F.array_sort(F.collect_list(F.struct("rule", "severity", "records", "columns"))).alias("rules"))  # one a rule
+    both = totals.where("rejected > 0").crossJoin(F.broadcast(rules))
+    message = F.format_string("Rejected %d/%d records (%s%%)", "rejected", "total", F.col("rejection_rate").cast("string"))
+    facts = F.to_json(F.struct(F.lit(table).alias("table_name"), F.col("total").alias("total_records"), F.col("rejected").alias("rejected_records"), "rejection_rate", "rules"))
+    return both.select(
+        F.lit("WARNING").alias("log_level"), F.lit("rejection_handler").alias("logger_name"), F.lit(table).alias("source"),
+        message.alias("message"), facts.alias("log_metadata"), F.lit(at).cast("timestamp").alias("logged_at"),
+    )
+
+
 def quarantine(rejected: DataFrame, path: str, table: str, batch: str, day: str) -> bool:
     """Append to table / date / batch folders; nothing to do on no rows."""
     if rejected.isEmpty():

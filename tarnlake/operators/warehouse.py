@@ -63,10 +63,51 @@ def load_dimension(current: DataFrame, source: DataFrame, key: str, surrogate: s
     return current.unionByName(added, allowMissingColumns=True)
 
 
+def load_from_sources(
+    current: DataFrame, sources: list[DataFrame], key: str, surrogate: str, effective: str, attributes: list[str] | None = None
+) -> DataFrame:
+    """A dimension fed by several sources in order: a later one adds the members
+    that none before it knows, with the attributes it gives them."""
+    for source in sources:
+        current = load_dimension(current, source, key, surrogate, effective, attributes)
+    return current
+
+
+def load_dimensions(
+    staged: DataFrame, specs: dict[str, tuple[str, str, str]], effective: str, where: dict[str, Column] | None = None
+) -> dict[str, DataFrame]:
+    """First load of several dimensions, all from one pass over the staged rows.
+
+    ``specs`` names for each dimension the staged column, its key and its
+    surrogate; ``where`` limits the rows of some. The distinct (dimension,
+    member) pairs come from one aggregate and are numbered by one sort; every
+    dimension's numbers start at 1 in key order. Unknown members are added.
+    """
+    from tarnlake.session import materialize
+
+    limits = where or {}
+    of = lambda n, c: F.when(limits.get(n, F.lit(True)), F.trim(F.col(c).cast("string")))
+    pairs = F.array(*[F.struct(F.lit(n).alias("dimension"), of(n, c).alias("member")) for n, (c, _, _) in specs.items()])
+    members = staged.select(F.explode(pairs).alias("p")).select("p.*").where(clean.not_blank(F.col("member"))).distinct()
+    numbered = materialize(number_rows(members, ["dimension", "member"], "nth"), "members")
+    first = numbered.groupBy("dimension").agg(F.min("nth").alias("first"))
+    placed = numbered.join(first, "dimension").select("dimension", "member", (F.col("nth") - F.col("first") + 1).alias("sk"))
+    marks = [F.lit(True).alias("is_current"), F.lit(effective).cast("date").alias("effective_from"), F.lit(FOREVER).cast("date").alias("effective_to")]
+    found = {}
+    for n, (_, key, surrogate) in specs.items():
+        dim = placed.where(F.col("dimension") == n).select(F.col("member").alias(key), F.col("sk").alias(surrogate), *marks)
+        found[n] = _and_unknown(dim, surrogate, key)
+    return found
+
+
 def with_unknown(dim: DataFrame, surrogate: str, key: str, effective: str = "1900-01-01") -> DataFrame:
     """Add the unknown member (-1) unless it is there."""
     if dim.where(F.col(surrogate) == UNKNOWN).limit(1).count():
         return dim
+    return _and_unknown(dim, surrogate, key, effective)
+
+
+def _and_unknown(dim: DataFrame, surrogate: str, key: str, effective: str = "1900-01-01") -> DataFrame:
     values = {surrogate: UNKNOWN, key: "-1", "is_current": True}
     row = dim.sparkSession.range(1).select(
         *[

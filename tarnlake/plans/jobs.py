@@ -151,7 +151,8 @@ def star_fact_leads(t):
     """Six dimensions loaded, then the facts of leads with every lookup."""
     staged = _staged_leads(t)
     seen = staged.where(F.col("agent_id").cast("int") < 20)
-    dims = {n: _dimension(t, seen, c, key, {"agent": "agent_sk", "area": "area_sk", "campaign": "campaign_sk"}.get(n, f"lead_{n}_sk")) for n, c, key in LEAD_DIMS}
+    named = {"agent": "agent_sk", "area": "area_sk", "campaign": "campaign_sk"}
+    dims = warehouse.load_dimensions(seen, {n: (c, key, named.get(n, f"lead_{n}_sk")) for n, c, key in LEAD_DIMS}, "2024-01-01")
     dims["date"] = warehouse.date_dimension(t.spark, "1994-01-01", "1998-12-31")
     facts = warehouse.fact_leads(staged, dims)
     return facts.withColumn("budget", F.col("budget").cast("double")).drop("location", "contact_method", "is_seller", "is_commercial", "is_merged", "has_meeting")
@@ -176,12 +177,9 @@ def star_fact_sales(t):
         price.alias("unit_value"), price.alias("expected_value"), price.alias("actual_value"), F.lit("x").alias("unit_location"), F.lit(1).alias("payment_years"),
     )
     leads = warehouse.number_rows(t.customer.where("c_custkey % 10 != 0").select(F.col("c_custkey").alias("lead_id")), ["lead_id"], "lead_sk")
-    dims = {
-        "property": _dimension(t, staged.where("sale_id % 5 != 0"), "property_type", "type_name", "property_type_sk"),
-        "area": _dimension(t, staged, "area_id", "area_id", "area_sk"),
-        "category": _dimension(t, staged, "sale_category", "category_name", "sale_category_sk"),
-        "date": warehouse.date_dimension(t.spark, "1990-01-01", "2010-12-31"),
-    }
+    specs = {"property": ("property_type", "type_name", "property_type_sk"), "area": ("area_id", "area_id", "area_sk"), "category": ("sale_category", "category_name", "sale_category_sk")}
+    dims = warehouse.load_dimensions(staged, specs, "2024-01-01", {"property": F.col("sale_id") % 5 != 0})
+    dims["date"] = warehouse.date_dimension(t.spark, "1990-01-01", "2010-12-31")
     facts = warehouse.fact_sales(staged, leads, dims)
     return facts.withColumn("actual_value", F.col("actual_value").cast("double")).drop("unit_value", "expected_value", "unit_location", "payment_years")
 

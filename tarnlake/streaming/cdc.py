@@ -30,16 +30,19 @@ def captured(events: DataFrame, tables: list[str]) -> DataFrame:
     return known.select("*", "after.*").drop("after") if "after" in events.columns else known
 
 
-def capture(events: DataFrame, tables: list[str], out: str, checkpoint: str, id_column: str = "id", once: bool = True) -> StreamingQuery:
+def capture(
+    events: DataFrame, tables: list[str], out: str, checkpoint: str, id_column: str = "id", once: bool = True, at: datetime | None = None
+) -> StreamingQuery:
     """Write each micro-batch, with audit columns, to a folder per table.
+    ``at`` stands in for the time of the micro-batch.
 
     Resumes from the checkpoint; a batch that is run again replaces its own
     folder, so no event is written twice.
     """
 
     def flush(batch: DataFrame, n: int) -> None:
-        at = datetime.now()
-        audited = ingest.audit_columns(batch.withColumnRenamed("op", "_op"), at, id_column).withColumn("op", F.col("_op")).drop("_op")
+        now = at or datetime.now()
+        audited = ingest.audit_columns(batch.withColumnRenamed("op", "_op"), now, id_column).withColumn("op", F.col("_op")).drop("_op")
         audited.persist()
         for t in tables:
             rows = audited.where(F.col("table_name") == t).drop("table_name")

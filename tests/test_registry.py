@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__
 from tarnlake.functions.pii import PATTERNS
-from tarnlake.plans import jobs, registry  # noqa: F401  (jobs registers its queries)
+from tarnlake.plans import jobs, operations, registry  # noqa: F401  (they register their queries)
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
