@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tarnlake.llm.vectors import bounded_sample, matrix, usable
 from tarnlake.session import materialize
 
 #: Bounds of the fitted index: rows in a sample, parts that one router tells
-#: apart, neighbours, hidden units. The number of parts grows with the rows, up
-#: to MAX_PARTS * MAX_PARTS: parts of the first level that hold many rows are
-#: cut again by routers of their own.
+#: apart, neighbours, hidden units. The number of parts grows with the square
+#: root of the rows, up to MAX_PARTS; parts of the first level that then hold
+#: more than twice ROWS_PER_PART rows are cut again by routers of their own, up
+#: to MAX_PARTS * MAX_PARTS in all.
 MAX_SAMPLE = 8192
 MAX_PARTS = 128
 ROWS_PER_PART = 1000
@@ -31,7 +33,7 @@ FINE_SAMPLE = 2048
 GRAPH_DEGREE = 10
 HIDDEN = 64
 #: Share of sample neighbours that the visited parts must hold.
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.95
 #: Rows of one part, and queries, that one task compares at a time.
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
 
@@ -138,17 +140,6 @@ def fit_router(sample: np.ndarray, parts: int) -> tuple[Router | None, int]:
     return router, int(rank[min(len(rank) - 1, int(TARGET_RECALL * len(rank)))]) + 1
 
 
-def _usable(v: Column) -> Column:
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
-
-
-def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1)
-
-
 class Index:
     """A router over parts, and routers of their own for the large ones."""
 
@@ -180,7 +171,7 @@ def _routed(df: DataFrame, index: Index, query: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                row, part = index.route(_matrix(b.column(at)), query)
+                row, part = index.route(matrix(b.column(at)), query)
                 yield pa.RecordBatch.from_arrays([*b.take(pa.array(row)).columns, pa.array(part.astype(np.int32))], names=names)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
@@ -190,14 +181,14 @@ def _routed(df: DataFrame, index: Index, query: bool) -> DataFrame:
 def build_index(folded: DataFrame, n: int, rows_per_part: int = ROWS_PER_PART, max_parts: int = MAX_PARTS) -> Index:
     """Fit the index of ``n`` vectors on samples of bounded size.
 
-    Two parts at least where the vectors allow a graph. First-level parts with
+    About sqrt(n) parts, two at least where the vectors allow a graph. First-level parts with
     more than twice ``rows_per_part`` rows get a router of their own, fitted in
     one task each on ``FINE_SAMPLE`` of their rows; the driver sees at most
     ``max_parts`` such routers.
     """
-    parts = int(min(max_parts, max(2, n // rows_per_part)))
+    parts = int(min(max_parts, max(2, round(n**0.5))))
     by_hash = F.xxhash64(F.lit(3), "h1", "h2")
-    sample = folded.orderBy(by_hash, "h1").limit(min(MAX_SAMPLE, max(2048, 64 * parts))).select("vec").collect()
+    sample = bounded_sample(folded, by_hash, n, min(MAX_SAMPLE, max(2048, 64 * parts))).select("vec").collect()
     index = Index(*fit_router(np.array([r.vec for r in sample], np.float64), parts), max_parts)
     if n <= 2 * rows_per_part * parts:
         return index
@@ -208,7 +199,7 @@ def build_index(folded: DataFrame, n: int, rows_per_part: int = ROWS_PER_PART, m
     picked = filed.withColumn("nth", nth).where(F.col("nth") <= FINE_SAMPLE).withColumn("coarse", F.floor(F.col("part") / max_parts).cast("int"))
 
     def fit(key: tuple, t: pa.Table) -> pa.Table:
-        router, visits = fit_router(_matrix(t.column("vec")), t.column("cut")[0].as_py())
+        router, visits = fit_router(matrix(t.column("vec")), t.column("cut")[0].as_py())
         return pa.table({"coarse": pa.array([key[0].as_py()], pa.int32()), "model": pa.array([pickle.dumps((router, visits))], pa.binary())})
 
     models = picked.join(wide, "coarse").groupBy("coarse").applyInArrow(fit, "coarse int, model binary").collect()
@@ -244,7 +235,9 @@ def nearest_neighbours(
     rows_per_part: int = ROWS_PER_PART,
     max_parts: int = MAX_PARTS,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found, own id left out.
+    """(query_id, rank, vec_id, score, visits, compared): the k nearest rows
+    found, own id left out; the parts that the query visited, and how many
+    distinct vectors they hold.
 
     Score is the Euclidean distance in double precision on the given vectors;
     ties go to the smaller id. Vectors that are null, zero, hold null or
@@ -257,7 +250,7 @@ def nearest_neighbours(
     that draws many rows is spread over tasks.
     """
     src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), is_query.alias("q"))
-    src = src.where(F.col("id").isNotNull() & _usable(F.col("vec")))
+    src = src.where(F.col("id").isNotNull() & usable(F.col("vec")))
     src = src.withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(7), F.reverse("vec"))})
     src = src.groupBy("id").agg(F.min_by(F.struct("vec", "q", "h1", "h2"), F.struct("h1", "h2")).alias("r")).select("id", "r.*")
     sizes = src.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -276,7 +269,7 @@ def nearest_neighbours(
     routed = materialize(_routed(queries, index, True), "routed")
     # One row a part, at most ``max_parts`` squared: blocks of a part, by its number of rows.
     blocks = (
-        filed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("vb"))
+        filed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("vb"), F.count(F.lit(1)).alias("held"))
         .join(routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("qb")), "part")
     )
     blocks = F.broadcast(materialize(blocks, "blocks"))
@@ -289,8 +282,8 @@ def nearest_neighbours(
     )
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        q = _matrix(left.column("vec")) if left.num_rows else np.zeros((0, dim))
-        x = _matrix(right.column("vec")) if right.num_rows else np.zeros((0, dim))
+        q = matrix(left.column("vec")) if left.num_rows else np.zeros((0, dim))
+        x = matrix(right.column("vec")) if right.num_rows else np.zeros((0, dim))
         h1, h2 = left.column("h1").to_numpy(), left.column("h2").to_numpy()
         ids = right.column("ids").combine_chunks()
         flat, begin = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
@@ -307,6 +300,7 @@ def nearest_neighbours(
     best = W.partitionBy("h1", "h2").orderBy("score", "vec_id")
     found = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
     own = W.partitionBy("query_id").orderBy("score", "vec_id")
-    named = asked.join(found, ["h1", "h2"]).where("query_id != vec_id")
+    effort = routed.join(blocks, "part").groupBy("h1", "h2").agg(F.count(F.lit(1)).cast("int").alias("visits"), F.sum("held").alias("compared"))
+    named = asked.join(found, ["h1", "h2"]).where("query_id != vec_id").join(effort, ["h1", "h2"])
     named = named.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
-    return named.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return named.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "visits", "compared")

@@ -163,16 +163,22 @@ def near_duplicate_components(
 
     component_id is the smallest id reachable over links of at most ``radius``
     differing bits. Equal texts share one fingerprint and are folded before
-    the search, so copies cost nothing there. Null ids get a component through
-    their fingerprint but never name one unless no row of it has an id (then
-    it is null). Null and empty texts have fingerprint zero and link like any
-    other. Repeated rows stay. Columns of these names are replaced.
+    the search, so copies cost nothing there. Rows without an id link others
+    like any row, but never name a component: it is null only where no row of
+    it has an id. Null and empty texts have fingerprint zero and link like any
+    other; very long texts are read whole, in slices of a few rows a task.
+    Repeated rows stay. Columns of these names are replaced. Buckets of more
+    than ``BLOCK`` fingerprints are linked by another algorithm with the same
+    components (``similarity_links``).
     """
     cols = [c for c in (docs.columns if keep is None else keep) if c not in ("fp", "fingerprint", "component_id")]
     prints = materialize(fingerprints(docs, text_col, cols), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("id")).withColumn("id", F.col("id").cast("long")), "nodes")
-    labels = connected_components(similarity_links(nodes.where("id is not null"), radius))
-    named = nodes.join(labels, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    nodes = materialize(prints.groupBy("fp").agg(F.min(id_col).cast("long").alias("least")), "nodes")
+    # Fingerprints are linked first and components named by their ids afterwards.
+    labels = connected_components(similarity_links(nodes.select("fp", F.col("fp").alias("id")), radius))
+    placed = nodes.join(labels.select(F.col("id").alias("fp"), F.col("component").alias("group")), "fp", "left")
+    placed = materialize(placed.select("fp", "least", F.coalesce("group", "fp").alias("group")), "placed")
+    named = placed.select("fp", "group").join(placed.groupBy("group").agg(F.min("least").alias("component_id")), "group").drop("group")
     return (
         prints.join(named, "fp", "left")
         .withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))

@@ -146,11 +146,7 @@ def filter_urls(
     host, path = host_and_path(F.col(url_col))
     clash = [c for c in ("rule", "n", "bad", "bad_rate", "bound", "verdict") if c in pages.columns]
     judged = pages.drop(*clash).withColumns({"host": host, "path": path})
-    judged = judged.withColumn("_rule", matched_rule(F.col("host"), F.col("path"), rules))
+    rule = matched_rule(F.col("host"), F.col("path"), rules)
     rep = host_reputation(pages, outcomes, id_col, url_col)
     learned = F.when(F.col("bound") > bad_limit, "block").otherwise("allow")
-    return (
-        judged.join(rep, "host", "left")
-        .withColumns({"rule": F.col("_rule.rule"), "verdict": F.coalesce(F.col("_rule.verdict"), learned)})
-        .drop("_rule")
-    )
+    return judged.join(rep, "host", "left").withColumns({"rule": rule["rule"], "verdict": F.coalesce(rule["verdict"], learned)})

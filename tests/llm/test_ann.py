@@ -67,12 +67,25 @@ def test_recall_over_learned_parts(spark):
     assert sorted(rows.tolist()) == list(range(9000)) and len(set(parts.tolist())) > 30
 
 
-def test_recall_on_the_small_table(spark):
-    """500 vectors are routed over learned parts too."""
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    assert recall(df.where("embedding is not null"), F.col("vec_id") % 10 == 0) >= 0.9
-    folded = df.select(F.xxhash64("embedding").alias("h1"), F.col("vec_id").alias("h2"), F.col("embedding").alias("vec"))
-    assert build_index(folded, 500).router is not None
+def test_recall_on_the_given_tables(spark):
+    """Parts by the square root of the rows. These vectors point in random
+    directions: nine of ten neighbours cost most of the rows, never all."""
+    for sf, n in (("0.01", 500), ("0.1", 2000)):
+        df = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+        assert recall(df, F.col("vec_id") % 10 == 0) >= 0.9
+        folded = df.select(F.xxhash64("embedding").alias("h1"), F.col("vec_id").alias("h2"), F.col("embedding").alias("vec"))
+        index = build_index(folded, n)
+        assert index.router.p[3].shape == (round(n**0.5),) and index.visits < round(n**0.5)
+        got = nearest_neighbours(df, F.col("vec_id") % 10 == 0).agg(F.avg("compared"), F.max("visits")).first()
+        assert got[0] < 0.95 * n and got[1] < round(n**0.5)
+
+
+def test_clustered_vectors_are_hardly_searched(spark):
+    rnd = np.random.default_rng(9)
+    x = np.float32(rnd.normal(size=(40, 32))[rnd.integers(0, 40, 6000)] + 0.35 * rnd.normal(size=(6000, 32)))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    assert recall(df, F.col("vec_id") % 100 == 0) >= 0.9
+    assert nearest_neighbours(df, F.col("vec_id") % 100 == 0).agg(F.avg("compared")).first()[0] < 0.2 * 6000
 
 
 def test_null_and_repeated_ids(spark):

@@ -78,3 +78,20 @@ def test_empty_documents(spark, tiny):
     for _, stage in corpus_pipeline.STAGES:
         df = corpus_pipeline.materialize(stage(spark, df, tiny), "empty") if stage is not corpus_pipeline.best_fit_packing else stage(spark, df, tiny)
     assert df.count() == 0
+
+
+def test_columns_of_any_name_pass_every_stage(spark, tiny):
+    """Columns named like the stages' own, null and very long texts, repeats."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").limit(60)
+    long = docs.limit(1).withColumns({"doc_id": F.lit(10_001).cast("long"), "text": F.expr("repeat(concat(text, ' '), 200)")})
+    odd = docs.limit(2).withColumns({"doc_id": F.lit(10_002).cast("long"), "text": F.lit(None).cast("string")})
+    own = ["_text", "_rest", "row", "id", "text_hash", "rest_hash", "fp", "group", "least", "key"]
+    docs = docs.unionByName(long).unionByName(odd).withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in own})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, tiny)
+        assert out.columns == docs.columns
+        for r in out.select("doc_id", *own).collect():
+            assert [r[c] for c in own] == [f"{c}-{r.doc_id}" for c in own]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, tiny).where("doc_id = 10001").count() >= 1

@@ -224,3 +224,26 @@ def test_lines_match_brute_force(spark, tiny):
     assert dedup_lines(df.limit(0)).count() == 0
     null_id = df.withColumn("doc_id", F.lit(None).cast("long"))
     assert dedup_lines(null_id).count() == len(docs)
+
+
+def test_texts_without_an_id_link_others(spark):
+    """1 and 3 are linked through a text without an id only."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+
+    def bits(a, b):
+        return (brute.fingerprint(a) ^ brute.fingerprint(b)).bit_count()
+
+    for _ in range(4000):
+        a = [rnd.choice(words) for _ in range(60)]
+        b, c = list(a), list(a)
+        b[rnd.randrange(60)] = "x"
+        c = list(b)
+        c[rnd.randrange(60)] = "y"
+        a, b, c = map(" ".join, (a, b, c))
+        if bits(a, b) <= 3 and bits(b, c) <= 3 and bits(a, c) > 3:
+            break
+    df = spark.createDataFrame([(1, a), (None, b), (3, c), (None, "alone in the world"), (7, "another text")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicate_components(df).where("text != 'alone in the world'").collect()}
+    assert bits(a, c) > 3 and got == {1: 1, None: 1, 3: 1, 7: 7}
+    assert near_duplicate_components(df).where("text = 'alone in the world'").first().component_id is None

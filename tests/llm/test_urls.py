@@ -66,3 +66,9 @@ def test_registered_domains(spark):
     df = spark.createDataFrame([(h,) for h in hosts], "host string")
     assert {r.host: (r[1], r[2]) for r in df.select("host", *registered_domain(F.col("host"))).collect()} == hosts
     assert page_outcomes(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", "mine"), (2, None, "too")], "page_id long, url string, _rule string")
+    out = filter_urls(pages, spark.createDataFrame([], "page_id long, bad boolean"))
+    assert {r.page_id: (r["_rule"], r.rule) for r in out.collect()} == {1: ("mine", "org/"), 2: ("too", None)}
