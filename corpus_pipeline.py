@@ -25,13 +25,19 @@ def _like(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; null and empty texts fail the rules,
+    repeated rows are judged alike, very long texts are judged whole."""
     ship_package(spark)
     return compression_quality(docs, only_kept=True).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows go from the texts."""
+    """Later occurrences of three-line windows go from the texts.
+
+    Null texts stay null, empty ones empty; of repeated rows the later places
+    go like any others, and a row whose lines all go keeps an empty text. Lines
+    of very long texts are rows of their own.
+    """
     return _like(dedup_lines(docs), docs)
 
 
@@ -41,29 +47,40 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     A document is an id with a text: different texts under one id are linked,
     kept and dropped on their own. Rows equal in id and text are one document;
     the row whose other columns hash least stands for it. Rows without an id
-    stay: no group can name them.
+    stay: no group can name them. Null and empty texts link like any other,
+    with one another; very long texts are read whole.
     """
     ship_package(spark)
-    key = ["doc_id", "_text", "_rest"]
-    rest = F.struct(F.lit(0), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    marked = docs.where("doc_id is not null").withColumns(
-        {"_text": F.coalesce(F.sha2("text", 256), F.lit("")), "_rest": F.sha2(F.to_json(rest), 256)}
-    )
-    least = near_duplicate_groups(marked, keep=key).groupBy("group").agg(F.min(F.struct(*key)).alias("least"))
+    key = ["id", "text_hash", "rest_hash"]
+    # Rows travel whole in one column, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rest = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
+    marked = rows.where("row.doc_id is not null").select(
+        "row", F.col("row.doc_id").alias("id"), F.col("row.text").alias("text"),
+        F.coalesce(F.sha2("row.text", 256), F.lit("")).alias("text_hash"), F.sha2(F.to_json(F.struct(*rest)), 256).alias("rest_hash"),
+    )
+    groups = near_duplicate_groups(marked.select(*key, "text"), keep=key)
+    least = groups.groupBy("group").agg(F.min(F.struct(*key)).alias("least"))
     stay = materialize(least.select("least.*"), "stay")
     # Equal rows are folded inside the tasks first, so copies of one row never meet in one task.
     named = marked.dropDuplicates(key).join(stay, key, "left_semi")
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    return named.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more stay in the document of least id only."""
+    """Passages of 50 words and more stay in the document of least id only.
+
+    Null texts stay null, empty ones empty; repeated rows of one id keep their
+    words, and rows without an id name no passage. Very long texts are whole.
+    """
     ship_package(spark)
     return _like(dedup_substrings(docs, keep=docs.columns), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in sequences of 1024 tokens."""
+    """Token pieces with their place in sequences of 1024 tokens; null and empty
+    texts are a document of the end token, repeated rows documents of their own,
+    very long texts are cut into pieces and lose nothing."""
     ship_package(spark)
     return pack_documents(docs)
 
