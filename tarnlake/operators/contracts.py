@@ -346,7 +346,8 @@ def crawl_footers(spark: SparkSession, root: str, tables: list[str], parts: dict
             df = spark.read.parquet(f"{root}/{t}").groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
             part = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]) if keys else F.lit("")
             # Written while the footers answer: the settings are the session's.
-            found.append(materialize(df.select(F.lit(t).alias("table_name"), part.alias("partition"), F.coalesce("row_count", F.lit(0)).alias("row_count")), "footers"))
+            answered = materialize(df.select(F.lit(t).alias("table_name"), part.alias("partition"), "row_count"), "footers")
+            found.append(answered.withColumn("row_count", F.coalesce("row_count", F.lit(0))))
     finally:
         for k, v in before.items():
             conf.set(k, v)
