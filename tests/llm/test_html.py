@@ -2,7 +2,7 @@ import html as entities
 import json
 import re
 
-from tarnlake.llm.html import _nodes, align, extract_main_text, fold, infer_wrappers, main_text, merge_wrappers, parse, render, stream
+from tarnlake.llm.html import Node, _nodes, align, extract_main_text, fold, infer_wrappers, merge_wrappers, page_text, parse, render, stream
 
 SCHEMA = "page_id long, url string, html string, text int"
 
@@ -54,8 +54,9 @@ def test_wrapper_by_mass_without_main(spark):
     df = spark.createDataFrame([(i, "http://x.org/", make(i), 0) for i in range(5)], SCHEMA)
     w = infer_wrappers(df).first()
     assert "(<p>#</>)+" in w.expression
-    by_number = {n.number: n.key for n in _nodes(w.wrapper).order}
-    assert by_number[w.region] == "div.body" and {by_number[n] for n in w.fixed} >= {"div.low", "div", "div.body"} and "div.top" in {by_number[n] for n in w.menus}
+    nodes = _nodes(w.wrapper).order
+    assert nodes[w.region].key == "div.body" and "div.top" in {nodes[n].key for n in w.menus}
+    assert {nodes[n].parent.key for n in w.fixed} >= {"div.low", "div", "div.body"} and {nodes[n].key for n in w.fixed} <= {"#", "@"}
     for r in extract_main_text(df).collect():
         assert r.text.count("\n") == 1 and "stories" not in r.text and "Share" not in r.text and "Same" not in r.text and "next" not in r.text
 
@@ -130,5 +131,50 @@ def test_long_lists_align():
 
 
 def test_main_text_blocks():
-    assert main_text("<div> a <span>b</span>\n<p>c</div>d") == "a b\nc\nd"
-    assert main_text(None) == main_text("") == main_text("<p> </p>") == ""
+    assert page_text("<div> a <span>b</span>\n<p>c</div>d") == "a b\nc\nd"
+    assert page_text(None) == page_text("") == page_text("<p> </p>") == ""
+    assert page_text("<div class=sidebar>all there is</div>") == "all there is"
+
+
+def test_pages_match_by_position():
+    """Optional, repeated and required items of one key are told apart by place."""
+    wrapper = [["div", True, False, [["@", False, False, []]]], ["div", False, False, [["h1", False, False, []]]], ["p", True, True, []], ["ul", True, True, []], ["div", True, False, []]]
+    node = Node.build(wrapper)
+    at = lambda *keys: [x and node.items.index(x) for x in node.match(list(keys))]
+    assert at("div", "div", "div") == [0, 1, 4] and at("div") == [1] and at("div", "p", "ul", "p", "div") == [1, 2, 3, 2, 4]
+    assert at("p", "p") == [2, 2] and at("section", "div") == [None, 1] and at() == [] and at("div.x", "p.y") == [1, 2]
+    assert Node.build([]).match(["div"]) == [None]
+
+
+def unmarked(i, deep=0):
+    """A page of plain elements: a menu, a lead that all pages share, a text."""
+    links = "".join(f"<a href=/{i}/{j}>Part {i} {j} of the site</a> " for j in range(12))
+    lead = "The paper of the whole town and its valley, read by all who live here since the old days. " * 4
+    text = f"On day {i} this and that went on in the town, as {i} people told us in words of their own. " * 4
+    body = f"<div>{links}</div><div>{lead}</div><div><h1>Day {i}</h1><p>{text}</p></div><div>All rights kept, write to the editor of the paper</div>"
+    return page("<div>" * deep + body + "</div>" * deep), f"Day {i}\n{text.strip()}"
+
+
+def test_the_wrapper_decides(spark):
+    """Without it such pages are read wrongly, with it rightly, nested deep too."""
+    for deep in (0, 5, 65):
+        made = [(i, *unmarked(i, deep)) for i in range(12)]
+        assert all(page_text(html) != want for _, html, want in made)
+        df = spark.createDataFrame([(i, "http://town.org/", html, 0) for i, html, _ in made], SCHEMA)
+        assert {r.page_id: r.text for r in extract_main_text(df).collect()} == {i: want for i, _, want in made}
+
+
+def test_articles_keep_their_text(spark):
+    """Sections named like furniture, linked references and equal sentences."""
+
+    def make(i):
+        body = f"<section class=related-work><p>Work of others, {i}, told at length.</p></section><section id=search-methods><p>How we looked, {i}.</p></section>"
+        refs = "<div>" + "".join(f"<a href=/r{j}>Reference {j}</a> " for j in range(6)) + "</div>"
+        return page(f"<nav>x</nav><article><h1>T{i}</h1><p>A sentence that opens every text.</p>{body}{refs}<div class=related-posts>Read next</div><div id=comments>Nice!</div></article>")
+
+    df = spark.createDataFrame([(i, "http://lab.org/", make(i), 0) for i in range(6)], SCHEMA)
+    refs = " ".join(f"Reference {j}" for j in range(6))
+    for r in extract_main_text(df).collect():
+        i = r.page_id
+        assert r.text == f"T{i}\nA sentence that opens every text.\nWork of others, {i}, told at length.\nHow we looked, {i}.\n{refs}"
+    assert page_text("<article><section class='related-work'><p>body</p></section></article>") == "body"
