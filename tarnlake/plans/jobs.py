@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions import clean
-from tarnlake.operators import alerts, expectations, ingest, profiling, rejects, staging, warehouse
+from tarnlake.operators import alerts, contracts, expectations, ingest, profiling, rejects, staging, warehouse
 from tarnlake.plans.registry import AS_OF, LOG, _log, query
 from tarnlake.session import shared_dir
 from tarnlake.sources import landing
@@ -142,8 +142,8 @@ DAY = "strftime({}, '%Y%m%d')::INT"
     f"WITH {STAGED_LEADS}, {', '.join(_sql_dim('d_' + n, c) for n, c, _ in LEAD_DIMS)} "
     "SELECT lead_id, coalesce(s.sk, -1) AS lead_status_sk, coalesce(o.sk, -1) AS lead_source_sk, coalesce(y.sk, -1) AS lead_type_sk, coalesce(g.sk, -1) AS agent_sk, "
     f"coalesce(a.sk, -1) AS area_sk, coalesce(c.sk, -1) AS campaign_sk, {DAY.format('created')} AS created_date_sk, {DAY.format('created + 10')} AS updated_date_sk, "
-    f"CASE WHEN n % 3 = 0 THEN {DAY.format('created')} END AS last_contact_date_sk, c_name AS customer_id, budget::DOUBLE AS budget, n % 2 = 0 AS is_buyer, "
-    "n % 7 = 0 AS do_not_call, md5(lead_id || '|' || lead_status || '|' || budget::VARCHAR || '|' || (created + 10)::VARCHAR) AS record_hash FROM l "
+    f"CASE WHEN n % 3 = 0 THEN {DAY.format('created')} END AS last_contact_date_sk, c_name AS customer_id, budget::DOUBLE AS budget, 'x' AS location, 'phone' AS contact_method, n % 2 = 0 AS is_buyer, "
+    "n % 3 = 0 AS is_seller, n % 4 = 0 AS is_commercial, n % 5 = 0 AS is_merged, n % 6 = 0 AS has_meeting, n % 7 = 0 AS do_not_call, md5(lead_id || '|' || lead_status || '|' || budget::VARCHAR || '|' || (created + 10)::VARCHAR) AS record_hash FROM l "
     "LEFT JOIN d_status s ON lead_status = s.k LEFT JOIN d_source o ON lead_source = o.k LEFT JOIN d_type y ON lead_type = y.k LEFT JOIN d_agent g ON agent_id = g.k "
     "LEFT JOIN d_area a ON area_id = a.k LEFT JOIN d_campaign c ON trim(campaign) = c.k WHERE n % 13 <> 0"
 )
@@ -155,33 +155,33 @@ def star_fact_leads(t):
     dims = warehouse.load_dimensions(seen, {n: (c, key, named.get(n, f"lead_{n}_sk")) for n, c, key in LEAD_DIMS}, "2024-01-01")
     dims["date"] = warehouse.date_dimension(t.spark, "1994-01-01", "1998-12-31")
     facts = warehouse.fact_leads(staged, dims)
-    return facts.withColumn("budget", F.col("budget").cast("double")).drop("location", "contact_method", "is_seller", "is_commercial", "is_merged", "has_meeting")
+    return facts.withColumn("budget", F.col("budget").cast("double"))
 
 
 @query(
     "WITH l AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS lead_sk FROM customer WHERE c_custkey % 10 <> 0), "
-    f"{_sql_dim('p', 'o_orderpriority', 'orders WHERE o_orderkey % 5 <> 0')}, {_sql_dim('c', 'o_orderstatus', 'orders')} "
-    "SELECT o_orderkey AS sale_id, o_custkey AS lead_id, coalesce(lead_sk, -1) AS lead_sk, coalesce(p.sk, -1) AS property_type_sk, -1::BIGINT AS area_sk, "
+    f"{_sql_dim('p', 'o_orderpriority', 'orders WHERE o_orderkey % 5 <> 0')}, {_sql_dim('c', 'o_orderstatus', 'orders')}, {_sql_dim('a', '(o_orderkey % 6)::VARCHAR', 'orders WHERE o_orderkey % 6 < 4')} "
+    "SELECT o_orderkey AS sale_id, o_custkey AS lead_id, coalesce(lead_sk, -1) AS lead_sk, coalesce(p.sk, -1) AS property_type_sk, coalesce(a.sk, -1) AS area_sk, "
     f"coalesce(c.sk, -1) AS sale_category_sk, {DAY.format('o_orderdate')} AS reservation_date_sk, {DAY.format('o_orderdate + INTERVAL 3 DAY')} AS update_date_sk, "
-    "NULL::INT AS contract_date_sk, CAST(o_totalprice AS DECIMAL(15,2))::DOUBLE AS actual_value, "
+    "NULL::INT AS contract_date_sk, CAST(o_totalprice AS DECIMAL(15,2))::DOUBLE AS actual_value, CAST(o_totalprice AS DECIMAL(15,2))::DOUBLE AS unit_value, CAST(o_totalprice AS DECIMAL(15,2))::DOUBLE AS expected_value, 'x' AS unit_location, 1 AS payment_years, "
     "md5(o_orderkey || '|' || o_custkey || '|' || CAST(o_totalprice AS DECIMAL(15,2))::VARCHAR || '|' || o_orderstatus) AS record_hash "
-    "FROM orders LEFT JOIN l ON o_custkey = c_custkey LEFT JOIN p ON o_orderpriority = p.k LEFT JOIN c ON o_orderstatus = c.k"
+    "FROM orders LEFT JOIN l ON o_custkey = c_custkey LEFT JOIN p ON o_orderpriority = p.k LEFT JOIN c ON o_orderstatus = c.k LEFT JOIN a ON (o_orderkey % 6)::VARCHAR = a.k"
 )
 def star_fact_sales(t):
     """Facts of sales with the surrogate key of their lead."""
     price = F.col("o_totalprice")
     staged = t.orders.select(
         F.col("o_orderkey").alias("sale_id"), F.col("o_custkey").alias("lead_id"), F.col("o_orderpriority").alias("property_type"),
-        F.lit(None).cast("string").alias("area_id"), F.col("o_orderstatus").alias("sale_category"), F.col("o_orderdate").alias("sale_date"),
+        (F.col("o_orderkey") % 6).cast("string").alias("area_id"), F.col("o_orderstatus").alias("sale_category"), F.col("o_orderdate").alias("sale_date"),
         F.date_add("o_orderdate", 3).alias("reservation_update_date"), F.lit(None).cast("date").alias("contract_date"),
         price.alias("unit_value"), price.alias("expected_value"), price.alias("actual_value"), F.lit("x").alias("unit_location"), F.lit(1).alias("payment_years"),
     )
     leads = warehouse.number_rows(t.customer.where("c_custkey % 10 != 0").select(F.col("c_custkey").alias("lead_id")), ["lead_id"], "lead_sk")
     specs = {"property": ("property_type", "type_name", "property_type_sk"), "area": ("area_id", "area_id", "area_sk"), "category": ("sale_category", "category_name", "sale_category_sk")}
-    dims = warehouse.load_dimensions(staged, specs, "2024-01-01", {"property": F.col("sale_id") % 5 != 0})
+    dims = warehouse.load_dimensions(staged, specs, "2024-01-01", {"property": F.col("sale_id") % 5 != 0, "area": F.col("area_id").cast("int") < 4})
     dims["date"] = warehouse.date_dimension(t.spark, "1990-01-01", "2010-12-31")
     facts = warehouse.fact_sales(staged, leads, dims)
-    return facts.withColumn("actual_value", F.col("actual_value").cast("double")).drop("unit_value", "expected_value", "unit_location", "payment_years")
+    return facts.withColumns({c: F.col(c).cast("double") for c in ("unit_value", "expected_value", "actual_value")})
 
 
 @query(
@@ -257,30 +257,43 @@ def table_metrics(t):
 
 
 @query(
-    "WITH r AS (SELECT count(*) AS total, count(*) FILTER (event_type = 'purchase') AS bad FROM events), d AS (SELECT round(bad * 100.0 / total, 2) AS rate FROM r) "
-    "SELECT 'rejection_rate' AS alert_type, CASE WHEN rate > 10 THEN 'critical' ELSE 'warning' END AS severity, 'events' AS source FROM d WHERE rate > 5 "
-    "UNION ALL SELECT 'critical_rule', 'critical', 'events' FROM r WHERE bad > 0 "
-    "UNION ALL SELECT 'quality_score', CASE WHEN s < 40 THEN 'critical' ELSE 'warning' END, 'events' FROM "
-    "(SELECT round(count(*) FILTER (value > 50) * 100.0 / count(*), 2) AS s FROM events) WHERE s < 80"
+    "WITH r AS (SELECT count(*) AS total, count(*) FILTER (event_type = 'purchase') AS bad FROM events), d AS (SELECT round(bad * 100.0 / total, 2)::DOUBLE AS rate FROM r), "
+    "k AS (SELECT DISTINCT event_type AS c FROM events), i AS (SELECT greatest(0, round(count(*) FILTER (c IN ('view', 'click')) * 100.0 / 3 - 5 * count(*) FILTER (c NOT IN ('view', 'click')) - 10 * (3 - count(*) FILTER (c IN ('view', 'click'))), 2))::DOUBLE AS score FROM k) "
+    "SELECT 'rejection_rate' AS alert_type, CASE WHEN rate > 10 THEN 'critical' ELSE 'warning' END AS severity, 'events' AS source, 'rejection rate is high' AS title, rate::VARCHAR AS message FROM d WHERE rate > 5 "
+    "UNION ALL SELECT 'critical_rule', 'critical', 'events', 'purchase', bad::VARCHAR FROM r WHERE bad > 0 "
+    "UNION ALL SELECT 'quality_score', CASE WHEN s < 40 THEN 'critical' ELSE 'warning' END, 'events', 'completeness below limit', printf('%.2f < 80.00', s) FROM "
+    "(SELECT round(count(*) FILTER (value > 50) * 100.0 / count(*), 2)::DOUBLE AS s FROM events) WHERE s < 80 "
+    "UNION ALL SELECT 'schema_drift', 'warning', 'events', 'new column ' || c, 'new' FROM k WHERE c NOT IN ('view', 'click') UNION ALL SELECT 'schema_drift', 'error', 'events', 'missing column refund', 'missing' FROM r "
+    "UNION ALL SELECT 'schema_integrity', CASE WHEN score < 80 THEN 'error' ELSE 'warning' END, 'events', 'schema integrity is low', score::VARCHAR FROM i WHERE score < 95 "
+    "UNION ALL SELECT 'pii_detected', 'warning', 'documents', 'email in text', n::VARCHAR FROM (SELECT count(*) AS n FROM documents WHERE regexp_matches(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[A-Z|a-z]{2,}')) WHERE n > 0"
 )
 def alert_all_checks(t):
-    """Every check over one table in one call."""
+    """Every check over one table in one call: schema drift and integrity of its
+    kinds, scores, rejections and personal data, with titles and messages."""
     rules = (rejects.Rule("purchase", "regex", ("event_type",), severity="critical", action="quarantine", pattern="^purchase$"),)
     score = F.round(F.count_if(F.col("value") > 50) * 100.0 / F.count(F.lit(1)), 2)
     scores = t.events.agg(score.alias("completeness")).select(F.lit("events").alias("table_name"), "completeness", *[F.lit(100.0).alias(c) for c in ("uniqueness", "validity", "timeliness", "overall")])
-    found = alerts.run_checks(AS_OF, "events", dimensions=scores, rejections=(rejects.totals(t.events, rules), rejects.summary(t.events, rules)))
-    return found.select("alert_type", "severity", "source")
+    agreed = t.spark.createDataFrame([(c, "string") for c in ("view", "click", "refund")], "column_name string, data_type string")
+    seen = t.events.select(F.col("event_type").alias("column_name")).distinct().withColumn("data_type", F.lit("string"))
+    found = alerts.run_checks(
+        AS_OF, "events", drift=(contracts.drift(agreed, seen), contracts.integrity(agreed, seen)), dimensions=scores,
+        rejections=(rejects.totals(t.events, rules), rejects.summary(t.events, rules)), pii=rejects.scan_pii(t.documents, "documents", ["text"]).where("pii_type = 'email'"),
+    )
+    return found.drop("created_at")
 
 
-@query(
-    "SELECT table_name, column_name, row_count, null_count, distinct_count FROM ("
-    "SELECT 'nation' AS table_name, 'n_name' AS column_name, count(*) AS row_count, count(*) - count(n_name) AS null_count, count(DISTINCT n_name) AS distinct_count FROM nation "
-    "UNION ALL SELECT 'nation', 'n_regionkey', count(*), count(*) - count(n_regionkey), count(DISTINCT n_regionkey) FROM nation "
-    "UNION ALL SELECT 'orders', 'o_custkey', count(*), count(*) - count(o_custkey), count(DISTINCT o_custkey) FROM orders)"
-)
+def _sql_profile(table: str, column: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count, count(*) - count({column}) AS null_count, round((count(*) - count({column})) * 100.0 / count(*), 2)::DOUBLE AS null_pct, "
+        f"count(DISTINCT {column}) AS distinct_count, round(count(DISTINCT {column}) * 100.0 / count({column}), 2)::DOUBLE AS distinct_pct, count({column}) - count(DISTINCT {column}) AS duplicate_count, NULL::VARCHAR AS error FROM {table}"
+    )
+
+
+@query(" UNION ALL ".join(_sql_profile(t, c) for t, c in (("nation", "n_name"), ("nation", "n_regionkey"), ("orders", "o_custkey"), ("orders", "o_orderpriority"))))
 def profile_every_table(t):
-    found = profiling.profile_all({"orders": t.orders.select("o_custkey"), "nation": t.nation.select("n_name", "n_regionkey")})
-    return found.select("table_name", "column_name", "row_count", "null_count", "distinct_count")
+    """The long profile of several tables, every column of it."""
+    found = profiling.profile_all({"orders": t.orders.select("o_custkey", "o_orderpriority"), "nation": t.nation.select("n_name", "n_regionkey")})
+    return found.withColumns({c: F.col(c).cast("double") for c in ("null_pct", "distinct_pct")})
 
 
 E_ = expectations.Expectation
@@ -350,13 +363,12 @@ def metric_gauges(t):
 
 
 @query(
-    "SELECT severity, title, count(*) AS n FROM (SELECT CASE WHEN bad * 100.0 / n < 80 THEN 'error' ELSE 'warning' END AS severity, 'schema integrity is low' AS title "
-    "FROM (SELECT user_id, count(*) AS n, count(*) FILTER (event_type <> 'view') AS bad FROM events GROUP BY 1) WHERE round(bad * 100.0 / n, 2) < 95) GROUP BY 1, 2"
+    "WITH k AS (SELECT DISTINCT event_type AS c FROM events), i AS (SELECT greatest(0, round(count(*) FILTER (c IN ('view', 'purchase')) * 100.0 / 2 - 5 * count(*) FILTER (c NOT IN ('view', 'purchase')) - 10 * (2 - count(*) FILTER (c IN ('view', 'purchase'))), 2))::DOUBLE AS score FROM k) "
+    "SELECT 'schema_drift' AS alert_type, 'warning' AS severity, 'events' AS source, 'new column ' || c AS title, 'new' AS message FROM k WHERE c NOT IN ('view', 'purchase') "
+    "UNION ALL SELECT 'schema_integrity', CASE WHEN score < 80 THEN 'error' ELSE 'warning' END, 'events', 'schema integrity is low', score::VARCHAR FROM i WHERE score < 95"
 )
 def alert_integrity(t):
-    """Integrity scores of many tables (here: of users) as alerts."""
-    n = F.count(F.lit(1))
-    scores = t.events.groupBy("user_id").agg(F.round(F.count_if(F.col("event_type") != "view") * 100.0 / n, 2).alias("integrity"))
-    none = t.spark.createDataFrame([], "column_name string, change string, severity string")
-    found = alerts.drift_alerts(none, scores, "events", AS_OF)
-    return found.groupBy("severity", "title").agg(F.count(F.lit(1)).alias("n"))
+    """Alerts of a contract: kinds not agreed on, and the integrity score."""
+    agreed = t.spark.createDataFrame([(c, "string") for c in ("view", "purchase")], "column_name string, data_type string")
+    seen = t.events.select(F.col("event_type").alias("column_name")).distinct().withColumn("data_type", F.lit("string"))
+    return alerts.drift_alerts(contracts.drift(agreed, seen), contracts.integrity(agreed, seen), "events", AS_OF).drop("created_at")

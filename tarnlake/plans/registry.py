@@ -157,21 +157,19 @@ def q08_agent_perf(t):
 
 @query(
     "SELECT CASE WHEN is_buyer AND is_seller THEN 'Both' WHEN is_buyer THEN 'Buyer' WHEN is_seller THEN 'Seller' ELSE 'Unknown' END AS segment, "
-    f"count(*) AS lead_count FROM {LEADS} GROUP BY 1"
+    f"count(*) AS lead_count, round(CAST(sum(budget) AS DOUBLE) / count(*), 2) AS avg_budget FROM {LEADS} GROUP BY 1"
 )
 def q09_segment_case(t):
-    return business.segments(_leads(t), F.col("is_buyer"), F.col("is_seller"), "budget").drop("avg_budget")
+    return exact_mean(business.segments(_leads(t), F.col("is_buyer"), F.col("is_seller"), "budget"), "avg_budget")
 
 
 @query(
-    "SELECT c_nationkey, count(*) AS lead_count, count(DISTINCT c_mktsegment) AS source_diversity FROM customer WHERE c_nationkey IS NOT NULL "
+    "SELECT c_nationkey::VARCHAR AS nation, count(*) AS lead_count, count(DISTINCT c_mktsegment) AS source_diversity FROM customer WHERE c_nationkey IS NOT NULL "
     "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"
 )
 def q10_geo_top(t):
     df = t.customer.withColumn("nation", F.col("c_nationkey").cast("string"))
-    out = df.where(clean.not_blank(F.col("nation"))).groupBy("c_nationkey")
-    out = out.agg(F.count(F.lit(1)).alias("lead_count"), F.count_distinct("c_mktsegment").alias("source_diversity"))
-    return out.orderBy(F.desc("lead_count"), "c_nationkey").limit(15)
+    return business.top_with_variety(df, "nation", "c_mktsegment", 15, "lead_count", "source_diversity")
 
 
 COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels")
@@ -251,12 +249,12 @@ def q17_duplicate_check(t):
 
 
 @query(
-    "SELECT 'b1' AS batch_id, table_name, records_loaded FROM (SELECT 'customer' AS table_name, count(*) AS records_loaded FROM customer "
+    f"SELECT 'b1' AS batch_id, table_name, records_loaded, 'success' AS load_status, '{AS_OF}' AS start_time, '{AS_OF[:-1]}9' AS end_time FROM (SELECT 'customer' AS table_name, count(*) AS records_loaded FROM customer "
     "UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events)"
 )
 def q18_load_history(t):
-    log = warehouse.load_log(t.spark, "b1", {n: getattr(t, n) for n in ("customer", "orders", "events")}, AS_OF, AS_OF)
-    return business.load_history(log).select("batch_id", "table_name", "records_loaded")
+    log = warehouse.load_log(t.spark, "b1", {n: getattr(t, n) for n in ("customer", "orders", "events")}, AS_OF, f"{AS_OF[:-1]}9")
+    return business.load_history(log).withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start_time", "end_time")})
 
 
 @query("SELECT n_name, count(*) AS lead_count FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
@@ -515,24 +513,24 @@ PROFILED = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
 @query(
     _union(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, round((count(*) - count({c})) * 100.0 / count(*), 2)::DOUBLE AS null_pct, count(DISTINCT {c}) AS distinct_count, "
         f"round(count(DISTINCT {c}) * 100.0 / count({c}), 2)::DOUBLE AS distinct_pct, count({c}) - count(DISTINCT {c}) AS duplicate_count FROM customer"
         for c in PROFILED
     )
 )
 def profile_columns(t):
-    return exact_mean(profiling.completeness_profile(t.customer.select(*PROFILED)).drop("null_pct"), "distinct_pct")
+    return exact_mean(profiling.completeness_profile(t.customer.select(*PROFILED)), "distinct_pct", "null_pct")
 
 
 @query(
     _union(
-        f"SELECT '{c}' AS column_name, q[1]::DOUBLE AS q1, q[2]::DOUBLE AS q3, (SELECT count(*) FROM {tb} WHERE {c} < q[1] - 1.5 * (q[2] - q[1]) OR "
+        f"SELECT '{c}' AS column_name, q[1]::DOUBLE AS q1, q[2]::DOUBLE AS q3, round(q[1] - 1.5::DOUBLE * (q[2] - q[1]), 6) AS low, round(q[2] + 1.5::DOUBLE * (q[2] - q[1]), 6) AS high, (SELECT count(*) FROM {tb} WHERE {c} < q[1] - 1.5 * (q[2] - q[1]) OR "
         f"{c} > q[2] + 1.5 * (q[2] - q[1])) AS outliers FROM (SELECT quantile_cont({c}, [0.25, 0.75]) AS q FROM {tb})"
         for tb, c in (("events", "value"),)
     )
 )
 def iqr_outliers(t):
-    return profiling.iqr_outliers(t.events, ["value"]).select("column_name", "q1", "q3", "outliers")
+    return profiling.iqr_outliers(t.events, ["value"]).withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
 @query("SELECT round((1 - (count(*) - count(quality) + count(*) - count(toxic)) / (count(*) * 3.0)) * 100, 2)::DOUBLE AS completeness FROM documents LEFT JOIN labels USING (doc_id)")
@@ -585,12 +583,13 @@ def dq_overall(t):
     "WITH s AS (SELECT o_orderkey AS k FROM orders), t AS (SELECT CASE WHEN o_orderkey % 10 = 1 THEN -o_orderkey ELSE o_orderkey END AS k FROM orders WHERE o_orderkey % 10 <> 0) "
     "SELECT (SELECT count(*) FROM s) AS source_rows, (SELECT count(*) FROM t) AS target_rows, (SELECT count(DISTINCT k) FROM s) AS source_keys, "
     "(SELECT count(DISTINCT k) FROM s WHERE k NOT IN (SELECT k FROM t)) AS missing_keys, (SELECT count(DISTINCT k) FROM t WHERE k NOT IN (SELECT k FROM s)) AS new_keys, "
-    "round((SELECT count(*) FROM t) * 100.0 / (SELECT count(*) FROM s), 2)::DOUBLE AS row_retention_pct, 100.0::DOUBLE AS column_overlap_pct, "
+    "round((SELECT count(*) FROM t) * 100.0 / (SELECT count(*) FROM s), 2)::DOUBLE AS row_retention_pct, 66.67::DOUBLE AS column_overlap_pct, "
     "round((SELECT count(DISTINCT k) FROM s WHERE k IN (SELECT k FROM t)) * 100.0 / (SELECT count(DISTINCT k) FROM s), 2)::DOUBLE AS key_integrity_pct"
 )
 def stage_compare(t):
     key = F.when(F.col("o_orderkey") % 10 == 1, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
-    out = profiling.compare_stages(t.orders, t.orders.where("o_orderkey % 10 != 0").withColumn("o_orderkey", key), "o_orderkey")
+    later = t.orders.where("o_orderkey % 10 != 0").withColumn("o_orderkey", key).drop("o_orderpriority", "o_orderdate").withColumn("op", F.lit("I"))
+    out = profiling.compare_stages(t.orders, later, "o_orderkey")
     return exact_mean(out, "row_retention_pct", "column_overlap_pct", "key_integrity_pct")
 
 
@@ -622,12 +621,12 @@ def reject_split(t):
 
 
 @query(
-    "SELECT 'blob' AS rule, 'warning' AS severity, count(*) AS records FROM events WHERE json_valid(props) HAVING count(*) > 0 UNION ALL "
-    "SELECT 'purchase', 'critical', count(*) FROM events WHERE event_type = 'purchase' HAVING count(*) > 0 UNION ALL "
-    "SELECT 'x', 'warning', count(*) FROM events WHERE event_type LIKE 'cl%' HAVING count(*) > 0"
+    "SELECT 'blob' AS rule, 'warning' AS severity, count(*) AS records, 'props' AS columns FROM events WHERE json_valid(props) HAVING count(*) > 0 UNION ALL "
+    "SELECT 'purchase', 'critical', count(*), '' FROM events WHERE event_type = 'purchase' HAVING count(*) > 0 UNION ALL "
+    "SELECT 'x', 'warning', count(*), 'event_type' FROM events WHERE event_type LIKE 'cl%' HAVING count(*) > 0"
 )
 def reject_summary(t):
-    return rejects.summary(t.events, RULES).drop("columns")
+    return rejects.summary(t.events, RULES).withColumn("columns", F.array_join("columns", ","))
 
 
 SIMPLE_PII = ("email", "phone", "credit_card", "ip_address", "uae_phone", "emirates_id")
@@ -685,16 +684,17 @@ SUITE = [
 
 
 @query(
-    "SELECT expectation, checked, failed FROM (SELECT 'expect_table_row_count_to_be_between' AS expectation, count(*) AS checked, 0::BIGINT AS failed FROM orders "
-    "UNION ALL SELECT 'expect_column_values_to_not_be_null', count(*), count(*) - count(o_custkey) FROM orders "
-    "UNION ALL SELECT 'expect_column_values_to_be_unique', (SELECT count(o_orderkey) FROM orders), (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) "
-    "UNION ALL SELECT 'expect_column_values_to_be_in_set', count(o_orderstatus), count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) FROM orders "
-    "UNION ALL SELECT 'expect_column_values_to_match_regex', count(o_orderpriority), count(*) FILTER (NOT regexp_matches(o_orderpriority, '^\\d-')) FROM orders "
-    "UNION ALL SELECT 'expect_column_value_lengths_to_be_between', count(o_orderpriority), count(*) FILTER (length(o_orderpriority) > 10) FROM orders "
-    "UNION ALL SELECT 'expect_column_to_exist', 1, 1)"
+    "SELECT *, CASE expectation WHEN 'expect_column_to_exist' THEN false WHEN 'expect_column_values_to_be_in_set' THEN (checked - failed)::DOUBLE / checked >= 0.9 WHEN 'expect_column_values_to_not_be_null' "
+    "THEN (checked - failed)::DOUBLE / checked >= 0.99 ELSE failed = 0 END AS success FROM (SELECT 'expect_table_row_count_to_be_between' AS expectation, NULL AS column_name, true AS blocking, count(*) AS checked, 0::BIGINT AS failed FROM orders "
+    "UNION ALL SELECT 'expect_column_values_to_not_be_null', 'o_custkey', false, count(*), count(*) - count(o_custkey) FROM orders "
+    "UNION ALL SELECT 'expect_column_values_to_be_unique', 'o_orderkey', true, (SELECT count(o_orderkey) FROM orders), (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) "
+    "UNION ALL SELECT 'expect_column_values_to_be_in_set', 'o_orderstatus', false, count(o_orderstatus), count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) FROM orders "
+    "UNION ALL SELECT 'expect_column_values_to_match_regex', 'o_orderpriority', false, count(o_orderpriority), count(*) FILTER (NOT regexp_matches(o_orderpriority, '^\\d-')) FROM orders "
+    "UNION ALL SELECT 'expect_column_value_lengths_to_be_between', 'o_orderpriority', false, count(o_orderpriority), count(*) FILTER (length(o_orderpriority) > 10) FROM orders "
+    "UNION ALL SELECT 'expect_column_to_exist', 'nothing', false, 1, 1)"
 )
 def expectation_suite(t):
-    return expectations.run_suite(t.orders, SUITE).select("expectation", "checked", "failed")
+    return expectations.run_suite(t.orders, SUITE).drop("fraction", "detail")
 
 
 @query("SELECT 'part' AS rule, count(*) AS checked, count(*) FILTER (p_partkey IS NULL) AS failed FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size < 40")

@@ -25,20 +25,22 @@ def read_landing(spark: SparkSession, path: str, null_words: bool = True) -> Dat
 
     One read over files with different headers would map columns by position,
     so files are grouped by their header line first: the first line of each
-    file's first block, found inside the tasks. Where all files have one
-    header, which is the rule, their paths never reach the driver. Quoted
-    fields may hold line breaks; such files are read whole by one task, so
-    batches should consist of files of moderate size. No files: a frame
-    without columns.
+    file, found inside the tasks. A field that spans lines leaves an odd number
+    of quotes on the line where it begins: only files with such a line are read
+    whole by one task each, all others are split like any text. Where all files
+    have one header and none such a line, which is the rule, their paths never
+    reach the driver. No files: a frame without columns.
     """
     found = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
     try:
         lines = spark.read.options(**found).text(path)
         lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-        lines = lines.where("block = 0").withColumn("nth", F.monotonically_increasing_id())
-        headers = lines.groupBy("path").agg(F.min_by("value", "nth").alias("line"))
+        odd = F.regexp_count("value", F.lit('"')) % 2 == 1
+        first = F.when(F.col("block") == 0, F.col("value"))
+        lines = lines.withColumns({"odd": odd, "first": first, "nth": F.when(F.col("block") == 0, F.monotonically_increasing_id())})
+        headers = lines.groupBy("path").agg(F.min_by("first", "nth").alias("line"), F.max("odd").alias("whole"))
         headers = headers.withColumn("line", F.regexp_replace("line", r"^\x{FEFF}", ""))
-        kinds = [r.line for r in headers.select("line").distinct().collect()]
+        kinds = headers.select("line", "whole").distinct().collect()
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], "struct<>")
@@ -46,10 +48,10 @@ def read_landing(spark: SparkSession, path: str, null_words: bool = True) -> Dat
     if not kinds:
         return spark.createDataFrame([], "struct<>")
     if len(kinds) == 1:
-        df = spark.read.options(**CSV, **found).csv(path)
+        df = spark.read.options(**CSV | {"multiLine": kinds[0].whole}, **found).csv(path)
     else:
-        groups = headers.groupBy("line").agg(F.collect_list("path").alias("paths")).collect()
-        df = _union([spark.read.options(**CSV).csv(sorted(g.paths)) for g in sorted(groups)])
+        groups = headers.groupBy("line", "whole").agg(F.collect_list("path").alias("paths")).collect()
+        df = _union([spark.read.options(**CSV | {"multiLine": g.whole}).csv(sorted(g.paths)) for g in sorted(groups)])
     return df.select(*[clean.null_words(F.col(f"`{c}`")).alias(c) for c in df.columns]) if null_words else df
 
 
@@ -59,7 +61,8 @@ def read_batch(spark: SparkSession, path: str, schema: StructType, fmt: str = "c
 
 
 def read_mixed(spark: SparkSession, path: str) -> DataFrame:
-    """CSV (types inferred) and Parquet below one prefix; unreadable files are skipped."""
+    """CSV (types inferred) and Parquet below one prefix; unreadable files are
+    skipped. A column whose types differ between the two becomes text."""
     kinds = {"csv": {"header": True, "inferSchema": True}, "parquet": {"mergeSchema": True}}
     frames = []
     for kind, options in kinds.items():
@@ -72,6 +75,10 @@ def read_mixed(spark: SparkSession, path: str) -> DataFrame:
             continue
         if df.columns:
             frames.append(df)
+    if len(frames) == 2:
+        kinds = [dict(f.dtypes) for f in frames]
+        differ = [c for c in kinds[0] if kinds[1].get(c, kinds[0][c]) != kinds[0][c]]
+        frames = [f.withColumns({c: F.col(f"`{c}`").cast("string") for c in differ}) for f in frames]
     return _union(frames) if frames else spark.createDataFrame([], "struct<>")
 
 

@@ -218,3 +218,29 @@ def test_missing_columns_warn(spark):
     config = staging.TableConfig("t", [staging.Mapped("a", "b"), staging.Mapped("x", "y")], missing="warn")
     with pytest.warns(UserWarning, match="t lacks x"):
         assert staging.apply_mapping(spark.createDataFrame([("1",)], "a string"), config).columns == ["b"]
+
+
+def test_only_files_with_broken_lines_are_read_whole(spark, tmp_path):
+    z = tmp_path / "z"
+    z.mkdir()
+    (z / "a.csv").write_text("id,v\n" + "".join(f"{i},x{i}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        plain = landing.read_landing(spark, str(z))
+        assert plain.count() == 3000 and plain.rdd.getNumPartitions() > 3
+        (z / "b.csv").write_text('id,v\n9000,"two\nlines"\n9001,"say ""hi"""\n')
+        (z / "c.csv").write_text('v,id,w\n"q ""x""",9002,1\n')
+        both = landing.read_landing(spark, str(z))
+        got = {r.id: (r.v, r.w) for r in both.where("id >= '9'").collect() if int(r.id) >= 9000}
+        assert got == {"9000": ("two\nlines", None), "9001": ('say "hi"', None), "9002": ('q "x"', "1")} and both.count() == 3003
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_types_that_differ_between_formats(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/a.csv").write_text("id,v,n\n1,word,5\n2,x,6\n")
+    spark.createDataFrame([(3, 7, 8)], "id int, v long, n int").write.parquet(f"{tmp_path}/m/p")
+    got = {(r.id, r.v, r.n) for r in landing.read_mixed(spark, f"{tmp_path}/m").collect()}
+    assert got == {(1, "word", 5), (2, "x", 6), (3, "7", 8)}
