@@ -581,3 +581,76 @@ def facts_reloaded(t):
         warehouse.replace_by_key(old, facts, "sale_id").write.parquet(f"{root}/v{n}")
     money = {c: F.col(c).cast("double") for c in ("unit_value", "expected_value", "actual_value")}
     return t.spark.read.parquet(f"{root}/v{len(loads) - 1}").withColumns(money)
+
+
+# -- crawls and jobs ----------------------------------------------------------
+
+
+@query(
+    "SELECT 'orders' AS table_name, 2 AS version, 7 AS columns, 3 AS file_partitions, 'o_orderstatus' AS partition_keys, (SELECT count(*) FROM orders) AS row_count UNION ALL "
+    "SELECT 'parts', 1, 6, 0, '', (SELECT count(*) FROM part)".replace("3 AS file", "(SELECT count(DISTINCT o_orderstatus) FROM orders)::INT AS file")
+)
+def lake_crawled(t):
+    """A lake crawled twice: the registry gains a version of the table that
+    changed, files and partitions are listed, rows counted from footers."""
+    root = _folder(t, "lake")
+    landing.write_partitioned(t.orders, f"{root}/orders", ["o_orderstatus"])
+    t.part.write.parquet(f"{root}/parts")
+    registry, first = contracts.run_crawler(t.spark, contracts.empty_registry(t.spark), root, "crawler", AS_OF)
+    landing.write_partitioned(t.orders.withColumn("channel", F.lit("web")), f"{root}/orders", ["o_orderstatus"])
+    registry, second = contracts.run_crawler(t.spark, registry, root, "crawler", AS_OF)
+    if (first["new"], second["updated"], second["unchanged"]) != (2, 1, 1):
+        raise RuntimeError(f"{first} {second}")
+    columns = contracts.active(registry).groupBy("table_name", "version").agg(F.count(F.lit(1)).cast("int").alias("columns"))
+    rows = contracts.crawl_footers(t.spark, root, ["orders", "parts"], {"orders": ["o_orderstatus"]})
+    counted = rows.groupBy("table_name").agg(F.sum("row_count").alias("row_count"), F.count_if(F.col("partition") != "").cast("int").alias("file_partitions"))
+    files = contracts.crawl_lake(t.spark, root).select("table_name", F.array_join("partition_keys", ",").alias("partition_keys"))
+    return columns.join(counted, "table_name").join(files, "table_name").select("table_name", "version", "columns", "file_partitions", "partition_keys", "row_count")
+
+
+@query(
+    "SELECT * FROM (VALUES ('dim_member', 'dimension', 'member', 'string', false), ('dim_member', 'dimension', 'member_sk', 'bigint', true), ('fact_order', 'fact', 'o_orderkey', 'bigint', false), "
+    "('fact_order', 'fact', 'status', 'string', true)) v(table_name, asset_type, column_name, data_type, is_key) JOIN (SELECT 'dim_member' AS table_name, count(DISTINCT o_orderpriority) AS row_count FROM orders UNION ALL SELECT 'fact_order', count(*) FROM orders) c USING (table_name)"
+)
+def warehouse_crawled(t):
+    """Columns, keys and rows of the warehouse, from the catalog."""
+    mark = _folder(t, "m").rsplit("-", 1)[1]
+    names = {f"dim_member_{mark}": "dim_member", f"fact_order_{mark}": "fact_order"}
+    dim, fact = names
+    members = warehouse.number_rows(t.orders.select(F.col("o_orderpriority").alias("member")).distinct(), ["member"], f"member_{mark}_sk")
+    place = _folder(t, "warehouse")
+    members.write.option("path", f"{place}/dim").saveAsTable(dim)
+    t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status")).write.partitionBy("status").option("path", f"{place}/fact").saveAsTable(fact)
+    try:
+        columns = contracts.crawl_warehouse(t.spark, (dim, fact))
+        counts = contracts.crawl_catalog(t.spark, (dim, fact)).select("table_name", "row_count")
+        plain = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+        named = columns.join(counts, "table_name").withColumn("column_name", F.regexp_replace("column_name", f"_{mark}", ""))
+        return named.select(plain[F.col("table_name")].alias("table_name"), "asset_type", "column_name", "data_type", "is_key", "row_count")
+    finally:
+        for n in names:
+            t.spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1")
+def latest_events(t):
+    """The row of greatest order per key."""
+    return contracts.latest(t.events.select("user_id", "event_id", "event_type"), "user_id", "event_id")
+
+
+@query(
+    "SELECT 'newest' AS table_name, 'success' AS status, (SELECT count(*) FROM events) AS rows_in, (SELECT count(DISTINCT user_id) FROM events) AS rows_out UNION ALL "
+    "SELECT 'kinds', 'success', (SELECT count(*) FROM events), (SELECT count(DISTINCT event_type) FROM events) UNION ALL SELECT 'nothing', 'empty', 0, 0 FROM events HAVING count(*) > 0"
+)
+def staged_tables(t):
+    """Raw tables staged in one job; one without files is told and stops none."""
+    root, steps = _folder(t, "stage"), []
+    raw = t.events.select(*[F.col(c).cast("string").alias(c) for c in ("event_id", "user_id", "event_type")])
+    config = lambda name, key: staging.TableConfig(name, [staging.Mapped(c, c) for c in raw.columns], key=key, order_by=["event_id"])
+    found: dict = {}
+    jobs = [(f"{root}/raw", f"{root}/newest", config("newest", "user_id")), (f"{root}/none", f"{root}/nothing", config("nothing", "user_id")), (f"{root}/raw", f"{root}/kinds", config("kinds", "event_type"))]
+    steps = [("write", lambda: landing.write_raw(raw, f"{root}/raw/full_load/b1")), ("stage", lambda: found.update(staging.run_all(t.spark, jobs, "b1")))]
+    if warehouse.run_steps(steps) != ["write", "stage"] or found["failed"]:
+        raise RuntimeError(str(found))
+    rows = [(r["table"], r["status"], r["rows_in"], r["rows_out"]) for r in found["tables"]]
+    return t.spark.createDataFrame(rows, "table_name string, status string, rows_in long, rows_out long")
