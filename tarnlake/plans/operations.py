@@ -654,3 +654,37 @@ def staged_tables(t):
         raise RuntimeError(str(found))
     rows = [(r["table"], r["status"], r["rows_in"], r["rows_out"]) for r in found["tables"]]
     return t.spark.createDataFrame(rows, "table_name string, status string, rows_in long, rows_out long")
+
+
+# -- scalars ------------------------------------------------------------------
+
+
+@query(
+    "SELECT event_id, strftime(CASE event_id % 7 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN ts WHEN 3 THEN date_trunc('minute', ts) WHEN 4 THEN date_trunc('day', ts) "
+    "WHEN 5 THEN CASE WHEN day(ts) <= 12 THEN make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), 0) ELSE date_trunc('minute', ts) END "
+    "ELSE CASE WHEN day(ts) <= 12 THEN make_timestamp(year(ts), day(ts), month(ts), 0, 0, 0) ELSE date_trunc('day', ts) END END, '%Y-%m-%d %H:%M:%S.%f') AS parsed, event_id % 7 > 6 AS failed FROM events"
+)
+def timestamp_patterns(t):
+    """Every accepted pattern of a timestamp text; of the ambiguous ones the
+    first that fits counts."""
+    written = F.lit(None).cast("string")
+    for i, p in enumerate(clean.TIMESTAMP_PATTERNS):
+        written = F.when(F.col("event_id") % 7 == i, F.date_format("ts", p)).otherwise(written)
+    parsed = clean.parse_timestamp(written)
+    return t.events.select("event_id", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("parsed"), parsed.isNull().alias("failed"))
+
+
+@query(
+    "SELECT event_id::VARCHAR AS event_id, CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true END AS flag, CASE WHEN event_id % 5 > 0 THEN user_id END::INT AS n, "
+    "CASE WHEN event_id % 3 > 0 THEN CAST(value AS DECIMAL(18,2))::DOUBLE END AS price FROM events"
+)
+def typed_columns(t):
+    """Text columns given their types; what does not parse becomes NULL."""
+    k = F.col("event_id")
+    flag = F.when(k % 4 == 0, " yes ").when(k % 4 == 1, "F").when(k % 4 == 2, "1").otherwise("maybe")
+    n = F.when(k % 5 > 0, F.col("user_id").cast("string")).otherwise("n/a")
+    price = F.when(k % 3 > 0, F.concat(F.lit("$ "), F.format_number(F.col("value").cast("decimal(18,2)"), 2))).otherwise("-")
+    raw = t.events.select(k.cast("string").alias("event_id"), flag.alias("flag"), n.alias("n"), price.alias("price"))
+    kinds = {"flag": "boolean", "n": "int", "price": "float"}
+    config = staging.TableConfig("e", [staging.Mapped(c, c, kinds.get(c, "string")) for c in raw.columns])
+    return staging.apply_types(staging.apply_mapping(raw, config), config)
