@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ SCORE_LIMITS = {"completeness": 80.0, "uniqueness": 90.0, "validity": 90.0, "tim
 INTEGRITY_WARN, INTEGRITY_ERROR = 95.0, 80.0
 REJECT_WARN, REJECT_CRITICAL = 5.0, 10.0
 SUPPRESS_MINUTES = 60
+#: Distinct times of a key that one task chains together.
+BLOCK_ROWS = 50_000
 
 
 def _alert(df: DataFrame, kind: str, severity, source, title, message, at: str) -> DataFrame:
@@ -103,16 +107,72 @@ def freshness_alerts(tables: DataFrame, as_of: str, hours: float = 24.0) -> Data
     return _alert(late, "freshness", F.lit("warning"), F.col("table_name"), F.lit("table is stale"), F.round("age", 2).cast("string"), as_of)
 
 
-def _links(times: DataFrame, step: int) -> DataFrame:
-    """(dedup_key, t, next): the first time of the key ``step`` or more after each.
+def _slot(t: str, step: int):
+    return F.expr(f"({t} - pmod({t}, {step})) div {step}")
 
-    Times lie in slots of one step. What follows t is in the slot of t + step or
-    is the first time of a later slot, so no task sorts more than a slot of a
-    key, or one row for each of the key's slots.
+
+def _blocks(times: DataFrame, step: int, rows: int) -> DataFrame:
+    """Times with ``block`` and their key's last block, ``final``. A block is a run
+    of whole slots of one step, closed by the first that brings it to ``rows``
+    times; the windows read one row for each of the key's slots."""
+    dealt = times.withColumn("slot", _slot("t", step))
+    before = W.partitionBy("dedup_key").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    slots = dealt.groupBy("dedup_key", "slot").agg(F.count(F.lit(1)).alias("n"))
+    slots = slots.withColumn("block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / rows))
+    slots = slots.withColumn("final", F.max("block").over(W.partitionBy("dedup_key")))
+    return dealt.join(slots.drop("n"), ["dedup_key", "slot"]).select("dedup_key", "t", "block", "final")
+
+
+def _followers(t: np.ndarray, step: int) -> np.ndarray:
+    """Of sorted times, the place of the first that is ``step`` or more after each."""
+    return np.searchsorted(t, t + step)
+
+
+def _passages(blocks: DataFrame, step: int) -> DataFrame:
+    """(dedup_key, source, at) for every time at which a chain may enter a block:
+    ``at`` is one step after the last time that the chain keeps there.
+
+    A chain enters in the block's first slot or, where that suppresses none but
+    earlier times, at the first time of a later slot.
+    """
+
+    def passages(table: pa.Table) -> pa.Table:
+        t = np.sort(table.column("t").to_numpy())
+        nxt = _followers(t, step)
+        last = np.where(nxt == len(t), np.arange(len(t)), np.minimum(nxt, len(t) - 1))
+        while not np.array_equal(last, last[last]):
+            last = last[last]
+        n = np.searchsorted(t, (t[0] // step + 1) * step) + 1
+        key = table.column("dedup_key").slice(0, 1).combine_chunks()
+        source = t[:n]
+        return pa.table({"dedup_key": key.take(pa.array(np.zeros(len(source), np.int64))), "source": source, "at": t[last[:n]] + step})
+
+    return blocks.groupBy("dedup_key", "block").applyInArrow(passages, "dedup_key string, source long, at long")
+
+
+def _chains(entered: DataFrame, step: int) -> DataFrame:
+    """(dedup_key, t) kept in every block, from the time that is marked ``entry``."""
+
+    def chain(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("t").to_numpy())
+        t, entry = table.column("t").to_numpy()[order], np.flatnonzero(table.column("entry").to_numpy()[order])
+        nxt, kept, i = _followers(t, step), [], int(entry[0]) if len(entry) else len(t)
+        while i < len(t):
+            kept.append(i)
+            i = int(nxt[i])
+        return pa.table({"dedup_key": table.column("dedup_key").slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(kept), np.int64))), "t": t[kept]})
+
+    return entered.groupBy("dedup_key", "block").applyInArrow(chain, "dedup_key string, t long")
+
+
+def _links(times: DataFrame, probes: DataFrame, step: int) -> DataFrame:
+    """(dedup_key, t, next): the first time of the key at or after each probe's ``at``.
+
+    Times lie in slots of one step. What follows is in the slot of ``at`` or is
+    the first time of a later slot, so no task sorts more than a slot of a key,
+    or one row for each of the key's slots.
     """
-    slot = lambda t: F.expr(f"({t} - pmod({t}, {step})) div {step}")
-    probes = times.select("dedup_key", F.col("t").alias("source"), (F.col("t") + step).alias("at"))
-    both = times.select("dedup_key", F.lit(None).cast("long").alias("source"), F.col("t").alias("at")).unionByName(probes).withColumn("slot", slot("at"))
+    both = times.select("dedup_key", F.lit(None).cast("long").alias("source"), F.col("t").alias("at")).unionByName(probes).withColumn("slot", _slot("at", step))
     found = F.when(F.col("source").isNull(), F.col("at"))
     near = W.partitionBy("dedup_key", "slot").orderBy(F.desc("at"), F.col("source").isNotNull())
     asked = both.withColumn("here", F.last(found, ignorenulls=True).over(near.rowsBetween(W.unboundedPreceding, 0))).where("source is not null")
@@ -126,34 +186,37 @@ def _links(times: DataFrame, step: int) -> DataFrame:
 def _reached(first: DataFrame, links: DataFrame) -> DataFrame:
     """Times on the chains of links that begin at ``first``.
 
-    Each round goes four times as far as all rounds before it; it ends when it
-    adds nothing. Every round is written, so the plan stays short.
+    Each round goes four times as far as all rounds before it; it ends when no
+    link is that long, which none is at last since every link leads to a later
+    time. Every round is written, so the plan stays short.
     """
     hop = lambda a, b: a.join(b.select("dedup_key", F.col("t").alias("next"), F.col("next").alias("_far")), ["dedup_key", "next"]).select("dedup_key", "t", F.col("_far").alias("next"))
     step = lambda seen, j: seen.unionByName(j.join(seen, ["dedup_key", "t"], "left_semi").select("dedup_key", F.col("next").alias("t")))
-    seen, jump, n = materialize(first, "reached"), materialize(links, "links"), -1
-    while (now := seen.count()) != n:
-        n, old = now, (seen, jump)
-        twice = hop(jump, jump.toDF(*jump.columns))
+    seen, jump = materialize(first, "reached"), materialize(links, "links")
+    while not jump.isEmpty():
+        old = seen, jump
+        twice = materialize(hop(jump, jump.toDF(*jump.columns)), "links")
         seen = materialize(step(step(seen, jump), twice).distinct(), "reached")
-        twice = materialize(twice, "links")
         jump = materialize(hop(twice, twice.toDF(*twice.columns)), "links")
         release(*old, twice)
     release(jump)
     return seen
 
 
-def suppress(alerts: DataFrame, minutes: int = SUPPRESS_MINUTES, last_emitted: DataFrame | None = None) -> DataFrame:
+def suppress(alerts: DataFrame, minutes: int = SUPPRESS_MINUTES, last_emitted: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Drop repeats within ``minutes`` of the last alert *kept* for their key.
 
     Suppressed alerts do not extend the window. ``last_emitted`` (dedup_key,
-    emitted_at) seeds the chain, so batches continue one another. Every distinct
-    time of a key is linked to the first time that it does not suppress; the
-    kept ones are those that links reach from the key's first, found by doubling
-    the links. No task holds the times of a key, however many there are. Of
-    alerts at one time the one of least severity name and message stays; alerts
-    without a time or with a null in their key's parts take the same rules
-    (a null is left out of the key), those without a time are dropped.
+    emitted_at) seeds the chain, so batches continue one another. The distinct
+    times of a key are cut into blocks of about ``block_rows``; every time at
+    which a chain may enter a block is linked to the one at which it enters the
+    next, the entries that a key's first time leads to are found by doubling
+    these links, and each block then keeps its own times. No task holds more
+    than a block, or a slot of ``minutes`` where that has more times; the block
+    size changes the work, not the result. Of alerts at one time the one of
+    least severity name and message stays; alerts without a time or with a null
+    in their key's parts take the same rules (a null is left out of the key),
+    those without a time are dropped.
     """
     keyed = alerts.withColumn("dedup_key", clean.alert_key(F.col("alert_type"), F.col("source"), F.col("title"))).where("created_at is not null")
     step = minutes * 60_000_000
@@ -162,8 +225,16 @@ def suppress(alerts: DataFrame, minutes: int = SUPPRESS_MINUTES, last_emitted: D
         seeds = last_emitted.groupBy("dedup_key").agg(F.max(F.unix_micros("emitted_at")).alias("_last"))
         times = times.join(seeds, "dedup_key", "left").where(F.col("_last").isNull() | (F.col("t") >= F.col("_last") + step)).drop("_last")
     times = materialize(times, "times")
-    kept = _reached(times.groupBy("dedup_key").agg(F.min("t").alias("t")), _links(times, step))
-    release(times)
+    blocks = materialize(_blocks(times, step, block_rows), "blocks")
+    entries, crossed = times.groupBy("dedup_key").agg(F.min("t").alias("t")), blocks.where("block < final")
+    spent = [times, blocks]
+    if not crossed.isEmpty():
+        probes = materialize(_passages(crossed, step), "probes")
+        entries = _reached(entries, _links(times, probes, step))
+        spent += [probes, entries]
+    marked = blocks.join(entries.withColumn("entry", F.lit(True)), ["dedup_key", "t"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
+    kept = materialize(_chains(marked, step), "kept")
+    release(*spent)
     kept = kept.select("dedup_key", F.timestamp_micros("t").alias("created_at"))
     first = keyed.groupBy("dedup_key", "created_at").agg(F.min(F.struct("severity", "message")).alias("_m"), *[F.min(c).alias(c) for c in ("alert_type", "source", "title")])
     out = first.join(kept, ["dedup_key", "created_at"], "left_semi")

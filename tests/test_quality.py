@@ -220,19 +220,22 @@ def test_thresholds(spark):
 
 
 def test_suppression_of_a_key_of_very_many_times(spark):
-    """Chains of links equal the fold over sorted times, dense and sparse, and
-    no time of the hot key is gathered."""
+    """Chains through blocks equal the fold over sorted times, dense and sparse,
+    whether a key is one block, several, or a block for each slot."""
     at = F.timestamp_micros((F.lit(1_700_000_000_000_000) + F.col("id") * 7_000_000).cast("long"))
     hot = spark.range(60_000).select(F.lit("k").alias("alert_type"), F.lit("warning").alias("severity"), F.lit("hot").alias("source"), F.lit("t").alias("title"), F.lit("m").alias("message"), at.alias("created_at"))
     rnd = random.Random(1)
     few = [("k", "error", "few", "t", "m", datetime(2020, 1, 1) + timedelta(minutes=rnd.choice([1, 20, 59, 60, 61]) * i + rnd.randrange(3000) * (i % 7 == 0))) for i in range(80)]
     rows = hot.unionByName(spark.createDataFrame(few, hot.schema))
-    got = sorted((r.source, r.created_at) for r in alerts.suppress(rows).select("source", "created_at").collect())
+    rows = rows.unionByName(spark.createDataFrame([("k", "info", "odd", "t", "m", datetime(1969, 12, 30) + timedelta(minutes=m)) for m in (0, 59, 61, 119, 121, 125, 7000, 7059)], hot.schema))
+    run = lambda **how: sorted((r.source, r.created_at) for r in alerts.suppress(rows, **how).select("source", "created_at").collect())
+    got = run()
     want = []
-    for source in ("few", "hot"):
+    for source in ("few", "hot", "odd"):
         last = None
         for (t,) in rows.where(F.col("source") == source).select("created_at").distinct().orderBy("created_at").collect():
             if last is None or t >= last + timedelta(minutes=60):
                 last = t
                 want.append((source, t))
     assert got == want and 100 < len(want)
+    assert run(block_rows=1) == want and run(block_rows=2000) == want
