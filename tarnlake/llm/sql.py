@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from tarnlake.llm.lines import WINDOW
 from tarnlake.llm.substring import SPAN
-from tarnlake.llm.urls import ADDRESS, AROUND, BAD_LIMIT, BAD_WORD, BOUND_Z, LOWER, RULES, STRENGTH, SYMBOL_RUN, TWO_LABEL_SUFFIXES, UPPER
+from tarnlake.llm.urls import (
+    ADDRESS, AROUND, BAD_LIMIT, BAD_WORD, BOUND_Z, LEAST_WORDS, LOWER, MARKUP, REPEAT_PERCENT, RULES, STRENGTH, SYMBOL, SYMBOL_PERCENT,
+    TWO_LABEL_SUFFIXES, UPPER, WINDOW_WORDS, WORD,
+)
 
 SUBSTRING = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -61,8 +64,13 @@ URLS = f"""
 WITH u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
              regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
-y AS (SELECT page_id, bool_or(regexp_matches(host, '{BAD_WORD}') OR coalesce(len(regexp_extract_all(html, '{SYMBOL_RUN}')) * 100 > length(html), false)) AS bad
-      FROM p WHERE page_id IS NOT NULL GROUP BY 1),
+x AS (SELECT page_id, host, regexp_replace(html, '{MARKUP}', ' ', 'g') AS t FROM p WHERE page_id IS NOT NULL),
+m AS (SELECT row_number() OVER () AS r, page_id, host, len(regexp_extract_all(t, '{SYMBOL}')) AS symbols, regexp_extract_all(t, '{WORD}') AS words FROM x),
+v AS (SELECT r, count(*) AS w, count(DISTINCT array_to_string(words[i:i + {WINDOW_WORDS - 1}], ' ')) AS v
+      FROM (SELECT r, words, unnest(range(1, len(words) - {WINDOW_WORDS - 2})) AS i FROM m) GROUP BY r),
+y AS (SELECT page_id, bool_or(regexp_matches(host, '{BAD_WORD}') OR coalesce(len(words) < {LEAST_WORDS} OR symbols * 100 > len(words) * {SYMBOL_PERCENT}
+             OR coalesce((w - v) * 100 > w * {REPEAT_PERCENT}, false), false)) AS bad
+      FROM m LEFT JOIN v USING (r) GROUP BY 1),
 h0 AS (SELECT host, regexp_replace(host, '{AROUND}', '', 'g') AS name, count(bad) AS n, count(*) FILTER (bad) AS bad FROM p LEFT JOIN y USING (page_id) GROUP BY host),
 h AS (SELECT *, CASE WHEN {_IP} THEN name WHEN {_LONG} THEN regexp_extract(name, '([^.]*\\.)?([^.]*\\.[^.]*)$', 0) ELSE regexp_extract(name, '([^.]*\\.)?[^.]*$', 0) END AS domain,
              CASE WHEN {_IP} THEN '' WHEN {_LONG} THEN regexp_extract(name, '([^.]*\\.[^.]*)$', 1) ELSE regexp_extract(name, '[^.]*$', 0) END AS suffix FROM h0),

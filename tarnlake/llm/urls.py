@@ -1,6 +1,6 @@
 """URL filter by empirical-Bayes host reputation, in DataFrame operations only.
 
-Page outcomes (bad or not), labelled or judged from the pages, are counted by host. A beta-binomial
+Page outcomes (bad or not), labelled or measured on the pages, are counted by host. A beta-binomial
 model shrinks each suffix's rate to the corpus rate, each registered domain's
 to its suffix's and each host's to its domain's; the prior strength of a level
 is estimated from the spread of its groups. A host is blocked when a lower
@@ -24,11 +24,16 @@ RULES = (
 )
 #: Suffixes of two labels under which domains are registered.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.nz", "co.in", "co.za")
-#: Words of a host name that mark its pages as bad, and how many runs of three
-#: symbols a hundred characters of a page may hold. Both are weak labels.
+#: Words of a host name that mark its pages as bad.
 BAD_WORDS = ("ads", "adult", "bet", "bets", "casino", "pills", "porn", "spam", "track", "viagra", "xxx")
 BAD_WORD = rf"(^|[^a-z])({'|'.join(BAD_WORDS)})([^a-z]|$)"
-SYMBOL_RUN = r"[#*$%]{3}|(&amp;){3}"
+#: What of a page is no text, its words and its symbols (as written in html).
+MARKUP = r"(?s)<!--.*?-->|<[sS][cC][rR][iI][pP][tT].*?</[sS][cC][rR][iI][pP][tT][^>]*>|<[sS][tT][yY][lL][eE].*?</[sS][tT][yY][lL][eE][^>]*>|<[^>]*>"
+WORD = r"[^\x20\x09-\x0D]+"
+SYMBOL = r"[#*$%|]|&(amp|lt|gt);"
+#: A page is bad with fewer words, more symbols for a hundred words, or more of
+#: a hundred five-word windows that repeat an earlier one of the page.
+LEAST_WORDS, SYMBOL_PERCENT, REPEAT_PERCENT, WINDOW_WORDS = 10, 10, 20, 5
 BAD_LIMIT = 0.5
 BOUND_Z = 1.645
 STRENGTH = (1.0, 1000.0)
@@ -72,11 +77,23 @@ def registered_domain(host: Column) -> tuple[Column, Column]:
 
 
 def page_outcomes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, bad) of every page, judged from the page itself: a word of its
-    host's name, or too many runs of symbols in its text. Null html has none."""
+    """(id, bad) of every page, measured on its whole text: few words, many
+    symbols, repeated five-word windows, or a bad word in its host's name.
+
+    Null html is judged by its host's name alone, empty html is bad. No row is exploded: windows
+    are compared within their page by 64-bit hashes, whatever its length.
+    """
     host, _ = host_and_path(F.col(url_col))
-    noisy = F.regexp_count(F.col(html_col), F.lit(SYMBOL_RUN)) * 100 > F.length(html_col)
-    return pages.select(F.col(id_col), (host.rlike(BAD_WORD) | F.coalesce(noisy, F.lit(False))).alias("bad"))
+    text = F.regexp_replace(html_col, MARKUP, " ")
+    seen = pages.select(F.col(id_col), host.alias("host"), F.regexp_count(text, F.lit(SYMBOL)).alias("symbols"), F.regexp_extract_all(text, F.lit(WORD), 0).alias("words"))
+    n = F.greatest(F.size("words") - WINDOW_WORDS + 1, F.lit(0))
+    hashed = lambda w, i: F.xxhash64(*[F.get(w, i + j) for j in range(WINDOW_WORDS)])
+    different = lambda w: F.size(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW_WORDS), lambda i: hashed(w, i))))
+    # The words are bound once, wherever the optimizer moves the expression to.
+    found = F.get(F.transform(F.array("words"), lambda w: F.when(F.size(w) < WINDOW_WORDS, 0).otherwise(different(w))), F.lit(0))
+    few, noisy = F.size("words") < LEAST_WORDS, F.col("symbols") * 100 > F.size("words") * SYMBOL_PERCENT
+    repeats = (n - found) * 100 > n * REPEAT_PERCENT
+    return seen.select(id_col, (F.col("host").rlike(BAD_WORD) | F.when(F.col("words").isNull(), False).otherwise(few | noisy | repeats)).alias("bad"))
 
 
 def _shrink(groups: DataFrame, n: str, bad: str, prior: str, out: str) -> DataFrame:
@@ -107,7 +124,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_i
     The table of a level is written once and read by the next.
     """
     host, _ = host_and_path(F.col(url_col))
-    seen = outcomes.where(F.col(id_col).isNotNull() & F.col("bad").isNotNull()).groupBy(id_col).agg(F.max("bad").alias("_bad"))
+    seen = outcomes.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("bad").alias("_bad"))
     hosts = (
         pages.select(F.col(id_col), host.alias("host"))
         .join(seen, id_col, "left")

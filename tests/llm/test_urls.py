@@ -48,9 +48,12 @@ def test_reputation_shrinks_and_blocks(spark):
 
 
 def test_query_blocks_hosts_as_its_sql_does(spark, tmp_path):
-    rows = [(i, f"http://www.casino-{i % 3}.example.net/p{i}", "<p>words") for i in range(300)]
-    rows += [(1000 + i, f"http://h{i % 40}.example.{('net', 'com')[i % 2]}:80/p{i}", "<p>words of a page") for i in range(800)]
-    rows += [(2000 + i, "http://noisy.site.co.uk/", "<p>" + "### $$$ " * 40) for i in range(50)] + [(2100 + i, "http://u@10.0.0.1:8080/", None) for i in range(9)]
+    page = "<style>p > a { # }</style><!-- a > b ### --><p class='x'>" + " ".join(f"word{j}" for j in range(30)) + "</p><SCRIPT>a(); ###</SCRIPT>"
+    rows = [(i, f"http://www.casino-{i % 3}.example.net/p{i}", page) for i in range(300)]
+    rows += [(1000 + i, f"http://h{i % 40}.example.{('net', 'com')[i % 2]}:80/p{i}", page) for i in range(800)]
+    rows += [(2000 + i, "http://noisy.site.co.uk/", page + "<p>" + "### &amp;&amp; " * 40) for i in range(50)]
+    rows += [(2200 + i, "http://again.site.co.uk/", "<p>the same few words once more, </p>\n" * 30) for i in range(50)] + [(2300 + i, "http://thin.site.co.uk/", "<p>nothing") for i in range(50)]
+    rows += [(2400 + i, "http://hot.site.com/", page + "<p>" + " ".join(f"w{j}" for j in range(5000))) for i in range(3)] + [(2100 + i, "http://u@10.0.0.1:8080/", None) for i in range(9)]
     rows += [(3000, None, None), (3000, None, "***"), (None, "http://x.example.com/", "x"), (3001, "http://" + "a" * 100_000 + ".com/" + "b" * 100_000, "x")]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted((tuple(r) for r in queries.op9_url_reputation(spark, str(tmp_path)).collect()), key=repr)
@@ -58,7 +61,7 @@ def test_query_blocks_hosts_as_its_sql_does(spark, tmp_path):
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert got == sorted((tuple(r) for r in con.execute(queries.ORACLE_SQL["op9_url_reputation"]).fetchall()), key=repr)
     blocked = {r[1] for r in got if r[4] == "block"}
-    assert blocked == {"www.casino-0.example.net", "www.casino-1.example.net", "www.casino-2.example.net", "noisy.site.co.uk"}
+    assert blocked == {"www.casino-0.example.net", "www.casino-1.example.net", "www.casino-2.example.net", "noisy.site.co.uk", "again.site.co.uk", "thin.site.co.uk"}
 
 
 def test_registered_domains(spark):
@@ -68,6 +71,15 @@ def test_registered_domains(spark):
     assert page_outcomes(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_outcomes_are_measured_on_the_text(spark):
+    words = " ".join(f"w{i}" for i in range(100))
+    html = {1: (None, False), 2: ("", True), 3: (f"<p>{words}", False), 4: (f"<p>{words}{'#' * 11}", True), 5: (f"<p>{words}{'#' * 10}", False)}
+    html |= {6: (f"<p>{words} {words}", True), 7: ("<p>" + "one two three " * 3, True), 8: (f"<script>{'# ' * 90}</script>{words}", False), 9: (f"<!-- {words} --><p>few words", True)}
+    html |= {10: (f"<p>{words} " + " ".join(f"w{i}" for i in range(24)), False)}  # 20 of 120 windows
+    df = spark.createDataFrame([(i, "http://a.org/", h) for i, (h, _) in html.items()], "page_id long, url string, html string")
+    assert dict(page_outcomes(df).collect()) == {i: bad for i, (_, bad) in html.items()}
+
+
 def test_columns_of_any_name_stay(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x", "mine"), (2, None, "too")], "page_id long, url string, _rule string")
     out = filter_urls(pages, spark.createDataFrame([], "page_id long, bad boolean"))
