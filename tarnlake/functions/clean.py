@@ -156,5 +156,21 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
+def rounded(c: Column, digits: int = 2) -> Column:
+    """A double rounded as SQL engines round doubles: the scaled number goes to
+    the nearest whole, halves away from zero. Spark's own rounds the number as it
+    prints, so that 1.005, which lies below the half, goes up."""
+    return F.round(c * 10.0**digits) / 10.0**digits
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds that the clock moves on, as SQL's ``date_diff`` counts them: from
+    00:00:00.9 to 00:00:02.1 two, where Spark counts whole seconds gone by."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = [F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")) for c in (start, end)]
+    a, b = [m - F.pmod(m, F.lit(1_000_000)) for m in micros]
+    return ((b - a) / 1_000_000).cast("long")
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(part * 100.0 / F.nullif(whole, F.lit(0)), digits)

@@ -102,9 +102,9 @@ def built_alert(spark: SparkSession, kind: str, severity: str, source: str, titl
 
 def freshness_alerts(tables: DataFrame, as_of: str, hours: float = 24.0) -> DataFrame:
     """Tables (table_name, last_update) that are older than allowed."""
-    age = F.timestamp_diff("SECOND", F.col("last_update").cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz")) / 3600
+    age = clean.seconds_between(F.col("last_update"), F.lit(as_of)) / 3600
     late = tables.withColumn("age", age).where(F.col("age") > hours)
-    return _alert(late, "freshness", F.lit("warning"), F.col("table_name"), F.lit("table is stale"), F.round("age", 2).cast("string"), as_of)
+    return _alert(late, "freshness", F.lit("warning"), F.col("table_name"), F.lit("table is stale"), clean.rounded(F.col("age")).cast("string"), as_of)
 
 
 def _slot(t: str, step: int):
@@ -320,7 +320,7 @@ def check_metrics(results: DataFrame, at: str) -> DataFrame:
 
 def table_metrics(tables: DataFrame, stage: str, at: str) -> DataFrame:
     """Tables (table_name, row_count, last_update) as gauges of size and age."""
-    age = F.timestamp_diff("SECOND", F.col("last_update").cast("timestamp_ntz"), F.lit(at).cast("timestamp_ntz")) / 3600
+    age = clean.seconds_between(F.col("last_update"), F.lit(at)) / 3600
     long = tables.select("table_name", F.col("row_count").cast("double").alias("data_row_count"), age.alias("data_freshness_hours"))
     long = long.unpivot(["table_name"], ["data_row_count", "data_freshness_hours"], "name", "value").where("value is not null")
     tags = F.create_map(F.lit("table_name"), "table_name", F.lit("stage"), F.lit(stage))

@@ -219,7 +219,7 @@ def alert_scores(t):
     f"(SELECT user_id::VARCHAR AS u, round(date_diff('second', max(ts), TIMESTAMP '{AS_OF}') / 3600.0, 2) AS h FROM events GROUP BY 1) WHERE h > 24"
 )
 def alert_freshness(t):
-    last = t.events.groupBy(F.col("user_id").cast("string").alias("table_name")).agg(F.max(F.date_trunc("second", "ts")).alias("last_update"))
+    last = t.events.groupBy(F.col("user_id").cast("string").alias("table_name")).agg(F.max("ts").alias("last_update"))
     found = alerts.freshness_alerts(last, AS_OF)
     return found.select("alert_type", "severity", "source", "title", F.col("message").cast("double").alias("hours"))
 
@@ -253,7 +253,7 @@ def exact_quantiles(t):
 def table_metrics(t):
     sizes = t.events.groupBy(F.col("event_type").alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"), F.max(F.date_trunc("second", "ts")).alias("last_update"))
     found = alerts.table_metrics(sizes, "raw", AS_OF)
-    return found.select("name", F.col("labels")["table_name"].alias("table_name"), F.round("value", 3).alias("value"))
+    return found.select("name", F.col("labels")["table_name"].alias("table_name"), clean.rounded(F.col("value"), 3).alias("value"))
 
 
 @query(

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,15 @@ def test_suppression_of_a_key_of_very_many_times(spark):
                 want.append((source, t))
     assert got == want and 100 < len(want)
     assert run(block_rows=1) == want and run(block_rows=2000) == want
+
+
+def test_stale_tables_are_aged_by_the_clock(spark):
+    """Ages count the seconds of the clock; halves below a half go down, as in SQL."""
+    at = "2024-01-10 00:00:00"
+    seconds = [24 * 3600 + 18 * k for k in range(1, 2000)]
+    last = spark.createDataFrame([(str(s), s) for s in seconds], "table_name string, s long")
+    last = last.select("table_name", F.timestamp_add("SECOND", -F.col("s"), F.lit(at).cast("timestamp_ntz")).alias("last_update"))
+    got = {r.source: float(r.message) for r in alerts.freshness_alerts(last, at).collect()}
+    assert got == dict(duckdb.execute("SELECT s::VARCHAR, round(s / 3600.0, 2) FROM (SELECT unnest(?::BIGINT[]) AS s)", [seconds]).fetchall())
+    part = spark.createDataFrame([("t", "2024-01-08 23:59:59.5"), ("u", "2024-01-09 00:00:00.5"), ("v", None)], "table_name string, last_update string")
+    assert [(a.source, a.message) for a in alerts.freshness_alerts(part, at).collect()] == [("t", "24.0")]
