@@ -262,19 +262,18 @@ def validity(df: DataFrame) -> DataFrame:
 def timeliness(df: DataFrame, as_of: str, columns: tuple[str, ...] = TIME_COLUMNS) -> DataFrame:
     """100 up to a day, 80 up to two, 60 up to three, then two points an hour
     from the first day on; 100 without a usable time column."""
-    now = F.lit(as_of).cast("timestamp_ntz")
     ages = []
     for c in columns:
         if c in df.columns:
             t = F.col(c)
             t = clean.parse_timestamp(t) if dict(df.dtypes)[c] == "string" else t
-            ages.append(F.timestamp_diff("SECOND", F.max(t.cast("timestamp_ntz")), now) / 3600)
+            ages.append(clean.seconds_between(F.max(t.cast("timestamp_ntz")), F.lit(as_of)) / 3600)
     if not ages:
         return df.sparkSession.createDataFrame([(100.0,)], "timeliness double")
     row = df.agg(F.coalesce(*ages).alias("h"))
     late = F.greatest(F.lit(0.0), 100 - (F.col("h") - 24) * 2)
     score = F.when(F.col("h").isNull() | (F.col("h") <= 24), 100.0).when(F.col("h") <= 48, 80.0).when(F.col("h") <= 72, 60.0).otherwise(late)
-    return row.select(F.round(score, 2).alias("timeliness"))
+    return row.select(clean.rounded(score).alias("timeliness"))
 
 
 def dimensions(df: DataFrame, table: str, stage: str, as_of: str) -> DataFrame:

@@ -9,6 +9,7 @@ from tarnlake.functions.pii import PATTERNS
 from tarnlake.operators import alerts, contracts, profiling, rejects
 from tarnlake.operators import expectations as x
 from tarnlake.operators.staging import Mapped, TableConfig
+from tarnlake.plans import registry
 
 AT = "2024-01-10 00:00:00"
 PII = [
@@ -252,3 +253,19 @@ def test_stale_tables_are_aged_by_the_clock(spark):
     assert got == dict(duckdb.execute("SELECT s::VARCHAR, round(s / 3600.0, 2) FROM (SELECT unnest(?::BIGINT[]) AS s)", [seconds]).fetchall())
     part = spark.createDataFrame([("t", "2024-01-08 23:59:59.5"), ("u", "2024-01-09 00:00:00.5"), ("v", None)], "table_name string, last_update string")
     assert [(a.source, a.message) for a in alerts.freshness_alerts(part, at).collect()] == [("t", "24.0")]
+
+
+def test_timeliness_agrees_with_sql(spark, tmp_path):
+    """Newest times with a fraction of a second, at the steps and on halves."""
+    as_of = datetime.fromisoformat(registry.AS_OF)
+    ages = [timedelta(hours=h, microseconds=us) for h in (24, 48, 72) for us in (-1, 0, 1, 500_000, 999_999)]
+    ages += [timedelta(hours=26, seconds=9 * k, milliseconds=250) for k in (1, 401, 5555, 17001)] + [timedelta(hours=-1), timedelta(days=90)]
+    ages += [timedelta(hours=73, seconds=9 * k) for k in range(1, 40, 2)]
+    times = spark.createDataFrame([(as_of - age,) for age in ages], "at timestamp_ntz")
+    got = [profiling.timeliness(times.where(F.col("at") == as_of - age).withColumnRenamed("at", "updated_at"), registry.AS_OF).withColumn("i", F.lit(i)) for i, age in enumerate(ages)]
+    whole = got[0]
+    for g in got[1:]:
+        whole = whole.unionByName(g)
+    for i, r in enumerate(whole.orderBy("i").collect()):
+        sql = registry.ORACLE_SQL["dq_timeliness"].replace("FROM events", f"FROM (SELECT TIMESTAMP '{as_of - ages[i]}' AS ts)")
+        assert r.timeliness == duckdb.execute(sql).fetchone()[0], ages[i]
