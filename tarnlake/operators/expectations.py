@@ -157,8 +157,7 @@ def broken(rule: QualityRule, as_of: str | None = None) -> Column:
         if p.get("disallow_json"):
             bad = bad | clean.is_json_blob(c.cast("string"))
     elif rule.kind == "freshness_check":
-        age = F.timestamp_diff("SECOND", c.cast("timestamp_ntz"), F.lit(as_of).cast("timestamp_ntz"))
-        bad = age > p["max_hours"] * 3600
+        bad = clean.seconds_between(c, F.lit(as_of)) > p["max_hours"] * 3600
     elif rule.kind == "custom_sql":
         bad = ~F.coalesce(F.expr(f"({p['condition']})"), F.lit(False))
     else:

@@ -145,7 +145,7 @@ def datetime_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     aggs = []
     for c in columns:
         x = F.col(f"`{c}`").cast("timestamp_ntz")
-        days = F.floor(F.timestamp_diff("SECOND", F.min(x), F.max(x)) / 86400)
+        days = F.floor(clean.seconds_between(F.min(x), F.max(x)) / 86400)
         aggs += [F.min(x).alias(f"min|{c}"), F.max(x).alias(f"max|{c}"), days.alias(f"range_days|{c}")]
     return _long(df.agg(*aggs), columns, ["min", "max", "range_days"])
 

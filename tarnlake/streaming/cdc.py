@@ -191,7 +191,7 @@ def suppressed_alerts(alerts: DataFrame, root: str, minutes: int = SUPPRESS_MINU
 
 def lag_seconds(batch: DataFrame, event_time: str, as_of: str) -> DataFrame:
     """How far behind the newest event is."""
-    age = F.timestamp_diff("SECOND", F.max(F.col(event_time).cast("timestamp_ntz")), F.lit(as_of).cast("timestamp_ntz"))
+    age = clean.seconds_between(F.max(F.col(event_time).cast("timestamp_ntz")), F.lit(as_of))
     return batch.agg(age.alias("lag_seconds"))
 
 

@@ -5,11 +5,13 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tarnlake.functions import clean
 from tarnlake.functions.pii import PATTERNS
 from tarnlake.operators import alerts, contracts, profiling, rejects
 from tarnlake.operators import expectations as x
 from tarnlake.operators.staging import Mapped, TableConfig
 from tarnlake.plans import registry
+from tarnlake.streaming import cdc
 
 AT = "2024-01-10 00:00:00"
 PII = [
@@ -269,3 +271,18 @@ def test_timeliness_agrees_with_sql(spark, tmp_path):
     for i, r in enumerate(whole.orderBy("i").collect()):
         sql = registry.ORACLE_SQL["dq_timeliness"].replace("FROM events", f"FROM (SELECT TIMESTAMP '{as_of - ages[i]}' AS ts)")
         assert r.timeliness == duckdb.execute(sql).fetchone()[0], ages[i]
+
+
+def test_seconds_count_as_in_sql(spark):
+    """Freshness rules, lag and ranges of days by the clock, also before 1970."""
+    at, hours = "2024-01-10 00:00:00", 240
+    texts = ["2023-12-30 23:59:59.999999", "2023-12-31 00:00:00", "2023-12-31 00:00:00.5", "2023-12-30 23:59:59", "1969-12-31 23:59:58.5", "2024-01-10 00:00:00.5", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.col("t").cast("timestamp_ntz").alias("t"))
+    values = duckdb.execute("SELECT date_diff('second', t, ?::TIMESTAMP) FROM (SELECT unnest(?::TIMESTAMP[]) AS t)", [at, texts]).fetchall()
+    got = [tuple(r) for r in df.orderBy("i").select(clean.seconds_between(F.col("t"), F.lit(at))).collect()]
+    assert got == values
+    rule = x.QualityRule("f", "freshness_check", "t", {"max_hours": hours})
+    assert x.execute_rule(df, rule, as_of=at).first().failed == sum(v is not None and v > hours * 3600 for (v,) in values) == 3
+    assert cdc.lag_seconds(df.where("i = 0"), "t", at).first()[0] == values[0][0]
+    days = spark.createDataFrame([("2024-01-01 00:00:00.9",), ("2024-01-02 00:00:00.1",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    assert profiling.datetime_profile(days, ["t"]).first().range_days == 1
