@@ -7,9 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StructField, StructType
 
 from tarnlake.functions import clean
 from tarnlake.operators import ingest
@@ -54,8 +54,8 @@ def capture(
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
 
 
-#: Columns of the state that order the rows of a key.
-RANK = "_rank_"
+#: The column of the state that tells which micro-batch brought a row.
+BROUGHT = "_brought_"
 
 
 def _ready(spark: SparkSession, root: str) -> bool:
@@ -65,63 +65,42 @@ def _ready(spark: SparkSession, root: str) -> bool:
     return len(found.getFileSystem(conf).globStatus(found) or []) > 0
 
 
-def _started(out: DataFrame, root: str, name: str, once: bool) -> StreamingQuery:
+def _started(w: DataStreamWriter, spark: SparkSession, root: str, once: bool) -> StreamingQuery:
     """Start a query whose state lies in Spark's RocksDB store; the session's
     own choice of store is as before afterwards."""
-    conf, key = out.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    conf, key = spark.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
     conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        w = out.writeStream.format("parquet").option("path", f"{root}/{name}").option("checkpointLocation", f"{root}/checkpoint")
+        w = w.option("checkpointLocation", f"{root}/checkpoint")
         return (w.trigger(availableNow=True) if once else w.trigger(processingTime=FLUSH)).start()
     finally:
         conf.set(key, before)
 
 
-class _Newest(StatefulProcessor):
-    """Keeps the newest row of a key: order columns descending, nulls last."""
-
-    def __init__(self, shape: StructType, order_by: list[str]):
-        self.shape, self.at = shape, [shape.names.index(c) for c in order_by]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", self.shape)
-
-    def _place(self, row: tuple) -> list[tuple]:
-        values = [row[i] for i in self.at]
-        return [(v is not None, v != v, v) if v is not None and v == v else (v is not None, v is not None, 0) for v in values]
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
-        old = tuple(self.row.get()) if self.row.exists() else None
-        best, place = old, old and self._place(old)
-        for r in rows:
-            here = self._place(r)
-            if best is None or here > place:
-                best, place = tuple(r), here
-        if best is not old:
-            self.row.update(best)
-            yield Row(*self.shape.names)(*best)
-
-    def close(self) -> None:
-        pass
-
-
 def apply_changes(events: DataFrame, key: str, order_by: list[str], root: str, once: bool = True) -> StreamingQuery:
     """Keep the current state of a table under change events.
 
-    The newest row of each key is kept in Spark's state store (its checkpoint
-    lies below ``root``); ties fall to a hash of the whole row, as in the batch
-    compaction. Deletes are kept as tombstones: a late older event must not
-    revive a row. A micro-batch touches the state of its own keys only, holds
-    one row of a key at a time, and appends the rows that are now current to
-    ``root/changes``. A restarted query goes on where the last batch ended.
+    The newest row of each key (order columns descending, nulls last) is a
+    streaming aggregate, kept in Spark's state store (its checkpoint lies below
+    ``root``); ties fall to a hash of the whole row, as in the batch compaction.
+    Deletes are kept as tombstones: a late older event must not revive a row. A
+    micro-batch touches the state of its own keys only, holds one row of a key
+    at a time, and writes the rows that are now current to a folder of its own
+    below ``root/changes``; one that is run again replaces its folder. A
+    restarted query goes on where the last batch ended.
     """
-    # Times are compared as numbers: rows and state give them with and without a zone.
-    order = [f"unix_micros(`{c}`)" if events.schema[c].dataType == TimestampType() else f"`{c}`" for c in order_by if c in events.columns]
-    ranks = {f"{RANK}{i}": F.expr(c) for i, c in enumerate(order)} | {f"{RANK}{len(order)}": F.bitwise_not(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns]))}
-    tied = events.withColumns(ranks)
-    newest = _Newest(tied.schema, list(ranks))
-    return _started(tied.groupBy(key).transformWithState(newest, tied.schema, "Append", "None"), root, "changes", once)
+    now = F.unix_micros(F.current_timestamp())  # the micro-batch's time, the same if it is run again
+    columns = [F.col(f"`{c}`") for c in events.columns]
+    # Of equal rows the one that came first stays, so that a repeat is no change.
+    rank = F.struct(*[F.col(f"`{c}`") for c in order_by if c in events.columns], F.bitwise_not(F.xxhash64(*columns)), -F.col(BROUGHT))
+    newest = events.withColumn(BROUGHT, now).groupBy(key).agg(F.max_by(F.struct(*columns, BROUGHT), rank).alias("_row"))
+    changed = newest.where(F.col("_row")[BROUGHT] == now).select("_row.*").drop(BROUGHT)
+
+    def append(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/changes/batch={n}")
+
+    return _started(changed.writeStream.outputMode("update").foreachBatch(append), events.sparkSession, root, once)
 
 
 def current_state(spark: SparkSession, root: str, live_only: bool = False) -> DataFrame | None:
@@ -129,9 +108,9 @@ def current_state(spark: SparkSession, root: str, live_only: bool = False) -> Da
     tombstones unless ``live_only``. None before the first batch."""
     if not _ready(spark, root):
         return None
-    df = spark.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", "row").load()
-    df = df.select("value.*")
-    df = df.drop(*[c for c in df.columns if c.startswith(RANK)])
+    df = spark.read.format("statestore").option("path", f"{root}/checkpoint").load()
+    row = df.schema["value"].dataType.names[0]  # the aggregate's row, then its rank
+    df = df.select(F.col("value")[row].alias("_row")).select("_row.*").drop(BROUGHT)
     return df.where("op IS NULL OR op != 'D'") if live_only else df
 
 
@@ -186,7 +165,8 @@ def suppressed_alerts(alerts: DataFrame, root: str, minutes: int = SUPPRESS_MINU
     quiet = _Quiet(keyed.columns, minutes * 60_000_000, late is not None)
     shape = StructType([StructField(f.name, f.dataType) for f in keyed.schema])
     out = keyed.groupBy("dedup_key").transformWithState(quiet, shape, "Append", "EventTime" if late else "None")
-    return _started(out.select("dedup_key", "alert_type", "severity", "source", "title", "message", "created_at"), root, "alerts", once)
+    out = out.select("dedup_key", "alert_type", "severity", "source", "title", "message", "created_at")
+    return _started(out.writeStream.format("parquet").option("path", f"{root}/alerts"), alerts.sparkSession, root, once)
 
 
 def lag_seconds(batch: DataFrame, event_time: str, as_of: str) -> DataFrame:

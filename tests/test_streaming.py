@@ -114,3 +114,19 @@ def test_timers_clear_what_can_suppress_no_more(spark, tmp_path):
     state = spark.read.format("statestore").option("path", f"{root}/checkpoint").option("stateVarName", "last").load()
     assert 1 <= state.count() < 2  # of two keys; a's time has passed
     assert spark.read.parquet(f"{root}/alerts").count() == 4
+
+
+def test_state_is_kept_without_python(spark, tmp_path, capsys):
+    """Rows pass through the engine only; late and repeated rows are no change."""
+    src, root, shape = f"{tmp_path}/src", f"{tmp_path}/root", "id long, seq int, v string, op string"
+    for rows in ([(1, 5, "a", "I"), (2, 5, "b", "I"), (None, 1, "n", "I")], [(1, 4, "late", "U"), (2, 5, "b", "I"), (3, 1, "c", "I"), (None, 2, None, "D")]):
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(src)
+        q = cdc.apply_changes(spark.readStream.schema(shape).parquet(src), "id", ["seq"], root)
+        run(q)
+        q.explain()
+        plan = capsys.readouterr().out
+        assert "StateStoreSave" in plan and "Py" not in plan.replace("PythonForeach", "")
+    want = {0: [(1, "a"), (2, "b"), (None, "n")], 1: [(3, "c"), (None, None)]}
+    changes = spark.read.parquet(f"{root}/changes").collect()
+    assert {n: sorted([(r.id, r.v) for r in changes if r.batch == n], key=repr) for n in want} == {n: sorted(w, key=repr) for n, w in want.items()}
+    assert sorted((r.id, r.v) for r in cdc.current_state(spark, root, live_only=True).collect()) == [(1, "a"), (2, "b"), (3, "c")]
