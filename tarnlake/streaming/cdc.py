@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -114,25 +116,52 @@ def current_state(spark: SparkSession, root: str, live_only: bool = False) -> Da
     return df.where("op IS NULL OR op != 'D'") if live_only else df
 
 
+#: Times of a key that are gathered before repeats among them are folded.
+FOLD_ROWS = 1_000_000
+
+
+def _folded(times: array, codes: array, texts: dict[tuple, int]) -> tuple[array, array, dict[tuple, int]]:
+    """Distinct times in order, each with the texts of least severity name and
+    message (the first two; null before any), and only the texts still used."""
+    t, c, known = np.frombuffer(times, np.int64), np.frombuffer(codes, np.int32), list(texts)
+    rank = np.empty(len(known), np.int32)
+    rank[sorted(range(len(known)), key=lambda i: [(v is not None, v) for v in known[i][:2]])] = np.arange(len(known), dtype=np.int32)
+    order = np.lexsort((rank[c], t))
+    t, c = t[order], c[order]
+    first = np.ones(len(t), bool)
+    first[1:] = t[1:] != t[:-1]
+    used, c = np.unique(c[first], return_inverse=True)
+    return array("q", t[first].tobytes()), array("i", c.astype(np.int32).tobytes()), {known[i]: n for n, i in enumerate(used)}
+
+
 class _Quiet(StatefulProcessor):
     """Keeps the time of the last alert emitted for a key, in microseconds."""
 
     def __init__(self, names: list[str], step: int, expire: bool):
         self.names, self.step, self.expire = names, step, expire
+        self.text = [j for j, n in enumerate(names) if n not in ("dedup_key", "at")]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.last = handle, handle.getValueState("last", "at bigint")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
-        come: dict[int, tuple] = {}
-        for r in rows:
-            row = tuple(r)
-            come[r.at] = min(come.get(r.at, row), row, key=lambda x: [(v is not None, v) for v in x[:2]])
         old = last = self.last.get()[0] if self.last.exists() else None
-        for at in sorted(come):
-            if last is None or at >= last + self.step:
-                last = at
-                yield Row(*self.names)(*come[at])
+        # Per time a number and the place of its texts, not the row: 12 bytes.
+        times, codes, texts, folded = array("q"), array("i"), {}, 0
+        for r in rows:
+            if last is None or r.at >= last + self.step:
+                times.append(r.at)
+                codes.append(texts.setdefault(tuple(r[i] for i in self.text), len(texts)))
+                if len(times) >= max(FOLD_ROWS, 2 * folded):
+                    times, codes, texts = _folded(times, codes, texts)
+                    folded = len(times)
+        times, codes, texts = _folded(times, codes, texts)
+        known, t, i = list(texts), np.frombuffer(times, np.int64), 0
+        while i < len(t):
+            last = int(t[i])
+            said = dict(zip(self.text, known[codes[i]], strict=True))
+            yield Row(*self.names)(*[key[0] if n == "dedup_key" else last if n == "at" else said[j] for j, n in enumerate(self.names)])
+            i = int(np.searchsorted(t, last + self.step))
         if last != old:
             self.last.update((last,))
             if self.expire:
@@ -151,8 +180,8 @@ def suppressed_alerts(alerts: DataFrame, root: str, minutes: int = SUPPRESS_MINU
     """Alert stream to ``root/alerts``, repeats suppressed across micro-batches.
 
     The state of a key is the time of its last emitted alert, kept in Spark's
-    state store; a micro-batch holds the distinct times of a key that it brings,
-    which the stream's own rate limit bounds. With ``late`` (an interval) that
+    state store; a micro-batch holds the distinct times of a key that it brings
+    (12 bytes each, and their texts once), which the stream's own rate limit bounds. With ``late`` (an interval) that
     state is cleared by an event-time timer once it can suppress nothing more;
     alerts later than that are then dropped by Spark's watermark. Without it
     the state stays, one time a key, and no alert is dropped for its lateness.
@@ -162,10 +191,10 @@ def suppressed_alerts(alerts: DataFrame, root: str, minutes: int = SUPPRESS_MINU
     keyed = keyed.select("severity", "message", "alert_type", "source", "title", "dedup_key", F.unix_micros("created_at").alias("at"), "created_at")
     if late:
         keyed = keyed.withWatermark("created_at", late)
-    quiet = _Quiet(keyed.columns, minutes * 60_000_000, late is not None)
-    shape = StructType([StructField(f.name, f.dataType) for f in keyed.schema])
+    quiet = _Quiet(keyed.columns[:-1], minutes * 60_000_000, late is not None)
+    shape = StructType([StructField(f.name, f.dataType) for f in keyed.schema if f.name != "created_at"])
     out = keyed.groupBy("dedup_key").transformWithState(quiet, shape, "Append", "EventTime" if late else "None")
-    out = out.select("dedup_key", "alert_type", "severity", "source", "title", "message", "created_at")
+    out = out.select("dedup_key", "alert_type", "severity", "source", "title", "message", F.timestamp_micros("at").alias("created_at"))
     return _started(out.writeStream.format("parquet").option("path", f"{root}/alerts"), alerts.sparkSession, root, once)
 
 

@@ -130,3 +130,24 @@ def test_state_is_kept_without_python(spark, tmp_path, capsys):
     changes = spark.read.parquet(f"{root}/changes").collect()
     assert {n: sorted([(r.id, r.v) for r in changes if r.batch == n], key=repr) for n in want} == {n: sorted(w, key=repr) for n, w in want.items()}
     assert sorted((r.id, r.v) for r in cdc.current_state(spark, root, live_only=True).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_many_times_of_a_key_are_held_as_numbers(tmp_path):
+    """A key's times of one micro-batch take bytes, not rows."""
+    import tracemalloc
+    from types import SimpleNamespace as N
+
+    from pyspark.sql import Row
+
+    kept = {}
+    state = N(exists=lambda: "at" in kept, get=lambda: (kept["at"],), update=lambda v: kept.update(at=v[0]))
+    quiet = cdc._Quiet(["severity", "message", "alert_type", "source", "title", "dedup_key", "at"], 1000, False)
+    quiet.init(N(getValueState=lambda *_: state))
+    shape, n = Row(*quiet.names), 100_000
+    rows = (shape("warning" if i % 3 else "error", "m%d" % (i % 2), "k", "s", "t", "key", i * 7919 % n) for i in range(n))
+    tracemalloc.start()
+    got = [(r.at, r.severity, r.message) for r in quiet.handleInputRows(("key",), rows, None)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [a for a, *_ in got] == list(range(0, n, 1000)) and kept["at"] == n - 1000
+    assert peak < 100 * n
