@@ -228,7 +228,7 @@ def run_rules(df: DataFrame, rules: list[QualityRule], parents: dict[str, DataFr
         out = out.join(few, "i", "left").withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
     else:
         out = out.withColumn("samples", F.array().cast("array<string>"))
-    rate = F.coalesce(F.round((F.col("checked") - F.col("failed")) * 100.0 / F.nullif(F.col("checked"), F.lit(0)), 2), F.lit(100.0))
+    rate = F.coalesce(clean.rounded((F.col("checked") - F.col("failed")) * 100.0 / F.nullif(F.col("checked"), F.lit(0))), F.lit(100.0))
     return out.select("rule", "checked", (F.col("checked") - F.col("failed")).alias("passed"), "failed", rate.alias("pass_rate"), "samples")
 
 

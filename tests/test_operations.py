@@ -250,3 +250,8 @@ def test_dimensions_of_a_load_in_one_pass(spark):
     assert [r.x_sk for r in empty["x"].collect()] == [-1]
     two = warehouse.load_from_sources(warehouse.empty_dimension(spark, "k", "k_sk", ["a"]), [spark.createDataFrame([("p", "1")], "k string, a string"), spark.createDataFrame([("p", "9"), ("q", "2")], "k string, a string")], "k", "k_sk", "2024-01-01", ["a"])
     assert sorted((r.k, r.a, r.k_sk) for r in two.collect()) == [("p", "1", 1), ("q", "2", 2)]
+
+
+def test_pass_rates_round_as_in_sql(spark):
+    some = spark.range(20000).select(F.when(F.col("id") < 201, 1).alias("v"))  # 1.005 %, a little less as a double
+    assert expectations.run_rules(some, [R("n", "null_check", "v")], samples=0).first().pass_rate == 1.0
